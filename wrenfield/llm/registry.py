@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
 }
 SQL: dict[str, str] = {}
