@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, suffix_dedup
+from . import decontaminate, near_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
 }
 SQL: dict[str, str] = {}
