@@ -43,12 +43,12 @@ CROWD = 4000
 #: Bytes of segments that one suffix array holds (the segments of one anchor stay together).
 SHARD_BYTES = 500_000
 
-SEGMENTS = T.StructType(
-    [T.StructField(c, T.LongType(), False) for c in ("anchor", "segment", "k1", "k2")]
-    + [T.StructField("start", T.IntegerType(), False), T.StructField("starts", T.ShortType(), False)]
-)
-CUTS = T.StructType([*SEGMENTS.fields, T.StructField("bytes", T.BinaryType(), False)])
-PLACES = T.StructType([T.StructField("k1", T.LongType(), False), T.StructField("k2", T.LongType(), False), T.StructField("start", T.IntegerType(), False), T.StructField("end", T.IntegerType(), False)])
+LONGS = lambda *names: [T.StructField(c, T.LongType(), False) for c in names]
+PLACES = T.StructType([*LONGS("k1", "k2"), T.StructField("start", T.IntegerType(), False), T.StructField("end", T.IntegerType(), False)])
+#: A row that is known to repeat has no anchor to look up; ``one`` rows stand for their segment.
+SEGMENTS = T.StructType([*LONGS("anchor", "segment"), *PLACES.fields, T.StructField("known", T.BooleanType(), False)])
+ONES = T.StructType([*LONGS("anchor"), *PLACES.fields, T.StructField("one", T.BooleanType(), False), T.StructField("single", T.BooleanType(), False)])
+CUTS = T.StructType([*LONGS("anchor"), *PLACES.fields, T.StructField("single", T.BooleanType(), False), T.StructField("bytes", T.BinaryType(), False)])
 STRINGS = T.StructType([T.StructField("h1", T.LongType(), False), T.StructField("h2", T.LongType(), False), *PLACES.fields[:3]])
 
 
@@ -82,31 +82,116 @@ def _anchored(data: np.ndarray, off: np.ndarray, size: int):
     return text[first], begin - off[text[first]], many, gram[at[first]], segment
 
 
+def _batch(schema: T.StructType, *columns) -> pa.RecordBatch:
+    arrow = to_arrow_schema(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+
 def _segments(size: int):
+    """Rows of SEGMENTS. Segments that occur again within the batch repeat for certain: their places are rows
+    that only pass through, dealt out by text, and one of them goes on for the rest of the table to meet."""
+
     def run(batches):
-        schema = to_arrow_schema(SEGMENTS)
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
-            k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2"))
+            parts = []
             for i, j in steps(off):
-                text, start, many, anchor, segment = _anchored(data[off[i] : off[j]], off[i : j + 1] - off[i], size)
-                columns = [anchor.view(np.int64), segment.view(np.int64), k1[i:j][text], k2[i:j][text], start.astype(np.int32), many.astype(np.int16)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+                text, *rest = _anchored(data[off[i] : off[j]], off[i : j + 1] - off[i], size)
+                parts.append((text + i, *rest))
+            text, start, many, anchor, segment = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 5
+            anchor, segment = anchor.view(np.int64), segment.view(np.int64)
+            k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False)[text] for c in ("k1", "k2"))
+            end = start + many + size - 1
+            order = np.lexsort((segment, anchor))
+            same = (anchor[order[1:]] == anchor[order[:-1]]) & (segment[order[1:]] == segment[order[:-1]])
+            lead, again = np.ones(len(order), bool), np.zeros(len(order), bool)
+            lead[1:] = ~same
+            again[1:] |= same
+            again[:-1] |= same
+            known = np.sort(order[again])
+            if len(known):  # neighbouring places of one text are one
+                new = np.concatenate(([True], (text[known[1:]] != text[known[:-1]]) | (known[1:] != known[:-1] + 1)))
+                first = np.flatnonzero(new)
+                last = known[np.append(first[1:], len(known)) - 1]
+                known = known[first]
+                yield _batch(SEGMENTS, k2[known], np.zeros(len(known), np.int64), k1[known], k2[known], start[known].astype(np.int32), end[last].astype(np.int32), np.ones(len(known), bool))
+            pick = order[lead]
+            yield _batch(SEGMENTS, anchor[pick], segment[pick], k1[pick], k2[pick], start[pick].astype(np.int32), end[pick].astype(np.int32), np.zeros(len(pick), bool))
 
     return run
 
 
+def _met(batches):
+    """Rows come ordered by anchor and segment. Out go the places of segments that occur again and, of anchors
+    with several segments, one row for each. A row is judged by its neighbours, so one row is held over."""
+    held = None  # columns of the last row; whether it is like the one before; whether its segment leads its anchor
+    names = SEGMENTS.fieldNames()
+    for batch in batches:
+        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+        known = cols[-1].astype(bool)
+        if known.any():
+            out = [c[known] for c in cols]
+            yield _batch(ONES, out[0], *out[2:6], np.zeros(len(out[0]), bool), np.zeros(len(out[0]), bool))
+        cols = [c[~known] for c in cols]
+        if not len(cols[0]):
+            continue
+        if held:
+            cols = [np.concatenate((h, c)) for h, c in zip(held[0], cols)]
+        yield from _judged(cols, held, False)
+        held = _tail(cols, held)
+    if held:
+        yield from _judged(held[0], held, True)
+
+
+def _near(cols, held):
+    """Per row: like the row before, of its anchor, and whether its segment is its anchor's first."""
+    a, s = cols[:2]
+    like, near = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    near[1:] = a[1:] == a[:-1]
+    like[1:] = near[1:] & (s[1:] == s[:-1])
+    if held:
+        like[0], near[0] = held[1], held[2]
+    begins = np.flatnonzero(~like)
+    leads = np.zeros(len(a), bool)
+    leads[begins] = ~near[begins]
+    run = np.maximum.accumulate(np.where(~like, np.arange(len(a)), -1))
+    first = np.where(run >= 0, leads[np.maximum(run, 0)], bool(held and held[3]))
+    return like, near, first
+
+
+def _tail(cols, held):
+    like, near, first = _near(cols, held)
+    return [c[-1:] for c in cols], bool(like[-1]), bool(near[-1]), bool(first[-1])
+
+
+def _judged(cols, held, end: bool):
+    like, near, first = _near(cols, held)
+    n = len(like) if end else len(like) - 1  # the last row waits for its next one
+    like_next, near_next = (np.append(x[1:], False)[:n] for x in (like, near))
+    like, near, first = like[:n], near[:n], first[:n]
+    again = like | like_next
+    # the last row stands for an anchor's first segment, once another follows; the first row for each other one
+    one = np.where(first, ~like_next & near_next, ~like)
+    for pick, is_one in ((again, False), (one, True)):
+        at = np.flatnonzero(pick)
+        yield _batch(ONES, cols[0][at], *(c[at] for c in cols[2:6]), np.full(len(at), is_one), ~again[at])
+
+
 def _cut(size: int):
     """Bytes of the segments listed beside each text."""
 
     def run(batches):
-        schema = to_arrow_schema(CUTS)
         for batch in batches:
-            for text, lists in zip(batch.column("text"), batch.column("list")):
-                data, rows = memoryview(text.as_buffer()), lists.as_py()
-                for i in range(0, len(rows), 2000):
-                    part = [r | {"bytes": bytes(data[r["start"] : r["start"] + r["starts"] + size - 1])} for r in rows[i : i + 2000]]
-                    yield pa.RecordBatch.from_pylist(part, schema=schema)
+            lists = batch.column("list")
+            flat, ends = lists.flatten(), lists.offsets.to_numpy()
+            columns = {c: flat.field(c) for c in ("anchor", "k1", "k2", "start", "end", "single")}
+            start, end = (columns[c].to_numpy(zero_copy_only=False) for c in ("start", "end"))
+            data = [raw.as_buffer() for raw in batch.column("__raw")]
+            of = np.repeat(np.arange(len(data)), np.diff(ends))
+            for i in range(0, len(of), 4000):
+                j = min(len(of), i + 4000)
+                cut = [bytes(data[t][a:b]) for t, a, b in zip(of[i:j].tolist(), start[i:j].tolist(), end[i:j].tolist())]
+                yield _batch(CUTS, *(c.slice(i, j - i) for c in columns.values()), cut)
 
     return run
 
@@ -117,14 +202,15 @@ def _runs(hit: np.ndarray):
 
 
 def _shard(rows: list[tuple], size: int) -> list[tuple]:
-    """Places of repeated strings in the segments (k1, k2, start, starts, bytes) of one shard."""
-    parts = [np.frombuffer(r[4], np.uint8) for r in rows]
+    """Places of repeated strings in the segments (k1, k2, start, end, single, bytes) of one shard."""
+    parts = [np.frombuffer(r[5], np.uint8) for r in rows]
     t = np.concatenate([x for p in parts for x in (p + np.uint8(2), np.ones(1, np.uint8))] + [np.zeros(1, np.uint8)])
     hit = repeats(t, suffix_array(t, 256), size)
     out, at = [], 0
-    for (k1, k2, start, many, _), p in zip(rows, parts):
-        for a, b in zip(*_runs(hit[at : at + many])):
-            out.append((k1, k2, start + int(a), start + int(b) - 1 + size))
+    for (k1, k2, start, _, single, _), p in zip(rows, parts):
+        if single:
+            for a, b in zip(*_runs(hit[at : at + len(p) - size + 1])):
+                out.append((k1, k2, start + int(a), start + int(b) - 1 + size))
         at += len(p) + 1
     return out
 
@@ -133,21 +219,24 @@ def _sorted(size: int, shard_bytes: int):
     """Rows come ordered by anchor; one anchor's stay in one shard."""
 
     def run(batches):
-        schema = to_arrow_schema(PLACES)
-        rows, held, anchor = [], 0, None
+        rows, own, held, anchor = [], [], 0, None
 
         def done():
             places = _shard(rows, size)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*places), schema)] if places else [pa.array([], f.type) for f in schema], schema=schema)
+            return _batch(PLACES, *(zip(*places) if places else [[]] * 4))
 
         for batch in batches:
-            for a, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "start", "starts", "bytes"))):
-                if a != anchor and held >= shard_bytes:
-                    yield done()
-                    rows, held = [], 0
-                anchor = a
-                rows.append(tuple(row))
-                held += len(row[4])
+            for a, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if a != anchor:
+                    if any(r[4] for r in own):  # else all of them repeat as they are
+                        rows += own
+                        held += sum(len(r[5]) for r in own)
+                    own, anchor = [], a
+                    if held >= shard_bytes:
+                        yield done()
+                        rows, held = [], 0
+                own.append(row)
+        rows += own if any(r[4] for r in own) else []
         if rows:
             yield done()
 
@@ -156,103 +245,87 @@ def _sorted(size: int, shard_bytes: int):
 
 def _strings(size: int):
     def run(batches):
-        schema = to_arrow_schema(STRINGS)
         for batch in batches:
-            for k1, k2, start, many, data in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "start", "starts", "bytes"))):
+            for _, k1, k2, start, end, _, data in zip(*(c.to_pylist() for c in batch.columns)):
+                many = end - start - size + 1
                 h = np.frombuffer(b"".join(hashlib.blake2b(data[i : i + size], digest_size=16).digest() for i in range(many)), np.int64).reshape(-1, 2)
-                fixed = [pa.array(np.full(many, k)) for k in (k1, k2)]
-                yield pa.RecordBatch.from_arrays([pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), *fixed, pa.array((start + np.arange(many)).astype(np.int32))], schema=schema)
+                yield _batch(STRINGS, h[:, 0].copy(), h[:, 1].copy(), np.full(many, k1), np.full(many, k2), (start + np.arange(many)).astype(np.int32))
 
     return run
 
 
-def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the keys of places and the text as bytes."""
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return docs.withColumns({"__k1": F.xxhash64(F.col(doc_id)), "__k2": F.xxhash64(F.coalesce(F.col(text), F.lit(""))), "__raw": raw})
+def keyed(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Columns ``keep`` of ``docs`` with the keys of places and the text as bytes, for one exchange that all joins use."""
+    named = docs.withColumns({"__k1": F.xxhash64(F.col(doc_id)), "__k2": F.xxhash64(F.coalesce(F.col(text), F.lit(""))), "__raw": F.col(text).cast("binary")})
+    return named.select(*keep, "__k1", "__k2", "__raw")
 
 
-def repeated_places(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, crowd: int = CROWD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(k1, k2, start, end): byte ranges of the repeated strings of each text, not yet merged."""
+def repeated_places(texts: DataFrame, size: int = SIZE, crowd: int = CROWD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(__k1, __k2, start, end): byte ranges of the repeated strings of ``keyed`` texts, not yet merged."""
     if size % 8 or size <= ANCHOR:
         raise ValueError(f"size is a multiple of 8 above {ANCHOR}")
-    source = keyed(docs, doc_id, text).select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("__raw").alias("text"))
-    rows = stage(source.mapInArrow(_segments(size), SEGMENTS), "segments")
-
-    twice = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.min("segment").alias("lo"), F.max("segment").alias("hi")).where("n > 1")
-    shared = stage(rows.join(twice.select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")), "anchor"), "shared")
-    to_end = (F.col("start") + F.col("starts") + (size - 1)).cast("int").alias("end")
-    alike = shared.where("not mixed").select("k1", "k2", "start", to_end)
-
-    mixed = shared.where("mixed")
-    kinds = mixed.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "starts")).alias("one"))
-    # a whole segment that occurs again
-    more = kinds.where("n > 1").select("anchor", "segment")
-    again = mixed.join(more, ["anchor", "segment"], "left_semi").select("k1", "k2", "start", to_end)
-    # one of each kind meets the other kinds of its anchor
-    crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("least = 1")
-    ones = kinds.join(crowds, "anchor").select("anchor", "segment", "one.*", (F.col("kinds") > crowd).alias("crowded"))
-    lists = ones.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "segment", "k1", "k2", "start", "starts", "crowded")).alias("list"))
-    listed = source.join(lists, ["k1", "k2"]).select("text", "list")
-    pick = lambda on: listed.withColumn("list", F.filter("list", lambda x: x["crowded"] == on)).where("size(list) > 0")
-    cut = pick(False).mapInArrow(_cut(size), CUTS)
-    by_sort = cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted(size, shard_bytes), PLACES)
-    out = alike.unionByName(again).unionByName(by_sort)
-    if ones.where("crowded").limit(1).count():
-        strings = stage(pick(True).mapInArrow(_cut(size), CUTS).mapInArrow(_strings(size), STRINGS), "strings")
+    source = texts.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("__raw").cast("string").alias("text"))
+    dealt = source.mapInArrow(_segments(size), SEGMENTS).repartition("anchor").sortWithinPartitions("anchor", "segment")
+    met = stage(dealt.mapInArrow(_met, ONES), "segments")
+    out = met.where("not one").select("k1", "k2", "start", "end")
+
+    # one of each segment meets the others of its anchor
+    ones = met.where("one").select("anchor", "k1", "k2", "start", "end", "single")
+    crowds = stage(ones.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "crowds")
+    crowded = bool(crowds.limit(1).count())
+
+    def cut(some: DataFrame) -> DataFrame:
+        lists = some.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_list(F.struct(*some.columns)).alias("list"))
+        return texts.join(lists, ["__k1", "__k2"]).mapInArrow(_cut(size), CUTS)
+
+    few = ones.join(crowds, "anchor", "left_anti") if crowded else ones
+    out = out.unionByName(cut(few).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted(size, shard_bytes), PLACES))
+    if crowded:
+        strings = stage(cut(ones.join(crowds, "anchor", "left_semi")).mapInArrow(_strings(size), STRINGS), "strings")
         often = strings.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-        out = out.unionByName(strings.join(often, ["h1", "h2"], "left_semi").select("k1", "k2", "start", (F.col("start") + size).alias("end")))
-    return out
+        out = out.unionByName(strings.join(often, ["h1", "h2"], "left_semi").select("k1", "k2", "start", (F.col("start") + size).cast("int").alias("end")))
+    return out.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
 
 
 def _without(schema: T.StructType, kept: list[str], text: str | None):
     def run(batches):
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            cols = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
-            left = []
+            rows, left = [], []
             for raw, spans in zip(batch.column("__raw"), batch.column("spans").to_pylist()):
-                data = memoryview(raw.as_buffer())
+                data = memoryview(raw.as_buffer() if raw.is_valid else b"")
                 runs = W.merged([(x["start"], x["end"]) for x in spans or ()])
-                at, keep = 0, []
+                at, h = 0, hashlib.sha256()
+                keep = []
                 for a, b in [*runs, (len(data), len(data))]:
+                    h.update(data[at:a])
                     keep.append(data[at:a])
                     at = b
-                h = hashlib.sha256()
-                for k in keep:
-                    h.update(k)
-                gone = sum(b - a for a, b in runs)
-                for c, v in zip(cols, (len(data), gone, len(runs), h.hexdigest())):
-                    cols[c].append(v)
+                rows.append((len(data), sum(b - a for a, b in runs), len(runs), h.hexdigest()))
                 if text:
-                    left.append(b"".join(keep).decode("utf-8", "ignore") if runs else None)
-            done = [pa.array(v, arrow.field(c).type) for c, v in cols.items()]
+                    left.append(b"".join(keep).decode("utf-8", "ignore") if raw.is_valid else None)
+            cols = dict(zip(arrow.names[len(kept) :], zip(*rows) if rows else [[]] * 4))
             if text:
-                # without spans the text stays as it is, null included
-                new, old = pa.array(left, pa.string()), batch.column(text).cast(pa.string())
-                done.append(pa.compute.coalesce(new, old))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *done], schema=arrow)
+                cols[text] = left
+            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else batch.column(f.name) for f in arrow], schema=arrow)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, with_text: bool = True, **options) -> DataFrame:
-    """``docs`` (its columns ``keep``, default all) with n_bytes, n_removed, n_spans, kept_sha256 and, if
-    ``with_text``, ``clean_text``: the kept bytes as text (a character cut in two is dropped)."""
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
+    """``docs`` (its columns ``keep``, default all) with n_bytes, n_removed, n_spans and kept_sha256; where ``keep``
+    has the text, it is what is left of it (a character cut in two is dropped; null stays null)."""
     kept = list(docs.columns if keep is None else keep)
-    spans = repeated_places(docs, doc_id, text, **options).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = spans.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
-    names = list(dict.fromkeys([*kept, *([text] if with_text else [])]))
-    joined = keyed(docs, doc_id, text).join(spans, ["__k1", "__k2"], "left").select(*names, "__raw", "spans")
-    more = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())]
-    more += [T.StructField("clean_text", T.StringType())] if with_text else []
+    texts = keyed(docs, [c for c in kept if c != text], doc_id, text)
+    spans = repeated_places(texts, **options).groupBy("__k1", "__k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    more = [*LONGS("n_bytes", "n_removed", "n_spans"), T.StructField("kept_sha256", T.StringType())]
     schema = T.StructType([docs.schema[c] for c in kept] + more)
-    return joined.mapInArrow(_without(schema, kept, text if with_text else None), schema)
+    return texts.join(spans, ["__k1", "__k2"], "left").mapInArrow(_without(schema, kept, text if text in kept else None), schema)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(docs, keep=["doc_id"], with_text=False)
+    return remove_repeats(docs, keep=["doc_id"])
 
 
 def brute_force(docs: list[tuple], size: int = SIZE) -> list[tuple]:
