@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_dedup, suffix_dedup
+from . import decontaminate, near_dedup, ogg, packing, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op8_ogg_media": ogg.op8_ogg_media,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 SQL: dict[str, str] = {}
