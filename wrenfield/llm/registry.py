@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_dedup, ogg, packing, suffix_dedup
+from . import decontaminate, near_dedup, ogg, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op8_ogg_media": ogg.op8_ogg_media,
