@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_dedup, ogg, packing, suffix_dedup, toxicity
+from . import decontaminate, html_text, near_dedup, ogg, packing, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": warc.op2_warc,
+    "op3_html_text": html_text.op3_html_text,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_near_dedup": near_dedup.op6_near_dedup,
