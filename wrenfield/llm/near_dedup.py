@@ -10,12 +10,16 @@ of maxima, is at least ``threshold``; classes are the connected components of th
    darts below the rank at which about ``t (ln t + 3)`` fall into its whole weight, however many shingles it
    has, and more only if a coordinate stays empty. The earliest dart of each coordinate is the signature; two
    texts agree in a coordinate with probability equal to their similarity.
-3. *Bands.* ``rows`` coordinates form a band; nodes that share a band meet in its bucket. With 25 bands of 4, a
-   pair at 0.8 misses all buckets with probability 2e-6.
-4. *Links.* First every node of a bucket is compared with the bucket's smallest node; components of these links
-   are found; then in buckets that still hold several components all pairs across components are compared.
-   So no pair that shares a bucket goes untested unless its ends are already connected, and a large group of
-   near copies costs one comparison a node instead of all pairs. Comparison is exact, on the whole texts.
+3. *Bands.* ``rows`` coordinates form a band; nodes that share a band meet in its bucket.
+4. *Links.* First every node of a bucket is compared with the bucket's smallest and largest node; components of
+   these links are found. Buckets that still hold several components stay open. In small open buckets all pairs
+   across components are compared. In crowded ones, where for instance a common passage gathers texts that are
+   not similar, pairs across components are compared if they share three crowded buckets: nodes meet on hashes
+   of three of their buckets instead of one. Comparison is exact, on the whole texts.
+
+So a large group of copies costs two comparisons a node, not all pairs, and a pair is missed only if it shares no
+small bucket and at most two crowded ones. With 36 bands of 4 a pair at 0.8 shares at most two buckets with
+probability 2e-6.
 
 Rows of one doc_id are versions of one document and share a class. The class id is the smallest doc_id of the
 class. Texts without words have no shingles: equal non-empty ones are copies, null and empty ones stay alone.
@@ -36,7 +40,9 @@ from .common import salted_join, stage, steps, text_bytes
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 25, 4
+BANDS, ROWS = 36, 4
+#: Nodes of an open bucket beyond which pairs must share three such buckets.
+CROWD = 32
 #: Texts of one numpy step at most; a cell (text, coordinate) takes 24 bits.
 STEP_TEXTS = 100_000
 _GAP, _COORDINATE, _UNIT = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
@@ -201,7 +207,14 @@ def components(edges: DataFrame) -> DataFrame:
         at = new
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def across(met: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of different classes in a bucket of ``met``, of sizes within a factor of ``threshold``."""
+    x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
+    close = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+    return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, crowd: int = CROWD) -> DataFrame:
     """One row per row of ``docs``: (doc_id, class_id)."""
     named = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     signed = stage(named.mapInArrow(_sign(bands, rows), SIGNED), "signed")
@@ -209,21 +222,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # copies become one node, the smallest doc_id; rows of one doc_id are tied together below
     nodes = stage(signed.where("n >= 0 and id is not null").groupBy("q1", "q2").agg(F.min(F.struct("id", "n", "bands")).alias("one")).select("q1", "q2", "one.*"), "nodes")
     placed = nodes.select("id", "n", F.explode("bands").alias("bucket"))
-    centres = placed.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre <> last").select("bucket", "centre")
-    shared = stage(placed.join(centres, "bucket"), "buckets")
+    ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    shared = stage(placed.join(ends, "bucket"), "buckets")
     met = shared.select("id").distinct()
     texts = stage(named.where("text is not null").join(met, "id", "left_semi"), "texts")
 
-    tested = stage(shared.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "tested")
+    with_low = shared.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
+    with_high = shared.where("id <> high").select(F.col("id").alias("a"), F.col("high").alias("b"))
+    tested = stage(with_low.unionByName(with_high).distinct(), "tested")
     found = stage(links(tested, texts, threshold), "links")
     label = components(found)
     known = shared.join(label, "id", "left").select("bucket", "id", "n", F.coalesce("class", "id").alias("class"))
-    apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    open_ = stage(known.join(apart, "bucket", "left_semi"), "open")
-    x, y = (open_.toDF("bucket", f"{s}", f"n{s}", f"c{s}") for s in ("a", "b"))
-    # a similarity of s needs sizes within a factor of s
-    across = x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb")))
-    more = across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+    apart = known.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket", "size")
+    open_ = stage(known.join(apart, "bucket"), "open")
+    crowded = open_.where(F.col("size") > crowd).groupBy("id", "n", "class").agg(F.array_sort(F.collect_set("bucket")).alias("l"))
+    threes = "flatten(transform(l, (x, i) -> flatten(transform(slice(l, i + 2, size(l)), (y, j) -> transform(slice(l, i + j + 3, size(l)), z -> xxhash64(x, y, z))))))"
+    finer = crowded.where("size(l) > 2").select("id", "n", "class", F.explode(F.expr(threes)).alias("bucket"))
+    meeting = [open_.where(F.col("size") <= crowd), finer]
+    more = across(meeting[0], threshold).unionByName(across(meeting[1], threshold)).distinct().join(tested, ["a", "b"], "left_anti")
     # a doc_id with several texts ties their nodes together
     versions = signed.where("n >= 0").groupBy("id").agg(F.min("q1").alias("lo"), F.max("q1").alias("hi")).where("lo <> hi").select("id")
     ties = signed.where("n >= 0").join(versions, "id", "left_semi").join(nodes.select("q1", "q2", F.col("id").alias("a")), ["q1", "q2"]).select("a", F.col("id").alias("b"))
