@@ -12,7 +12,7 @@ is repeated; strings are judged on the input and never cross texts. The work is
    from their texts, dealt to shards by anchor, and sorted (``induced.py``): a start is repeated if it shares
    ``size`` bytes with a neighbour in the suffix array, from the permuted common prefixes.
 4. *Crowded anchors*, with more than ``CROWD`` distinct segments, would make a shard as large as the crowd. There
-   each start's own string is hashed (128 bits) and counted instead, which is exact and combines map-side.
+   each start's own string is hashed (128 bits) and met by its hash instead, which is exact and spreads.
 
 Places are keyed by hashes of doc_id and of the text, so repeated rows (also of one doc_id) share a result.
 Segment and anchor hashes are 64 bits each and only compared within an anchor.
@@ -48,8 +48,8 @@ PLACES = T.StructType([*LONGS("k1", "k2"), T.StructField("start", T.IntegerType(
 #: A row that is known to repeat has no anchor to look up; ``one`` rows stand for their segment.
 SEGMENTS = T.StructType([*LONGS("anchor", "segment"), *PLACES.fields, T.StructField("known", T.BooleanType(), False)])
 ONES = T.StructType([*LONGS("anchor"), *PLACES.fields, T.StructField("one", T.BooleanType(), False), T.StructField("single", T.BooleanType(), False)])
-CUTS = T.StructType([*LONGS("anchor"), *PLACES.fields, T.StructField("single", T.BooleanType(), False), T.StructField("bytes", T.BinaryType(), False)])
-STRINGS = T.StructType([T.StructField("h1", T.LongType(), False), T.StructField("h2", T.LongType(), False), *PLACES.fields[:3]])
+CUTS = T.StructType([*LONGS("anchor"), *PLACES.fields, *(T.StructField(c, T.BooleanType(), False) for c in ("single", "crowded")), T.StructField("bytes", T.BinaryType(), False)])
+
 
 
 def _anchored(data: np.ndarray, off: np.ndarray, size: int):
@@ -99,28 +99,31 @@ def _segments(size: int):
                 text, *rest = _anchored(data[off[i] : off[j]], off[i : j + 1] - off[i], size)
                 parts.append((text + i, *rest))
             text, start, many, anchor, segment = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 5
-            anchor, segment = anchor.view(np.int64), segment.view(np.int64)
             k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False)[text] for c in ("k1", "k2"))
-            end = start + many + size - 1
-            order = np.lexsort((segment, anchor))
-            same = (anchor[order[1:]] == anchor[order[:-1]]) & (segment[order[1:]] == segment[order[:-1]])
-            lead, again = np.ones(len(order), bool), np.zeros(len(order), bool)
-            lead[1:] = ~same
-            again[1:] |= same
-            again[:-1] |= same
-            known = np.sort(order[again])
-            if len(known):  # neighbouring places of one text are one
-                new = np.concatenate(([True], (text[known[1:]] != text[known[:-1]]) | (known[1:] != known[:-1] + 1)))
-                first = np.flatnonzero(new)
-                last = known[np.append(first[1:], len(known)) - 1]
-                known = known[first]
-                yield _batch(SEGMENTS, k2[known], np.zeros(len(known), np.int64), k1[known], k2[known], start[known].astype(np.int32), end[last].astype(np.int32), np.ones(len(known), bool))
-            pick = order[lead]
-            yield _batch(SEGMENTS, anchor[pick], segment[pick], k1[pick], k2[pick], start[pick].astype(np.int32), end[pick].astype(np.int32), np.zeros(len(pick), bool))
+            yield from _combined(anchor.view(np.int64), segment.view(np.int64), k1, k2, start, start + many + size - 1, text)
 
     return run
 
 
+def _combined(anchor, segment, k1, k2, start, end, text):
+    """Rows of SEGMENTS for a batch; places of one text come in order."""
+    order = np.lexsort((segment, anchor))
+    same = (anchor[order[1:]] == anchor[order[:-1]]) & (segment[order[1:]] == segment[order[:-1]])
+    lead, again = np.ones(len(order), bool), np.zeros(len(order), bool)
+    lead[1:] = ~same
+    again[1:] |= same
+    again[:-1] |= same
+    known = np.sort(order[again])
+    if len(known):  # neighbouring places of one text are one
+        new = np.concatenate(([True], (text[known[1:]] != text[known[:-1]]) | (known[1:] != known[:-1] + 1)))
+        first = np.flatnonzero(new)
+        last = known[np.append(first[1:], len(known)) - 1]
+        known = known[first]
+        yield _batch(SEGMENTS, k2[known], np.zeros(len(known), np.int64), k1[known], k2[known], start[known].astype(np.int32), end[last].astype(np.int32), np.ones(len(known), bool))
+    pick = order[lead]
+    yield _batch(SEGMENTS, anchor[pick], segment[pick], k1[pick], k2[pick], start[pick].astype(np.int32), end[pick].astype(np.int32), np.zeros(len(pick), bool))
+
+
 def _met(batches):
     """Rows come ordered by anchor and segment. Out go the places of segments that occur again and, of anchors
     with several segments, one row for each. A row is judged by its neighbours, so one row is held over."""
@@ -184,7 +187,7 @@ def _cut(size: int):
         for batch in batches:
             lists = batch.column("list")
             flat, ends = lists.flatten(), lists.offsets.to_numpy()
-            columns = {c: flat.field(c) for c in ("anchor", "k1", "k2", "start", "end", "single")}
+            columns = {c: flat.field(c) for c in CUTS.fieldNames()[:-1]}
             start, end = (columns[c].to_numpy(zero_copy_only=False) for c in ("start", "end"))
             data = [raw.as_buffer() for raw in batch.column("__raw")]
             of = np.repeat(np.arange(len(data)), np.diff(ends))
@@ -202,12 +205,12 @@ def _runs(hit: np.ndarray):
 
 
 def _shard(rows: list[tuple], size: int) -> list[tuple]:
-    """Places of repeated strings in the segments (k1, k2, start, end, single, bytes) of one shard."""
-    parts = [np.frombuffer(r[5], np.uint8) for r in rows]
+    """Places of repeated strings in the segments (k1, k2, start, end, single, crowded, bytes) of one shard."""
+    parts = [np.frombuffer(r[6], np.uint8) for r in rows]
     t = np.concatenate([x for p in parts for x in (p + np.uint8(2), np.ones(1, np.uint8))] + [np.zeros(1, np.uint8)])
     hit = repeats(t, suffix_array(t, 256), size)
     out, at = [], 0
-    for (k1, k2, start, _, single, _), p in zip(rows, parts):
+    for (k1, k2, start, _, single, _, _), p in zip(rows, parts):
         if single:
             for a, b in zip(*_runs(hit[at : at + len(p) - size + 1])):
                 out.append((k1, k2, start + int(a), start + int(b) - 1 + size))
@@ -230,7 +233,7 @@ def _sorted(size: int, shard_bytes: int):
                 if a != anchor:
                     if any(r[4] for r in own):  # else all of them repeat as they are
                         rows += own
-                        held += sum(len(r[5]) for r in own)
+                        held += sum(len(r[6]) for r in own)
                     own, anchor = [], a
                     if held >= shard_bytes:
                         yield done()
@@ -244,12 +247,19 @@ def _sorted(size: int, shard_bytes: int):
 
 
 def _strings(size: int):
+    """Rows of SEGMENTS whose anchor and segment are the two halves of a string's hash."""
+
     def run(batches):
         for batch in batches:
-            for _, k1, k2, start, end, _, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for i in range(0, batch.num_rows, 2000):
+                part = batch.slice(i, 2000)
+                _, k1, k2, start, end, _, _ = (c.to_numpy(zero_copy_only=False) for c in part.columns[:-1])
                 many = end - start - size + 1
-                h = np.frombuffer(b"".join(hashlib.blake2b(data[i : i + size], digest_size=16).digest() for i in range(many)), np.int64).reshape(-1, 2)
-                yield _batch(STRINGS, h[:, 0].copy(), h[:, 1].copy(), np.full(many, k1), np.full(many, k2), (start + np.arange(many)).astype(np.int32))
+                cut = (d[x : x + size] for d, n in zip(part.column("bytes").to_pylist(), many.tolist()) for x in range(n))
+                h = np.frombuffer(b"".join(hashlib.blake2b(c, digest_size=16).digest() for c in cut), np.int64).reshape(-1, 2)
+                row = np.repeat(np.arange(len(many)), many)
+                at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                yield from _combined(h[:, 0], h[:, 1], k1[row], k2[row], at, at + size, row)
 
     return run
 
@@ -271,19 +281,15 @@ def repeated_places(texts: DataFrame, size: int = SIZE, crowd: int = CROWD, shar
 
     # one of each segment meets the others of its anchor
     ones = met.where("one").select("anchor", "k1", "k2", "start", "end", "single")
-    crowds = stage(ones.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "crowds")
+    crowds = stage(ones.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor", F.lit(True).alias("crowded")), "crowds")
     crowded = bool(crowds.limit(1).count())
-
-    def cut(some: DataFrame) -> DataFrame:
-        lists = some.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_list(F.struct(*some.columns)).alias("list"))
-        return texts.join(lists, ["__k1", "__k2"]).mapInArrow(_cut(size), CUTS)
-
-    few = ones.join(crowds, "anchor", "left_anti") if crowded else ones
-    out = out.unionByName(cut(few).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted(size, shard_bytes), PLACES))
+    ones = ones.join(crowds, "anchor", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))) if crowded else ones.withColumn("crowded", F.lit(False))
+    lists = ones.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_list(F.struct(*CUTS.fieldNames()[:-1])).alias("list"))
+    cut = texts.join(lists, ["__k1", "__k2"]).mapInArrow(_cut(size), CUTS)
+    out = out.unionByName(cut.where("not crowded").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted(size, shard_bytes), PLACES))
     if crowded:
-        strings = stage(cut(ones.join(crowds, "anchor", "left_semi")).mapInArrow(_strings(size), STRINGS), "strings")
-        often = strings.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-        out = out.unionByName(strings.join(often, ["h1", "h2"], "left_semi").select("k1", "k2", "start", (F.col("start") + size).cast("int").alias("end")))
+        strings = cut.where("crowded").mapInArrow(_strings(size), SEGMENTS).repartition("anchor").sortWithinPartitions("anchor", "segment")
+        out = out.unionByName(strings.mapInArrow(_met, ONES).where("not one").select("k1", "k2", "start", "end"))
     return out.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
 
 
