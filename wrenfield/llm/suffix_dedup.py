@@ -45,8 +45,8 @@ SHARD_BYTES = 500_000
 
 LONGS = lambda *names: [T.StructField(c, T.LongType(), False) for c in names]
 PLACES = T.StructType([*LONGS("k1", "k2"), T.StructField("start", T.IntegerType(), False), T.StructField("end", T.IntegerType(), False)])
-#: A row that is known to repeat has no anchor to look up; ``one`` rows stand for their segment.
-SEGMENTS = T.StructType([*LONGS("anchor", "segment"), *PLACES.fields, T.StructField("known", T.BooleanType(), False)])
+#: ``known``: 1 for a place that is known to repeat and only passes through, 2 for the one of such that goes on.
+SEGMENTS = T.StructType([*LONGS("anchor", "segment"), *PLACES.fields, T.StructField("known", T.ByteType(), False)])
 ONES = T.StructType([*LONGS("anchor"), *PLACES.fields, T.StructField("one", T.BooleanType(), False), T.StructField("single", T.BooleanType(), False)])
 CUTS = T.StructType([*LONGS("anchor"), *PLACES.fields, *(T.StructField(c, T.BooleanType(), False) for c in ("single", "crowded")), T.StructField("bytes", T.BinaryType(), False)])
 
@@ -119,9 +119,9 @@ def _combined(anchor, segment, k1, k2, start, end, text):
         first = np.flatnonzero(new)
         last = known[np.append(first[1:], len(known)) - 1]
         known = known[first]
-        yield _batch(SEGMENTS, k2[known], np.zeros(len(known), np.int64), k1[known], k2[known], start[known].astype(np.int32), end[last].astype(np.int32), np.ones(len(known), bool))
+        yield _batch(SEGMENTS, k2[known], np.zeros(len(known), np.int64), k1[known], k2[known], start[known].astype(np.int32), end[last].astype(np.int32), np.ones(len(known), np.int8))
     pick = order[lead]
-    yield _batch(SEGMENTS, anchor[pick], segment[pick], k1[pick], k2[pick], start[pick].astype(np.int32), end[pick].astype(np.int32), np.zeros(len(pick), bool))
+    yield _batch(SEGMENTS, anchor[pick], segment[pick], k1[pick], k2[pick], start[pick].astype(np.int32), end[pick].astype(np.int32), np.where(again[pick], 2, 0).astype(np.int8))
 
 
 def _met(batches):
@@ -131,7 +131,7 @@ def _met(batches):
     names = SEGMENTS.fieldNames()
     for batch in batches:
         cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
-        known = cols[-1].astype(bool)
+        known = cols[-1] == 1
         if known.any():
             out = [c[known] for c in cols]
             yield _batch(ONES, out[0], *out[2:6], np.zeros(len(out[0]), bool), np.zeros(len(out[0]), bool))
@@ -177,7 +177,7 @@ def _judged(cols, held, end: bool):
     one = np.where(first, ~like_next & near_next, ~like)
     for pick, is_one in ((again, False), (one, True)):
         at = np.flatnonzero(pick)
-        yield _batch(ONES, cols[0][at], *(c[at] for c in cols[2:6]), np.full(len(at), is_one), ~again[at])
+        yield _batch(ONES, cols[0][at], *(c[at] for c in cols[2:6]), np.full(len(at), is_one), ~again[at] & (cols[6][at] == 0))
 
 
 def _cut(size: int):
