@@ -121,7 +121,7 @@ def _combined(anchor, segment, k1, k2, start, end, text):
         known = known[first]
         yield _batch(SEGMENTS, k2[known], np.zeros(len(known), np.int64), k1[known], k2[known], start[known].astype(np.int32), end[last].astype(np.int32), np.ones(len(known), np.int8))
     pick = order[lead]
-    yield _batch(SEGMENTS, anchor[pick], segment[pick], k1[pick], k2[pick], start[pick].astype(np.int32), end[pick].astype(np.int32), np.where(again[pick], 2, 0).astype(np.int8))
+    yield _batch(SEGMENTS, anchor[pick], segment[pick], k1[pick], k2[pick], start[pick].astype(np.int32), end[pick].astype(np.int32), np.where(again[lead], 2, 0).astype(np.int8))
 
 
 def _met(batches):
