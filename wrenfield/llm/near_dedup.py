@@ -11,15 +11,17 @@ of maxima, is at least ``threshold``; classes are the connected components of th
    has, and more only if a coordinate stays empty. The earliest dart of each coordinate is the signature; two
    texts agree in a coordinate with probability equal to their similarity.
 3. *Bands.* ``rows`` coordinates form a band; nodes that share a band meet in its bucket.
-4. *Links.* First every node of a bucket is compared with the bucket's smallest and largest node; components of
-   these links are found. Buckets that still hold several components stay open. In small open buckets all pairs
-   across components are compared. In crowded ones, where for instance a common passage gathers texts that are
-   not similar, pairs across components are compared if they share three crowded buckets: nodes meet on hashes
-   of three of their buckets instead of one. Comparison is exact, on the whole texts.
-
-So a large group of copies costs two comparisons a node, not all pairs, and a pair is missed only if it shares no
-small bucket and at most two crowded ones. With 36 bands of 4 a pair at 0.8 shares at most two buckets with
-probability 2e-6.
+   With 36 bands of 4, a pair at 0.8 misses all buckets with probability 6e-9.
+4. *Common passages.* A passage that very many texts share makes their signatures agree though they are not
+   similar. Shingles are counted in a sketch of ``2**SLOTS`` counters over the nodes that met any other; those
+   far above the mean load are common. Nodes in which at most ``MOST_COMMON`` of the weight is common stay in
+   their bands' buckets. Those in which at least ``LEAST_COMMON`` is go to buckets of their rarest shingles (the
+   prefix of a set in order of rarity: two sets of similarity s share one of the first (1 - s) n + 1, whatever the
+   counts are, so this is exact). Two similar texts differ less in their common weight than the two bounds.
+5. *Links.* First every node of a bucket is compared with the bucket's smallest and largest node; components of
+   these links are found; then in buckets that still hold several components all pairs across components are
+   compared. So a large group of copies costs two comparisons a node and bucket, not all pairs, and no pair
+   that shares a bucket goes untested unless its ends are already connected. Comparison is exact, on whole texts.
 
 Rows of one doc_id are versions of one document and share a class. The class id is the smallest doc_id of the
 class. Texts without words have no shingles: equal non-empty ones are copies, null and empty ones stay alone.
@@ -41,8 +43,10 @@ from .common import salted_join, stage, steps, text_bytes
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 36, 4
-#: Nodes of an open bucket beyond which pairs must share three such buckets.
-CROWD = 32
+SLOTS = 22
+#: Times the mean load of a slot (and copies at least) beyond which a shingle is common.
+COMMON_LOAD, COMMON_LEAST = 4, 16
+LEAST_COMMON, MOST_COMMON = 0.05, 0.25
 #: Texts of one numpy step at most; a cell (text, coordinate) takes 24 bits.
 STEP_TEXTS = 100_000
 _GAP, _COORDINATE, _UNIT = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
@@ -207,6 +211,58 @@ def components(edges: DataFrame) -> DataFrame:
         at = new
 
 
+def _sketch(batches):
+    """(slot, count) of the slots far above the mean load of this task."""
+    counts, n = np.zeros(1 << SLOTS, np.int32), 0
+    for batch in batches:
+        data, off = text_bytes(batch.column("text"))
+        for i, j in steps(off):
+            unit, _, _, _ = units(data[off[i] : off[j]], off[i : j + 1] - off[i])
+            slot, many = np.unique((unit >> np.uint64(64 - SLOTS)).astype(np.int64), return_counts=True)
+            counts[slot] += many.astype(np.int32)
+            n += len(unit)
+    heavy = np.flatnonzero(counts > max(2, n * COMMON_LOAD >> SLOTS))
+    yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(counts[heavy].astype(np.int64)), pa.array(np.full(len(heavy), n))], names=["slot", "count", "units"])
+
+
+RARE = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType(), False), T.StructField("common", T.DoubleType(), False), T.StructField("prefix", T.ArrayType(T.LongType(), False), False)])
+
+
+def _rarest(sent, threshold: float):
+    def run(batches):
+        schema = to_arrow_schema(RARE)
+        slots, loads = sent.value
+        for batch in batches:
+            data, off = text_bytes(batch.column("text"))
+            for i, j in steps(off):
+                unit, of, _, _ = units(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                slot = (unit >> np.uint64(64 - SLOTS)).astype(np.int64)
+                at = np.minimum(np.searchsorted(slots, slot), max(0, len(slots) - 1))
+                load = np.where(slots[at] == slot, loads[at], 0) if len(slots) else np.zeros(len(slot), np.int64)
+                order = np.lexsort((unit, load, of))
+                unit, of, load = unit[order], of[order], load[order]
+                n = np.bincount(of, minlength=j - i)
+                common = np.bincount(of[load > 0], minlength=j - i) / np.maximum(n, 1)
+                nth = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                length = np.where((n > 0) & (common >= LEAST_COMMON), n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
+                taken = nth < length[of]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(unit[taken].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(n.astype(np.int32)), pa.array(common), lists.cast(schema.field("prefix").type)], schema=schema)
+
+    return run
+
+
+def rarest(texts: DataFrame, threshold: float) -> DataFrame:
+    """Of each text (id, text): units of weight, the common share of them, and its rarest ones, if some are common.
+
+    Tasks count apart and report their loaded slots; at most ``2**SLOTS`` are gathered and broadcast.
+    """
+    counted = texts.select("text").mapInArrow(_sketch, "slot long, count long, units long")
+    heavy = counted.groupBy("slot").agg(F.sum("count").alias("count"), F.sum("units").alias("units")).where((F.col("count") > COMMON_LEAST) & (F.col("count") > COMMON_LOAD * F.col("units") / (1 << SLOTS))).orderBy("slot").toPandas()
+    sent = texts.sparkSession.sparkContext.broadcast((heavy["slot"].to_numpy(np.int64), heavy["count"].to_numpy(np.int64)))
+    return texts.select("id", "text").mapInArrow(_rarest(sent, threshold), RARE)
+
+
 def across(met: DataFrame, threshold: float) -> DataFrame:
     """(a, b): pairs of different classes in a bucket of ``met``, of sizes within a factor of ``threshold``."""
     x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
@@ -214,7 +270,7 @@ def across(met: DataFrame, threshold: float) -> DataFrame:
     return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, crowd: int = CROWD) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: (doc_id, class_id)."""
     named = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     signed = stage(named.mapInArrow(_sign(bands, rows), SIGNED), "signed")
@@ -222,24 +278,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # copies become one node, the smallest doc_id; rows of one doc_id are tied together below
     nodes = stage(signed.where("n >= 0 and id is not null").groupBy("q1", "q2").agg(F.min(F.struct("id", "n", "bands")).alias("one")).select("q1", "q2", "one.*"), "nodes")
     placed = nodes.select("id", "n", F.explode("bands").alias("bucket"))
-    ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    shared = stage(placed.join(ends, "bucket"), "buckets")
+    ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket")
+    shared = stage(placed.join(ends, "bucket"), "shared")
     met = shared.select("id").distinct()
     texts = stage(named.where("text is not null").join(met, "id", "left_semi"), "texts")
+    rare = stage(rarest(texts, threshold), "rare")
+    # several texts of one id are tied below; one of them stands for it here
+    rare = rare.groupBy("id").agg(F.max(F.struct("common", "n", "prefix")).alias("r")).select("id", "r.*")
 
+    by_band = shared.join(rare.where(F.col("common") <= MOST_COMMON).select("id"), "id").select("bucket", "id", "n")
+    by_shingle = rare.where(F.col("common") >= LEAST_COMMON).select(F.explode("prefix").alias("bucket"), "id", "n")
+    placed = by_band.unionByName(by_shingle)
+    ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    shared = stage(placed.join(ends, "bucket"), "buckets")
     with_low = shared.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
     with_high = shared.where("id <> high").select(F.col("id").alias("a"), F.col("high").alias("b"))
     tested = stage(with_low.unionByName(with_high).distinct(), "tested")
     found = stage(links(tested, texts, threshold), "links")
     label = components(found)
     known = shared.join(label, "id", "left").select("bucket", "id", "n", F.coalesce("class", "id").alias("class"))
-    apart = known.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket", "size")
-    open_ = stage(known.join(apart, "bucket"), "open")
-    crowded = open_.where(F.col("size") > crowd).groupBy("id", "n", "class").agg(F.array_sort(F.collect_set("bucket")).alias("l"))
-    threes = "flatten(transform(l, (x, i) -> flatten(transform(slice(l, i + 2, size(l)), (y, j) -> transform(slice(l, i + j + 3, size(l)), z -> xxhash64(x, y, z))))))"
-    finer = crowded.where("size(l) > 2").select("id", "n", "class", F.explode(F.expr(threes)).alias("bucket"))
-    meeting = [open_.where(F.col("size") <= crowd), finer]
-    more = across(meeting[0], threshold).unionByName(across(meeting[1], threshold)).distinct().join(tested, ["a", "b"], "left_anti")
+    apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
+    more = across(known.join(apart, "bucket", "left_semi"), threshold).distinct().join(tested, ["a", "b"], "left_anti")
     # a doc_id with several texts ties their nodes together
     versions = signed.where("n >= 0").groupBy("id").agg(F.min("q1").alias("lo"), F.max("q1").alias("hi")).where("lo <> hi").select("id")
     ties = signed.where("n >= 0").join(versions, "id", "left_semi").join(nodes.select("q1", "q2", F.col("id").alias("a")), ["q1", "q2"]).select("a", F.col("id").alias("b"))
