@@ -264,9 +264,13 @@ def rarest(texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def across(met: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): pairs of different classes in a bucket of ``met``, of sizes within a factor of ``threshold``."""
-    x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
-    close = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+    """(a, b): pairs of different classes in a bucket of ``met`` that can share enough.
+
+    ``left``: the units of a set from the bucket's own on, in order of rarity. Two sets share no more than the
+    smaller rest from the first unit they have in common; a similarity of s needs s / (1 + s) of both sizes.
+    """
+    x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("left").alias(f"l{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
+    close = F.least("la", "lb") >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6
     return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close).select("a", "b")
 
 
@@ -286,8 +290,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # several texts of one id are tied below; one of them stands for it here
     rare = rare.groupBy("id").agg(F.max(F.struct("common", "n", "prefix")).alias("r")).select("id", "r.*")
 
-    by_band = shared.join(rare.where(F.col("common") <= MOST_COMMON).select("id"), "id").select("bucket", "id", "n")
-    by_shingle = rare.where(F.col("common") >= LEAST_COMMON).select(F.explode("prefix").alias("bucket"), "id", "n")
+    by_band = shared.join(rare.where(F.col("common") <= MOST_COMMON).select("id"), "id").select("bucket", "id", "n", F.col("n").alias("left"))
+    by_shingle = rare.where(F.col("common") >= LEAST_COMMON).select("id", "n", F.posexplode("prefix").alias("at", "bucket")).select("bucket", "id", "n", (F.col("n") - F.col("at")).alias("left"))
     placed = by_band.unionByName(by_shingle)
     ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     shared = stage(placed.join(ends, "bucket"), "buckets")
@@ -296,7 +300,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tested = stage(with_low.unionByName(with_high).distinct(), "tested")
     found = stage(links(tested, texts, threshold), "links")
     label = components(found)
-    known = shared.join(label, "id", "left").select("bucket", "id", "n", F.coalesce("class", "id").alias("class"))
+    known = shared.join(label, "id", "left").select("bucket", "id", "n", "left", F.coalesce("class", "id").alias("class"))
     apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
     more = across(known.join(apart, "bucket", "left_semi"), threshold).distinct().join(tested, ["a", "b"], "left_anti")
     # a doc_id with several texts ties their nodes together
