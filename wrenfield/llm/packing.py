@@ -33,7 +33,7 @@ END = 0
 OPEN = 16_384
 PIECES_A_PACKER = 40_000
 #: Words whose ids a task keeps.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 800_000
 #: Marks that end a word in a token of their own.
 TAIL = ".,;:!?#%*$&"
 
@@ -45,41 +45,54 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Ids:
-    """Token ids of texts as little-endian unsigned 32-bit numbers."""
+    """Token ids of texts as little-endian unsigned 32-bit numbers, from kept ids of their words."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known = {"": b""}
-        split, plain = {}, set()
-        for w in words:
-            body = w.rstrip(TAIL)
-            if body and len(body) < len(w) and (body[-1].isalpha() or "0" <= body[-1] <= "9"):
-                split[w] = body, w[len(body) :]
-                plain |= {x for x in split[w] if x not in self.known}
-            elif w not in self.known:
+        # a special token cuts a text as its own start would, so that many words are encoded in one call
+        self.mark = "<|startoftext|>"
+        self.mark_id = self.tokenizer.token_to_id(self.mark)
+
+    def _encode(self, words: list[str]) -> None:
+        odd = [w for w in words if "<|" in w] if self.mark_id is not None else words
+        for w in odd:
+            self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(odd) < len(words):
+            words = [w for w in words if "<|" not in w]
+            groups = [words[i : i + 500] for i in range(0, len(words), 500)]
+            for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                raw, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+                at = 0
+                for w, end in zip(group, [*ends, len(raw)]):
+                    self.known[w] = raw[at:end]
+                    at = end + 4
+
+    def _learn(self, new: set[str]) -> None:
+        known, split, plain = self.known, [], set()
+        for w in new:
+            if w[-1] in TAIL and (body := w.rstrip(TAIL)) and (body[-1].isalpha() or "0" <= body[-1] <= "9"):
+                split.append((w, body, w[len(body) :]))
+                plain.update(x for x in split[-1][1:] if x not in known)
+            else:
                 plain.add(w)
-        todo = list(plain)
-        for w, e in zip(todo, self.encode(todo, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        for w, (body, tail) in split.items():
-            self.known[w] = self.known[body] + self.known[tail]
+        self._encode(list(plain))
+        for w, body, tail in split:
+            known[w] = known[body] + known[tail]
 
     def of(self, texts: list[str | None]):
-        for i in range(0, len(texts), 64):
-            said = [(t or "").replace("\n", " ").split(" ") for t in texts[i : i + 64]]
-            every = set().union(*said)
-            if new := every.difference(self.known):
+        for i in range(0, len(texts), 256):
+            said = [(t or "").replace("\n", " ").split(" ") for t in texts[i : i + 256]]
+            if len(self.known) > KNOWN_WORDS:
+                self.known = {"": b""}
+            known = self.known
+            if new := {w for words in said for w in words if w not in known}:
                 self._learn(new)
-                if missing := every.difference(self.known):  # the cache began anew
-                    self._learn(missing)
             for words in said:
-                yield b"".join(map(self.known.__getitem__, words))
+                yield b"".join(map(known.__getitem__, words))
 
 
 PIECE = [T.StructField("piece", T.IntegerType(), False), T.StructField("start", T.LongType(), False), T.StructField("length", T.LongType(), False), T.StructField("ids_crc32", T.LongType(), False)]
