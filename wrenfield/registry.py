@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans import linkage, projections, publish, reports, review, rules, travel  # noqa: F401
+from .plans.catalog import QUERIES, SQL
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
