@@ -32,8 +32,8 @@ LENGTH = 2048
 END = 0
 OPEN = 16_384
 PIECES_A_PACKER = 40_000
-#: Words whose ids a task keeps.
-KNOWN_WORDS = 800_000
+#: Words whose ids a Python worker keeps, across its tasks.
+KNOWN_WORDS = 400_000
 #: Marks that end a word in a token of their own.
 TAIL = ".,;:!?#%*$&"
 
@@ -95,13 +95,23 @@ class Ids:
                 yield b"".join(map(known.__getitem__, words))
 
 
+_kept: dict[str, Ids] = {}
+
+
+def ids_of(path: str) -> Ids:
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = Ids(path)
+    return _kept[path]
+
+
 PIECE = [T.StructField("piece", T.IntegerType(), False), T.StructField("start", T.LongType(), False), T.StructField("length", T.LongType(), False), T.StructField("ids_crc32", T.LongType(), False)]
 PLACE = [T.StructField("sequence_id", T.LongType(), False), T.StructField("offset", T.LongType(), False)]
 
 
 def _tokenise(schema: T.StructType, path: str, length: int, end: int, with_ids: bool):
     def run(batches):
-        arrow, ids, close = to_arrow_schema(schema), Ids(path), np.array([end], "<u4").tobytes()
+        arrow, ids, close = to_arrow_schema(schema), ids_of(path), np.array([end], "<u4").tobytes()
         for batch in batches:
             doc = batch.column("doc_id")
             rows, many = [], 0
