@@ -16,6 +16,7 @@ Empty tables give empty results. Of other columns none is kept.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -50,6 +51,7 @@ class Ids:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
         # a special token cuts a text as its own start would, so that many words are encoded in one call
