@@ -184,7 +184,8 @@ def title_stem(c: Column) -> Column:
 
 
 def words(c: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?U)\w+"), F.lit(0)))
+    """Runs of letters, digits and underscores; a combining mark is none of them."""
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
 
 
 def title_words(c: Column) -> Column:
