@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wrenfield.llm import decontaminate, near_dedup, packing, suffix_dedup, toxicity
-from wrenfield.llm.common import stage
+from wrenfield.llm.common import shielded, stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold; the model learns from all labelled ones (a bounded sample)."""
     weights = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, weights).where(F.col("score") < toxicity.THRESHOLD).drop("score")
+    safe, named = shielded(docs, "text")
+    return named(toxicity.score(safe, weights).where(F.col("score") < toxicity.THRESHOLD))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +30,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 200-byte strings that occur elsewhere; documents of which nothing is left go."""
-    cut = suffix_dedup.remove_repeats(docs)
+    safe, named = shielded(docs, "doc_id", "text", "n_chars")
+    cut = suffix_dedup.remove_repeats(safe)
     left = cut.where((F.col("n_removed") == 0) | (F.trim(F.col("text")) != ""))
     n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", n_chars).select(*docs.columns)
+    return named(left.withColumn("n_chars", n_chars))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

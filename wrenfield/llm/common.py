@@ -8,9 +8,8 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Bytes of text that one numpy step works on; a longer document is a step of its own.
 STEP_BYTES = 2_000_000
@@ -45,6 +44,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
 
 
+def shielded(docs: DataFrame, *own: str):
+    """``docs`` with all columns but ``own`` under names that no operator uses, and what gives them their names back."""
+    names = docs.columns
+    safe = [c if c in own else f"__column{i}" for i, c in enumerate(names)]
+    return docs.toDF(*safe), lambda out: out.select(*safe).toDF(*names)
+
+
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column (null: empty) and the row offsets into them."""
     arr = col.cast(pa.large_binary())
@@ -65,10 +71,3 @@ def steps(off: np.ndarray, most: int = STEP_BYTES):
         yield i, min(j, n)
         i = min(j, n)
 
-
-def id_order(*cols: str) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in cols]
-
-
-def fields(df: DataFrame, names: list[str]) -> list[T.StructField]:
-    return [df.schema[c] for c in names]

@@ -6,7 +6,8 @@ blocks of at most ``BLOCK_BYTES`` text, each broadcast to one scan of the docume
 is bounded however large the benchmark is. A hash hit counts only after its words have been compared.
 
 Nulls: a null text has no words, in either table; a null ``item_id`` marks words but is not listed. Repeated
-rows each get their own result. Empty tables give empty results or no hits. Other columns pass unchanged.
+rows each get their own result. Empty tables give empty results or no hits. Other columns pass
+unchanged; where ``scan`` adds a column that was there, its own replaces it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .common import stage, steps, text_bytes
+from .common import shielded, stage, steps, text_bytes
 
 NGRAM = 10
 #: Benchmark text that one broadcast holds at most (an item longer than this is a block of its own).
@@ -126,7 +127,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[s
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    kept = list(docs.columns if keep is None else keep)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in [f.name for f in RESULT]]
     items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("t is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("t") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
@@ -149,9 +150,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "document", text: s
     """``docs`` without contaminated documents (``mode="document"``) or without their hit spans (``"span"``)."""
     if mode not in ("document", "span"):
         raise ValueError("mode is document or span")
-    hit = scan(docs, benchmark, text, **options)
+    safe, named = shielded(docs, text)
+    hit = scan(safe, benchmark, text, **options)
     if mode == "document":
-        return hit.where(F.size("hit_words") == 0).select(*docs.columns)
+        return named(hit.where(F.size("hit_words") == 0))
     # kept pieces between the hit spans, joined as they stand
     pieces = F.expr(
         f"array_join(transform(sequence(0, size(hit_chars)), i -> substring({text}, "
@@ -159,7 +161,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "document", text: s
         f"if(i = size(hit_chars), char_length({text}), hit_chars[least(i, size(hit_chars) - 1)].start) "
         f"- if(i = 0, 0, hit_chars[greatest(i, 1) - 1].end))), '')"
     )
-    return hit.withColumn(text, F.when(F.size("hit_chars") > 0, pieces).otherwise(F.col(text))).select(*docs.columns)
+    return named(hit.withColumn(text, F.when(F.size("hit_chars") > 0, pieces).otherwise(F.col(text))))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import salted_join
+from .common import salted_join, shielded
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -227,13 +227,15 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` of ``pages`` (url, html, ...; default all but html) and ``text``."""
-    kept = [c for c in pages.columns if c != "html"] if keep is None else list(keep)
+    kept = [c for c in pages.columns if c not in ("html", "text")] if keep is None else list(keep)
+    columns = dict(zip(pages.columns, shielded(pages, "url", "html")[0].columns))
+    pages, own = shielded(pages, "url", "html")[0], [columns[c] for c in kept]
     host = F.lower(F.regexp_extract("url", r"^.*?://([^/?#]*)", 1))
     # null and empty hosts are dealt out by salt like others, and match no winner
     named = pages.withColumn("host", F.coalesce(host, F.lit("")))
     joined = salted_join(named, host_paths(named).select("host", "path"), ["host"])
-    schema = T.StructType([pages.schema[c] for c in kept] + [T.StructField("text", T.StringType())])
-    return joined.select(*kept, "html", "path").mapInArrow(_extract(schema, kept), schema)
+    schema = T.StructType([pages.schema[c] for c in own] + [T.StructField("text", T.StringType())])
+    return joined.select(*own, "html", "path").mapInArrow(_extract(schema, own), schema).toDF(*kept, "text")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import words as W
-from .common import salted_join, stage, steps, text_bytes
+from .common import salted_join, shielded, stage, steps, text_bytes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -315,11 +315,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest doc_id (the first text, of repeated rows)."""
+    docs, named = shielded(docs, "doc_id", "text")
     classes = near_duplicates(docs, **options)
     keep = classes.where("doc_id = class_id").select("doc_id").distinct()
     w = Window.partitionBy("doc_id").orderBy("text")
     kept = docs.join(keep, "doc_id").withColumn("__n", F.row_number().over(w)).where("__n = 1").select(*docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    return named(kept.unionByName(docs.where("doc_id is null")))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,7 +168,7 @@ def _read(media: bytes) -> tuple:
 
 def to_ogg(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default all) and ``media``: each text as an Ogg file."""
-    keep = list(docs.columns if keep is None else keep)
+    keep = [c for c in (docs.columns if keep is None else keep) if c != "media"]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("media", T.BinaryType())])
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_map(schema, keep, text, _written), schema)
 

@@ -17,6 +17,7 @@ Empty tables give empty results. Of other columns none is kept.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 
 import numpy as np
@@ -45,6 +46,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _ends_a_word(body: str) -> bool:
+    """Whether the tokenizer sees a letter or digit at the end, after it has composed and lower-cased."""
+    last = body[-1] if body[-1] < "\x80" else unicodedata.normalize("NFC", body).lower()[-1]
+    return last.isalpha() or "0" <= last <= "9"
+
+
 class Ids:
     """Token ids of texts as little-endian unsigned 32-bit numbers, from kept ids of their words."""
 
@@ -76,7 +83,7 @@ class Ids:
     def _learn(self, new: set[str]) -> None:
         known, split, plain = self.known, [], set()
         for w in new:
-            if w[-1] in TAIL and (body := w.rstrip(TAIL)) and (body[-1].isalpha() or "0" <= body[-1] <= "9"):
+            if w[-1] in TAIL and (body := w.rstrip(TAIL)) and _ends_a_word(body):
                 split.append((w, body, w[len(body) :]))
                 plain.update(x for x in split[-1][1:] if x not in known)
             else:

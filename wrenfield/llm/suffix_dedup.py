@@ -18,7 +18,8 @@ Places are keyed by hashes of doc_id and of the text, so repeated rows (also of
 Segment and anchor hashes are 64 bits each and only compared within an anchor.
 
 Nulls: a null text is empty; a null doc_id is an id like others. Texts shorter than ``size`` bytes repeat
-nothing. Empty tables give empty results. Other columns of the input pass unchanged.
+nothing. Empty tables give empty results. Other columns of the input pass unchanged;
+where a column is added that was there, the new one replaces it.
 """
 
 from __future__ import annotations
@@ -185,7 +186,7 @@ def _cut(size: int):
 
     def run(batches):
         for batch in batches:
-            lists = batch.column("list")
+            lists = batch.column("__list")
             flat, ends = lists.flatten(), lists.offsets.to_numpy()
             columns = {c: flat.field(c) for c in CUTS.fieldNames()[:-1]}
             start, end = (columns[c].to_numpy(zero_copy_only=False) for c in ("start", "end"))
@@ -284,7 +285,7 @@ def repeated_places(texts: DataFrame, size: int = SIZE, crowd: int = CROWD, shar
     crowds = stage(ones.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor", F.lit(True).alias("crowded")), "crowds")
     crowded = bool(crowds.limit(1).count())
     ones = ones.join(crowds, "anchor", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))) if crowded else ones.withColumn("crowded", F.lit(False))
-    lists = ones.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_list(F.struct(*CUTS.fieldNames()[:-1])).alias("list"))
+    lists = ones.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_list(F.struct(*CUTS.fieldNames()[:-1])).alias("__list"))
     cut = texts.join(lists, ["__k1", "__k2"]).mapInArrow(_cut(size), CUTS)
     out = out.unionByName(cut.where("not crowded").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted(size, shard_bytes), PLACES))
     if crowded:
@@ -298,7 +299,7 @@ def _without(schema: T.StructType, kept: list[str], text: str | None):
         arrow = to_arrow_schema(schema)
         for batch in batches:
             rows, left = [], []
-            for raw, spans in zip(batch.column("__raw"), batch.column("spans").to_pylist()):
+            for raw, spans in zip(batch.column("__raw"), batch.column("__spans").to_pylist()):
                 data = memoryview(raw.as_buffer() if raw.is_valid else b"")
                 runs = W.merged([(x["start"], x["end"]) for x in spans or ()])
                 at, h = 0, hashlib.sha256()
@@ -321,10 +322,10 @@ def _without(schema: T.StructType, kept: list[str], text: str | None):
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
     """``docs`` (its columns ``keep``, default all) with n_bytes, n_removed, n_spans and kept_sha256; where ``keep``
     has the text, it is what is left of it (a character cut in two is dropped; null stays null)."""
-    kept = list(docs.columns if keep is None else keep)
-    texts = keyed(docs, [c for c in kept if c != text], doc_id, text)
-    spans = repeated_places(texts, **options).groupBy("__k1", "__k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     more = [*LONGS("n_bytes", "n_removed", "n_spans"), T.StructField("kept_sha256", T.StringType())]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in [f.name for f in more]]
+    texts = keyed(docs, [c for c in kept if c != text], doc_id, text)
+    spans = repeated_places(texts, **options).groupBy("__k1", "__k2").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     schema = T.StructType([docs.schema[c] for c in kept] + more)
     return texts.join(spans, ["__k1", "__k2"], "left").mapInArrow(_without(schema, kept, text if text in kept else None), schema)
 

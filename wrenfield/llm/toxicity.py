@@ -9,7 +9,8 @@ hash, in one task of bounded size. Scoring reads all documents, with no exchange
 
 Nulls: a null text is empty and has the bias alone; rows whose label or doc_id is null are not learned from. A
 text of several labels is learned once for each. Without labelled rows every score is 0.5. Empty tables give
-empty results; other columns pass unchanged where kept.
+empty results; other columns pass unchanged where kept, but an
+older ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -129,7 +130,7 @@ def _score(weights, keep: list[str], schema: T.StructType, bits: int):
 
 def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], keep: list[str] | None = None, bits: int = BITS) -> DataFrame:
     """Columns ``keep`` of ``docs`` (default all) and ``score``."""
-    kept = list(docs.columns if keep is None else keep)
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("score", T.DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(_score(sent, kept, schema, bits), schema)

@@ -99,7 +99,7 @@ def bound(a: Column, b: Column, z: float = Z) -> Column:
 def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]] = RULES, limit: float = LIMIT, url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, verdict and bad_bound. ``outcomes``: (host, bad)."""
     hosts, domains, suffixes, overall = reputations(outcomes)
-    named = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
+    named = pages.drop("host", "path", "rule", "verdict", "bad_bound").withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
     # one row per host: its own posterior, else its domain's, its suffix's or the overall prior
     met = named.select("host").distinct().withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     met = met.join(hosts.toDF("host", "a3", "b3"), "host", "left")
