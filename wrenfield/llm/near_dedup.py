@@ -12,12 +12,11 @@ of maxima, is at least ``threshold``; classes are the connected components of th
    texts agree in a coordinate with probability equal to their similarity.
 3. *Bands.* ``rows`` coordinates form a band; nodes that share a band meet in its bucket.
    With 36 bands of 4, a pair at 0.8 misses all buckets with probability 6e-9.
-4. *Common passages.* A passage that very many texts share makes their signatures agree though they are not
-   similar. Shingles are counted in a sketch of ``2**SLOTS`` counters over the nodes that met any other; those
-   far above the mean load are common. Nodes in which at most ``MOST_COMMON`` of the weight is common stay in
-   their bands' buckets. Those in which at least ``LEAST_COMMON`` is go to buckets of their rarest shingles (the
-   prefix of a set in order of rarity: two sets of similarity s share one of the first (1 - s) n + 1, whatever the
-   counts are, so this is exact). Two similar texts differ less in their common weight than the two bounds.
+4. *Pairs.* A passage that many texts share makes bands agree though the texts are not similar, so pairs are not
+   made of buckets. Nodes that met any other are dealt to buckets of their rarest shingles instead: the prefix of a
+   set in order of rarity. Two sets of similarity s share one of the first (1 - s) n + 1 shingles, whatever the
+   order is, so nothing is lost here. The order comes from a sketch of ``2**SLOTS`` counters; those far above the
+   mean load are common and come last.
 5. *Links.* First every node of a bucket is compared with the bucket's smallest and largest node; components of
    these links are found; then in buckets that still hold several components all pairs across components are
    compared. So a large group of copies costs two comparisons a node and bucket, not all pairs, and no pair
@@ -32,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -46,7 +45,6 @@ BANDS, ROWS = 36, 4
 SLOTS = 22
 #: Times the mean load of a slot (and copies at least) beyond which a shingle is common.
 COMMON_LOAD, COMMON_LEAST = 4, 16
-LEAST_COMMON, MOST_COMMON = 0.05, 0.25
 #: Texts of one numpy step at most; a cell (text, coordinate) takes 24 bits.
 STEP_TEXTS = 100_000
 _GAP, _COORDINATE, _UNIT = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
@@ -244,7 +242,7 @@ def _rarest(sent, threshold: float):
                 n = np.bincount(of, minlength=j - i)
                 common = np.bincount(of[load > 0], minlength=j - i) / np.maximum(n, 1)
                 nth = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                length = np.where((n > 0) & (common >= LEAST_COMMON), n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
+                length = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
                 taken = nth < length[of]
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(unit[taken].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(n.astype(np.int32)), pa.array(common), lists.cast(schema.field("prefix").type)], schema=schema)
@@ -253,7 +251,7 @@ def _rarest(sent, threshold: float):
 
 
 def rarest(texts: DataFrame, threshold: float) -> DataFrame:
-    """Of each text (id, text): units of weight, the common share of them, and its rarest ones, if some are common.
+    """Of each text (id, text): units of weight, the common share of them, and its rarest ones.
 
     Tasks count apart and report their loaded slots; at most ``2**SLOTS`` are gathered and broadcast.
     """
@@ -263,14 +261,19 @@ def rarest(texts: DataFrame, threshold: float) -> DataFrame:
     return texts.select("id", "text").mapInArrow(_rarest(sent, threshold), RARE)
 
 
-def across(met: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): pairs of different classes in a bucket of ``met`` that can share enough.
+def enough(threshold: float, left_a: str, left_b: str, size_a: str, size_b: str) -> Column:
+    """Whether two sets can be similar that have a unit in common, of which each has ``left`` from there on.
 
-    ``left``: the units of a set from the bucket's own on, in order of rarity. Two sets share no more than the
-    smaller rest from the first unit they have in common; a similarity of s needs s / (1 + s) of both sizes.
+    From the first common unit on they share no more than the smaller rest; a similarity of s needs
+    s / (1 + s) of both sizes together.
     """
+    return F.least(left_a, left_b) >= threshold / (1 + threshold) * (F.col(size_a) + F.col(size_b)) - 1e-6
+
+
+def across(met: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of different classes in a bucket of ``met`` that can share enough."""
     x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("left").alias(f"l{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
-    close = F.least("la", "lb") >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6
+    close = enough(threshold, "la", "lb", "na", "nb")
     return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close).select("a", "b")
 
 
@@ -290,14 +293,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # several texts of one id are tied below; one of them stands for it here
     rare = rare.groupBy("id").agg(F.max(F.struct("common", "n", "prefix")).alias("r")).select("id", "r.*")
 
-    by_band = shared.join(rare.where(F.col("common") <= MOST_COMMON).select("id"), "id").select("bucket", "id", "n", F.col("n").alias("left"))
-    by_shingle = rare.where(F.col("common") >= LEAST_COMMON).select("id", "n", F.posexplode("prefix").alias("at", "bucket")).select("bucket", "id", "n", (F.col("n") - F.col("at")).alias("left"))
-    placed = by_band.unionByName(by_shingle)
-    ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    placed = rare.select("id", "n", F.posexplode("prefix").alias("at", "bucket")).select("bucket", "id", "n", (F.col("n") - F.col("at")).alias("left"))
+    one = F.struct("id", "n", "left")
+    ends = placed.groupBy("bucket").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.id <> high.id")
     shared = stage(placed.join(ends, "bucket"), "buckets")
-    with_low = shared.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
-    with_high = shared.where("id <> high").select(F.col("id").alias("a"), F.col("high").alias("b"))
-    tested = stage(with_low.unionByName(with_high).distinct(), "tested")
+    ends = shared.select("id", "n", "left", F.explode(F.array("low", "high")).alias("end")).where("id <> end.id")
+    ends = ends.where(enough(threshold, "left", "end.left", "n", "end.n"))
+    tested = stage(ends.select(F.least("id", "end.id").alias("a"), F.greatest("id", "end.id").alias("b")).distinct(), "tested")
     found = stage(links(tested, texts, threshold), "links")
     label = components(found)
     known = shared.join(label, "id", "left").select("bucket", "id", "n", "left", F.coalesce("class", "id").alias("class"))
