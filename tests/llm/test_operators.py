@@ -144,8 +144,8 @@ def test_tokens_of_odd_texts():
 
     whole = Tokenizer.from_file(packing.tokenizer_path())
     odd = ["<|endoftext|> a<|startoftext|>b <|startoftext|>", "don't.. (a). x'll, é\u0301. 1. ²! ½, \u00a0x\ty\r\nz", "a.\nB,\n\nC  d", "...", "ſ. İ. Σ, \u200b."]
-    got = [np.frombuffer(b, "<u4").tolist() for b in packing.Ids(packing.tokenizer_path()).of(odd)]
-    assert got == [e.ids for e in whole.encode_batch(odd, add_special_tokens=False)]
+    got = [np.frombuffer(b, "<u4").tolist() for b in packing.Ids(packing.tokenizer_path()).of(pa.array([*odd, None, ""]))]
+    assert got == [e.ids for e in whole.encode_batch([*odd, "", ""], add_special_tokens=False)]
 
 
 def test_best_fit_closes_the_fullest():

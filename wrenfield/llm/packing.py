@@ -22,20 +22,23 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import stage
+from .common import stage, steps
 
 LENGTH = 2048
 END = 0
 OPEN = 16_384
 PIECES_A_PACKER = 40_000
 #: Words whose ids a Python worker keeps, across its tasks.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 700_000
+#: Bytes of text whose words are numbered at once.
+WORDS_STEP = 6_000_000
 #: Marks that end a word in a token of their own.
 TAIL = ".,;:!?#%*$&"
 
@@ -92,16 +95,28 @@ class Ids:
         for w, body, tail in split:
             known[w] = known[body] + known[tail]
 
-    def of(self, texts: list[str | None]):
-        for i in range(0, len(texts), 256):
-            said = [(t or "").replace("\n", " ").split(" ") for t in texts[i : i + 256]]
+    def of(self, texts: pa.Array):
+        """Each text's ids. Arrow numbers a step's distinct words; only those are looked up one by one."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        sizes = np.concatenate(([0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)))
+        for i, j in steps(sizes, WORDS_STEP):
+            said = pc.split_pattern(pc.replace_substring(texts.slice(i, j - i), "\n", " "), " ")
+            ends = said.offsets.to_numpy() - said.offsets[0].as_py()
+            coded = said.flatten().dictionary_encode()
+            words, word = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             if len(self.known) > KNOWN_WORDS:
                 self.known = {"": b""}
-            known = self.known
-            if new := {w for words in said for w in words if w not in known}:
+            if new := {w for w in words if w not in self.known}:
                 self._learn(new)
-            for words in said:
-                yield b"".join(map(known.__getitem__, words))
+            ids = [self.known[w] for w in words]
+            size = np.array([len(x) // 4 for x in ids], np.int64)
+            first = np.cumsum(size) - size
+            many = size[word]
+            at = np.concatenate(([0], np.cumsum(many)))
+            take = np.arange(at[-1]) + np.repeat(first[word] - at[:-1], many)
+            out = np.frombuffer(b"".join(ids), "<u4")[take]
+            for x, y in zip(at[ends[:-1]].tolist(), at[ends[1:]].tolist()):
+                yield out[x:y].tobytes()
 
 
 _kept: dict[str, Ids] = {}
@@ -130,7 +145,7 @@ def _tokenise(schema: T.StructType, path: str, length: int, end: int, with_ids:
                 cols = list(zip(*rows)) or [[]] * (len(arrow) - 1)
                 return pa.RecordBatch.from_arrays([doc.take(pa.array(at, pa.int64())), *(pa.array(c, f.type) for c, f in zip(cols, list(arrow)[1:]))], schema=arrow)
 
-            for d, raw in enumerate(ids.of(batch.column("text").to_pylist())):
+            for d, raw in enumerate(ids.of(batch.column("text"))):
                 raw += close
                 for k, i in enumerate(range(0, len(raw), 4 * length)):
                     part = raw[i : i + 4 * length]
