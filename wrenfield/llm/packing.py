@@ -36,9 +36,9 @@ END = 0
 OPEN = 16_384
 PIECES_A_PACKER = 40_000
 #: Words whose ids a Python worker keeps, across its tasks.
-KNOWN_WORDS = 700_000
+KNOWN_WORDS = 300_000
 #: Bytes of text whose words are numbered at once.
-WORDS_STEP = 6_000_000
+WORDS_STEP = 2_000_000
 #: Marks that end a word in a token of their own.
 TAIL = ".,;:!?#%*$&"
 

@@ -31,7 +31,7 @@ def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             out.append(np.multiply.accumulate(p))
         have = (out[0], out[1])
-        if size <= 1 << 23:
+        if size <= 1 << 22:
             _powers[int(base)] = have
     return have[0][:n], have[1][:n]
 
