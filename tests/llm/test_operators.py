@@ -85,6 +85,22 @@ def test_near_duplicates(spark, docs, texts, none):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([None, None, 3], key=str)
 
 
+def test_near_copies_of_versions(spark):
+    rnd = random.Random(7)
+    say = lambda: [rnd.choice(WORDS) for _ in range(150)]
+    near = lambda w, at: " ".join([*w[:at], "changed", *w[at + 1 :]])
+    a, b, c, d, e, f = (say() for _ in range(6))
+    # 5: near copies of both texts; 20: a copy of one elsewhere; 30: three texts, one of them twice; 40: also empty
+    texts = [(5, a), (5, b), (7, near(a, 60)), (8, near(b, 60)), (20, c), (20, d), (2, d), (21, near(c, 40)), (22, near(d, 40))]
+    texts += [(30, e), (30, e), (30, f), (30, say()), (31, near(e, 9)), (32, near(f, 9)), (40, None), (40, ""), (40, "###"), (40, say()), (41, say())]
+    texts = [(d, " ".join(t) if isinstance(t, list) else t) for d, t in texts]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    want = sorted(((5, 5), (5, 5), (7, 5), (8, 5), (20, 2), (20, 2), (2, 2), (21, 2), (22, 2), *[(30, 30)] * 4, (31, 30), (32, 30), *[(40, 40)] * 4, (41, 41)), key=str)
+    assert sorted(near_dedup.brute_force(texts), key=str) == want
+    assert rows(near_dedup.near_duplicates(docs), "doc_id", "class_id") == want
+    assert rows(near_dedup.keep_one(docs), "doc_id") == [(2,), (30,), (40,), (41,), (5,)]
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rnd = np.random.default_rng(3)
     a = rnd.integers(1, 2**63, 400, dtype=np.uint64)

@@ -4,7 +4,8 @@ A text is a weighted set: its shingles of five words, each weighing as often as
 four words is one shingle). Two texts are linked if their weighted Jaccard similarity, sum of minima over sum
 of maxima, is at least ``threshold``; classes are the connected components of the links.
 
-1. *Copies.* Texts with equal word sequences form one node, by counting on a 128-bit hash.
+1. *Copies.* Texts with equal word sequences form one node, by counting on a 128-bit hash. Nodes have numbers of
+   their own, since a doc_id with several texts stands in several nodes.
 2. *Darts.* Each unit of weight of a shingle has a Poisson sequence of darts, hashed from shingle, unit and
    number: a dart has a rank (exponential gaps) and one of ``bands * rows`` coordinates. A text throws only the
    darts below the rank at which about ``t (ln t + 3)`` fall into its whole weight, however many shingles it
@@ -22,7 +23,7 @@ of maxima, is at least ``threshold``; classes are the connected components of th
    compared. So a large group of copies costs two comparisons a node and bucket, not all pairs, and no pair
    that shares a bucket goes untested unless its ends are already connected. Comparison is exact, on whole texts.
 
-Rows of one doc_id are versions of one document and share a class. The class id is the smallest doc_id of the
+Rows of one doc_id are versions of one document: each is compared as a node, then they share a class. The class id is the smallest doc_id of the
 class. Texts without words have no shingles: equal non-empty ones are copies, null and empty ones stay alone.
 A null doc_id has a null class and stays alone. Empty tables give empty results.
 """
@@ -155,6 +156,20 @@ def _sign(bands: int, rows: int):
     return run
 
 
+KEYED = T.StructType([T.StructField("doc", T.LongType()), T.StructField("q1", T.LongType(), False), T.StructField("q2", T.LongType(), False), T.StructField("text", T.StringType())])
+
+
+def _keyed(batches):
+    """(doc, q1, q2, text) of rows (doc, text), by the hashes that ``_sign`` gives texts with words."""
+    schema = to_arrow_schema(KEYED)
+    for batch in batches:
+        data, off = text_bytes(batch.column("text"))
+        q1, q2 = (np.zeros(len(off) - 1, np.uint64) for _ in range(2))
+        for i, j in steps(off):
+            _, _, (q1[i:j], q2[i:j]), _ = units(data[off[i] : off[j]], off[i : j + 1] - off[i])
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(q1.view(np.int64)), pa.array(q2.view(np.int64)), batch.column("text").cast(schema.field("text").type)], schema=schema)
+
+
 def similarity(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Weighted Jaccard similarity of the shingles of a[i] and b[i]."""
     out = np.zeros(len(a))
@@ -277,21 +292,38 @@ def across(met: DataFrame, threshold: float) -> DataFrame:
     return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close).select("a", "b")
 
 
+def node_texts(named: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(id, text): one text of each of ``nodes`` (id, doc, q1, q2), from the rows ``named`` (doc, text).
+
+    A doc_id in one row only names its node; the texts of ``repeated`` ones are hashed again to tell their nodes.
+    """
+    out = named.join(nodes.join(repeated, "doc", "left_anti").select("doc", "id"), "doc").select("id", "text")
+    if not repeated.limit(1).count():
+        return out
+    own = nodes.join(repeated, "doc", "left_semi").select("doc", "q1", "q2", "id")
+    versions = named.join(own.select("doc").distinct(), "doc", "left_semi").select("doc", "text").mapInArrow(_keyed, KEYED)
+    return out.unionByName(versions.join(own, ["doc", "q1", "q2"]).groupBy("id").agg(F.min("text").alias("text")))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: (doc_id, class_id)."""
     named = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     signed = stage(named.mapInArrow(_sign(bands, rows), SIGNED), "signed")
 
-    # copies become one node, the smallest doc_id; rows of one doc_id are tied together below
-    nodes = stage(signed.where("n >= 0 and id is not null").groupBy("q1", "q2").agg(F.min(F.struct("id", "n", "bands")).alias("one")).select("q1", "q2", "one.*"), "nodes")
+    # copies become one node (id: its number, doc: its smallest doc_id); rows of one doc_id are tied together below
+    said = signed.where("n >= 0 and id is not null")
+    nodes = said.groupBy("q1", "q2").agg(F.min(F.struct(F.col("id").alias("doc"), "n", "bands")).alias("one"))
+    nodes = stage(nodes.select(F.monotonically_increasing_id().alias("id"), "q1", "q2", "one.*"), "nodes")
     placed = nodes.select("id", "n", F.explode("bands").alias("bucket"))
     ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket")
     shared = stage(placed.join(ends, "bucket"), "shared")
     met = shared.select("id").distinct()
-    texts = stage(named.where("text is not null").join(met, "id", "left_semi"), "texts")
+    key = F.struct("q1", "q2")
+    repeated = said.groupBy(F.col("id").alias("doc")).agg(F.count("*").alias("many"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    repeated = stage(repeated.where("many > 1").select("doc", (F.col("lo") != F.col("hi")).alias("differ")), "repeated")
+    texts = node_texts(named.where("text is not null").toDF("doc", "text"), nodes.join(met, "id", "left_semi"), repeated.select("doc"))
+    texts = stage(texts, "texts")
     rare = stage(rarest(texts, threshold), "rare")
-    # several texts of one id are tied below; one of them stands for it here
-    rare = rare.groupBy("id").agg(F.max(F.struct("common", "n", "prefix")).alias("r")).select("id", "r.*")
 
     placed = rare.select("id", "n", F.posexplode("prefix").alias("at", "bucket")).select("bucket", "id", "n", (F.col("n") - F.col("at")).alias("left"))
     one = F.struct("id", "n", "left")
@@ -306,11 +338,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
     more = across(known.join(apart, "bucket", "left_semi"), threshold).distinct().join(tested, ["a", "b"], "left_anti")
     # a doc_id with several texts ties their nodes together
-    versions = signed.where("n >= 0").groupBy("id").agg(F.min("q1").alias("lo"), F.max("q1").alias("hi")).where("lo <> hi").select("id")
-    ties = signed.where("n >= 0").join(versions, "id", "left_semi").join(nodes.select("q1", "q2", F.col("id").alias("a")), ["q1", "q2"]).select("a", F.col("id").alias("b"))
+    versions = said.join(repeated.where("differ").select(F.col("doc").alias("id")), "id", "left_semi").select(F.col("id").alias("doc"), "q1", "q2")
+    versions = stage(versions.join(nodes.select("q1", "q2", F.col("id").alias("a")), ["q1", "q2"]).select("doc", "a").distinct(), "versions")
+    ties = versions.join(versions.groupBy("doc").agg(F.min("a").alias("b")), "doc").select("a", "b")
     edges = found.unionByName(links(more, texts, threshold)).unionByName(ties.where("a <> b"))
-    label = components(edges)
-    classes = nodes.join(label, "id", "left").select("q1", "q2", F.coalesce("class", "id").alias("class_id"))
+    label = components(edges).join(nodes.select("id", "doc"), "id")
+    lowest = label.groupBy("class").agg(F.min("doc").alias("class_id"))
+    label = label.join(lowest, "class").select("id", "class_id")
+    classes = nodes.select("id", "q1", "q2", "doc").join(label, "id", "left").select("q1", "q2", F.coalesce("class_id", "doc").alias("class_id"))
     alone = (F.col("n") < 0) | F.col("id").isNull()
     return salted_join(signed.select("id", "q1", "q2", "n"), classes, ["q1", "q2"]).select(F.col("id").alias(doc_id), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"))
 
@@ -330,7 +365,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brute_force(docs: list[tuple], threshold: float = THRESHOLD, size: int = SHINGLE) -> list[tuple]:
-    """The same classes from all pairs, for tests (doc_ids are not repeated)."""
+    """The same classes from all pairs, for tests."""
     import re
     from collections import Counter
 
