@@ -150,11 +150,19 @@ def _(t):
     return t.ce.select("id", C.strip_jargon(raw).alias("said"))
 
 
+def blobs(rows):
+    blob, title = C.text_blob(F.col("name"), F.col("description"), F.col("organiser")), C.text_blob(F.col("name"), F.col("organiser"))
+    return rows.select("id", blob.alias("blob"), title.alias("title_scope"))
+
+
 @query("text_blob", "SELECT id, lower(name || ' ' || description || ' ' || organiser) AS blob, lower(name || ' ' || organiser) AS title_scope FROM cd WHERE NOT regexp_matches(description, '[^\\x00-\\x7F]')")
 def _(t):
-    plain = t.cd.where(~F.col("description").rlike(r"[^\x00-\x7F]"))
-    blob, title = C.text_blob(F.col("name"), F.col("description"), F.col("organiser")), C.text_blob(F.col("name"), F.col("organiser"))
-    return plain.select("id", blob.alias("blob"), title.alias("title_scope"))
+    return blobs(t.cd.where(~F.col("description").rlike(r"[^\x00-\x7F]")))
+
+
+@query("text_blob_all_texts", "SELECT id, lower(name || ' ' || description || ' ' || organiser) AS blob, lower(name || ' ' || organiser) AS title_scope FROM cd")
+def _(t):
+    return blobs(t.cd)
 
 
 _HASHED = ["name", "date", "end_date", "time", "venue_name", "cost", "format_type", "llm_tier", "score", "url", "verdict", "organiser"]

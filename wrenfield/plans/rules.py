@@ -42,6 +42,11 @@ def _(t):
     return plain(t).select("id", F.col("description").rlike(C.any_of(["that", "license", "idiot"])).alias("hit"))
 
 
+@query("keyword_match_all_texts")
+def _(t):
+    return t.cd.select("id", F.col("description").rlike(C.any_of(["that", "license", "idiot"])).alias("hit"))
+
+
 @query("veto", f"SELECT id, {_VETO} AS veto_reason FROM cd {PLAIN}")
 def _(t):
     return plain(t).select("id", scoring.veto_reason(t.cd).alias("veto_reason"))
@@ -52,10 +57,19 @@ def _(t):
     return t.cd.select("id", scoring.veto_reason(t.cd).alias("veto_reason"))
 
 
+def spared(t, rows):
+    hit = scoring.scopes(*map(F.col, ("name", "description", "organiser")))["blob"].rlike(C.any_of(["queque", "ener ench", "clown"]))
+    return rows.agg(F.count("*").alias("n"), F.count_if(hit & scoring.veto_reason(t.cd).isNull()).alias("spared"))
+
+
 @query("veto_exemption", f"SELECT count(*) AS n, count(*) FILTER ({word(('queque', 'ener ench', 'clown'), _BLOB)} AND {_VETO} IS NULL) AS spared FROM cd {PLAIN}")
 def _(t):
-    hit = scoring.scopes(*map(F.col, ("name", "description", "organiser")))["blob"].rlike(C.any_of(["queque", "ener ench", "clown"]))
-    return plain(t).agg(F.count("*").alias("n"), F.count_if(hit & scoring.veto_reason(t.cd).isNull()).alias("spared"))
+    return spared(t, plain(t))
+
+
+@query("veto_exemption_all_texts")
+def _(t):
+    return spared(t, t.cd)
 
 
 @query("cost_veto", f"SELECT id, coalesce({_COST} > 30, false) AS too_dear, contains(name, 'part 3') AND travel_transit_min > 50 AS far_park FROM ce")
@@ -63,17 +77,35 @@ def _(t):
     return t.ce.select("id", F.coalesce(scoring.cost_veto(F.col("cost")), F.lit(False)).alias("too_dear"), scoring.far_park_veto(F.col("name"), F.col("travel_transit_min")).alias("far_park"))
 
 
+def breakdown(t, rows):
+    return rows.select(scoring.veto_reason(t.cd).alias("veto_reason")).where("veto_reason is not null").groupBy("veto_reason").agg(F.count("*").alias("n"))
+
+
 @query("veto_breakdown", f"SELECT veto_reason, count(*) AS n FROM (SELECT {_VETO} AS veto_reason FROM cd {PLAIN}) WHERE veto_reason IS NOT NULL GROUP BY ALL")
 def _(t):
-    return plain(t).select(scoring.veto_reason(t.cd).alias("veto_reason")).where("veto_reason is not null").groupBy("veto_reason").agg(F.count("*").alias("n"))
+    return breakdown(t, plain(t))
 
 
-@query("classify_format", f"SELECT id, {_FORMAT} AS format_type FROM (SELECT id, replace(name, 'the', 'walk') AS name, replace(description, 'thanedble', 'workshop') AS description FROM cd {PLAIN})")
+@query("veto_breakdown_all_texts")
 def _(t):
-    named = plain(t).select("id", F.replace("name", F.lit("the"), F.lit("walk")).alias("name"), F.replace("description", F.lit("thanedble"), F.lit("workshop")).alias("description"))
+    return breakdown(t, t.cd)
+
+
+def formats(rows):
+    named = rows.select("id", F.replace("name", F.lit("the"), F.lit("walk")).alias("name"), F.replace("description", F.lit("thanedble"), F.lit("workshop")).alias("description"))
     return named.select("id", scoring.classify_format(F.col("name"), F.col("description")).alias("format_type"))
 
 
+@query("classify_format", f"SELECT id, {_FORMAT} AS format_type FROM (SELECT id, replace(name, 'the', 'walk') AS name, replace(description, 'thanedble', 'workshop') AS description FROM cd {PLAIN})")
+def _(t):
+    return formats(plain(t))
+
+
+@query("classify_format_all_texts")
+def _(t):
+    return formats(t.cd)
+
+
 @query("verify_format", "SELECT id, CASE WHEN format_type = 'Social meetup' AND id % 4 = 1 THEN 'Outdoor' ELSE format_type END AS format_type FROM ce")
 def _(t):
     name = F.when(F.col("id") % 4 == 1, F.concat("name", F.lit(", 6 or 8 miles"))).otherwise(F.col("name"))
