@@ -112,6 +112,19 @@ def _(t):
     return linkage.not_existing(*_split(t)).select("id")
 
 
+#: The new rows against all others: every row of ce is on one side.
+_PENDING, _STORED = "(SELECT * FROM ce WHERE pipeline_state = 'pending_llm')", "(SELECT * FROM ce WHERE pipeline_state <> 'pending_llm')"
+
+
+def _sides(t):
+    return t.ce.where("pipeline_state = 'pending_llm'"), t.ce.where("pipeline_state <> 'pending_llm'")
+
+
+@query("exact_dedup_all_rows", f"SELECT n.id FROM {_PENDING} n WHERE url NOT IN (SELECT url FROM {_STORED}) AND (name, date) NOT IN (SELECT (name, date) FROM {_STORED})")
+def _(t):
+    return linkage.not_existing(*_sides(t)).select("id")
+
+
 @query("exact_dedup_greedy")
 def _(t):
     return linkage.greedy(linkage.keys(t.ce))
@@ -125,6 +138,14 @@ def _(t):
     return linkage.reschedule(*_split(t))
 
 
+@query("reschedule_all_rows", f"""
+SELECT o.id, n.date, n.end_date, CASE WHEN o.pipeline_state IN ('expired', 'llm_rejected', 'vetoed') AND o.notion_page_id IS NULL THEN 'pending_llm' ELSE o.pipeline_state END AS pipeline_state
+FROM (SELECT url, max(id) AS i FROM {_PENDING} GROUP BY url) g JOIN {_PENDING} n ON n.id = g.i
+JOIN (SELECT url, max(id) AS i FROM {_STORED} GROUP BY url) h ON h.url = g.url JOIN {_STORED} o ON o.id = h.i WHERE n.date <> o.date""")
+def _(t):
+    return linkage.reschedule(*_sides(t))
+
+
 _PAIRS = f"""
 SELECT a.id, b.id AS other_id, CASE WHEN starts_with(a.name, b.name) OR starts_with(b.name, a.name) THEN 'prefix'
   WHEN len(list_intersect(a.w, b.w)) / least(len(a.w), len(b.w)) >= 0.7 THEN 'word_overlap' END AS kind
@@ -176,6 +197,11 @@ def _(t):
     return linkage.source_gaps(t.cal.where("calendar_id % 2 = 0"), matched).select("calendar_id", "title")
 
 
+@query("source_gaps_all_rows", f"SELECT calendar_id, title FROM cal WHERE calendar_id NOT IN (SELECT calendar_id FROM ({_MATCH}))")
+def _(t):
+    return linkage.source_gaps(t.cal, linkage.calendar_match(t.cal, t.ce)).select("calendar_id", "title")
+
+
 @query("virtual_filter", "SELECT calendar_id, CASE calendar_id % 4 WHEN 0 THEN 'empty' WHEN 1 THEN 'virtual' WHEN 2 THEN 'personal' END AS reason FROM cal")
 def _(t):
     place = F.when(F.col("calendar_id") % 4 == 0, "").when(F.col("calendar_id") % 4 == 1, "https://Zoom.us/j/1").otherwise(F.col("location"))
