@@ -103,6 +103,12 @@ def _(t):
     return both.where((F.size("a") > 0) & (F.size("b") > 0)).select("id", F.round(C.overlap(F.col("a"), F.col("b")), 6).alias("share"))
 
 
+@query("word_overlap_all_texts")
+def _(t):
+    """Share of the name's words in the whole text; no SQL, since DuckDB lists ASCII words only."""
+    return t.cd.select("id", F.round(C.overlap(C.words(F.lower("name")), C.words(F.lower("description"))), 6).alias("share"))
+
+
 @query("url_domain", f"SELECT page_id, {_HOST} AS domain, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) IN ('', '/') AS homepage FROM pg")
 def _(t):
     return t.pg.select("page_id", C.url_host(F.col("url")).alias("domain"), C.is_homepage(F.col("url")).alias("homepage"))
