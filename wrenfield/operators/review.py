@@ -83,7 +83,8 @@ def disagreements(cand: DataFrame, rule_tier: Column, review_tier: Column) -> Da
 def borderline_cap(cand: DataFrame, s: Settings = DEFAULT) -> DataFrame:
     """Accepted rows (id, llm_tier, score) with ``demoted``: the lowest borderline ones beyond the share.
 
-    How many go is one number; which they are is a top-k by score and id, not a global sort of all rows.
+    How many go is one number. Counts by score tell the score at which it is reached: lower ones go whole, and the
+    ids of that score are numbered by range counts, so no task gathers all rows that go.
     """
     accepted = cand.where(F.col("llm_tier") != "Not Recommended")
     t, b = accepted.agg(F.count("*"), F.count_if(F.col("llm_tier") == "Borderline")).first()
@@ -91,8 +92,15 @@ def borderline_cap(cand: DataFrame, s: Settings = DEFAULT) -> DataFrame:
     import math
 
     excess = min(b, math.ceil((b - share * t) / (1 - share) - 1e-9)) if t > s.borderline_least and b / t > share else 0
-    low = accepted.where("llm_tier = 'Borderline'").orderBy(F.coalesce("score", F.lit(0)), "id").limit(excess).select("id").withColumn("demoted", F.lit(True))
-    return accepted.join(low, "id", "left").withColumn("demoted", F.coalesce("demoted", F.lit(False)))
+    if excess <= 0:
+        return accepted.withColumn("demoted", F.lit(False))
+    score, borderline = F.coalesce("score", F.lit(0)), F.col("llm_tier") == "Borderline"
+    counts = accepted.where(borderline).groupBy(score.alias("at")).agg(F.count("*").alias("n"))
+    reached = counts.withColumn("upto", F.sum("n").over(Window.orderBy("at"))).where(F.col("upto") >= excess)
+    edge, upto, n = reached.agg(F.min(F.struct("at", "upto", "n")).alias("e")).select("e.at", "e.upto", "e.n").first()
+    last = numbered(accepted.where(borderline & (score == edge)), excess - (upto - n)).where("batch = 1")
+    j = accepted.join(last.select("id", F.lit(True).alias("last")), "id", "left")
+    return j.withColumn("demoted", borderline & ((score < edge) | F.coalesce("last", F.lit(False)))).drop("last")
 
 
 def gates(cand: DataFrame, as_of: str, run_date: str) -> DataFrame:
