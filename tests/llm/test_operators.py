@@ -103,13 +103,40 @@ def test_near_copies_of_versions(spark):
 
 def test_dart_signatures_estimate_weighted_jaccard():
     rnd = np.random.default_rng(3)
-    a = rnd.integers(1, 2**63, 400, dtype=np.uint64)
-    b = np.concatenate((a[:320], rnd.integers(1, 2**63, 80, dtype=np.uint64)))
-    of = np.repeat([0, 1], 400)
-    s = near_dedup.signatures(np.concatenate((a, b)), of, 2, 2000)
-    assert abs((s[0] == s[1]).mean() - 320 / 480) < 0.05
-    assert (s > 0).all()
+    shared, own = rnd.integers(1, 2**63, 300, dtype=np.uint64), [rnd.integers(1, 2**63, 100, dtype=np.uint64) for _ in range(2)]
+    for scale in (1.0, 1e-3, 1e5):  # any positive weights, and the work does not follow them
+        w = [np.exp(rnd.normal(0, 2, 400)) * scale for _ in range(2)]
+        w[1][:200] = w[0][:200]
+        element, of = np.concatenate((shared, own[0], shared, own[1])), np.repeat([0, 1], 400)
+        s = near_dedup.signatures(element, of, np.concatenate(w), 2, 4000)
+        low, high = (sum(f(w[0][i], w[1][i]) for i in range(300)) for f in (min, max))
+        want = low / (high + w[0][300:].sum() + w[1][300:].sum())
+        assert abs((s[0] == s[1]).mean() - want) < 0.04
+        assert (s > 0).all()
     assert list(near_dedup.similarity(pa.array(["a a a b c d e f a a a"]), pa.array(["a a a b c d e f a a a"]))) == [1.0]
+    a, b = "a a a a a a a b", "a a a a a a a a a a c"  # (a a a a a) weighs 3 and 6
+    assert near_dedup.similarity(pa.array([a]), pa.array([b]))[0] == 3 / 8
+
+
+def test_agreement_counts_equal_coordinates(spark):
+    rnd = np.random.default_rng(4)
+    a = rnd.integers(1, 2**40, (50, 144), dtype=np.uint64)
+    b = np.where(rnd.random((50, 144)) < 0.6, a, rnd.integers(1, 2**40, (50, 144), dtype=np.uint64))
+    x, y = (near_dedup.band_values(s, 24, 6) for s in (a, b))
+    df = spark.createDataFrame([(i, x[i].astype(np.int64).tolist(), y[i].astype(np.int64).tolist()) for i in range(50)], "i int, x array<bigint>, y array<bigint>")
+    got = [r[0] for r in df.orderBy("i").select(near_dedup.agreement("x", "y", 6)).collect()]
+    assert all(0 <= g - w <= 3 for g, w in zip(got, (a == b).sum(axis=1)))
+    shared = [(a[i].reshape(6, 24) == b[i].reshape(6, 24)).all(axis=0) for i in range(50)]
+    assert all((x[i] == y[i])[shared[i]].all() for i in range(50))
+    assert sum(((x[i] == y[i]) != shared[i]).sum() for i in range(50)) <= 5  # by chance
+
+
+def test_word_sequences_with_one_polynomial_hash_are_not_copies(spark):
+    thue = [bin(i).count("1") % 2 for i in range(1024)]
+    texts = [(1, " ".join("ab"[x] for x in thue)), (2, " ".join("ba"[x] for x in thue)), (3, " ".join("AB"[x] for x in thue))]
+    signed = spark.createDataFrame(texts, "id long, text string").mapInArrow(near_dedup._sign(24, 6), near_dedup.SIGNED)
+    q = {r.id: (r.q1, r.q2) for r in signed.collect()}
+    assert q[1] != q[2] and q[1] == q[3]
 
 
 def test_suffix_arrays():

@@ -1,173 +1,203 @@
-"""Near-duplicate classes from DartMinHash signatures.
+"""Near-duplicate classes from DartMinHash signatures and banded joining.
 
 A text is a weighted set: its shingles of five words, each weighing as often as it occurs (a text of one to
 four words is one shingle). Two texts are linked if their weighted Jaccard similarity, sum of minima over sum
 of maxima, is at least ``threshold``; classes are the connected components of the links.
 
-1. *Copies.* Texts with equal word sequences form one node, by counting on a 128-bit hash. Nodes have numbers of
+1. *Copies.* Texts with equal word sequences form one node, by a 128-bit hash of the words. Nodes have numbers of
    their own, since a doc_id with several texts stands in several nodes.
-2. *Darts.* Each unit of weight of a shingle has a Poisson sequence of darts, hashed from shingle, unit and
-   number: a dart has a rank (exponential gaps) and one of ``bands * rows`` coordinates. A text throws only the
-   darts below the rank at which about ``t (ln t + 3)`` fall into its whole weight, however many shingles it
-   has, and more only if a coordinate stays empty. The earliest dart of each coordinate is the signature; two
-   texts agree in a coordinate with probability equal to their similarity.
-3. *Bands.* ``rows`` coordinates form a band; nodes that share a band meet in its bucket.
-   With 36 bands of 4, a pair at 0.8 misses all buckets with probability 6e-9.
-4. *Pairs.* A passage that many texts share makes bands agree though the texts are not similar, so pairs are not
-   made of buckets. Nodes that met any other are dealt to buckets of their rarest shingles instead: the prefix of a
-   set in order of rarity. Two sets of similarity s share one of the first (1 - s) n + 1 shingles, whatever the
-   order is, so nothing is lost here. The order comes from a sketch of ``2**SLOTS`` counters; those far above the
-   mean load are common and come last.
-5. *Links.* First every node of a bucket is compared with the bucket's smallest and largest node; components of
-   these links are found; then in buckets that still hold several components all pairs across components are
-   compared. So a large group of copies costs two comparisons a node and bucket, not all pairs, and no pair
-   that shares a bucket goes untested unless its ends are already connected. Comparison is exact, on whole texts.
+2. *Darts.* An element's region is weight x rank: darts fall on it as a Poisson process of density one, hashed
+   from the shingle and from cells of the region (weights from 0 to 1, 1 to 2, 2 to 4, ...; ranks in slabs that hold
+   one dart on average), so that the work follows the darts wanted and not the weights, which may be any positive
+   numbers. A text throws the darts below the rank at which about ``t (ln t + 3)`` fall into its whole weight,
+   and more only if a coordinate stays empty. The earliest dart of each of ``t = bands * rows`` coordinates is the
+   signature; two texts agree in a coordinate with probability equal to their similarity.
+3. *Bands.* ``rows`` coordinates form a band; nodes that share a band meet in its bucket. With 24 bands of 6,
+   a pair at 0.8 misses all buckets with probability 0.0007.
+4. *Centres.* The centre of a bucket is its most popular node, the one whose buckets hold most nodes altogether:
+   of a text and its altered copies, that is the text. Every node of a bucket is compared with the centre, so
+   a group of copies costs one comparison a node and bucket, not all pairs; components of these links are found.
+5. *The rest.* In buckets that still hold several components, pairs across components are made, each in the first
+   band that it shares, if the signatures agree as much as those of linked texts do (four standard deviations
+   below the threshold: one in 30,000 pairs at 0.8 is missed). No number of partners is capped.
+6. *Links.* Comparison is exact, on whole texts (64-bit hashes of the shingles).
 
 Rows of one doc_id are versions of one document: each is compared as a node, then they share a class. The class id is the smallest doc_id of the
 class. Texts without words have no shingles: equal non-empty ones are copies, null and empty ones stay alone.
-A null doc_id has a null class and stays alone. Empty tables give empty results.
+A null doc_id has a null class and stays alone. Empty tables give empty results. Very long texts are read whole, in steps
+of their own. Other columns, whatever their names, are not read by ``near_duplicates`` and pass through ``keep_one`` unchanged.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import words as W
-from .common import salted_join, shielded, stage, steps, text_bytes
+from .common import discard, released, salted_join, shielded, stage, steps, text_bytes
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 36, 4
-SLOTS = 22
-#: Times the mean load of a slot (and copies at least) beyond which a shingle is common.
-COMMON_LOAD, COMMON_LEAST = 4, 16
-#: Texts of one numpy step at most; a cell (text, coordinate) takes 24 bits.
-STEP_TEXTS = 100_000
-_GAP, _COORDINATE, _UNIT = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
-
-
-def units(data: np.ndarray, off: np.ndarray, size: int = SHINGLE):
-    """(hash, text) of every unit of weight, and (two hashes, number of words) of each text's word sequence.
-
-    The m-th occurrence of a shingle is a unit of its own, so that sets of units have the weighted Jaccard
-    similarity of the weighted sets.
-    """
+BANDS, ROWS = 24, 6
+#: Darts of one numpy step, about.
+STEP_DARTS = 500_000
+#: Bits of a band: its number above, the fields of its rows below.
+BAND_BITS = 54
+_LEVEL, _SLAB, _DART, _COORDINATE, _PLACE = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F))
+#: A uniform 64-bit value has as many of these below it as a Poisson variable of mean one counts.
+_POISSON = np.array([min(2**64 - 1, int(2**64 * sum(math.exp(-1) / math.factorial(i) for i in range(n + 1)))) for n in range(16)], np.uint64)
+
+
+def shingles(data: np.ndarray, off: np.ndarray, size: int = SHINGLE):
+    """(hash, text, weight) of each text's distinct shingles, by text and hash."""
     _, _, h, text = W.words(data, off)
     n = len(off) - 1
     begin = np.searchsorted(text, np.arange(n + 1))
     many = np.diff(begin)
-    keys = []
-    for values, base in ((h, W.WINDOW_BASE), (W.mix(h ^ _UNIT), W.BASE)):
-        sums, inv = W.range_sums(values, base)
-        keys.append(W.mix((sums[begin[1:]] - sums[begin[:-1]]) * inv[begin[:-1]]))
     shingle, at = W.windows(h, text, size)
     of = text[at]
     short = np.flatnonzero((many > 0) & (many < size))
     if len(short):
-        shingle, of = np.concatenate((shingle, keys[0][short])), np.concatenate((of, short))
-    if len(of):
-        order = np.lexsort((shingle, of))
-        shingle, of = shingle[order], of[order]
-        fresh = np.concatenate(([True], (shingle[1:] != shingle[:-1]) | (of[1:] != of[:-1])))
-        first = np.flatnonzero(fresh)
-        nth = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
-        shingle = W.mix(shingle + nth.astype(np.uint64) * _UNIT)
-    return shingle, of, keys, many
+        sums, inv = W.range_sums(h, W.WINDOW_BASE)
+        whole = W.mix((sums[begin[short + 1]] - sums[begin[short]]) * inv[begin[short]])
+        shingle, of = np.concatenate((shingle, whole)), np.concatenate((of, short))
+    order = np.lexsort((shingle, of))
+    shingle, of = shingle[order], of[order]
+    first = np.flatnonzero(np.concatenate(([True], (shingle[1:] != shingle[:-1]) | (of[1:] != of[:-1])))[: len(of)])
+    return shingle[first], of[first], np.diff(np.append(first, len(of)))
+
 
+def _numbered(many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number within it) of the rows repeated ``many`` times."""
+    row = np.repeat(np.arange(len(many)), many)
+    return row, np.arange(len(row)) - (np.cumsum(many) - many)[row]
 
-def _times(a: np.uint64, n: int) -> np.uint64:
-    return np.uint64(int(a) * n & (1 << 64) - 1)
 
+def _uniform(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
-def signatures(unit: np.ndarray, of: np.ndarray, texts: int, t: int) -> np.ndarray:
-    """Earliest dart of each coordinate (its rank's leading bits), texts x t; of texts that have units."""
-    weight = np.bincount(of, minlength=texts)
+
+def signatures(element: np.ndarray, of: np.ndarray, weight: np.ndarray, texts: int, t: int) -> np.ndarray:
+    """Earliest dart of each coordinate (its rank's leading bits, 0 if there are no elements), texts x t."""
+    total = np.bincount(of, weights=weight, minlength=texts)
     out = np.zeros((texts, t), np.uint64)
-    todo = np.flatnonzero(weight)
-    darts = t * (np.log(t) + 3)
+    todo = np.flatnonzero(total > 0)
+    darts = t * (math.log(t) + 3)
     while len(todo):
-        # units of the texts to do, with the rank below which about `darts` darts fall into the text's weight
         wanted = np.zeros(texts, bool)
         wanted[todo] = True
         pick = wanted[of]
-        u, cell = unit[pick], of[pick]
-        limit = darts / np.maximum(weight, 1)
-        rank, cells, ranks = np.zeros(len(u)), [], []
-        n = 0
-        while len(u):
-            n += 1
-            draw = W.mix(u + _times(_GAP, n))
-            rank = rank - np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53)
-            in_reach = rank <= limit[cell]
-            u, cell, rank = u[in_reach], cell[in_reach], rank[in_reach]
-            if len(u):
-                at = ((W.mix(u + _times(_COORDINATE, n)) >> np.uint64(32)) * np.uint64(t)) >> np.uint64(32)
-                cells.append(cell.astype(np.uint64) * np.uint64(t) + at)
-                ranks.append(rank)
-        if cells:
-            # positive floats sort like their bits; the cell goes above them
-            both = (np.concatenate(cells) << np.uint64(40)) | (np.concatenate(ranks).view(np.uint64) >> np.uint64(24))
-            both.sort()
-            where = both >> np.uint64(40)
-            first = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
-            out.reshape(-1)[where[first].astype(np.int64)] = both[first] & np.uint64((1 << 40) - 1)
+        u, cell, w = element[pick], of[pick], weight[pick].astype(np.float64)
+        limit = darts / total[cell]
+        # levels of weight: 0 to 1, then doubling
+        row, level = _numbered(1 + np.ceil(np.log2(np.maximum(w, 1))).astype(np.int64))
+        width = 2.0 ** np.maximum(level - 1, 0)
+        key = W.mix(u[row] + level.astype(np.uint64) * _LEVEL)
+        # slabs of rank with one dart on average
+        at, slab = _numbered(np.ceil(limit[row] * width).astype(np.int64))
+        key = W.mix(key[at] + slab.astype(np.uint64) * _SLAB)
+        which, nth = _numbered(np.searchsorted(_POISSON, key, "right"))
+        key = W.mix(key[which] + (nth.astype(np.uint64) + np.uint64(1)) * _DART)
+        at, slab = at[which], slab[which]
+        row = row[at]
+        rank = (slab + _uniform(key)) / width[at]
+        inside = rank <= limit[row]
+        tall = np.flatnonzero(w[row] != np.where(level[at] == 0, 1, 2 * width[at]))  # the region ends within the level, or above it
+        place = np.where(level[at[tall]] == 0, 0, width[at[tall]]) + _uniform(W.mix(key[tall] ^ _PLACE)) * width[at[tall]]
+        inside[tall] &= place < w[row[tall]]
+        key, rank, row = key[inside], rank[inside], row[inside]
+        column = ((W.mix(key ^ _COORDINATE) >> np.uint64(32)) * np.uint64(t)) >> np.uint64(32)
+        # positive floats sort like their bits; the cell goes above them
+        both = ((cell[row].astype(np.uint64) * np.uint64(t) + column) << np.uint64(40)) | ((rank.view(np.uint64) >> np.uint64(23)) & np.uint64((1 << 40) - 1))
+        both.sort()
+        where = both >> np.uint64(40)
+        first = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1]))[: len(both)])
+        out.reshape(-1)[where[first].astype(np.int64)] = both[first] & np.uint64((1 << 40) - 1) | np.uint64(1 << 40)
         todo = todo[(out[todo] == 0).any(axis=1)]
         darts *= 2
     return out
 
 
-def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    h = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * _UNIT
+def band_values(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One number a band: the band's own number, then some hashed bits of each of its coordinates."""
+    bits = BAND_BITS // rows
+    out = np.broadcast_to(np.arange(bands, dtype=np.uint64)[None, :] << np.uint64(BAND_BITS), (len(signature), bands)).copy()
     for r in range(rows):
-        h = W.mix(h + signature[:, r::rows][:, :bands] * _GAP)
-    return h
+        out |= (W.mix(signature[:, r * bands : (r + 1) * bands]) >> np.uint64(64 - bits)) << np.uint64(bits * r)
+    return out
 
 
-SIGNED = T.StructType([T.StructField("id", T.LongType())] + [T.StructField(c, T.LongType(), False) for c in ("q1", "q2")] + [T.StructField("n", T.IntegerType(), False), T.StructField("bands", T.ArrayType(T.LongType(), False))])
+def agreement(a: str, b: str, rows: int) -> Column:
+    """In how many coordinates the band values ``a`` and ``b`` agree: fields of their difference that are zero."""
+    bits = BAND_BITS // rows
+    top = sum(1 << (bits * r + bits - 1) for r in range(rows))
+    low = sum(((1 << bits - 1) - 1) << (bits * r) for r in range(rows))
+    x = "(x ^ y)"
+    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> {rows} - bit_count(((({x} & {low}L) + {low}L) | {x}) & {top}L)), 0, (s, v) -> s + v)")
+
+
+def alike(a: str, b: str, threshold: float, bands: int, rows: int) -> Column:
+    """Whether the signatures agree as those of linked texts do, but for four standard deviations."""
+    t = bands * rows
+    return agreement(a, b, rows) >= t * threshold - 4 * math.sqrt(t * threshold * (1 - threshold))
+
+
+SIGNED = T.StructType([T.StructField("id", T.LongType())] + [T.StructField(c, T.LongType(), False) for c in ("q1", "q2")] + [T.StructField("n", T.LongType(), False), T.StructField("bands", T.ArrayType(T.LongType(), False))])
+
+
+def _digests(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """128-bit hashes of the texts' words, n x 2; of the text itself where it has none."""
+    spoken, at = W.spoken(raw, off)
+    said, plain = memoryview(spoken), memoryview(raw)
+    cut, whole = at.tolist(), off.tolist()
+    out = bytearray()
+    for i in range(len(off) - 1):
+        out += xxhash.xxh3_128_digest(said[cut[i] : cut[i + 1]]) if cut[i] < cut[i + 1] else xxhash.xxh3_128_digest(plain[whole[i] : whole[i + 1]], 1)
+    return np.frombuffer(bytes(out), np.int64).reshape(-1, 2)
 
 
 def _sign(bands: int, rows: int):
     def run(batches):
-        schema = to_arrow_schema(SIGNED)
+        schema, t = to_arrow_schema(SIGNED), bands * rows
+        most = max(1, int(STEP_DARTS / (t * (math.log(t) + 3))))
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
             ids = batch.column("id")
-            for i, j in steps(off):
-                for i in range(i, j, STEP_TEXTS):  # noqa: PLW2901
-                    k = min(j, i + STEP_TEXTS)
+            for first, last in steps(off):
+                for i in range(first, last, most):
+                    k = min(last, i + most)
                     own, raw = off[i : k + 1] - off[i], data[off[i] : off[k]]
-                    unit, of, (q1, q2), many = units(raw, own)
-                    for x in np.flatnonzero((many == 0) & (np.diff(own) > 0)):  # without words: the text itself
-                        sums, inv = W.range_sums(W.BYTE_VALUE[raw[own[x] : own[x + 1]]], W.WINDOW_BASE)
-                        q1[x], q2[x] = W.mix(sums[-1:] ^ _UNIT)[0], W.mix(sums[-1:])[0]
-                    weight = np.bincount(of, minlength=k - i)
-                    h = band_hashes(signatures(unit, of, k - i, bands * rows), bands, rows)
-                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(weight > 0, bands, 0)))).astype(np.int32)), pa.array(h[weight > 0].reshape(-1).view(np.int64)))
-                    # n: units of weight, 0 for texts without words, -1 for empty ones
-                    size = np.where(np.diff(own) == 0, -1, weight).astype(np.int32)
-                    columns = [ids.slice(i, k - i), pa.array(q1.view(np.int64)), pa.array(q2.view(np.int64)), pa.array(size), lists.cast(schema.field("bands").type)]
+                    element, of, weight = shingles(raw, own)
+                    q = _digests(raw, own)
+                    total = np.bincount(of, weights=weight, minlength=k - i).astype(np.int64)
+                    h = band_values(signatures(element, of, weight, k - i, t), bands, rows)
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(total > 0, bands, 0)))).astype(np.int32)), pa.array(h[total > 0].reshape(-1).view(np.int64)))
+                    # n: total weight, 0 for texts without words, -1 for empty ones
+                    size = np.where(np.diff(own) == 0, -1, total)
+                    columns = [ids.slice(i, k - i), pa.array(q[:, 0].copy()), pa.array(q[:, 1].copy()), pa.array(size), lists.cast(schema.field("bands").type)]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return run
+    return released(run)
 
 
 KEYED = T.StructType([T.StructField("doc", T.LongType()), T.StructField("q1", T.LongType(), False), T.StructField("q2", T.LongType(), False), T.StructField("text", T.StringType())])
 
 
 def _keyed(batches):
-    """(doc, q1, q2, text) of rows (doc, text), by the hashes that ``_sign`` gives texts with words."""
+    """(doc, q1, q2, text) of rows (doc, text), by the hashes that ``_sign`` gives."""
     schema = to_arrow_schema(KEYED)
     for batch in batches:
         data, off = text_bytes(batch.column("text"))
-        q1, q2 = (np.zeros(len(off) - 1, np.uint64) for _ in range(2))
-        for i, j in steps(off):
-            _, _, (q1[i:j], q2[i:j]), _ = units(data[off[i] : off[j]], off[i : j + 1] - off[i])
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(q1.view(np.int64)), pa.array(q2.view(np.int64)), batch.column("text").cast(schema.field("text").type)], schema=schema)
+        q = [_digests(data[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in steps(off)]
+        q = np.concatenate(q) if q else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(q[:, 0].copy()), pa.array(q[:, 1].copy()), batch.column("text").cast(schema.field("text").type)], schema=schema)
 
 
 def similarity(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -175,14 +205,14 @@ def similarity(a: pa.Array, b: pa.Array) -> np.ndarray:
     out = np.zeros(len(a))
     (da, oa), (db, ob) = text_bytes(a), text_bytes(b)
     for i, j in steps(oa + ob):
-        ua, fa, _, _ = units(da[oa[i] : oa[j]], oa[i : j + 1] - oa[i])
-        ub, fb, _, _ = units(db[ob[i] : ob[j]], ob[i : j + 1] - ob[i])
-        of = np.concatenate((fa, fb))
-        key = W.mix(np.concatenate((ua, ub)) + of.astype(np.uint64) * _GAP)
-        order = np.argsort(key, kind="stable")
-        key, of = key[order], of[order]
-        both = np.bincount(of[1:][key[1:] == key[:-1]], minlength=j - i)
-        out[i:j] = both / np.maximum(np.bincount(of, minlength=j - i) - both, 1)
+        ua, fa, wa = shingles(da[oa[i] : oa[j]], oa[i : j + 1] - oa[i])
+        ub, fb, wb = shingles(db[ob[i] : ob[j]], ob[i : j + 1] - ob[i])
+        u, of, w = np.concatenate((ua, ub)), np.concatenate((fa, fb)), np.concatenate((wa, wb))
+        order = np.lexsort((u, of))
+        u, of, w = u[order], of[order], w[order]
+        met = np.flatnonzero((u[1:] == u[:-1]) & (of[1:] == of[:-1]))
+        both = np.bincount(of[met], weights=np.minimum(w[met], w[met + 1]), minlength=j - i)
+        out[i:j] = both / np.maximum(np.bincount(of, weights=w, minlength=j - i) - both, 1)
     return out
 
 
@@ -192,7 +222,7 @@ def _linked(threshold: float):
             keep = pa.array(similarity(batch.column("ta"), batch.column("tb")) >= threshold)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    return run
+    return released(run)
 
 
 def links(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -224,72 +254,19 @@ def components(edges: DataFrame) -> DataFrame:
         at = new
 
 
-def _sketch(batches):
-    """(slot, count) of the slots far above the mean load of this task."""
-    counts, n = np.zeros(1 << SLOTS, np.int32), 0
-    for batch in batches:
-        data, off = text_bytes(batch.column("text"))
-        for i, j in steps(off):
-            unit, _, _, _ = units(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            slot, many = np.unique((unit >> np.uint64(64 - SLOTS)).astype(np.int64), return_counts=True)
-            counts[slot] += many.astype(np.int32)
-            n += len(unit)
-    heavy = np.flatnonzero(counts > max(2, n * COMMON_LOAD >> SLOTS))
-    yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(counts[heavy].astype(np.int64)), pa.array(np.full(len(heavy), n))], names=["slot", "count", "units"])
-
-
-RARE = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType(), False), T.StructField("common", T.DoubleType(), False), T.StructField("prefix", T.ArrayType(T.LongType(), False), False)])
-
-
-def _rarest(sent, threshold: float):
-    def run(batches):
-        schema = to_arrow_schema(RARE)
-        slots, loads = sent.value
-        for batch in batches:
-            data, off = text_bytes(batch.column("text"))
-            for i, j in steps(off):
-                unit, of, _, _ = units(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                slot = (unit >> np.uint64(64 - SLOTS)).astype(np.int64)
-                at = np.minimum(np.searchsorted(slots, slot), max(0, len(slots) - 1))
-                load = np.where(slots[at] == slot, loads[at], 0) if len(slots) else np.zeros(len(slot), np.int64)
-                order = np.lexsort((unit, load, of))
-                unit, of, load = unit[order], of[order], load[order]
-                n = np.bincount(of, minlength=j - i)
-                common = np.bincount(of[load > 0], minlength=j - i) / np.maximum(n, 1)
-                nth = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                length = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
-                taken = nth < length[of]
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(unit[taken].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(n.astype(np.int32)), pa.array(common), lists.cast(schema.field("prefix").type)], schema=schema)
-
-    return run
-
-
-def rarest(texts: DataFrame, threshold: float) -> DataFrame:
-    """Of each text (id, text): units of weight, the common share of them, and its rarest ones.
-
-    Tasks count apart and report their loaded slots; at most ``2**SLOTS`` are gathered and broadcast.
-    """
-    counted = texts.select("text").mapInArrow(_sketch, "slot long, count long, units long")
-    heavy = counted.groupBy("slot").agg(F.sum("count").alias("count"), F.sum("units").alias("units")).where((F.col("count") > COMMON_LEAST) & (F.col("count") > COMMON_LOAD * F.col("units") / (1 << SLOTS))).orderBy("slot").toPandas()
-    sent = texts.sparkSession.sparkContext.broadcast((heavy["slot"].to_numpy(np.int64), heavy["count"].to_numpy(np.int64)))
-    return texts.select("id", "text").mapInArrow(_rarest(sent, threshold), RARE)
+def likely(pairs: DataFrame, nodes: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sizes and signatures allow a link."""
+    own = nodes.select("id", "n", "bands")
+    both = pairs.join(own.toDF("a", "na", "ba"), "a").join(own.toDF("b", "nb", "bb"), "b")
+    return both.where((F.least("na", "nb") >= threshold * F.greatest("na", "nb")) & alike("ba", "bb", threshold, bands, rows)).select("a", "b")
 
 
-def enough(threshold: float, left_a: str, left_b: str, size_a: str, size_b: str) -> Column:
-    """Whether two sets can be similar that have a unit in common, of which each has ``left`` from there on.
-
-    From the first common unit on they share no more than the smaller rest; a similarity of s needs
-    s / (1 + s) of both sizes together.
-    """
-    return F.least(left_a, left_b) >= threshold / (1 + threshold) * (F.col(size_a) + F.col(size_b)) - 1e-6
-
-
-def across(met: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): pairs of different classes in a bucket of ``met`` that can share enough."""
-    x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("left").alias(f"l{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
-    close = enough(threshold, "la", "lb", "na", "nb")
-    return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close).select("a", "b")
+def across(met: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """(a, b): pairs of different classes that share a bucket of ``met`` and may be linked, once each."""
+    x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("bands").alias(f"b{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
+    sizes = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+    first = F.expr(f"array_position(zip_with(ba, bb, (x, y) -> x = y), true) = shiftright(bucket, {BAND_BITS}) + 1")
+    return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & sizes & first & alike("ba", "bb", threshold, bands, rows)).select("a", "b")
 
 
 def node_texts(named: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -314,37 +291,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     said = signed.where("n >= 0 and id is not null")
     nodes = said.groupBy("q1", "q2").agg(F.min(F.struct(F.col("id").alias("doc"), "n", "bands")).alias("one"))
     nodes = stage(nodes.select(F.monotonically_increasing_id().alias("id"), "q1", "q2", "one.*"), "nodes")
-    placed = nodes.select("id", "n", F.explode("bands").alias("bucket"))
-    ends = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket")
-    shared = stage(placed.join(ends, "bucket"), "shared")
-    met = shared.select("id").distinct()
+    placed = nodes.select("id", F.explode("bands").alias("bucket"))
+    crowds = placed.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    shared = stage(placed.join(stage(crowds, "crowds"), "bucket"), "shared")
+    popular = shared.groupBy("id").agg(F.sum("crowd").alias("popularity"))
+    centres = shared.join(popular, "id").groupBy("bucket").agg(F.max(F.struct("popularity", "id"))["id"].alias("centre"))
+    drawn = shared.join(stage(centres, "centres"), "bucket").where("id <> centre")
+    drawn = drawn.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    met = stage(shared.select("id").distinct(), "met")
+    own = stage(nodes.join(met, "id", "left_semi"), "own")
+    tested = stage(likely(drawn, own, threshold, bands, rows), "tested")
+
     key = F.struct("q1", "q2")
     repeated = said.groupBy(F.col("id").alias("doc")).agg(F.count("*").alias("many"), F.min(key).alias("lo"), F.max(key).alias("hi"))
     repeated = stage(repeated.where("many > 1").select("doc", (F.col("lo") != F.col("hi")).alias("differ")), "repeated")
-    texts = node_texts(named.where("text is not null").toDF("doc", "text"), nodes.join(met, "id", "left_semi"), repeated.select("doc"))
+    texts = node_texts(named.where("text is not null").toDF("doc", "text"), own.select("id", "doc", "q1", "q2"), repeated.select("doc"))
     texts = stage(texts, "texts")
-    rare = stage(rarest(texts, threshold), "rare")
-
-    placed = rare.select("id", "n", F.posexplode("prefix").alias("at", "bucket")).select("bucket", "id", "n", (F.col("n") - F.col("at")).alias("left"))
-    one = F.struct("id", "n", "left")
-    ends = placed.groupBy("bucket").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.id <> high.id")
-    shared = stage(placed.join(ends, "bucket"), "buckets")
-    ends = shared.select("id", "n", "left", F.explode(F.array("low", "high")).alias("end")).where("id <> end.id")
-    ends = ends.where(enough(threshold, "left", "end.left", "n", "end.n"))
-    tested = stage(ends.select(F.least("id", "end.id").alias("a"), F.greatest("id", "end.id").alias("b")).distinct(), "tested")
     found = stage(links(tested, texts, threshold), "links")
     label = components(found)
-    known = shared.join(label, "id", "left").select("bucket", "id", "n", "left", F.coalesce("class", "id").alias("class"))
+    known = shared.join(label, "id", "left").select("bucket", "id", F.coalesce("class", "id").alias("class"))
     apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    more = across(known.join(apart, "bucket", "left_semi"), threshold).distinct().join(tested, ["a", "b"], "left_anti")
+    known = known.join(stage(apart, "apart"), "bucket", "left_semi").join(own.select("id", "n", "bands"), "id")
+    more = across(known, threshold, bands, rows).join(tested, ["a", "b"], "left_anti")
+    more = stage(links(stage(more, "more"), texts, threshold), "links")
     # a doc_id with several texts ties their nodes together
     versions = said.join(repeated.where("differ").select(F.col("doc").alias("id")), "id", "left_semi").select(F.col("id").alias("doc"), "q1", "q2")
     versions = stage(versions.join(nodes.select("q1", "q2", F.col("id").alias("a")), ["q1", "q2"]).select("doc", "a").distinct(), "versions")
     ties = versions.join(versions.groupBy("doc").agg(F.min("a").alias("b")), "doc").select("a", "b")
-    edges = found.unionByName(links(more, texts, threshold)).unionByName(ties.where("a <> b"))
+    edges = found.unionByName(more).unionByName(ties.where("a <> b"))
     label = components(edges).join(nodes.select("id", "doc"), "id")
     lowest = label.groupBy("class").agg(F.min("doc").alias("class_id"))
-    label = label.join(lowest, "class").select("id", "class_id")
+    label = stage(label.join(lowest, "class").select("id", "class_id"), "labels")
+    discard(texts, own, shared, tested)
     classes = nodes.select("id", "q1", "q2", "doc").join(label, "id", "left").select("q1", "q2", F.coalesce("class_id", "doc").alias("class_id"))
     alone = (F.col("n") < 0) | F.col("id").isNull()
     return salted_join(signed.select("id", "q1", "q2", "n"), classes, ["q1", "q2"]).select(F.col("id").alias(doc_id), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"))

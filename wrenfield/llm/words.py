@@ -74,6 +74,18 @@ def words(data: np.ndarray, off: np.ndarray):
     return starts, ends, h, np.searchsorted(off, starts, "right") - 1
 
 
+def spoken(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' lower-cased words, a blank after each (bytes and offsets): equal for equal word sequences."""
+    low = LOWER[data]
+    starts, ends, _, text = words(data, off)
+    many = ends - starts + 1
+    said = np.full(int(many.sum()), 32, np.uint8)
+    inner = np.ones(len(said), bool)
+    inner[np.cumsum(many) - 1] = False
+    said[inner] = low[IS_WORD[low]]
+    return said, np.concatenate(([0], np.cumsum(np.bincount(text, weights=many, minlength=len(off) - 1)))).astype(np.int64)
+
+
 def windows(h: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``size`` words that stay within a text, and the number of each one's first word."""
     if len(h) < size:
