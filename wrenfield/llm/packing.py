@@ -1,21 +1,24 @@
 """Best-fit packing of tokenised documents into sequences of a fixed length.
 
 Documents become token ids closed by an end id; only those longer than a sequence are cut. The pieces are dealt
-to packers of about ``PIECES_A_PACKER`` pieces, however many documents there are. Each packer takes them longest
-first and places each into the open sequence with the least space that still holds it: a bitset has a bit
-for every amount of free space that some open sequence has, so that the fit is found with two integer
-operations. At most ``OPEN`` sequences are open; beyond that the fullest one is closed. A packer's output depends
-on its rows alone (they are sorted), so a lost task gives the same placements again.
+to packers of about ``PIECES_A_PACKER`` pieces, however many documents there are. Each packer takes them in ``ROUNDS``
+rounds, each longest first, and places each into the open sequence with the least space that still holds it: a bitset
+has a bit for every amount of free space that some open sequence has, so that the fit is found with two integer
+operations. At most ``OPEN`` sequences are open; beyond that the fullest one is closed, so that a packer's memory is
+bounded (on the check tables this costs 2 sequences in 10,000 against one round with all of them open). Pieces are dealt by
+numbers given when they were written, so that equal rows spread too and a lost task gives the same placements again.
 
 Tokens: text between blanks and line feeds never shares a token, so ids are kept by such words (a bounded
 cache) and joined.
 
 Nulls: a null text is empty, and is the end id alone; a null doc_id is an id. Repeated rows are packed each.
-Empty tables give empty results. Of other columns none is kept.
+Empty tables give empty results. Of other columns none is kept, so their names do not matter. A very long text is a step of
+its own; its pieces leave in batches.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import unicodedata
 import zlib
@@ -29,16 +32,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import stage, steps
+from .common import released, stage, steps
 
 LENGTH = 2048
 END = 0
-OPEN = 16_384
+OPEN = 2048
 PIECES_A_PACKER = 40_000
-#: Words whose ids a Python worker keeps, across its tasks.
-KNOWN_WORDS = 300_000
+ROUNDS = 5
+#: Words of a generation, of which a Python worker keeps two (about 40 MB) across its tasks.
+KNOWN_WORDS = 100_000
 #: Bytes of text whose words are numbered at once.
-WORDS_STEP = 2_000_000
+WORDS_STEP = 4_000_000
 #: Marks that end a word in a token of their own.
 TAIL = ".,;:!?#%*$&"
 
@@ -56,42 +60,74 @@ def _ends_a_word(body: str) -> bool:
 
 
 class Ids:
-    """Token ids of texts as little-endian unsigned 32-bit numbers, from kept ids of their words."""
+    """Token ids of texts as little-endian unsigned 32-bit numbers, from kept ids of their words.
+
+    Words are kept in two generations of at most ``KNOWN_WORDS``: when the younger is full it becomes the elder, whose
+    words are taken over as they occur again. What is kept never changes a result.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.elder: dict[str, bytes] = {}
         # a special token cuts a text as its own start would, so that many words are encoded in one call
         self.mark = "<|startoftext|>"
         self.mark_id = self.tokenizer.token_to_id(self.mark)
+        # words of letters end in tokens that say so, and need no mark between them
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, words: list[str]) -> None:
-        odd = [w for w in words if "<|" in w] if self.mark_id is not None else words
+        plain = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(group):  # one end a word: letters are one word for the tokenizer too
+                self._keep(group, ids.tobytes(), (ends * 4).tolist(), 0)
+            else:
+                rest += group
+        odd = [w for w in rest if "<|" in w] if self.mark_id is not None else rest
         for w in odd:
             self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(odd) < len(words):
-            words = [w for w in words if "<|" not in w]
-            groups = [words[i : i + 500] for i in range(0, len(words), 500)]
+        if len(odd) < len(rest):
+            rest = [w for w in rest if "<|" not in w]
+            groups = [rest[i : i + 500] for i in range(0, len(rest), 500)]
             for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
                 ids = np.array(e.ids, "<u4")
-                raw, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
-                at = 0
-                for w, end in zip(group, [*ends, len(raw)]):
-                    self.known[w] = raw[at:end]
-                    at = end + 4
-
-    def _learn(self, new: set[str]) -> None:
-        known, split, plain = self.known, [], set()
+                self._keep(group, raw := ids.tobytes(), [*(np.flatnonzero(ids == self.mark_id) * 4).tolist(), len(raw)], 4)
+
+    def _keep(self, words: list[str], raw: bytes, ends: list[int], gap: int) -> None:
+        at = 0
+        for w, end in zip(words, ends):
+            self.known[w] = raw[at:end]
+            at = end + gap
+
+    def _learn(self, new: list[str]) -> None:
+        """Make ``new`` words known; marks at a word's end are tokens of their own, so that its body is learnt once."""
+        known, elder = self.known, self.elder
+        split, plain = [], set()
         for w in new:
-            if w[-1] in TAIL and (body := w.rstrip(TAIL)) and _ends_a_word(body):
+            if (ids := elder.get(w)) is not None:
+                known[w] = ids
+            elif w and w[-1] in TAIL and (body := w.rstrip(TAIL)) and _ends_a_word(body):
                 split.append((w, body, w[len(body) :]))
-                plain.update(x for x in split[-1][1:] if x not in known)
+                plain.update(split[-1][1:])
             else:
                 plain.add(w)
-        self._encode(list(plain))
+        missing = []
+        for w in plain:
+            if w not in known:
+                if (ids := elder.get(w)) is not None:
+                    known[w] = ids
+                else:
+                    missing.append(w)
+        self._encode(missing)
         for w, body, tail in split:
             known[w] = known[body] + known[tail]
 
@@ -100,16 +136,21 @@ class Ids:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         sizes = np.concatenate(([0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)))
         for i, j in steps(sizes, WORDS_STEP):
-            said = pc.split_pattern(pc.replace_substring(texts.slice(i, j - i), "\n", " "), " ")
+            part = texts.slice(i, j - i)
+            if not pc.any(pc.match_substring(part, "<|")).as_py():  # the tokenizer lower-cases all but special tokens
+                part = pc.ascii_lower(part)
+            said = pc.split_pattern(pc.replace_substring(part, "\n", " "), " ")
             ends = said.offsets.to_numpy() - said.offsets[0].as_py()
             coded = said.flatten().dictionary_encode()
             words, word = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             if len(self.known) > KNOWN_WORDS:
-                self.known = {"": b""}
-            if new := {w for w in words if w not in self.known}:
-                self._learn(new)
-            ids = [self.known[w] for w in words]
-            size = np.array([len(x) // 4 for x in ids], np.int64)
+                self.known, self.elder = {}, self.known
+            ids = list(map(self.known.get, words))
+            if new := [k for k, x in enumerate(ids) if x is None]:
+                self._learn([words[k] for k in new])
+                for k in new:
+                    ids[k] = self.known[words[k]]
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             first = np.cumsum(size) - size
             many = size[word]
             at = np.concatenate(([0], np.cumsum(many)))
@@ -130,12 +171,14 @@ def ids_of(path: str) -> Ids:
 
 
 PIECE = [T.StructField("piece", T.IntegerType(), False), T.StructField("start", T.LongType(), False), T.StructField("length", T.LongType(), False), T.StructField("ids_crc32", T.LongType(), False)]
+DEAL = T.StructField("__deal", T.LongType(), False)
 PLACE = [T.StructField("sequence_id", T.LongType(), False), T.StructField("offset", T.LongType(), False)]
 
 
 def _tokenise(schema: T.StructType, path: str, length: int, end: int, with_ids: bool):
     def run(batches):
         arrow, ids, close = to_arrow_schema(schema), ids_of(path), np.array([end], "<u4").tobytes()
+        number = itertools.count(TaskContext.get().partitionId() << 33)
         for batch in batches:
             doc = batch.column("doc_id")
             rows, many = [], 0
@@ -149,7 +192,7 @@ def _tokenise(schema: T.StructType, path: str, length: int, end: int, with_ids:
                 raw += close
                 for k, i in enumerate(range(0, len(raw), 4 * length)):
                     part = raw[i : i + 4 * length]
-                    rows.append((k, i // 4, len(part) // 4, zlib.crc32(part), *([np.frombuffer(part, "<u4").astype(np.int32)] if with_ids else [])))
+                    rows.append((next(number), k, i // 4, len(part) // 4, zlib.crc32(part), *([np.frombuffer(part, "<u4").astype(np.int32)] if with_ids else [])))
                     at.append(d)
                     many += len(part)
                 if many > 16_000_000:
@@ -157,7 +200,7 @@ def _tokenise(schema: T.StructType, path: str, length: int, end: int, with_ids:
                     rows, at, many = [], [], 0
             yield done()
 
-    return run
+    return released(run)
 
 
 class BestFit:
@@ -211,12 +254,12 @@ def _pack(schema: T.StructType, length: int, most_open: int):
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end: int = END, most_open: int = OPEN, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, (ids,) sequence_id, offset."""
     ids = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] if with_ids else []
-    schema = T.StructType([docs.schema["doc_id"], *PIECE, *ids])
+    schema = T.StructType([docs.schema["doc_id"], DEAL, *PIECE, *ids])
     pieces = stage(docs.select("doc_id", "text").mapInArrow(_tokenise(schema, tokenizer or tokenizer_path(), length, end, with_ids), schema), "pieces")
     packers = max(1, -(-pieces.count() // PIECES_A_PACKER))
-    dealt = pieces.repartition(packers, F.xxhash64("doc_id", "piece", "ids_crc32"))
-    dealt = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
-    out = T.StructType([*schema.fields, *PLACE])
+    dealt = pieces.repartition(packers, F.xxhash64("__deal"))
+    dealt = dealt.sortWithinPartitions(F.pmod(F.xxhash64("__deal", F.lit(0)), F.lit(ROUNDS)), F.desc("length"), "doc_id", "piece", "ids_crc32", "__deal")
+    out = T.StructType([*(f for f in schema.fields if f is not DEAL), *PLACE])
     return dealt.mapInArrow(_pack(out, length, most_open), out)
 
 
