@@ -56,8 +56,8 @@ def test_decontamination(spark, docs, texts, none):
     items = [(1, " ".join(texts[31][1].split(" ")[20:45])), (2, "One"), (3, None), (4, "..."), (None, texts[33][1]), (5, texts[46][1]), (5, "way find use")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = sorted(decontaminate.brute_force(texts, items), key=str)
-    for size in (10**6, 200):  # one block, and several
-        got = decontaminate.scan(docs, bench, keep=["doc_id"], block_bytes=size)
+    for size, part in ((10**6, 50_000), (200, 50_000), (10**6, 1), (300, 7)):  # one block, and several; parts of items
+        got = decontaminate.scan(docs, bench, keep=["doc_id"], block_bytes=size, part_words=part)
         flat = [(r.doc_id, r.n_words, sum(s.end - s.start for s in r.hit_words), len(r.item_ids), hashlib.sha256(",".join(r.item_ids).encode()).hexdigest(), bool(r.hit_words)) for r in got.collect()]
         assert sorted(flat, key=str) == want
     hit = {w[0] for w in want if w[5]}

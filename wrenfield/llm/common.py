@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step works on; a longer document is a step of its own.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:

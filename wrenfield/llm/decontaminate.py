@@ -1,18 +1,21 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams scanned over training windows.
 
 Words are lower-cased runs of digits, letters and non-ASCII characters (``words.py``). Every run of ten words
-of a benchmark item is a window; an item of fewer words, but not none, is one window. The benchmark is read in
-blocks of at most ``BLOCK_BYTES`` text, each broadcast to one scan of the documents, so that what is broadcast
-is bounded however large the benchmark is. A hash hit counts only after its words have been compared.
+of a benchmark item is a window; an item of fewer words, but not none, is one window. Items are cut into parts of
+``PART_WORDS`` words that overlap by nine, so that no window is lost, and the parts are read in blocks of about
+``BLOCK_BYTES``. Each block is broadcast to one scan of the documents, so that what is broadcast, and the sorted arrays
+that a worker makes of it, are bounded however large the benchmark and its items are; with several blocks the
+documents are staged between the scans. A hash hit counts only after its words have been compared.
 
 Nulls: a null text has no words, in either table; a null ``item_id`` marks words but is not listed. Repeated
-rows each get their own result. Empty tables give empty results or no hits. Other columns pass
-unchanged; where ``scan`` adds a column that was there, its own replaces it.
+rows each get their own result. Empty tables give empty results or no hits. A very long text is read whole, as a step of its
+own. Other columns pass unchanged; where ``scan`` adds a column that was there, its own replaces it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .common import shielded, stage, steps, text_bytes
+from .common import released, shielded, stage, steps, text_bytes
 
 NGRAM = 10
-#: Benchmark text that one broadcast holds at most (an item longer than this is a block of its own).
-BLOCK_BYTES = 32_000_000
+#: Benchmark text that one broadcast holds, about.
+BLOCK_BYTES = 16_000_000
+PART_WORDS = 50_000
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 RESULT = [
     T.StructField("n_words", T.LongType()),
@@ -33,75 +37,105 @@ RESULT = [
     T.StructField("hit_chars", SPANS),
     T.StructField("item_ids", T.ArrayType(T.StringType())),
 ]
-_index_of: dict[int, "Index"] = {}
+_index_of: dict[object, "Index"] = {}
+
+
+def _parts(n: int, most: int):
+    """(item, words, the item's number of words) of the items' overlapping parts."""
+
+    def run(batches):
+        for batch in batches:
+            data, off = text_bytes(batch.column("t"))
+            for i in range(len(off) - 1):
+                said, _ = W.spoken(data[off[i] : off[i + 1]], np.array([0, off[i + 1] - off[i]]))
+                ends = np.flatnonzero(said == 32) + 1
+                first = range(0, max(1, len(ends) - n + 1), most) if len(ends) else ()
+                cut = [said[(ends[k - 1] if k else 0) : ends[min(len(ends), k + most + n - 1) - 1]].tobytes().decode() for k in first]
+                yield pa.RecordBatch.from_arrays([batch.column("i").take(pa.array([i] * len(cut), pa.int64())), pa.array(cut, pa.string())], names=["i", "t"])
+
+    return run
 
 
 class Index:
-    """Window hash -> (the window's words, item ids), with a bitmap that most other windows fail."""
+    """Sorted window hashes, each with a place of its words and the items that have it, and a bitmap that most other windows fail."""
 
     BITS = 20
 
-    def __init__(self, items: list[tuple[str | None, str]], n: int):
-        self.found: dict[int, dict[int, list[tuple[bytes, set]]]] = {}
-        for item, text in items:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            starts, ends, h, doc = W.words(raw, np.array([0, len(raw)]))
-            if not len(h):
-                continue
-            size = min(n, len(h))
-            keys, at = W.windows(h, doc, size)
-            low = W.LOWER[raw].tobytes()
-            of = self.found.setdefault(size, {})
-            for k, i in zip(keys.tolist(), at.tolist()):
-                said = b" ".join(low[a:b] for a, b in zip(starts[i : i + size].tolist(), ends[i : i + size].tolist()))
-                for known, ids in of.setdefault(k, []):
-                    if known == said:
-                        ids.add(item)
-                        break
-                else:
-                    of[k].append((said, {item}))
-        self.maps = {}
-        for size, of in self.found.items():
+    def __init__(self, parts: list[tuple[str | None, str]], n: int):
+        self.items = list(dict.fromkeys(i for i, _ in parts))
+        number = {x: k for k, x in enumerate(self.items)}
+        self.sizes = {}
+        raw = [t.encode() for _, t in parts]
+        off = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
+        self.said = b"".join(raw)
+        data = np.frombuffer(self.said, np.uint8)
+        found: dict[int, list] = {}
+        for i, j in steps(off):
+            starts, ends, h, part = W.words(data[off[i] : off[j]], off[i : j + 1] - off[i])
+            many = np.bincount(part, minlength=j - i)
+            for size in np.unique(np.minimum(many[many > 0], n)).tolist():
+                keys, at = W.windows(h, part, size)
+                pick = np.minimum(many[part[at]], n) == size
+                keys, at = keys[pick], at[pick]
+                item = np.array([number[parts[i + k][0]] for k in range(j - i)], np.int32)[part[at]]
+                found.setdefault(size, []).append((keys, starts[at] + off[i], ends[at + size - 1] + off[i], item))
+        for size, pieces in found.items():
+            keys, a, b, item = (np.concatenate(x) for x in zip(*pieces))
+            order = np.lexsort((item, keys))
+            keys, a, b, item = keys[order], a[order], b[order], item[order]
+            fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
+            lead = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            # windows of one hash that are not the same words (practically none) are told apart when they are met
+            mixed = {int(k) for k, x, y, p, q in zip(keys[~fresh], a[~fresh], b[~fresh], a[lead][~fresh], b[lead][~fresh]) if self.said[x:y] != self.said[p:q]}
             bits = np.zeros(1 << self.BITS, bool)
-            bits[np.array(list(of), np.uint64) >> np.uint64(64 - self.BITS)] = True
-            self.maps[size] = bits
+            bits[keys >> np.uint64(64 - self.BITS)] = True
+            self.sizes[size] = keys, a, b, item, bits, mixed
+
+    def items_of(self, size: int, key: int, said: bytes) -> set:
+        """Numbers of the items that have the window, which is ``said``."""
+        keys, a, b, item, _, mixed = self.sizes[size]
+        i, j = np.searchsorted(keys, np.uint64(key), "left"), np.searchsorted(keys, np.uint64(key), "right")
+        if i == j:
+            return set()
+        if key in mixed:
+            return {int(item[k]) for k in range(i, j) if self.said[a[k] : b[k]] == said}
+        return set(item[i:j].tolist()) if self.said[a[i] : b[i]] == said else set()
 
     def scan(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, list, list, set]]:
-        """Of each text: words, merged hit word spans, their byte spans, item ids."""
+        """Of each text: words, merged hit word spans, their spans of code points, item ids."""
         starts, ends, h, doc = W.words(data, off)
         first = np.searchsorted(doc, np.arange(len(off)))
         hits: dict[int, tuple[list, set]] = {}
-        for size, bits in self.maps.items():
+        for size, (known, _, _, _, bits, _) in self.sizes.items():
             keys, at = W.windows(h, doc, size)
             maybe = np.flatnonzero(bits[keys >> np.uint64(64 - self.BITS)])
-            of = self.found[size]
+            near = np.minimum(np.searchsorted(known, keys[maybe]), len(known) - 1)
+            maybe = maybe[known[near] == keys[maybe]]
             for k, i in zip(keys[maybe].tolist(), at[maybe].tolist()):
-                for said, ids in of.get(k, ()):
-                    own = b" ".join(W.LOWER[data[a:b]].tobytes() for a, b in zip(starts[i : i + size], ends[i : i + size]))
-                    if own == said:
-                        spans, items = hits.setdefault(int(doc[i]), ([], set()))
-                        spans.append((i, i + size))
-                        items |= ids
+                own = b" ".join(W.LOWER[data[a:b]].tobytes() for a, b in zip(starts[i : i + size], ends[i : i + size]))
+                if got := self.items_of(size, k, own):
+                    spans, items = hits.setdefault(int(doc[i]), ([], set()))
+                    spans.append((i, i + size))
+                    items |= got
         out = []
         for t in range(len(off) - 1):
             spans, items = hits.get(t, ((), ()))
             runs = W.merged(list(spans))
             at = int(first[t])
             chars = []
-            for a, b in runs:
-                x, y = int(starts[a]), int(ends[b - 1])
-                lead = len(data[off[t] : x].tobytes().decode("utf-8", "replace"))
-                chars.append((lead, lead + len(data[x:y].tobytes().decode("utf-8", "replace"))))
-            out.append((int(first[t + 1]) - at, [(a - at, b - at) for a, b in runs], chars, set(items)))
+            if runs:  # code points are counted once, up to each place
+                points = np.concatenate(([0], np.cumsum((data[off[t] : off[t + 1]] & 0xC0) != 0x80)))
+                chars = [(int(points[starts[a] - off[t]]), int(points[ends[b - 1] - off[t]])) for a, b in runs]
+            out.append((int(first[t + 1]) - at, [(a - at, b - at) for a, b in runs], chars, {self.items[x] for x in items}))
         return out
 
 
-def _scanner(block, n: int, text: str, kept: list[str], schema: pa.Schema):
+def _scanner(block, name: str, n: int, text: str, kept: list[str], schema: pa.Schema):
     def run(batches):
-        index = _index_of.get(block.id if hasattr(block, "id") else id(block))
+        index = _index_of.get(name)
         if index is None:
-            _index_of.clear()
-            index = _index_of[getattr(block, "id", id(block))] = Index(block.value, n)
+            _index_of.clear()  # a worker holds one block
+            index = _index_of[name] = Index(block.value, n)
         for batch in batches:
             data, off = text_bytes(batch.column(text))
             rows = []
@@ -118,10 +152,10 @@ def _scanner(block, n: int, text: str, kept: list[str], schema: pa.Schema):
             ]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *done], schema=schema)
 
-    return run
+    return released(run)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, n: int = NGRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, n: int = NGRAM, block_bytes: int = BLOCK_BYTES, part_words: int = PART_WORDS) -> DataFrame:
     """``docs`` (its columns ``keep``, default all) with n_words, hit_words and hit_chars (half-open spans of
     word numbers and code points) and item_ids (strings, sorted)."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -129,9 +163,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[s
     spark = docs.sparkSession
     kept = [c for c in (docs.columns if keep is None else keep) if c not in [f.name for f in RESULT]]
     items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("t is not null")
+    items = stage(items.mapInArrow(_parts(n, part_words), "i string, t string"), "benchmark")
     total = items.agg(F.coalesce(F.sum(F.octet_length("t") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
-    # one file's order may change between runs, so a block is told by a hash of its rows
     part = F.pmod(F.xxhash64("i", "t"), F.lit(blocks))
     names = list(dict.fromkeys([*kept, text]))
     at = docs.select(*names)
@@ -140,7 +174,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[s
         block = spark.sparkContext.broadcast([tuple(r) for r in (items.where(part == b) if blocks > 1 else items).collect()])
         out = kept if last else names
         schema = T.StructType([docs.schema[c] for c in out] + RESULT)
-        at = at.mapInArrow(_scanner(block, n, text, out, to_arrow_schema(schema)), schema)
+        at = at.mapInArrow(_scanner(block, uuid.uuid4().hex, n, text, out, to_arrow_schema(schema)), schema)
         if not last:
             at = stage(at, "decontaminate").withColumnsRenamed({"hit_words": "__hit", "hit_chars": "__chr", "item_ids": "__ids"}).drop("n_words")
     return at
