@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import salted_join, shielded
+from .common import released, salted_join, shielded
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -215,12 +215,12 @@ def _extract(schema: T.StructType, keep: list[str]):
                 texts = [Page(h or "").text(p) for h, p in zip(part.column("html").to_pylist(), part.column("path").to_pylist())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string())], schema=to_arrow_schema(schema))
 
-    return run
+    return released(run)
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
     """(host, path, votes): the winning path of each host of ``pages`` (host, html)."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, score double")
+    votes = pages.select("host", "html").mapInArrow(released(_votes), "host string, path string, score double")
     counted = votes.groupBy("host", "path").agg(F.sum("score").alias("votes"))
     return counted.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("top")).select("host", "top.path", "top.votes")
 

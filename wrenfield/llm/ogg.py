@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .common import released
+
 RATE = 8000
 PACKET = 4096
 BLOCK = 64
@@ -150,7 +152,7 @@ def _map(schema: T.StructType, keep: list[str], source: str, row):
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), new)] if rows else [pa.array([], f.type) for f in new]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *columns], schema=arrow)
 
-    return run
+    return released(run)
 
 
 def _written(text: str | None) -> tuple[bytes]:

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import words as W
-from .common import stage, steps, text_bytes
+from .common import released, stage, steps, text_bytes
 from .induced import repeats, suffix_array
 
 SIZE = 200
@@ -103,7 +103,7 @@ def _segments(size: int):
             k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False)[text] for c in ("k1", "k2"))
             yield from _combined(anchor.view(np.int64), segment.view(np.int64), k1, k2, start, start + many + size - 1, text)
 
-    return run
+    return released(run)
 
 
 def _combined(anchor, segment, k1, k2, start, end, text):
@@ -197,7 +197,7 @@ def _cut(size: int):
                 cut = [bytes(data[t][a:b]) for t, a, b in zip(of[i:j].tolist(), start[i:j].tolist(), end[i:j].tolist())]
                 yield _batch(CUTS, *(c.slice(i, j - i) for c in columns.values()), cut)
 
-    return run
+    return released(run)
 
 
 def _runs(hit: np.ndarray):
@@ -244,7 +244,7 @@ def _sorted(size: int, shard_bytes: int):
         if rows:
             yield done()
 
-    return run
+    return released(run)
 
 
 def _strings(size: int):
@@ -262,7 +262,7 @@ def _strings(size: int):
                 at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                 yield from _combined(h[:, 0], h[:, 1], k1[row], k2[row], at, at + size, row)
 
-    return run
+    return released(run)
 
 
 def keyed(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -277,7 +277,7 @@ def repeated_places(texts: DataFrame, size: int = SIZE, crowd: int = CROWD, shar
         raise ValueError(f"size is a multiple of 8 above {ANCHOR}")
     source = texts.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("__raw").cast("string").alias("text"))
     dealt = source.mapInArrow(_segments(size), SEGMENTS).repartition("anchor").sortWithinPartitions("anchor", "segment")
-    met = stage(dealt.mapInArrow(_met, ONES), "segments")
+    met = stage(dealt.mapInArrow(released(_met), ONES), "segments")
     out = met.where("not one").select("k1", "k2", "start", "end")
 
     # one of each segment meets the others of its anchor
@@ -290,7 +290,7 @@ def repeated_places(texts: DataFrame, size: int = SIZE, crowd: int = CROWD, shar
     out = out.unionByName(cut.where("not crowded").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted(size, shard_bytes), PLACES))
     if crowded:
         strings = cut.where("crowded").mapInArrow(_strings(size), SEGMENTS).repartition("anchor").sortWithinPartitions("anchor", "segment")
-        out = out.unionByName(strings.mapInArrow(_met, ONES).where("not one").select("k1", "k2", "start", "end"))
+        out = out.unionByName(strings.mapInArrow(released(_met), ONES).where("not one").select("k1", "k2", "start", "end"))
     return out.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
 
 
@@ -316,7 +316,7 @@ def _without(schema: T.StructType, kept: list[str], text: str | None):
                 cols[text] = left
             yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else batch.column(f.name) for f in arrow], schema=arrow)
 
-    return run
+    return released(run)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:

@@ -4,13 +4,14 @@ Features of a text, each present or not: its words, pairs of neighbours and pair
 hashed into ``2**BITS`` weights. The model is fitted online with per-coordinate learning rates and L1
 regularisation, which leaves few weights other than 0; those are broadcast and every whole text is scored.
 
-Fitting uses at most ``SAMPLE`` labelled rows, those with the smallest hash of doc_id, in the order of that
-hash, in one task of bounded size. Scoring reads all documents, with no exchange.
+Fitting is done in one task of bounded size, on a bounded sample of the labelled rows: those with the smallest hash of doc_id, in
+the order of that hash, ``SAMPLE`` of them at most, and no more once they hold ``SAMPLE_FEATURES`` features. Scoring
+reads all documents, with no exchange. In the pipeline the model scores the rows that it learned from, too.
 
 Nulls: a null text is empty and has the bias alone; rows whose label or doc_id is null are not learned from. A
 text of several labels is learned once for each. Without labelled rows every score is 0.5. Empty tables give
 empty results; other columns pass unchanged where kept, but an
-older ``score`` is replaced.
+older ``score`` is replaced. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import words as W
-from .common import steps, text_bytes
+from .common import released, steps, text_bytes
 
 BITS = 20
 SAMPLE = 16_000
+SAMPLE_FEATURES = 40_000_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 8.0, 0.0
 THRESHOLD = 0.7
@@ -72,37 +74,39 @@ def _once(data: np.ndarray, off: np.ndarray, bits: int) -> list[np.ndarray]:
     key = np.unique((text << (bits + 1)) | f)
     text, f = key >> (bits + 1), key & ((1 << (bits + 1)) - 1)
     ends = np.searchsorted(text, np.arange(len(off)))
-    return [np.append(f[a:b], 1 << bits) for a, b in zip(ends[:-1], ends[1:])]
+    return [np.append(f[a:b], 1 << bits).astype(np.int32) for a, b in zip(ends[:-1], ends[1:])]
 
 
 WEIGHTS = T.StructType([T.StructField("feature", T.LongType()), T.StructField("weight", T.DoubleType())])
 
 
-def _fit(bits: int):
+def _fit(bits: int, most: int):
     def run(batches):
-        texts, labels = [], []
+        texts, labels, held = [], [], 0
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
             for i, j in steps(off):
-                texts += _once(data[off[i] : off[j]], off[i : j + 1] - off[i], bits)
-            labels += batch.column("label").to_pylist()
+                if held < most:
+                    texts += _once(data[off[i] : off[j]], off[i : j + 1] - off[i], bits)
+                    labels += batch.column("label").slice(i, j - i).to_pylist()
+                    held += sum(map(len, texts[i - j :]))
         if texts:
             at, w = train(texts, np.array(labels), bits)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w)], schema=to_arrow_schema(WEIGHTS))
 
-    return run
+    return released(run)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column | None = None, sample: int = SAMPLE, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights learned from the labelled rows for which ``usable`` holds, ``sample`` of them at most."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column | None = None, sample: int = SAMPLE, most: int = SAMPLE_FEATURES, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights learned from the labelled rows for which ``usable`` holds: ``sample`` rows, and about ``most`` features, at most."""
     order = F.xxhash64("doc_id")
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.where(usable) if usable is not None else known
     # the ids come first, so that only their texts are sorted; both sides are bounded by `sample`
     picked = known.select("doc_id", F.col(label).cast("double").alias("label")).distinct().orderBy(order, "doc_id", "label").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    rows = rows.orderBy(order, "doc_id", "label", "text").limit(2 * sample).coalesce(1)
-    found = rows.select("text", "label").mapInArrow(_fit(bits), WEIGHTS).collect()
+    rows = rows.orderBy(order, "doc_id", "label", "text").limit(sample).coalesce(1)
+    found = rows.select("text", "label").mapInArrow(_fit(bits, most), WEIGHTS).collect()
     return np.array([r[0] for r in found], np.int64), np.array([r[1] for r in found], np.float64)
 
 
@@ -125,7 +129,7 @@ def _score(weights, keep: list[str], schema: T.StructType, bits: int):
             score = pa.array(np.concatenate(out) if out else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), score], schema=to_arrow_schema(schema))
 
-    return run
+    return released(run)
 
 
 def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], keep: list[str] | None = None, bits: int = BITS) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import shared_dir
+from .common import released, shared_dir
 
 SALTS = 16
 CAPTURES_A_FILE = 2000
@@ -79,7 +79,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     nth = F.row_number().over(Window.partitionBy("digest", "salt", "page_id").orderBy("url"))
     # rows of one page with other payloads, or too small ones, count on their own
     rows = named.join(copies, ["digest", "salt"], "left").withColumn("nth", F.when(F.octet_length(html) >= least_bytes, nth).otherwise(F.lit(1)))
-    rows.mapInArrow(_captures, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", CAPTURES_A_FILE).text(path)
+    rows.mapInArrow(released(_captures), "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", CAPTURES_A_FILE).text(path)
 
 
 _HEADER = re.compile(rb"\s*WARC/1\.[01]\r\n(.*?)\r\n\r\n", re.S)
@@ -153,7 +153,7 @@ def _records(with_payload: bool):
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return run
+    return released(run)
 
 
 def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
