@@ -17,13 +17,15 @@ def strategy(url: Column, blocked: tuple[str, ...]) -> Column:
     return F.when(C.blank(url) | C.is_homepage(url), "web_search").when(shut, "proxy_blocked").otherwise("url_follow")
 
 
-def venue_domain(cand: DataFrame, organisers: DataFrame, sources: DataFrame) -> DataFrame:
-    """``cand`` with ``domain``: by organiser, else the first mapped domain in the URL's host, else by source.
+def venue_domain(cand: DataFrame, organisers: DataFrame, sources: DataFrame, hosts: tuple[str, ...] = ()) -> DataFrame:
+    """``cand`` with ``domain``: by organiser, else the first of ``hosts`` that the URL's host has, else by source.
 
-    The two tables (key, domain) are settings of a few rows.
+    The two tables (key, domain) and the hosts are settings of a few rows.
     """
     found = cand.join(organisers.toDF("__o", "__by"), F.lower("organiser") == F.col("__o"), "left").join(sources.toDF("__s", "__for"), F.col("source") == F.col("__s"), "left")
-    return found.withColumn("domain", F.coalesce("__by", "__for")).drop("__o", "__by", "__s", "__for")
+    host = C.url_host(F.col("url"))
+    at = F.coalesce(*(F.when(host.contains(h), h) for h in hosts), F.lit(None).cast("string"))
+    return found.withColumn("domain", F.coalesce("__by", at, "__for")).drop("__o", "__by", "__s", "__for")
 
 
 def thin(cand: DataFrame, s: Settings = DEFAULT) -> DataFrame:

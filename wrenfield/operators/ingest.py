@@ -72,14 +72,6 @@ def rich_text(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-def demo_detail(name: Column, venue: Column, shown: Column, pounds: Column) -> Column:
-    """A landed detail document with a rich-text note."""
-    note = F.concat(F.lit('{"type":"doc","content":[{"type":"paragraph","content":[{"type":"text","text":"Hello "},{"type":"odd","content":[{"type":"text","text":'), F.to_json(F.struct(name.alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(name.alias("x")))) - 6), F.lit("}]}]}]}"))
-    price = lambda p: F.struct(F.struct((p * 100).cast("long").alias("cents"), F.lit("gbp").alias("currency")).alias("price"), F.struct(((p + 5) * 100).cast("long").alias("cents"), F.lit("gbp").alias("currency")).alias("max_price"))
-    geo = F.create_map(F.lit("mode"), F.when(shown, "shown").otherwise("obfuscated"), F.lit("address"), venue)
-    return F.to_json(F.struct(note.alias("description_mirror"), F.struct(name.alias("name"), geo.alias("geo_address_info")).alias("event"), price(pounds).alias("ticket_info")))
-
-
 def ingest_details(raw: DataFrame) -> DataFrame:
     """Candidates of detail documents; note, hosts and tickets stand beside the event."""
     d = raw.withColumn("d", F.from_json("raw", DETAIL))

@@ -1,6 +1,7 @@
 """Record linkage: exact and fuzzy duplicates, multi-day merges, calendar and board matches.
 
-All joins are on keys. Pairs are never made of whole dates or buckets: fuzzy names meet on their rarest words.
+All joins are on keys. Fuzzy names meet on their rarest words, or where one is the beginning of the other. Calendar rows
+meet the distinct looks of candidates of their date, once for each look of their own, and only the best is kept.
 """
 
 from __future__ import annotations
@@ -72,15 +73,16 @@ def _meeting(a: DataFrame, b: DataFrame) -> DataFrame:
 
     pair = lambda x, y, cond: x.select("date", "word", F.col("id").alias("a"), F.col("n").alias("na")).join(y.select("date", "word", F.col("id").alias("b"), F.col("n").alias("nb")), ["date", "word"]).where(cond).select("a", "b")
     by_word = pair(rare(a), word(b), "na <= nb and b < a").unionByName(pair(word(a), rare(b), "nb <= na and b < a"))
-    # a name that begins another shares its first four letters, or is shorter itself
-    head = lambda t, k, s: t.select("date", F.substring("norm", 1, k).alias("head"), F.col("id").alias(s), F.length("norm").alias(f"l{s}"))
-    heads = head(a, 4, "a").where("la >= 4").join(head(b, 4, "b").where("lb >= 4"), ["date", "head"]).where("b < a").select("a", "b")
-    for k in range(4):
-        met = head(a, k, "a").join(head(b, k, "b"), ["date", "head"]).where(f"b < a and (la = {k} or lb = {k}) and least(la, lb) = {k}")
-        # only rows as short as k can begin others, so one side is always few
-        few = met if k else head(a, 0, "a").where("la = 0").join(head(b, 0, "b"), ["date", "head"]).where("b < a").unionByName(head(a, 0, "a").join(head(b, 0, "b").where("lb = 0"), ["date", "head"]).where("b < a"))
-        heads = heads.unionByName(few.select("a", "b"))
-    return by_word.unionByName(heads).distinct()
+    begun = _begun(a, b).select(F.col("long").alias("a"), F.col("short").alias("b")).unionByName(_begun(b, a).select(F.col("short").alias("a"), F.col("long").alias("b")))
+    return by_word.unionByName(begun.where("b < a")).distinct()
+
+
+def _begun(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(long, short): ids of a date where the short one's name begins the long one's, which meets it by its beginnings."""
+    heads = F.transform(F.sequence(F.lit(0), F.length("norm")), lambda k: F.substring(F.col("norm"), F.lit(1), k))
+    cut = longer.select("date", "norm").distinct().select("date", "norm", F.explode(heads).alias("head"))
+    met = cut.join(shorter.select("date", F.col("norm").alias("head")).distinct(), ["date", "head"])
+    return met.join(longer.select("date", "norm", F.col("id").alias("long")), ["date", "norm"]).join(shorter.select("date", F.col("norm").alias("head"), F.col("id").alias("short")), ["date", "head"]).select("long", "short")
 
 
 def fuzzy_pairs(cand: DataFrame, as_of: str) -> DataFrame:
@@ -139,14 +141,16 @@ def calendar_match(cal: DataFrame, cand: DataFrame, s: Settings = DEFAULT) -> Da
 
     Rows meet on the date; candidates of one date that look alike to a calendar row meet it once.
     """
-    place = lambda c: C.normalise_venue(F.col(c), s.city, s.geocode_suffix)
-    x = cal.select("calendar_id", "date", C.normalise_name(F.col("title")).alias("t"), place("location").alias("v")).withColumn("tw", C.title_words(F.col("t")))
-    y = cand.select("id", "date", C.normalise_name(F.col("name")).alias("n"), place("venue_name").alias("w")).withColumn("nw", C.title_words(F.col("n")))
+    place = lambda c: F.coalesce(C.normalise_venue(F.col(c), s.city, s.geocode_suffix), F.lit(""))
+    said = lambda c: F.transform(C.title_words(F.col(c)), lambda w: F.xxhash64(w))  # noqa: E731  words as numbers
+    x = cal.select("calendar_id", "date", C.normalise_name(F.col("title")).alias("t"), place("location").alias("v"))
+    y = cand.select("id", "date", C.normalise_name(F.col("name")).alias("n"), place("venue_name").alias("w"))
     same_venue = (F.col("v") != "") & (F.col("w") != "") & (F.col("v").contains(F.col("w")) | F.col("w").contains(F.col("v")))
-    kinds = y.groupBy("date", "n", "w", "nw").agg(F.min("id").alias("id"))
-    scored = x.join(kinds, "date").withColumn("c", confidence(F.col("t"), F.col("n"), F.col("tw"), F.col("nw"), same_venue)).where("c.rank > 0")
-    best = Window.partitionBy("calendar_id").orderBy(F.desc("c.rank"), F.desc("c.overlap"), "id")
-    top = scored.withColumn("nth", F.row_number().over(best)).where("nth = 1")
+    looks = x.select("date", "t", "v").distinct().withColumn("tw", said("t"))
+    kinds = y.groupBy("date", "n", "w").agg(F.min("id").alias("id")).withColumn("nw", said("n"))
+    scored = looks.join(kinds, "date").withColumn("c", confidence(F.col("t"), F.col("n"), F.col("tw"), F.col("nw"), same_venue)).where("c.rank > 0")
+    best = scored.groupBy("date", "t", "v").agg(F.max(F.struct("c.rank", "c.overlap", (-F.col("id")).alias("first"))).alias("c")).withColumn("id", -F.col("c.first"))
+    top = x.join(best, ["date", "t", "v"])
     return top.select("calendar_id", "id", F.when(F.col("c.rank") == 2, "high").otherwise("medium").alias("confidence"), F.col("c.overlap").alias("overlap"))
 
 

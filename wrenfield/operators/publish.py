@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .review import ARTEFACT
 from ..settings import DEFAULT, Settings
 
 
@@ -30,7 +31,7 @@ def publish_plan(cand: DataFrame, board: DataFrame) -> DataFrame:
     """(id, action, page_id): adopt a page of the same title and date, else create; blocked rows stay."""
     pages = board.groupBy(F.col("title").alias("name"), "date").agg(F.min("page_id").alias("page_id"))
     j = cand.where("pipeline_state = 'ready_to_write'").join(pages, ["name", "date"], "left")
-    blocked = F.col("name").rlike(r"(?i)signal\s*\d+|past\s*pattern\s*:|already\s*counted")
+    blocked = F.col("name").rlike(ARTEFACT)
     action = F.when(blocked, "blocked").when(F.col("page_id").isNotNull(), "adopt").otherwise("create")
     return j.select("id", action.alias("action"), F.when(action == "adopt", F.col("page_id")).alias("page_id"))
 

@@ -46,7 +46,7 @@ def cost_veto(cost: Column, s: Settings = DEFAULT) -> Column:
 
 
 def far_park_veto(name: Column, transit: Column, s: Settings = DEFAULT) -> Column:
-    return F.lower(name).rlike(r"\bpark\b|\bpart 3\b") & (transit > s.park_minutes)
+    return name.rlike(C.any_of(list(packs.PARKS))) & (transit > s.park_minutes)
 
 
 def veto_reason(cand: DataFrame, rules: list[Rule] = packs.VETOES, s: Settings = DEFAULT) -> Column:
@@ -83,6 +83,7 @@ def signals(cand: DataFrame, words: dict[str, tuple[str, ...]] = packs.SIGNALS,
     series = [*words["series"], *extra["series"]]
     transit = F.col("travel_transit_min") if "travel_transit_min" in cand.columns else F.lit(None).cast("int")
     known = organiser.isin(*words["organisers"], *extra["organisers"])
+    # The labels and weights of the signals, in their order.
     fixed = [
         ("Signal #1: AI/tech community", 3, says("ai")),
         ("Signal #3: Listening bar/vinyl", 3, says("vinyl")),

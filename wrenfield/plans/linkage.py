@@ -13,6 +13,14 @@ AS_OF = S.as_of.isoformat()
 _UP = f"coalesce(end_date, date) >= '{AS_OF}'"
 
 
+def detail(name, venue, shown, pounds):
+    """A landed detail document with a rich-text note."""
+    note = F.concat(F.lit('{"type":"doc","content":[{"type":"paragraph","content":[{"type":"text","text":"Hello "},{"type":"odd","content":[{"type":"text","text":'), F.to_json(F.struct(name.alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(name.alias("x")))) - 6), F.lit("}]}]}]}"))
+    price = lambda p: F.struct(F.struct((p * 100).cast("long").alias("cents"), F.lit("gbp").alias("currency")).alias("price"), F.struct(((p + 5) * 100).cast("long").alias("cents"), F.lit("gbp").alias("currency")).alias("max_price"))
+    geo = F.create_map(F.lit("mode"), F.when(shown, "shown").otherwise("obfuscated"), F.lit("address"), venue)
+    return F.to_json(F.struct(note.alias("description_mirror"), F.struct(name.alias("name"), geo.alias("geo_address_info")).alias("event"), price(pounds).alias("ticket_info")))
+
+
 @query("listing_filter", "SELECT id, date FROM ce WHERE source <> 'Luma' AND date <= '2024-01-20'")
 def _(t):
     return ingest.listing_filter(t.ce.withColumn("location_type", F.when(F.col("source") == "Luma", "online").otherwise("offline")).withColumn("start_at", F.col("date")), "2024-01-20").select("id", "date")
@@ -46,7 +54,7 @@ def _(t):
 
 @query("ingest_details", "SELECT id, 'Hello ' || name AS description, CASE WHEN id % 2 = 0 THEN venue_name END AS venue_name, '£' || (id % 7) || '–£' || (id % 7 + 5) AS cost FROM ce")
 def _(t):
-    return ingest.ingest_details(t.ce.select(F.col("id"), ingest.demo_detail(F.col("name"), F.col("venue_name"), F.col("id") % 2 == 0, F.col("id") % 7).alias("raw"))).select("id", "description", "venue_name", "cost")
+    return ingest.ingest_details(t.ce.select(F.col("id"), detail(F.col("name"), F.col("venue_name"), F.col("id") % 2 == 0, F.col("id") % 7).alias("raw"))).select("id", "description", "venue_name", "cost")
 
 
 @query("quarantine_errors", "SELECT id, CASE WHEN id % 5 = 0 THEN 'rejected' WHEN id % 3 = 0 THEN 'warned' ELSE 'good' END AS outcome, CASE WHEN id % 5 = 0 OR id % 3 = 0 THEN 'a; b; c' END AS messages FROM ce")
@@ -100,18 +108,6 @@ def _(t):
     return ingest.latest_steps(t.ce.select(F.col("source").alias("step"), F.col("pipeline_state").alias("outcome"), F.col("id").alias("at"))).withColumnRenamed("at", "last_id")
 
 
-_NEW, _OLD = "(SELECT * FROM ce WHERE id // 400 % 2 = 1 AND id % 97 < 50)", "(SELECT * FROM ce WHERE id // 400 % 2 = 0 AND id % 3 = 0)"
-
-
-def _split(t):
-    return t.ce.where("id div 400 % 2 = 1 and id % 97 < 50"), t.ce.where("id div 400 % 2 = 0 and id % 3 = 0")
-
-
-@query("exact_dedup", f"SELECT n.id FROM {_NEW} n WHERE url NOT IN (SELECT url FROM {_OLD}) AND (name, date) NOT IN (SELECT (name, date) FROM {_OLD})")
-def _(t):
-    return linkage.not_existing(*_split(t)).select("id")
-
-
 #: The new rows against all others: every row of ce is on one side.
 _PENDING, _STORED = "(SELECT * FROM ce WHERE pipeline_state = 'pending_llm')", "(SELECT * FROM ce WHERE pipeline_state <> 'pending_llm')"
 
@@ -120,6 +116,11 @@ def _sides(t):
     return t.ce.where("pipeline_state = 'pending_llm'"), t.ce.where("pipeline_state <> 'pending_llm'")
 
 
+@query("exact_dedup", f"SELECT n.id FROM {_PENDING} n WHERE url NOT IN (SELECT url FROM {_STORED}) AND (name, date) NOT IN (SELECT (name, date) FROM {_STORED})")
+def _(t):
+    return linkage.not_existing(*_sides(t)).select("id")
+
+
 @query("exact_dedup_all_rows", f"SELECT n.id FROM {_PENDING} n WHERE url NOT IN (SELECT url FROM {_STORED}) AND (name, date) NOT IN (SELECT (name, date) FROM {_STORED})")
 def _(t):
     return linkage.not_existing(*_sides(t)).select("id")
@@ -132,10 +133,10 @@ def _(t):
 
 @query("reschedule", f"""
 SELECT o.id, n.date, n.end_date, CASE WHEN o.pipeline_state IN ('expired', 'llm_rejected', 'vetoed') AND o.notion_page_id IS NULL THEN 'pending_llm' ELSE o.pipeline_state END AS pipeline_state
-FROM (SELECT url, arg_max(struct_pack(date := date, end_date := end_date), id) AS r, max(id) AS i FROM {_NEW} GROUP BY url) g JOIN {_NEW} n ON n.id = g.i
-JOIN (SELECT url, max(id) AS i FROM {_OLD} GROUP BY url) h ON h.url = g.url JOIN {_OLD} o ON o.id = h.i WHERE n.date <> o.date""")
+FROM (SELECT url, arg_max(struct_pack(date := date, end_date := end_date), id) AS r, max(id) AS i FROM {_PENDING} GROUP BY url) g JOIN {_PENDING} n ON n.id = g.i
+JOIN (SELECT url, max(id) AS i FROM {_STORED} GROUP BY url) h ON h.url = g.url JOIN {_STORED} o ON o.id = h.i WHERE n.date <> o.date""")
 def _(t):
-    return linkage.reschedule(*_split(t))
+    return linkage.reschedule(*_sides(t))
 
 
 @query("reschedule_all_rows", f"""
@@ -191,10 +192,9 @@ def _(t):
     return linkage.calendar_match(t.cal, t.ce).withColumn("overlap", F.round("overlap", 6))
 
 
-@query("source_gaps", f"SELECT calendar_id, title FROM cal WHERE calendar_id % 2 = 0 AND calendar_id NOT IN (SELECT calendar_id FROM ({_MATCH}) WHERE id % 3 = 0)")
+@query("source_gaps", f"SELECT calendar_id, title FROM cal WHERE calendar_id NOT IN (SELECT calendar_id FROM ({_MATCH}))")
 def _(t):
-    matched = linkage.calendar_match(t.cal, t.ce).where("id % 3 = 0")
-    return linkage.source_gaps(t.cal.where("calendar_id % 2 = 0"), matched).select("calendar_id", "title")
+    return linkage.source_gaps(t.cal, linkage.calendar_match(t.cal, t.ce)).select("calendar_id", "title")
 
 
 @query("source_gaps_all_rows", f"SELECT calendar_id, title FROM cal WHERE calendar_id NOT IN (SELECT calendar_id FROM ({_MATCH}))")

@@ -14,9 +14,11 @@ _SQUEEZED = "trim(regexp_replace(lower({0}), '\\s+', ' ', 'g'))"
 _ASCII = "NOT regexp_matches(name, '[^\\x00-\\x7F]')"
 
 
-@query("normalise_name", f"SELECT id, {_SQUEEZED.format('name')} AS norm FROM cd WHERE {_ASCII}")
+@query("normalise_name", f"SELECT id, CASE WHEN {_ASCII} THEN {_SQUEEZED.format('name')} END AS norm FROM cd")
 def _(t):
-    return t.cd.where(~F.col("name").rlike(r"[^\x00-\x7F]")).select("id", C.normalise_name(F.col("name")).alias("norm"))
+    """SQL has no NFKD: all names are normalised, and those without other characters are shown."""
+    plain = F.when(~F.col("name").rlike(r"[^\x00-\x7F]"), C.normalise_name(F.col("name")))
+    return t.cd.select("id", plain.alias("norm"))
 
 
 @query("normalise_name_wide")
@@ -93,20 +95,22 @@ def _(t):
     return t.ce.select("id", C.title_stem(F.concat("name", F.lit(" (June) #4"))).alias("stem"))
 
 
-@query(
-    "word_overlap",
-    "SELECT id, round(len(list_intersect(a, b)) / least(len(a), len(b)), 6) AS share FROM (SELECT id, list_distinct(regexp_extract_all(lower(name), '[a-z0-9_]+')) AS a, list_distinct(regexp_extract_all(lower(substr(description, 21, 40)), '[a-z0-9_]+')) AS b FROM cd WHERE NOT regexp_matches(substr(description, 1, 80), '[^\\x00-\\x7F]')) WHERE len(a) > 0 AND len(b) > 0",
-)
+_OVERLAP = "SELECT id, round(coalesce(len(list_intersect(a, b)) / nullif(least(len(a), len(b)), 0), 0.0), 6) AS share FROM (SELECT id, list_distinct(regexp_extract_all(lower(name), '[\\p{L}\\p{N}_]+')) AS a, list_distinct(regexp_extract_all(lower(description), '[\\p{L}\\p{N}_]+')) AS b FROM cd)"
+
+
+def shares(t):
+    """Share of the name's words in the whole text."""
+    return t.cd.select("id", F.round(C.overlap(C.words(F.lower("name")), C.words(F.lower("description"))), 6).alias("share"))
+
+
+@query("word_overlap", _OVERLAP)
 def _(t):
-    plain = t.cd.where(~F.substring("description", 1, 80).rlike(r"[^\x00-\x7F]"))
-    both = plain.select("id", C.words(F.lower("name")).alias("a"), C.words(F.lower(F.substring("description", 21, 40))).alias("b"))
-    return both.where((F.size("a") > 0) & (F.size("b") > 0)).select("id", F.round(C.overlap(F.col("a"), F.col("b")), 6).alias("share"))
+    return shares(t)
 
 
-@query("word_overlap_all_texts")
+@query("word_overlap_all_texts", _OVERLAP)
 def _(t):
-    """Share of the name's words in the whole text; no SQL, since DuckDB lists ASCII words only."""
-    return t.cd.select("id", F.round(C.overlap(C.words(F.lower("name")), C.words(F.lower("description"))), 6).alias("share"))
+    return shares(t)
 
 
 @query("url_domain", f"SELECT page_id, {_HOST} AS domain, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) IN ('', '/') AS homepage FROM pg")
@@ -161,9 +165,9 @@ def blobs(rows):
     return rows.select("id", blob.alias("blob"), title.alias("title_scope"))
 
 
-@query("text_blob", "SELECT id, lower(name || ' ' || description || ' ' || organiser) AS blob, lower(name || ' ' || organiser) AS title_scope FROM cd WHERE NOT regexp_matches(description, '[^\\x00-\\x7F]')")
+@query("text_blob", "SELECT id, lower(name || ' ' || description || ' ' || organiser) AS blob, lower(name || ' ' || organiser) AS title_scope FROM cd")
 def _(t):
-    return blobs(t.cd.where(~F.col("description").rlike(r"[^\x00-\x7F]")))
+    return blobs(t.cd)
 
 
 @query("text_blob_all_texts", "SELECT id, lower(name || ' ' || description || ' ' || organiser) AS blob, lower(name || ' ' || organiser) AS title_scope FROM cd")

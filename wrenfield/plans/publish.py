@@ -125,14 +125,10 @@ def _(t):
     return mail.extraction_trace(rows, rows.select("message_id", body.alias("body_text"))).select("id", "name_status", "date_status")
 
 
-@query("second_pass_emails", "SELECT message_id, n, bad FROM (SELECT 'm' || (id % 500) AS message_id, count(*) AS n, count(*) FILTER (id % 7 = 0) AS bad FROM ce WHERE id < 900 GROUP BY 1) WHERE bad > 0 OR n >= 3")
-def _(t):
-    trace = t.ce.where("id < 900").select(F.concat(F.lit("m"), (F.col("id") % 500).cast("string")).alias("message_id"), F.when(F.col("id") % 7 == 0, "mismatch").otherwise("ok").alias("row_status"))
-    return mail.second_pass(trace)
+_SECOND_PASS = "SELECT message_id, n, bad FROM (SELECT 'm' || (id // 5) || '-' || (id % 5 // 3) AS message_id, count(*) AS n, count(*) FILTER (id % 7 = 0 OR id % 11 = 0) AS bad FROM ce GROUP BY 1) WHERE bad > 0 OR n >= 3"
 
 
-@query("second_pass_emails_all_rows", "SELECT message_id, n, bad FROM (SELECT 'm' || (id // 5) || '-' || (id % 5 // 3) AS message_id, count(*) AS n, count(*) FILTER (id % 7 = 0 OR id % 11 = 0) AS bad FROM ce GROUP BY 1) WHERE bad > 0 OR n >= 3")
-def _(t):
+def second_pass(t):
     rows = t.ce.select("id", "name", "date", F.concat(F.lit("m"), "id").alias("message_id"))
     body = F.concat(F.when(F.col("id") % 7 == 0, "Jazz").otherwise(F.upper("name")), F.lit(" on "), F.when(F.col("id") % 11 == 0, "Friday").otherwise(F.date_format(F.col("date").cast("date"), "d MMMM")))
     # messages hold three or two rows each, so that their number grows with the table
@@ -140,6 +136,16 @@ def _(t):
     return mail.second_pass(mail.extraction_trace(rows, rows.select("message_id", body.alias("body_text"))).withColumn("message_id", key))
 
 
+@query("second_pass_emails", _SECOND_PASS)
+def _(t):
+    return second_pass(t)
+
+
+@query("second_pass_emails_all_rows", _SECOND_PASS)
+def _(t):
+    return second_pass(t)
+
+
 @query("email_flags", "SELECT message_id, CASE WHEN message_id LIKE '%-0' THEN 'skipped' ELSE 'flagged' END AS qa_status FROM em")
 def _(t):
     return mail.flags(t.em.withColumn("qa_status", F.when(F.col("message_id").like("%-0"), "flagged"))).select("message_id", "qa_status")

@@ -11,16 +11,12 @@ from .catalog import query
 from .projections import _COST
 
 AS_OF = S.as_of.isoformat()
-PLAIN = "WHERE NOT regexp_matches(description, '[^\\x00-\\x7F]')"
-
-
-def plain(t):
-    """Rows whose text is ASCII: DuckDB's word boundaries are."""
-    return t.cd.where(~F.col("description").rlike(r"[^\x00-\x7F]"))
+_NO_WORD = "[^\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}]"
 
 
 def word(words, of: str) -> str:
-    return f"regexp_matches({of}, '\\b(?:{'|'.join(w.lower() for w in words)})\\b')"
+    """Whether ``of`` has one of the words; DuckDB's own word boundary knows ASCII letters only."""
+    return f"regexp_matches({of}, '(?:^|{_NO_WORD})(?:{'|'.join(w.lower() for w in words)})(?:{_NO_WORD}|$)')"
 
 
 def cases(pack, columns: dict[str, str], more: str = "", otherwise: str = "NULL") -> str:
@@ -37,22 +33,22 @@ _VETO = cases(packs.VETOES, _COLS, f"WHEN regexp_matches({_TITLE}, '\\b(?:op|bwv
 _FORMAT = cases(packs.FORMATS, {"blob": "lower(name || ' ' || description)", "name": "lower(name)"}, otherwise="'Social meetup'")
 
 
-@query("keyword_match", f"SELECT id, {word(('that', 'license', 'idiot'), 'lower(description)')} AS hit FROM cd {PLAIN}")
+@query("keyword_match", f"SELECT id, {word(('that', 'license', 'idiot'), 'lower(description)')} AS hit FROM cd")
 def _(t):
-    return plain(t).select("id", F.col("description").rlike(C.any_of(["that", "license", "idiot"])).alias("hit"))
+    return t.cd.select("id", F.col("description").rlike(C.any_of(["that", "license", "idiot"])).alias("hit"))
 
 
-@query("keyword_match_all_texts")
+@query("keyword_match_all_texts", f"SELECT id, {word(('that', 'license', 'idiot'), 'lower(description)')} AS hit FROM cd")
 def _(t):
     return t.cd.select("id", F.col("description").rlike(C.any_of(["that", "license", "idiot"])).alias("hit"))
 
 
-@query("veto", f"SELECT id, {_VETO} AS veto_reason FROM cd {PLAIN}")
+@query("veto", f"SELECT id, {_VETO} AS veto_reason FROM cd")
 def _(t):
-    return plain(t).select("id", scoring.veto_reason(t.cd).alias("veto_reason"))
+    return t.cd.select("id", scoring.veto_reason(t.cd).alias("veto_reason"))
 
 
-@query("veto_all_texts")
+@query("veto_all_texts", f"SELECT id, {_VETO} AS veto_reason FROM cd")
 def _(t):
     return t.cd.select("id", scoring.veto_reason(t.cd).alias("veto_reason"))
 
@@ -62,12 +58,12 @@ def spared(t, rows):
     return rows.agg(F.count("*").alias("n"), F.count_if(hit & scoring.veto_reason(t.cd).isNull()).alias("spared"))
 
 
-@query("veto_exemption", f"SELECT count(*) AS n, count(*) FILTER ({word(('queque', 'ener ench', 'clown'), _BLOB)} AND {_VETO} IS NULL) AS spared FROM cd {PLAIN}")
+@query("veto_exemption", f"SELECT count(*) AS n, count(*) FILTER ({word(('queque', 'ener ench', 'clown'), _BLOB)} AND {_VETO} IS NULL) AS spared FROM cd")
 def _(t):
-    return spared(t, plain(t))
+    return spared(t, t.cd)
 
 
-@query("veto_exemption_all_texts")
+@query("veto_exemption_all_texts", f"SELECT count(*) AS n, count(*) FILTER ({word(('queque', 'ener ench', 'clown'), _BLOB)} AND {_VETO} IS NULL) AS spared FROM cd")
 def _(t):
     return spared(t, t.cd)
 
@@ -81,12 +77,12 @@ def breakdown(t, rows):
     return rows.select(scoring.veto_reason(t.cd).alias("veto_reason")).where("veto_reason is not null").groupBy("veto_reason").agg(F.count("*").alias("n"))
 
 
-@query("veto_breakdown", f"SELECT veto_reason, count(*) AS n FROM (SELECT {_VETO} AS veto_reason FROM cd {PLAIN}) WHERE veto_reason IS NOT NULL GROUP BY ALL")
+@query("veto_breakdown", f"SELECT veto_reason, count(*) AS n FROM (SELECT {_VETO} AS veto_reason FROM cd) WHERE veto_reason IS NOT NULL GROUP BY ALL")
 def _(t):
-    return breakdown(t, plain(t))
+    return breakdown(t, t.cd)
 
 
-@query("veto_breakdown_all_texts")
+@query("veto_breakdown_all_texts", f"SELECT veto_reason, count(*) AS n FROM (SELECT {_VETO} AS veto_reason FROM cd) WHERE veto_reason IS NOT NULL GROUP BY ALL")
 def _(t):
     return breakdown(t, t.cd)
 
@@ -96,12 +92,12 @@ def formats(rows):
     return named.select("id", scoring.classify_format(F.col("name"), F.col("description")).alias("format_type"))
 
 
-@query("classify_format", f"SELECT id, {_FORMAT} AS format_type FROM (SELECT id, replace(name, 'the', 'walk') AS name, replace(description, 'thanedble', 'workshop') AS description FROM cd {PLAIN})")
+@query("classify_format", f"SELECT id, {_FORMAT} AS format_type FROM (SELECT id, replace(name, 'the', 'walk') AS name, replace(description, 'thanedble', 'workshop') AS description FROM cd)")
 def _(t):
-    return formats(plain(t))
+    return formats(t.cd)
 
 
-@query("classify_format_all_texts")
+@query("classify_format_all_texts", f"SELECT id, {_FORMAT} AS format_type FROM (SELECT id, replace(name, 'the', 'walk') AS name, replace(description, 'thanedble', 'workshop') AS description FROM cd)")
 def _(t):
     return formats(t.cd)
 
@@ -145,13 +141,14 @@ def _(t):
     return t.pg.select("page_id", strategy(F.col("url"), S.blocked_domains).alias("strategy"))
 
 
-@query("venue_domain", "SELECT id, CASE organiser WHEN 'click' THEN 'click.example.org' WHEN 'view' THEN 'view.example.org' ELSE CASE source WHEN 'Newsletter' THEN 'mail.example.org' WHEN 'Luma' THEN 'lu.ma' END END AS domain FROM ce")
+@query("venue_domain", "SELECT id, CASE organiser WHEN 'click' THEN 'click.example.org' WHEN 'view' THEN 'view.example.org' ELSE CASE WHEN id % 3 = 0 THEN 'example.com' ELSE CASE source WHEN 'Newsletter' THEN 'mail.example.org' WHEN 'Luma' THEN 'lu.ma' END END END AS domain FROM ce")
 def _(t):
     from ..operators.enrich import venue_domain
 
     organisers = t.spark.createDataFrame([("click", "click.example.org"), ("view", "view.example.org")], "key string, domain string")
+    url = F.when(F.col("id") % 3 == 0, "https://www.Example.com/x?at=example.net").otherwise(F.col("url"))
     sources = t.spark.createDataFrame([("Newsletter", "mail.example.org"), ("Luma", "lu.ma")], "key string, domain string")
-    return venue_domain(t.ce, organisers, sources).select("id", "domain")
+    return venue_domain(t.ce.withColumn("url", url), organisers, sources, ("example.net", "example.com")).select("id", "domain")
 
 
 @query("rule_surface_drift", "SELECT 'click' AS rule_key, 'A' AS letter, 'ok' AS status UNION ALL SELECT DISTINCT organiser, NULL, 'unmapped' FROM ce WHERE organiser <> 'click' UNION ALL SELECT 'gone', 'B', 'stale'")
@@ -160,7 +157,7 @@ def _(t):
     return rules.surface_drift(t.ce.select(F.col("organiser").alias("rule_key")).distinct(), checklist)
 
 
-def _signal_sql() -> str:
+def _signal_sql(organisers: str = "'click', 'src3'") -> str:
     w = packs.SIGNALS
     blob, title = "lower(name || '  ' || organiser)", "lower(name)"
     has = lambda k, of=blob: word(w[k], of)
@@ -172,7 +169,7 @@ SELECT *, s1 + CASE WHEN travel_transit_min > 45 AND s1 < 6 THEN -1 ELSE 0 END
 FROM (SELECT *, 3 * {has('ai')}::INT + 3 * {has('vinyl')}::INT + 2 * hands_on::INT + 2 * {has('creative')}::INT + 2 * {has('production')}::INT + 2 * social::INT
   + 2 * artist::INT + {has('immersive')}::INT + 2 * {has('climbing')}::INT + coalesce({_COST} <= 15, false)::INT - 2 * coalesce(try_cast(substr(time, 1, 2) AS INT) < 10, false)::INT
   + {has('breathwork')}::INT + coalesce(format_type IN ('Workshop', 'Social meetup', 'Wellness'), false)::INT + 2 * {has('series', title)}::INT
-  + 2 * (organiser IN ('click', 'src3') OR lower(coalesce(venue_name, '')) = 'venue 3')::INT - (coalesce(format_type, '') IN ('Talk', 'Film', 'Exhibition') AND NOT hands_on)::INT AS s1
+  + 2 * (organiser IN ({organisers}) OR lower(coalesce(venue_name, '')) = 'venue 3')::INT - (coalesce(format_type, '') IN ('Talk', 'Film', 'Exhibition') AND NOT hands_on)::INT AS s1
   FROM (SELECT *, {has('hands_on_title', title)} OR {has('hands_on')} AS hands_on, coalesce(format_type IN ('Workshop', 'Creative social', 'Outdoor'), false) OR {has('social')} AS social, {has('artists')} AS artist FROM ce))"""
 
 
@@ -213,10 +210,10 @@ def _(t):
     return t.ce.select(scoring.tier(F.col("score")).alias("tier")).groupBy("tier").agg(F.count("*").alias("n"))
 
 
-@query("score_overrides", f"SELECT id, total + CASE WHEN organiser = 'purchase' AND lower(coalesce(venue_name, '')) <> 'venue 3' THEN 2 ELSE 0 END AS total FROM ({_signal_sql()}) WHERE travel_transit_min <= 45")
+@query("score_overrides", "SELECT id, total FROM (" + _signal_sql("'click', 'src3', 'purchase'") + ")")
 def _(t):
     extra = scoring.load_overrides('{"organisers": ["Purchase"], "series": []}')
-    return t.ce.where("travel_transit_min <= 45").select("id", scoring.total(scoring.signals(t.ce, overrides=extra)).alias("total"))
+    return t.ce.select("id", scoring.total(scoring.signals(t.ce, overrides=extra)).alias("total"))
 
 
 _CE_VETO = f"CASE WHEN NOT in_scope THEN NULL ELSE {cases(packs.VETOES, {k: 'lower(name || chr(32) || chr(32) || organiser)' if k == 'blob' else _TITLE if k == 'title' else 'lower(name)' for k in _COLS}, f'WHEN coalesce({_COST} > 30, false) THEN chr(99) WHEN contains(name, chr(112) || chr(97) || chr(114) || chr(116) || chr(32) || chr(51)) AND travel_transit_min > 50 THEN chr(112)')} END"

@@ -41,9 +41,9 @@ def _(t):
     return travel.cache_backfill(t.ce, t.ve)
 
 
-@query("recover_failed_travel", f"SELECT id, cached_min AS travel_transit_min FROM ce JOIN {_LATEST.format('')} v ON lower(ce.venue_name) = v.venue_name WHERE id % 4 = 0")
+@query("recover_failed_travel", f"SELECT id, cached_min AS travel_transit_min FROM ce JOIN {_LATEST.format('')} v ON lower(ce.venue_name) = v.venue_name")
 def _(t):
-    found = travel.with_cache(t.ce.where("id % 4 = 0"), t.ve, None, ["venue_name"]).where("cached is not null")
+    found = travel.with_cache(t.ce, t.ve, None, ["venue_name"]).where("cached is not null")
     return found.select("id", F.col("cached.travel_transit_min").alias("travel_transit_min"))
 
 
