@@ -3,14 +3,16 @@
 ``write_archives`` writes a request, a response or revisit, and a metadata record for each page into gzip-packed
 ``.warc`` text files; of equal payloads the page with the largest id has the response and the others revisit it.
 ``read_records`` parses such files (any WARC/1.x file, packed whole or by record) and ``assemble`` joins the
-records of each capture through their concurrent-to identifiers into one nested row.
+records of each capture through their concurrent-to identifiers, in whichever direction they point, into one nested row.
 
-Files are written by Spark's text writer and read by its binary reader, so that they can be in any store.
-Equal payloads may be a third of all pages: they are only counted before the exchange, and dealt out by salt.
+Files are written by Spark's text writer and read by its binary reader, so that they can be in any store; a file takes about
+``ROWS_A_FILE * ROW_BYTES`` of records, however long the pages are. Equal payloads may be a third of all pages: they are only
+counted before the exchange, and dealt out by salt.
 
 Nulls: a null html is an empty payload, a null url an empty target. Of repeated rows of a page the first is
 the response, if any, and the others revisit it. A null page_id never has the response unless all have none.
-Empty tables give empty archives. A payload that does not match its digest raises ``ValueError``.
+Empty tables give empty archives. Other columns of the pages are not read, whatever their names. A file that is cut off or damaged, a
+record without an id, and a payload that does not match its digest become rows with ``error``, which ``assemble`` leaves out.
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import released, shared_dir
+from .common import released, shared_dir, stage
 
 SALTS = 16
-CAPTURES_A_FILE = 2000
+ROW_BYTES, ROWS_A_FILE = 4_000_000, 16
 DATE = "2024-01-16T00:00:00Z"
 ID = "<urn:capture:{}:{}:{}>"
 
@@ -64,9 +66,19 @@ def _capture(page_id, nth: int, url: str, html: str, hex_digest: str, first) ->
 
 
 def _captures(batches):
+    """Captures, joined to rows of about ``ROW_BYTES``."""
+    row = lambda parts: pa.RecordBatch.from_arrays([pa.array(["\r\n\r\n".join(parts)], pa.string())], names=["value"])
+    parts, held = [], 0
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "nth", "url", "html", "digest", "first")))
-        yield pa.RecordBatch.from_arrays([pa.array([_capture(p, n, u or "", h or "", d, f) for p, n, u, h, d, f in rows], pa.string())], names=["value"])
+        for i in range(batch.num_rows):
+            p, n, u, h, d, f = (batch.column(c)[i].as_py() for c in ("page_id", "nth", "url", "html", "digest", "first"))
+            parts.append(_capture(p, n, u or "", h or "", d, f))
+            held += len(parts[-1])
+            if held >= ROW_BYTES:
+                yield row(parts)
+                parts, held = [], 0
+    if parts:
+        yield row(parts)
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
@@ -79,25 +91,25 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     nth = F.row_number().over(Window.partitionBy("digest", "salt", "page_id").orderBy("url"))
     # rows of one page with other payloads, or too small ones, count on their own
     rows = named.join(copies, ["digest", "salt"], "left").withColumn("nth", F.when(F.octet_length(html) >= least_bytes, nth).otherwise(F.lit(1)))
-    rows.mapInArrow(released(_captures), "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", CAPTURES_A_FILE).text(path)
+    rows.mapInArrow(released(_captures), "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", ROWS_A_FILE).text(path)
 
 
 _HEADER = re.compile(rb"\s*WARC/1\.[01]\r\n(.*?)\r\n\r\n", re.S)
 
 
 def parse(data: bytes):
-    """(headers, block) of each record; names in lower case."""
+    """(headers, block) of each record; names in lower case, a list of values for each."""
     at = 0
     while data[at:].strip() if len(data) - at < 64 else True:
         m = _HEADER.match(data, at)
         if not m:
             raise ValueError(f"no record at {at}")
-        headers = {}
+        headers: dict[str, list[str]] = {}
         for line in m[1].split(b"\r\n"):
             name, _, value = line.partition(b":")
-            headers[name.strip().lower().decode()] = value.strip().decode("utf-8", "replace")
-        size = int(headers["content-length"])
-        if m.end() + size > len(data):
+            headers.setdefault(name.strip().lower().decode("utf-8", "replace"), []).append(value.strip().decode("utf-8", "replace"))
+        size = int(headers.get("content-length", ["-1"])[0])
+        if size < 0 or m.end() + size > len(data):
             raise ValueError(f"the record at {at} is cut off")
         yield headers, data[m.end() : m.end() + size]
         at = m.end() + size
@@ -114,14 +126,17 @@ def unpacked(data: bytes) -> bytes:
 
 
 RECORD = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ("type", "record_id", "concurrent_to", "refers_to", "target_uri", "date", "http_head", "payload_digest")]
-    + [T.StructField("payload_bytes", T.LongType()), T.StructField("payload", T.BinaryType())]
+    [T.StructField(c, T.StringType()) for c in ("type", "record_id", "refers_to", "target_uri", "date", "http_head", "payload_digest", "error")]
+    + [T.StructField("concurrent_to", T.ArrayType(T.StringType())), T.StructField("payload_bytes", T.LongType()), T.StructField("payload", T.BinaryType())]
 )
 
 
-def _row(h: dict, block: bytes, with_payload: bool) -> dict:
+def _row(headers: dict, block: bytes, with_payload: bool) -> dict:
+    h = {k: v[0] for k, v in headers.items()}
     kind = h.get("warc-type")
-    out = {"type": kind, "record_id": h.get("warc-record-id"), "concurrent_to": h.get("warc-concurrent-to"), "refers_to": h.get("warc-refers-to"), "target_uri": h.get("warc-target-uri"), "date": h.get("warc-date")}
+    out = {"type": kind, "record_id": h.get("warc-record-id"), "concurrent_to": headers.get("warc-concurrent-to", []), "refers_to": h.get("warc-refers-to"), "target_uri": h.get("warc-target-uri"), "date": h.get("warc-date")}
+    if not out["record_id"]:
+        out["error"] = "no record id"
     head, payload = b"", block
     if kind in ("request", "response", "revisit"):
         head, _, payload = block.partition(b"\r\n\r\n")
@@ -130,7 +145,7 @@ def _row(h: dict, block: bytes, with_payload: bool) -> dict:
     if kind == "response":
         out["payload_bytes"], out["payload_digest"] = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
         if said not in (None, out["payload_digest"]):
-            raise ValueError(f"the payload of {out['record_id']} does not match its digest")
+            out["error"] = "the payload does not match its digest"
     elif kind == "revisit":
         length = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", b"\r\n" + head)
         out["payload_bytes"], out["payload_digest"] = int(length[1]) if length else None, said
@@ -146,32 +161,58 @@ def _records(with_payload: bool):
         for batch in batches:
             for content in batch.column("content"):
                 rows = []
-                for headers, block in parse(unpacked(content.as_buffer().to_pybytes())):
-                    rows.append(_row(headers, block, with_payload))
-                    if len(rows) == 2000:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows = []
+                held = 0
+                try:
+                    for headers, block in parse(unpacked(content.as_buffer().to_pybytes())):
+                        rows.append(_row(headers, block, with_payload))
+                        held += len(block) if with_payload else 0
+                        if len(rows) == 2000 or held > 16_000_000:
+                            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                            rows, held = [], 0
+                except (ValueError, zlib.error) as e:  # what was read before stays
+                    rows.append({"error": str(e)})
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return released(run)
 
 
 def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per record of the archives under ``path``."""
+    """One row per record of the archives under ``path``; ``error`` tells those that are not to be used."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(path)
     return files.select("content").mapInArrow(_records(with_payload), RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One row per capture: structs ``answer`` (response or revisit), ``request`` and ``metadata``."""
-    part = lambda name, *kinds: records.where(F.col("type").isin(*kinds)).select(F.col("record_id" if name == "answer" else "concurrent_to").alias("capture"), F.struct(*RECORD.fieldNames()).alias(name))
-    return part("answer", "response", "revisit").join(part("request", "request"), "capture", "left").join(part("metadata", "metadata"), "capture", "left")
+    """One row per capture: ``answer`` (response or revisit; null if only others are known) and arrays ``requests``, ``metadata``
+    and ``others``, each in the order of record ids.
+
+    A record belongs to the answer that a concurrent-to identifier links it with, whichever of the two names the
+    other, else to one that is linked with a record it is linked with; the smallest id counts. A record without an answer
+    is in the capture of the smallest id among its own and those that it is linked with.
+    """
+    sound = records.where("error is null")
+    known = stage(sound.select("record_id", F.col("type").isin("response", "revisit").alias("answers"), F.coalesce("concurrent_to", F.array()).alias("to")), "records")
+    named = known.select(F.col("record_id").alias("a"), F.explode("to").alias("b")).where("a <> b")
+    links = named.unionByName(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    answers = known.where("answers").select(F.col("record_id").alias("b")).distinct()
+    near = links.join(answers, "b").groupBy("a").agg(F.min("b").alias("capture"))
+    far = links.join(near.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("capture").alias("capture"))
+    label = answers.select(F.col("b").alias("record_id"), F.lit(0).alias("hops"), F.col("b").alias("capture"))
+    for hops, found in ((1, near), (2, far), (3, links.groupBy("a").agg(F.min(F.least("a", "b")).alias("capture")))):
+        label = label.unionByName(found.select(F.col("a").alias("record_id"), F.lit(hops).alias("hops"), "capture"))
+    label = label.groupBy("record_id").agg(F.min(F.struct("hops", "capture"))["capture"].alias("capture"))
+    one = F.struct("record_id", *(c for c in RECORD.fieldNames() if c not in ("record_id", "error")))
+    kind = F.col("type")
+    part = lambda cond: F.array_sort(F.collect_list(F.when(cond, F.col("one"))))
+    all_of = sound.join(label, "record_id", "left").select(F.coalesce("capture", "record_id").alias("capture"), "type", one.alias("one"))
+    answer, asked, noted = kind.isin("response", "revisit"), kind == "request", kind == "metadata"
+    return all_of.groupBy("capture").agg(F.min(F.when(answer, F.col("one"))).alias("answer"), part(asked).alias("requests"), part(noted).alias("metadata"), part(~F.coalesce(answer | asked | noted, F.lit(False))).alias("others"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    captures = assemble(read_records(spark, path, with_payload=False))
+    captures = assemble(read_records(spark, path, with_payload=False)).where("answer is not null")
     page = lambda c: F.nullif(F.regexp_extract(c, r"^<urn:capture:(-?\d*):", 1), F.lit("")).cast("long")
     return captures.select(
         page(F.col("answer.record_id")).alias("page_id"),
@@ -180,6 +221,6 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("answer.type").alias("record_type"),
         page(F.col("answer.refers_to")).alias("refers_to"),
         F.col("answer.target_uri").alias("url"),
-        F.col("request").isNotNull().alias("has_request"),
-        F.col("metadata").isNotNull().alias("has_metadata"),
+        (F.size("requests") > 0).alias("has_request"),
+        (F.size("metadata") > 0).alias("has_metadata"),
     )
