@@ -17,9 +17,11 @@ STEP_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temp folder only where it is unset, as in tests."""
+    """The folder all executors share (``spark.checkpoint.dir``); where it is unset, a temp folder in local mode and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="spark-stage-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
