@@ -130,12 +130,18 @@ def migrated(df: DataFrame, migratable: dict[str, object]) -> DataFrame:
     return df.withColumns({c: F.lit(v) for c, v in migratable.items() if c not in df.columns})
 
 
+def upcoming(cand: DataFrame, as_of: str) -> DataFrame:
+    """Rows that end on ``as_of`` or later."""
+    return cand.where(F.coalesce("end_date", "date") >= as_of)
+
+
 def as_new(cand: DataFrame) -> DataFrame:
     """Rows to append: pending, with what they were made of."""
     return cand.withColumn("pipeline_state", F.lit("pending_llm")).withColumn("source_snapshot", F.to_json(F.struct(*cand.columns)))
 
 
 def append_candidates(cand: DataFrame, path: str) -> None:
+    """Append new rows to the table at ``path``, a folder for each run date."""
     as_new(cand).write.partitionBy("run_date").mode("append").parquet(path)
 
 

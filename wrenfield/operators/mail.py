@@ -34,6 +34,12 @@ def track_senders(state: DataFrame, messages: DataFrame) -> DataFrame:
     return j.select("sender", (F.coalesce("events", F.lit(0)) + F.coalesce("e", F.lit(0))).alias("events"), (F.coalesce("emails", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("emails"), F.greatest("last_seen", "d").alias("last_seen"))
 
 
+def active(senders: DataFrame, left: DataFrame) -> DataFrame:
+    """Senders with ``active``: not those that ``left``."""
+    gone = left.select("sender", F.lit(False).alias("active")).distinct()
+    return senders.join(gone, "sender", "left").withColumn("active", F.coalesce("active", F.lit(True)))
+
+
 def recent(messages: DataFrame, as_of: str, days: int) -> DataFrame:
     return messages.where(F.col("email_date") >= F.date_sub(F.lit(as_of).cast("date"), days).cast("string"))
 
@@ -50,15 +56,23 @@ def discovery(messages: DataFrame, known: DataFrame, most: int = 15) -> DataFram
     return new.orderBy(F.desc("email_date"), "sender").limit(most).select("sender", "message_id", "email_date")
 
 
+# Venues that no text names.
+NO_VENUE = ("tbc", "unknown", "online", "various")
+
+
 def extraction_trace(rows: DataFrame, messages: DataFrame) -> DataFrame:
-    """(id, name_status, date_status, row_status): whether name and date stand in the message's text."""
-    j = rows.withColumn("norm", C.normalise_name(F.col("name"))).join(messages.select("message_id", C.normalise_name(F.col("body_text")).alias("body")), "message_id", "left")
+    """(id, name_status, date_status, venue_status, row_status): whether what a row says stands in the message's text."""
+    kept = rows if "venue_name" in rows.columns else rows.withColumn("venue_name", F.lit(None).cast("string"))
+    j = kept.withColumn("norm", C.normalise_name(F.col("name"))).join(messages.select("message_id", C.normalise_name(F.col("body_text")).alias("body")), "message_id", "left")
     words = F.split("norm", " ")
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " "))
     whole = F.contains("body", "norm")
     name = F.when(C.blank(F.col("name")), "missing").when(whole | ((F.size(words) > 2) & F.exists(runs, lambda w: F.contains(F.col("body"), w))), "match").otherwise("NOT_FOUND")
     date = F.when(C.blank(F.col("date")), "missing").when(F.exists(C.date_variants(F.col("date")), lambda v: F.contains(F.col("body"), F.lower(v))), "match").otherwise("NOT_FOUND")
-    return j.select("id", "message_id", name.alias("name_status"), date.alias("date_status")).withColumn("row_status", F.when((F.col("name_status") == "NOT_FOUND") | (F.col("date_status") == "NOT_FOUND"), "mismatch").otherwise("ok"))
+    place = F.coalesce("venue_name", F.lit(""))
+    venue = F.when((place == "") | F.lower(place).isin(*NO_VENUE), "skipped").when(F.contains("body", C.normalise_name(place)), "match").otherwise("NOT_FOUND")
+    said = j.select("id", "message_id", name.alias("name_status"), date.alias("date_status"), venue.alias("venue_status"))
+    return said.withColumn("row_status", F.when(F.array_contains(F.array("name_status", "date_status", "venue_status"), "NOT_FOUND"), "mismatch").otherwise("ok"))
 
 
 def second_pass(trace: DataFrame, least: int = 3) -> DataFrame:

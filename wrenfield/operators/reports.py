@@ -121,16 +121,34 @@ def apply_findings(approved: DataFrame, state: DataFrame, overrides: DataFrame)
     return j.select("finding_key", F.when(~kind.isin("organiser", "series"), "manual").when(F.col("known").isNull(), "missing").when(F.col("have"), "present").otherwise("added").alias("action"))
 
 
-def pipeline_health(runs: DataFrame) -> DataFrame:
-    """One row: health by the latest run, counts by status, events added."""
+def pipeline_health(runs: DataFrame, expected: str | None = None) -> DataFrame:
+    """One row: health by the latest run, counts by status, events added. Without a run since ``expected``, a run was missed."""
     last = F.max_by("status", F.struct("batch_date", "status"))
     health = F.when(last == "Success", "healthy").when(last.isin("Partial", "Incomplete"), "degraded").when(last == "Failed", "failed").otherwise("unknown")
+    health = F.when(F.coalesce(F.max("batch_date") < expected, F.lit(True)), "missed").otherwise(health) if expected else health
     return runs.agg(health.alias("health"), *(F.count_if(F.col("status") == s).alias(f"n_{s.lower()}") for s in ("Success", "Partial", "Incomplete", "Failed")), F.sum("events_added").alias("events_added"))
 
 
-def failure_class(text: Column) -> Column:
-    low = F.lower(text)
-    return F.when(low.rlike("timeout|timed out"), "timeout").when(low.rlike("401|403|token|auth"), "access").when(low.rlike("rate|429"), "rate limit").otherwise("other")
+# Kinds of failure in the order in which they are looked for, with groups of words of which one each must be said.
+FAILURES = {
+    "access": (("token", "auth", "401"),),
+    "write": (("write",), ("board", "notion", "fail")),
+    "network": (("403", "host_not_allowed", "blocked"),),
+    "stuck": (("stuck", "pending"),),
+    "fetch": (("fetch",),),
+}
+
+
+def failure_class(issues: Column, status: Column) -> Column:
+    """What went wrong in a run that did not succeed."""
+    said = F.lower(F.coalesce(issues, F.lit("")))
+    kinds = []
+    for kind, groups in FAILURES.items():
+        hit = F.lit(True)
+        for words in groups:
+            hit = hit & said.rlike("|".join(words))
+        kinds.append(F.when(hit, kind))
+    return F.when(status != "Success", F.coalesce(*kinds, F.when(status == "Failed", "unspecified").otherwise("other")))
 
 
 def missing_runs(runs: DataFrame, as_of: dt.date, days: int, weekday: int) -> DataFrame:
@@ -139,11 +157,16 @@ def missing_runs(runs: DataFrame, as_of: dt.date, days: int, weekday: int) -> Da
     return expected.select(F.col("d").cast("string").alias("run_date")).join(runs.select("run_date").distinct(), "run_date", "left_anti")
 
 
-def taste(attended: DataFrame) -> DataFrame:
-    """(kind, value, n): venues, and series of two or more, by how often."""
+def taste(attended: DataFrame, fmt: Column | None = None) -> DataFrame:
+    """(kind, value, n): venues, formats, and series of two or more, by how often; the first and last date."""
     venue = attended.groupBy(C.venue_short(F.col("location")).alias("value")).agg(F.count("*").alias("n")).withColumn("kind", F.lit("venue"))
     series = attended.groupBy(C.title_stem(F.col("title")).alias("value")).agg(F.count("*").alias("n")).where("n >= 2").withColumn("kind", F.lit("series"))
-    return venue.unionByName(series).where("value <> ''")
+    ends = attended.agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count("*").alias("n")).where("n > 0")
+    dates = ends.select(F.explode(F.array(F.struct(F.col("first").alias("value"), "n", F.lit("first date").alias("kind")), F.struct(F.col("last").alias("value"), "n", F.lit("last date").alias("kind")))).alias("r")).select("r.*")
+    out = venue.unionByName(series).unionByName(dates)
+    if fmt is not None:
+        out = out.unionByName(attended.groupBy(fmt.alias("value")).agg(F.count("*").alias("n")).withColumn("kind", F.lit("format")))
+    return out.where("value <> ''")
 
 
 def qa_checks(cand: DataFrame, run_date: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..settings import DEFAULT, Settings
+from ..staging import staged
 from .scoring import hard_rule
 
 TIERS = ("Top Picks", "Recommended", "Borderline", "Not Recommended")
@@ -28,7 +29,8 @@ def numbered(ids: DataFrame, size: int) -> DataFrame:
 
     Positions come from counts of id ranges and a rank within each, so no task sees all ids.
     """
-    parts = ids.select("id").repartitionByRange("id").withColumn("part", F.spark_partition_id())
+    # staged, so that the ranges are drawn once for the counts and the ranks
+    parts = staged(ids.select("id").repartitionByRange("id").withColumn("part", F.spark_partition_id()))
     counts = parts.groupBy("part").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
     rank = F.row_number().over(Window.partitionBy("part").orderBy("id"))
@@ -117,6 +119,17 @@ def gates(cand: DataFrame, as_of: str, run_date: str) -> DataFrame:
     return second.withColumn("recovered", F.coalesce(back, F.lit(False))).withColumn("llm_tier", F.when(F.col("recovered"), "Borderline").otherwise(F.col("llm_tier")))
 
 
+def close_unprocessable(cand: DataFrame, tier: Column) -> DataFrame:
+    """(id, new_state): pending rows that could not be processed are closed."""
+    closed = F.when(tier == "Couldn't Process", "llm_rejected").otherwise(F.col("pipeline_state"))
+    return cand.where("pipeline_state = 'pending_llm'").select("id", closed.alias("new_state"))
+
+
+def travel_gaps(cand: DataFrame, display: Column) -> DataFrame:
+    """Accepted rows with a venue for which no travel time is shown."""
+    return cand.where((F.col("llm_tier") != "Not Recommended") & ~C.blank(F.col("venue_name")) & display.isNull())
+
+
 def required_fields(cand: DataFrame) -> DataFrame:
     """Ready rows with reasons why they are incomplete."""
     reasons = F.array_compact(F.array(F.when(C.blank(F.col("name")), "name"), F.when(C.blank(F.col("date")), "date"), F.when(C.blank(F.col("llm_tier")), "tier")))

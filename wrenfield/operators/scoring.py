@@ -153,10 +153,15 @@ def score_job(cand: DataFrame, as_of: str, rescore: bool = False, s: Settings =
     score = F.when(F.col("outcome") == "scored", total(F.col("fired")))
     page = have("notion_page_id").isNotNull()
     state = F.when((F.col("outcome") == "vetoed") & ~page, "vetoed").when((F.col("outcome") == "scored") & ~page & F.lit(not rescore), "pending_llm").otherwise(F.col("pipeline_state"))
-    named = F.when(F.col("outcome") == "vetoed", "Vetoed").when(F.col("outcome") == "no description", "Couldn't Process").when(F.col("outcome") == "scored", tier(score))
+    named = F.when(F.col("outcome") == "vetoed", "Vetoed").when(F.col("outcome") == "no description", couldnt_process(F.lit(""))).when(F.col("outcome") == "scored", tier(score))
     return scored.withColumn("new_score", score).withColumn("new_tier", named).withColumn("new_state", state)
 
 
+def couldnt_process(description: Column) -> Column:
+    """The tier of rows without a description; they get no score."""
+    return F.when(C.blank(description), "Couldn't Process")
+
+
 def score_report(scored: DataFrame) -> DataFrame:
     return scored.groupBy("outcome", F.coalesce("new_tier", F.lit("-")).alias("tier")).agg(F.count("*").alias("n"), F.coalesce(F.sum("new_score"), F.lit(0)).alias("total"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import ingest, linkage
 from ..settings import DEFAULT as S
+from ..staging import new_folder
 from .catalog import query
 
 AS_OF = S.as_of.isoformat()
@@ -81,9 +82,20 @@ def _(t):
     return report.join(F.broadcast(t.ce.agg(F.count("*").alias("n"))))
 
 
-@query("append_candidates", "SELECT run_date, pipeline_state, count(*) AS n FROM (SELECT run_date, 'pending_llm' AS pipeline_state FROM ce) GROUP BY ALL")
+@query("migrate_columns", "SELECT id, 0 AS place_written, url FROM ce")
 def _(t):
-    return ingest.as_new(t.ce).groupBy("run_date", "pipeline_state").agg(F.count("*").alias("n"))
+    return ingest.migrated(t.ce, {"place_written": 0, "url": ""}).select("id", "place_written", "url")
+
+
+@query("append_candidates", "SELECT run_date, pipeline_state, count(*) AS n, count(DISTINCT id) AS n_ids, 0 AS n_lost FROM (SELECT run_date, id, 'pending_llm' AS pipeline_state FROM ce) GROUP BY ALL")
+def _(t):
+    """Both run dates are appended one after the other, then the table is read back."""
+    path = new_folder(t.spark, "candidates")
+    for run in ("2024-01-09", "2024-01-16"):
+        ingest.append_candidates(t.ce.where(F.col("run_date") == run), path)
+    back = t.spark.read.schema(ingest.as_new(t.ce).schema).parquet(path).withColumn("run_date", F.col("run_date").cast("string"))
+    kept = F.get_json_object("source_snapshot", "$.id").cast("long") == F.col("id")
+    return back.groupBy("run_date", "pipeline_state").agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"), F.count_if(~kept).alias("n_lost"))
 
 
 @query("snapshot_guard", "SELECT true AS lost_rows, 1 AS lost_run_dates, count(*) FILTER (run_date = '2024-01-16') AS n_new, count(*) AS n_old FROM ce")

@@ -102,6 +102,13 @@ def _(t):
     return mail.track_senders(state, t.em)
 
 
+@query("active_senders", "SELECT sender, sum(events_extracted) AS events, sender NOT IN ('sender1', 'sender2') AS active FROM em GROUP BY sender")
+def _(t):
+    state = t.spark.createDataFrame([], "sender string, events long, emails long, last_seen string")
+    left = t.em.where("sender IN ('sender1', 'sender2')").select("sender")
+    return mail.active(mail.track_senders(state, t.em), left).select("sender", "events", "active")
+
+
 @query("recent_emails", "SELECT message_id, email_date FROM em WHERE email_date >= '2024-01-09'")
 def _(t):
     return mail.recent(t.em, AS_OF, 7).select("message_id", "email_date")
@@ -118,11 +125,11 @@ def _(t):
     return mail.discovery(t.em, t.em.where("sender = 'sender2'").select("sender").distinct())
 
 
-@query("extraction_trace", "SELECT id, CASE WHEN id % 3 = 0 THEN 'NOT_FOUND' ELSE 'match' END AS name_status, CASE WHEN id % 2 = 0 THEN 'match' ELSE 'NOT_FOUND' END AS date_status FROM ce")
+@query("extraction_trace", "SELECT id, CASE WHEN id % 3 = 0 THEN 'NOT_FOUND' ELSE 'match' END AS name_status, CASE WHEN id % 2 = 0 THEN 'match' ELSE 'NOT_FOUND' END AS date_status, CASE WHEN venue_name IS NULL THEN 'skipped' WHEN id % 5 = 0 THEN 'match' ELSE 'NOT_FOUND' END AS venue_status FROM ce")
 def _(t):
-    rows = t.ce.select("id", "name", "date", F.concat(F.lit("m"), "id").alias("message_id"))
-    body = F.concat(F.when(F.col("id") % 3 == 0, "Jazz").otherwise(F.upper("name")), F.lit(" on "), F.when(F.col("id") % 2 == 0, F.concat(F.date_format(F.col("date").cast("date"), "d MMMM"), F.lit(" at 8"))).otherwise("Friday"))
-    return mail.extraction_trace(rows, rows.select("message_id", body.alias("body_text"))).select("id", "name_status", "date_status")
+    rows = t.ce.select("id", "name", "date", "venue_name", F.concat(F.lit("m"), "id").alias("message_id"))
+    body = F.concat(F.when(F.col("id") % 5 == 0, F.concat(F.coalesce("venue_name", F.lit("")), F.lit(": "))).otherwise(""), F.when(F.col("id") % 3 == 0, "Jazz").otherwise(F.upper("name")), F.lit(" on "), F.when(F.col("id") % 2 == 0, F.concat(F.date_format(F.col("date").cast("date"), "d MMMM"), F.lit(" at 8"))).otherwise("Friday"))
+    return mail.extraction_trace(rows, rows.select("message_id", body.alias("body_text"))).select("id", "name_status", "date_status", "venue_status")
 
 
 _SECOND_PASS = "SELECT message_id, n, bad FROM (SELECT 'm' || (id // 5) || '-' || (id % 5 // 3) AS message_id, count(*) AS n, count(*) FILTER (id % 7 = 0 OR id % 11 = 0) AS bad FROM ce GROUP BY 1) WHERE bad > 0 OR n >= 3"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import linkage, reports
+from ..operators import linkage, reports, scoring
 from ..settings import DEFAULT as S
 from ..streaming import jobs
 from .catalog import query
@@ -118,6 +118,18 @@ def _(t):
     return reports.pipeline_health(t.ce.select(status.alias("status"), latest.alias("batch_date"), F.col("score").alias("events_added")))
 
 
+@query("pipeline_missed", "SELECT 'missed' AS health, count(*) AS n_success, 0 AS n_partial, 0 AS n_incomplete, 0 AS n_failed, sum(score) AS events_added FROM ce")
+def _(t):
+    return reports.pipeline_health(t.ce.select(F.lit("Success").alias("status"), F.col("date").alias("batch_date"), F.col("score").alias("events_added")), expected="2999-01-01")
+
+
+@query("failure_class", "SELECT id, CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'access' WHEN 2 THEN 'write' WHEN 3 THEN 'network' WHEN 4 THEN 'stuck' WHEN 5 THEN 'other' ELSE 'unspecified' END AS failure FROM ce")
+def _(t):
+    said = F.element_at(F.array(*map(F.lit, ("Token gone, write failed", "Write: FAILED", "403 from host", "rows stuck", "odd", "odd"))), F.greatest(F.col("id") % 7, F.lit(1)).cast("int"))
+    status = F.when(F.col("id") % 7 == 0, "Success").when(F.col("id") % 7 == 5, "Partial").otherwise("Failed")
+    return t.ce.select("id", reports.failure_class(said, status).alias("failure"))
+
+
 @query("missing_runs", "SELECT d::VARCHAR AS run_date FROM (SELECT (DATE '2024-01-16' - i::INT) AS d FROM range(60) r(i)) WHERE dayofweek(d) = 2 AND d::VARCHAR NOT IN (SELECT run_date FROM ce)")
 def _(t):
     return reports.missing_runs(t.ce, S.as_of, 60, 1)
@@ -129,9 +141,9 @@ def _(t):
     return _matched(t).agg(F.count("*").alias("n_matched"), F.count_distinct("id").alias("n_rows"), F.count_if(F.col("verdict").isin("Going", "Maybe")).alias("n_confirmed"), F.count(c).alias("n_corrections"))
 
 
-@query("taste_bootstrap", "SELECT 'venue' AS kind, lower(split_part(location, ',', 1)) AS value, count(*) AS n FROM cal GROUP BY 2 UNION ALL SELECT 'series', trim(regexp_replace(lower(title), '\\d+', '')), count(*) FROM cal GROUP BY 2 HAVING count(*) >= 2")
+@query("taste_bootstrap", "SELECT 'venue' AS kind, lower(split_part(location, ',', 1)) AS value, count(*) AS n FROM cal GROUP BY 2 UNION ALL SELECT 'series', trim(regexp_replace(lower(title), '\\d+', '')), count(*) FROM cal GROUP BY 2 HAVING count(*) >= 2 UNION ALL SELECT 'first date', min(date), count(*) FROM cal UNION ALL SELECT 'last date', max(date), count(*) FROM cal UNION ALL SELECT 'format', 'Social meetup', count(*) FROM cal")
 def _(t):
-    return reports.taste(t.cal)
+    return reports.taste(t.cal, scoring.classify_format(F.col("title"), F.lit("")))
 
 
 _QA = "(SELECT * FROM ce WHERE run_date = '2024-01-16')"
@@ -157,9 +169,9 @@ def _(t):
     return reports.deviations(expected, log)
 
 
-@query("stream_funnel", "SELECT pipeline_state, count(*) AS n FROM ce GROUP BY ALL")
+@query("stream_funnel", "SELECT CAST(date_trunc('day', (date || ' ' || time || ':00')::TIMESTAMP) AS VARCHAR)[1:10] AS day, pipeline_state, count(*) AS n FROM ce GROUP BY ALL")
 def _(t):
-    return jobs.funnel_once(t.ce.select("pipeline_state", "date"))
+    return jobs.funnel_once(t.ce.select("pipeline_state", "date", "time"))
 
 
 @query("stream_ingest", "SELECT DISTINCT regexp_extract(url, '([^/]+)$', 1) AS url_key FROM ce")

@@ -57,7 +57,7 @@ def _(t):
 @query("close_unprocessable", "SELECT id, CASE WHEN id % 5 = 0 THEN 'llm_rejected' ELSE pipeline_state END AS new_state FROM ce WHERE pipeline_state = 'pending_llm'")
 def _(t):
     tier = F.when(F.col("id") % 5 == 0, "Couldn't Process")
-    return t.ce.where("pipeline_state = 'pending_llm'").select("id", F.when(tier == "Couldn't Process", "llm_rejected").otherwise(F.col("pipeline_state")).alias("new_state"))
+    return review.close_unprocessable(t.ce, tier)
 
 
 @query("review_stragglers", f"SELECT id FROM {_PENDING} WHERE id % 4 <> 0")
@@ -100,7 +100,7 @@ def _(t):
 @query("travel_gaps", "SELECT id FROM ce WHERE llm_tier <> 'Not Recommended' AND venue_name IS NOT NULL AND id % 5 > 0")
 def _(t):
     display = F.when(F.col("id") % 5 == 0, "9 min (transit)")
-    return t.ce.where((F.col("llm_tier") != "Not Recommended") & ~C.blank(F.col("venue_name")) & display.isNull()).select("id")
+    return review.travel_gaps(t.ce, display).select("id")
 
 
 @query("required_fields", "SELECT id, CASE WHEN id % 2 = 0 THEN 'name' ELSE '' END AS missing FROM ce WHERE pipeline_state = 'ready_to_write'")

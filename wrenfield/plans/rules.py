@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import packs, rules, scoring
+from ..operators import ingest, packs, rules, scoring
 from ..settings import DEFAULT as S
 from .catalog import query
 from .projections import _COST
@@ -122,13 +122,13 @@ def _(t):
 
 @query("upcoming", f"SELECT id FROM ce WHERE coalesce(end_date, date) >= '{AS_OF}'")
 def _(t):
-    return t.ce.where(F.coalesce("end_date", "date") >= AS_OF).select("id")
+    return ingest.upcoming(t.ce, AS_OF).select("id")
 
 
 @query("couldnt_process", "SELECT id, CASE WHEN id % 3 = 0 THEN 'Couldn''t Process' END AS tier FROM cd")
 def _(t):
     text = F.when(F.col("id") % 3 == 0, F.lit("   ")).otherwise(F.col("description"))
-    return t.cd.select("id", F.when(C.blank(text), "Couldn't Process").alias("tier"))
+    return t.cd.select("id", scoring.couldnt_process(text).alias("tier"))
 
 
 _HOST = "regexp_replace(lower(regexp_extract(url, '://([^/?#:]*)', 1)), '^www\\.', '')"

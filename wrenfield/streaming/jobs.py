@@ -21,14 +21,19 @@ def _land(df: DataFrame) -> tuple[DataFrame, str]:
     return spark.readStream.schema(df.schema).parquet(path), f"{path}-state-{uuid.uuid4().hex}"
 
 
+def timed(stream: DataFrame, delay: str) -> DataFrame:
+    at = F.concat("date", F.lit(" "), "time", F.lit(":00")).try_cast("timestamp")
+    return stream.withColumn("event_ts", at).withWatermark("event_ts", delay)
+
+
 def ingest(stream: DataFrame, delay: str = "60 days") -> DataFrame:
     """First row of each URL key within the watermark."""
-    keyed = stream.withColumn("event_ts", F.concat("date", F.lit(" "), "time", F.lit(":00")).try_cast("timestamp")).withColumn("url_key", C.url_key(F.col("url")))
-    return keyed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["url_key"]).select("url_key", "id", "name", "event_ts")
+    return timed(stream.withColumn("url_key", C.url_key(F.col("url"))), delay).dropDuplicatesWithinWatermark(["url_key"]).select("url_key", "id", "name", "event_ts")
 
 
-def funnel(stream: DataFrame) -> DataFrame:
-    return stream.groupBy("pipeline_state").agg(F.count("*").alias("n"))
+def funnel(stream: DataFrame, every: str = "1 day", delay: str = "60 days") -> DataFrame:
+    """Counts by state in tumbling windows of event time, for update mode."""
+    return timed(stream, delay).groupBy(F.window("event_ts", every).alias("span"), "pipeline_state").agg(F.count("*").alias("n")).select("span.start", "pipeline_state", "n")
 
 
 def upsert(snapshot: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -45,14 +50,17 @@ def ingest_once(rows: DataFrame) -> DataFrame:
 
 
 def funnel_once(rows: DataFrame) -> DataFrame:
+    """The counts after the stream: every batch appends what it changed, and the last change of a window and state counts."""
     stream, state = _land(rows)
-    held = {}
+    out = f"{state}-out"
 
-    def keep(batch: DataFrame, _: int) -> None:
-        held["last"] = staged(batch)
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/{number}")
 
-    funnel(stream).writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    return held["last"]
+    funnel(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    said = rows.sparkSession.read.schema("start timestamp, pipeline_state string, n long, batch int").option("recursiveFileLookup", "true").parquet(out)
+    last = said.groupBy("start", "pipeline_state").agg(F.max_by("n", "batch").alias("n"))
+    return last.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "pipeline_state", "n")
 
 
 def upsert_once(rows: DataFrame) -> DataFrame:
