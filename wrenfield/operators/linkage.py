@@ -1,7 +1,7 @@
 """Record linkage: exact and fuzzy duplicates, multi-day merges, calendar and board matches.
 
 All joins are on keys. Fuzzy names meet on their rarest words, or where one is the beginning of the other. Calendar rows
-meet the distinct looks of candidates of their date, once for each look of their own, and only the best is kept.
+meet the distinct looks of candidates of their date, which on a busy date is still their product.
 """
 
 from __future__ import annotations
@@ -141,16 +141,14 @@ def calendar_match(cal: DataFrame, cand: DataFrame, s: Settings = DEFAULT) -> Da
 
     Rows meet on the date; candidates of one date that look alike to a calendar row meet it once.
     """
-    place = lambda c: F.coalesce(C.normalise_venue(F.col(c), s.city, s.geocode_suffix), F.lit(""))
-    said = lambda c: F.transform(C.title_words(F.col(c)), lambda w: F.xxhash64(w))  # noqa: E731  words as numbers
-    x = cal.select("calendar_id", "date", C.normalise_name(F.col("title")).alias("t"), place("location").alias("v"))
-    y = cand.select("id", "date", C.normalise_name(F.col("name")).alias("n"), place("venue_name").alias("w"))
+    place = lambda c: C.normalise_venue(F.col(c), s.city, s.geocode_suffix)
+    x = cal.select("calendar_id", "date", C.normalise_name(F.col("title")).alias("t"), place("location").alias("v")).withColumn("tw", C.title_words(F.col("t")))
+    y = cand.select("id", "date", C.normalise_name(F.col("name")).alias("n"), place("venue_name").alias("w")).withColumn("nw", C.title_words(F.col("n")))
     same_venue = (F.col("v") != "") & (F.col("w") != "") & (F.col("v").contains(F.col("w")) | F.col("w").contains(F.col("v")))
-    looks = x.select("date", "t", "v").distinct().withColumn("tw", said("t"))
-    kinds = y.groupBy("date", "n", "w").agg(F.min("id").alias("id")).withColumn("nw", said("n"))
-    scored = looks.join(kinds, "date").withColumn("c", confidence(F.col("t"), F.col("n"), F.col("tw"), F.col("nw"), same_venue)).where("c.rank > 0")
-    best = scored.groupBy("date", "t", "v").agg(F.max(F.struct("c.rank", "c.overlap", (-F.col("id")).alias("first"))).alias("c")).withColumn("id", -F.col("c.first"))
-    top = x.join(best, ["date", "t", "v"])
+    kinds = y.groupBy("date", "n", "w", "nw").agg(F.min("id").alias("id"))
+    scored = x.join(kinds, "date").withColumn("c", confidence(F.col("t"), F.col("n"), F.col("tw"), F.col("nw"), same_venue)).where("c.rank > 0")
+    best = Window.partitionBy("calendar_id").orderBy(F.desc("c.rank"), F.desc("c.overlap"), "id")
+    top = scored.withColumn("nth", F.row_number().over(best)).where("nth = 1")
     return top.select("calendar_id", "id", F.when(F.col("c.rank") == 2, "high").otherwise("medium").alias("confidence"), F.col("c.overlap").alias("overlap"))
 
 
