@@ -1,7 +1,7 @@
 """Record linkage: exact and fuzzy duplicates, multi-day merges, calendar and board matches.
 
-All joins are on keys. Fuzzy names meet on their rarest words, or where one is the beginning of the other. Calendar rows
-meet the distinct looks of candidates of their date, which on a busy date is still their product.
+All joins are on keys. Fuzzy names meet on their rarest words, or where one is the beginning of the other; calendar rows
+meet distinct looks of candidates on their rarest words, and only where that finds nothing those of their venue.
 """
 
 from __future__ import annotations
@@ -139,17 +139,65 @@ def confidence(title: Column, name: Column, title_words: Column, name_words: Col
 def calendar_match(cal: DataFrame, cand: DataFrame, s: Settings = DEFAULT) -> DataFrame:
     """Best candidate of each calendar row: (calendar_id, id, confidence, overlap); only high and medium ones.
 
-    Rows meet on the date; candidates of one date that look alike to a calendar row meet it once.
+    Rows of a date meet on an equal name, or on one of the rarest words of the smaller set: so many that every pair
+    that shares enough of it is found. What nothing can beat (all words and the venue) is settled first, on one word
+    each; then pairs that share 0.6; only rows that still have none meet the candidates of their venue. Pairs shrink
+    to one row for each score before they are shuffled.
     """
     place = lambda c: C.normalise_venue(F.col(c), s.city, s.geocode_suffix)
     x = cal.select("calendar_id", "date", C.normalise_name(F.col("title")).alias("t"), place("location").alias("v")).withColumn("tw", C.title_words(F.col("t")))
     y = cand.select("id", "date", C.normalise_name(F.col("name")).alias("n"), place("venue_name").alias("w")).withColumn("nw", C.title_words(F.col("n")))
+    x, y = staged(x), staged(y.groupBy("date", "n", "w", "nw").agg(F.min("id").alias("id")))
     same_venue = (F.col("v") != "") & (F.col("w") != "") & (F.col("v").contains(F.col("w")) | F.col("w").contains(F.col("v")))
-    kinds = y.groupBy("date", "n", "w", "nw").agg(F.min("id").alias("id"))
-    scored = x.join(kinds, "date").withColumn("c", confidence(F.col("t"), F.col("n"), F.col("tw"), F.col("nw"), same_venue)).where("c.rank > 0")
-    best = Window.partitionBy("calendar_id").orderBy(F.desc("c.rank"), F.desc("c.overlap"), "id")
-    top = scored.withColumn("nth", F.row_number().over(best)).where("nth = 1")
-    return top.select("calendar_id", "id", F.when(F.col("c.rank") == 2, "high").otherwise("medium").alias("confidence"), F.col("c.overlap").alias("overlap"))
+    c = confidence(F.col("t"), F.col("n"), F.col("tw"), F.col("nw"), same_venue)
+
+    sure = staged(_alike(x, y, c, 1.0).where("top.rank = 2 and top.overlap = 1"))
+    open_ = x.join(sure.select("calendar_id"), "calendar_id", "left_anti")
+    likely = staged(_alike(open_, y, c, 0.6))
+    rest = open_.where("v <> ''").join(likely.select("calendar_id"), "calendar_id", "left_anti")
+    venues = rest.select("date", "v").distinct().join(y.where("w <> ''").select("date", "w").distinct(), "date").where(same_venue)
+    at_venue = _best_of(rest.join(venues, ["date", "v"]).join(y, ["date", "w"]), c)
+    best = sure.unionByName(likely).unionByName(at_venue)
+    return best.select("calendar_id", F.col("top.id").alias("id"), F.when(F.col("top.rank") == 2, "high").otherwise("medium").alias("confidence"), F.col("top.overlap").alias("overlap"))
+
+
+def _alike(x: DataFrame, y: DataFrame, c: Column, share: float) -> DataFrame:
+    """The best of each calendar row's candidates that have its name or share ``share`` of the words."""
+    counts = y.select("date", F.explode("nw").alias("word")).groupBy("date", "word").agg(F.count("*").alias("df"))
+    pairs = x.join(y.withColumnRenamed("n", "t"), ["date", "t"]).withColumn("n", F.col("t"))
+    for few, many, smaller in ((x, y, F.size("tw") <= F.size("nw")), (y, x, F.size("nw") < F.size("tw"))):
+        pairs = pairs.unionByName(_salted_words(_rare(few, counts, share), _words(many)).where(smaller & (C.overlap(F.col("tw"), F.col("nw")) >= share)))
+    return _best_of(pairs, c)
+
+
+def _words(t: DataFrame) -> DataFrame:
+    return t.withColumn("word", F.explode("tw" if "tw" in t.columns else "nw"))
+
+
+def _rare(t: DataFrame, counts: DataFrame, share: float) -> DataFrame:
+    """Rows of ``t`` by each of their rarest words: as many as any set that shares ``share`` of the row's must have one of."""
+    key = ["date", *(("calendar_id", "t", "v") if "tw" in t.columns else ("id", "n", "w"))]
+    found = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word")))
+    ranked = _words(t).select(*key, "word").join(counts, ["date", "word"], "left").groupBy(*key).agg(found.alias("ranked"))
+    n = F.size("ranked")
+    rare = ranked.select(*key, F.explode(F.slice("ranked", 1, (n - F.ceil(share * n - 1e-9) + 1).cast("int"))["word"]).alias("word"))
+    return t.join(rare, key)
+
+
+def _salted_words(few: DataFrame, many: DataFrame, salts: int = 8) -> DataFrame:
+    """Rows that share a word of a date; a frequent word is dealt to ``salts`` parts, and ``few`` is copied to each."""
+    parts = int(few.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    b = many.withColumn("salt", F.pmod(F.xxhash64(*[c for c in many.columns if c != "word"]), F.lit(salts)).cast("int"))
+    keys = ["date", "word", "salt"]
+    return a.repartition(parts, *keys).join(b.repartition(parts, *keys), keys).drop("word", "salt")
+
+
+def _best_of(pairs: DataFrame, c: Column) -> DataFrame:
+    """(calendar_id, top): the pair of the best score and, of equal ones, the smallest id."""
+    scored = pairs.select("calendar_id", "id", c.alias("c")).select("calendar_id", "id", "c.*").where("rank > 0")
+    few = scored.groupBy("calendar_id", "rank", "overlap").agg(F.min("id").alias("id"))
+    return few.groupBy("calendar_id").agg(F.max_by(F.struct("id", "rank", "overlap"), F.struct("rank", "overlap", -F.col("id"))).alias("top"))
 
 
 def source_gaps(cal: DataFrame, matched: DataFrame) -> DataFrame:
