@@ -1,6 +1,7 @@
 """Literal cases: inputs and what must come out."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +126,34 @@ def test_multiday(spark):
     df = spark.createDataFrame(rows, "id long, name string, date string, end_date string, venue_name string, run_date string, source string, pipeline_state string, description string")
     got = {r.id: (r.kept_id, r.end_date, r.description, r.role) for r in linkage.merge_multiday(df, "2024-01-16").collect()}
     assert got == {i: (1, "2024-02-09", "xxx", "kept" if i == 1 else "duplicate") for i in (1, 2, 3)}
+
+
+def test_calendar_match_against_a_loop(spark):
+    rng = random.Random(5)
+    pick = lambda n, of: " ".join(rng.choice(of) for _ in range(rng.randint(0, n)))
+    words, venues = "jazz rust ai x night lab y choir quiz salsa poetry chess".split(), [None, "", "Annex", "Hall A", "Hall A Back", "Loft"]
+    days = [None, *(f"2024-01-{d:02}" for d in range(1, 16))]
+    cal = [(i, pick(4, words), rng.choice(venues), rng.choice(days)) for i in range(120)]
+    cand = [(i, pick(5, words), rng.choice(venues), rng.choice(days)) for i in range(150)]
+
+    def best(title, place, date):
+        found = []
+        for i, name, venue, day in cand:
+            if day is None or day != date:
+                continue
+            a, b = ({w for w in s.split() if len(w) > 1} for s in (title, name))
+            share = len(a & b) / min(len(a), len(b)) if a and b else 0.0
+            v, w = ((s or "").lower() for s in (place, venue))
+            met = bool(v and w and (v in w or w in v))
+            rank = 2 if title == name or met and share >= 0.6 else 1 if met or share >= 0.6 else 0
+            if rank:
+                found.append((-rank, -(1.0 if title == name else share if met or share >= 0.4 else 0.0), i))
+        return min(found, default=None)
+
+    want = {i: (m[2], "high" if m[0] == -2 else "medium", -m[1]) for i, *row in cal if (m := best(*row))}
+    x = spark.createDataFrame(cal, "calendar_id long, title string, location string, date string")
+    y = spark.createDataFrame(cand, "id long, name string, venue_name string, date string")
+    got = {r.calendar_id: (r.id, r.confidence, r.overlap) for r in linkage.calendar_match(x, y).collect()}
+    assert {k: (got.get(k), want.get(k)) for k in {*got, *want} if got.get(k) != want.get(k)} == {}
+    assert len({m[1:] for m in want.values()}) > 4
+    assert linkage.calendar_match(x.limit(0), y).count() == linkage.calendar_match(x, y.limit(0)).count() == 0
