@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from wrenfield.llm import chat_format, decontaminate, html_text, induced, near_dedup, ogg, packing, suffix_dedup, toxicity, url_reputation, warc
 
@@ -400,6 +401,14 @@ def test_html_of_random_pages(spark):
     assert got.pop(99) == " ".join(["one two"] * 50_000)
     assert got == dict(want)
     assert html_text.extract(df.limit(0)).count() == 0
+    # the ways beyond the broadcast: hot hosts apart from others, and none of them hot
+    named = df.withColumn("host", F.coalesce(F.regexp_extract("url", "://([^/]*)", 1), F.lit("")))
+    named = named.unionByName(named.where("page_id < 3").withColumn("host", F.lit("")))
+    winners = html_text.host_paths(named)
+    want = rows(html_text.with_paths(named, winners), "page_id", "host", "path")
+    for share in (0.1, 1.0):
+        plan = html_text.with_paths(named, winners, 1000, share)
+        assert sorted(rows(plan, "page_id", "host", "path"), key=str) == sorted(want, key=str)
 
 
 def test_chat(spark):

@@ -11,9 +11,12 @@ Left out are menus, headers, footers, sidebars, notices, adverts, forms, scripts
 tag or by the words of class and id. Character references are decoded, white space in a block becomes one
 space, and blocks are joined by one space.
 
-A host may have a third of all pages: votes combine before the exchange, and the winners are joined by salt.
+A host may have a third of all pages: votes combine before the exchange. Winners (a row per host) are broadcast if their
+bytes are within ``BROADCAST_BYTES``, so that no page is shuffled. Beyond that only the winners of hot hosts are, of which
+there are at most 1 / ``HOT_SHARE``; pages of other hosts, each with fewer pages than that, are joined by shuffle.
 Nulls: a null html is empty; a null url has no host, and such pages go by their own best container. Repeated rows
-each get their row. Empty tables give empty results.
+each get their row. Empty tables give empty results. A very long page is read whole, as a step of its own. Further
+columns pass unchanged under any name; an input column ``text`` is replaced.
 """
 
 from __future__ import annotations
@@ -21,13 +24,20 @@ from __future__ import annotations
 import html as entities
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import released, salted_join, shielded
+from .common import released, salted_join, shielded, stage, steps
+
+#: Bytes of hosts and paths that are broadcast at most.
+BROADCAST_BYTES = 64_000_000
+#: Share of the pages above which a host is hot.
+HOT_SHARE = 0.001
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -195,23 +205,29 @@ class Page:
         return " ".join(t for c, t, _ in self.blocks if inside[c])
 
 
+def _slices(batch: pa.RecordBatch):
+    """Parts of a batch by the bytes of its pages."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("html")), 0).to_numpy(zero_copy_only=False)
+    for i, j in steps(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))):
+        yield batch.slice(i, j - i)
+
+
 def _votes(batches):
     for batch in batches:
-        hosts, paths, scores = [], [], []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            page = Page(html or "")
-            if page.blocks and host:
-                hosts.append(host)
-                paths.append(page.paths[page.best()])
-                scores.append(1.0)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())], names=["host", "path", "score"])
+        hosts, paths = [], []
+        for part in _slices(batch):
+            for host, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
+                page = Page(html or "")
+                if page.blocks and host:
+                    hosts.append(host)
+                    paths.append(page.paths[page.best()])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string())], names=["host", "path"])
 
 
 def _extract(schema: T.StructType, keep: list[str]):
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
+            for part in _slices(batch):
                 texts = [Page(h or "").text(p) for h, p in zip(part.column("html").to_pylist(), part.column("path").to_pylist())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string())], schema=to_arrow_schema(schema))
 
@@ -219,10 +235,24 @@ def _extract(schema: T.StructType, keep: list[str]):
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): the winning path of each host of ``pages`` (host, html)."""
-    votes = pages.select("host", "html").mapInArrow(released(_votes), "host string, path string, score double")
-    counted = votes.groupBy("host", "path").agg(F.sum("score").alias("votes"))
-    return counted.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("top")).select("host", "top.path", "top.votes")
+    """(host, path, votes, pages): the winning path of each host of ``pages`` (host, html), and how many pages voted."""
+    votes = pages.select("host", "html").mapInArrow(released(_votes), "host string, path string")
+    counted = votes.groupBy("host", "path").agg(F.count("*").alias("votes"))
+    tops = counted.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("top"), F.sum("votes").alias("pages"))
+    return tops.select("host", "top.path", "top.votes", "pages")
+
+
+def with_paths(pages: DataFrame, winners: DataFrame, most: int = BROADCAST_BYTES, share: float = HOT_SHARE) -> DataFrame:
+    """``pages`` (host, ...) with the ``path`` of their host, or null. ``winners`` as ``host_paths`` returns them."""
+    size = F.octet_length("host") + F.octet_length("path")
+    total, voted = winners.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.sum("pages"), F.lit(0))).first()
+    paths = winners.select("host", "path")
+    if total <= most:
+        return pages.join(F.broadcast(paths), "host", "left")
+    hot = winners.where((F.col("pages") > share * voted) & (size <= most * share)).select("host", "path")
+    met = pages.join(F.broadcast(hot), "host", "left")
+    settled = F.col("path").isNotNull() | (F.col("host") == "")
+    return met.where(settled).unionByName(salted_join(met.where(~settled).drop("path"), paths, ["host"]))
 
 
 def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -231,9 +261,9 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     columns = dict(zip(pages.columns, shielded(pages, "url", "html")[0].columns))
     pages, own = shielded(pages, "url", "html")[0], [columns[c] for c in kept]
     host = F.lower(F.regexp_extract("url", r"^.*?://([^/?#]*)", 1))
-    # null and empty hosts are dealt out by salt like others, and match no winner
+    # pages without a host match no winner
     named = pages.withColumn("host", F.coalesce(host, F.lit("")))
-    joined = salted_join(named, host_paths(named).select("host", "path"), ["host"])
+    joined = with_paths(named, stage(host_paths(named), "host-paths"))
     schema = T.StructType([pages.schema[c] for c in own] + [T.StructField("text", T.StringType())])
     return joined.select(*own, "html", "path").mapInArrow(_extract(schema, own), schema).toDF(*kept, "text")
 
