@@ -192,6 +192,91 @@ def qa_fix_plan(checks: DataFrame) -> DataFrame:
     return checks.where("status = 'fail'").select("check_name", action.alias("action"))
 
 
+# Days of waiting that are looked at, and percentages above which a run is bad.
+WAIT_DAYS, BORDERLINE_PERCENT, CORRECTED_PERCENT = 28, 30, 20
+#: Checks of rows and of shares: whether a job can mend what fails (``qa_actions``) or a person must look.
+QA_FIXABLE = {
+    "meetup_url": True, "luma_url": True, "tracked": True, "nameless": True, "undescribed": True, "snapshot": True, "unscored": True, "formatless": True, "vetoed_with_score": False,
+    "waiting": False, "half_reviewed": False, "page_missing": False, "page_differs": True, "place_unknown": True, "hidden": True, "borderline_share": True, "corrected_share": False,
+}
+QA_VETOED = ("meetup_url", "luma_url", "tracked", "nameless", "undescribed", "snapshot")
+
+
+def qa_findings(cand: DataFrame, venues: DataFrame, board: DataFrame, run_date: str) -> DataFrame:
+    """(check_name, id): what is wrong with rows of a run, and which rows of any run wait for review.
+
+    One pass after two equi-joins; a row gets one output row for each check it fails. ``board`` has one row a page.
+    Rows that were entered by hand have no source to compare with.
+    """
+    known = venues.select(F.lower(F.trim("venue_name")).alias("__venue")).distinct()
+    pages = board.select(F.col("page_id").alias("__page"), F.col("title").alias("__title"), F.col("date").alias("__date"), F.col("archived").alias("__archived"))
+    rows = cand.join(known, F.lower(F.trim("venue_name")) == F.col("__venue"), "left").join(pages, F.col("notion_page_id") == F.col("__page"), "left")
+    ours, live = F.col("run_date") == run_date, F.col("pipeline_state") != "vetoed"
+    fetched, written = ours & ~F.col("source").eqNullSafe("manual"), ours & (F.col("pipeline_state") == "written") & F.col("notion_page_id").isNotNull()
+    listed = lambda source, pattern: fetched & (F.col("source") == source) & ~C.blank(F.col("url")) & ~F.col("url").rlike(pattern)
+    kept = F.col("source_snapshot")
+    said = F.get_json_object(kept, "$.name")
+    last = F.date_add(F.lit(run_date).cast("date"), WAIT_DAYS).cast("string")
+    there = F.col("__page").isNotNull()
+    bad = {
+        "meetup_url": listed("Meetup", r"^https://(www\.)?meetup\.com/[^/]+/events/\d+"),
+        "luma_url": listed("Luma", r"^https://(lu\.ma|luma\.com)/.+$"),
+        "tracked": fetched & (F.col("source") != "Newsletter") & C.is_tracking(F.col("url")),
+        "nameless": fetched & live & C.blank(F.col("name")),
+        "undescribed": fetched & live & C.blank(F.col("description")),
+        "snapshot": fetched & F.col("source").isin("Meetup", "Luma") & ~C.blank(kept) & (F.try_parse_json(kept).isNull() | (F.trim(said) != F.trim("name"))),
+        "unscored": ours & live & F.col("score").isNull() & ~C.blank(F.col("description")),
+        "formatless": ours & live & F.col("format_type").isNull(),
+        "vetoed_with_score": ours & ~live & (F.col("score") > 0) & ~F.coalesce(F.col("veto_reason"), F.lit("")).startswith("QA:"),
+        "waiting": (F.col("pipeline_state") == "pending_llm") & F.col("llm_reviewed").isNull() & F.col("date").between(F.lit(run_date), last),
+        "half_reviewed": ours & F.col("llm_reviewed").isNotNull() & (F.col("llm_tier").isNull() | F.col("llm_reasoning").isNull()),
+        "page_missing": written & ~there,
+        "page_differs": written & there & ~(F.col("__title").eqNullSafe(F.col("name")) & F.col("__date").eqNullSafe(F.col("date"))),
+        "place_unknown": written & ~C.blank(F.col("venue_name")) & F.col("__venue").isNull(),
+        "hidden": written & F.col("__archived"),
+    }
+    failed = F.array_compact(F.array(*(F.when(cond, F.lit(name)) for name, cond in bad.items())))
+    return rows.select("id", F.explode(failed).alias("check_name")).select("check_name", "id")
+
+
+def qa_shares(cand: DataFrame, corrected: DataFrame, run_date: str) -> DataFrame:
+    """(check_name, n_bad, n_all): borderline rows, and rows that hard vetoes corrected (``corrected``: id), of the accepted ones."""
+    rows = cand.where((F.col("run_date") == run_date) & F.col("llm_tier").isNotNull() & (F.col("llm_tier") != "Not Recommended"))
+    rows = rows.join(corrected.select("id").distinct().withColumn("__corrected", F.lit(True)), "id", "left")
+    one = rows.agg(F.count("*").alias("n"), F.count_if(F.col("llm_tier") == "Borderline").alias("b"), F.count("__corrected").alias("c"))
+    share = lambda name, n: F.struct(F.lit(name).alias("check_name"), F.col(n).alias("n_bad"), F.col("n").alias("n_all"))
+    return one.select(F.explode(F.array(share("borderline_share", "b"), share("corrected_share", "c"))).alias("r")).select("r.*")
+
+
+def qa_report(found: DataFrame, shares: DataFrame) -> DataFrame:
+    """(check_name, status, n_bad, detail, fixable) of every check; a share of nothing is a warning."""
+    percent = F.expr("n_bad * 100 div n_all")
+    most = F.when(F.col("check_name") == "borderline_share", BORDERLINE_PERCENT).otherwise(CORRECTED_PERCENT)
+    of_rows = found.groupBy("check_name").agg(F.count("*").alias("n_bad"))
+    names = found.sparkSession.createDataFrame(list(QA_FIXABLE.items()), "check_name string, fixable boolean")
+    j = names.join(of_rows.withColumn("n_all", F.lit(None).cast("long")).unionByName(shares), "check_name", "left").withColumn("n_bad", F.coalesce("n_bad", F.lit(0)))
+    good = F.when(F.col("n_all").isNull(), F.col("n_bad") == 0).when(F.col("n_all") > 0, percent <= most)
+    status = F.when(good, "pass").when(~good, "fail").otherwise("warn")
+    detail = F.when(F.col("n_all").isNull(), F.format_string("%d rows", F.col("n_bad"))).when(F.col("n_all") > 0, F.format_string("%d of %d, %d %%", F.col("n_bad"), F.col("n_all"), percent)).otherwise("nothing to count")
+    return j.select("check_name", status.alias("status"), "n_bad", detail.alias("detail"), (F.col("fixable") & (status == "fail")).alias("fixable"))
+
+
+def qa_tally(report: DataFrame) -> DataFrame:
+    count = lambda cond, name: F.count_if(cond).alias(name)
+    status = F.col("status")
+    return report.agg(count(status == "pass", "passed"), count(status == "fail", "failed"), count(status == "warn", "warned"), count(F.col("fixable"), "fixable"), count((status == "fail") & ~F.col("fixable"), "needs_attention"))
+
+
+def qa_actions(found: DataFrame, cand: DataFrame) -> DataFrame:
+    """(id, action, reason, flag_page): one action for each row a job can mend, the first that applies; pages of vetoed rows are flagged."""
+    name = F.col("check_name")
+    rank = F.when(name.isin(*QA_VETOED), 0).when(name == "unscored", 1).when(name == "formatless", 2).when(name.isin("page_differs", "place_unknown", "hidden"), 3)
+    first = found.withColumn("rank", rank).where("rank is not null").groupBy("id").agg(F.min(F.struct("rank", "check_name")).alias("top"))
+    action = F.when(F.col("top.rank") == 0, "veto").when(F.col("top.rank") < 3, "rescore").otherwise("remediate")
+    j = first.join(cand.select("id", "notion_page_id"), "id")
+    return j.select("id", action.alias("action"), F.when(action == "veto", F.concat(F.lit("QA: "), "top.check_name")).alias("reason"), ((action == "veto") & F.col("notion_page_id").isNotNull()).alias("flag_page"))
+
+
 def deviations(expected: DataFrame, log: DataFrame) -> DataFrame:
     """(step, kind): expected steps (step, required) that are missing or failed in the log (step, outcome)."""
     j = expected.join(log.select("step", "outcome"), "step", "left")

@@ -162,6 +162,85 @@ def _(t):
     return reports.qa_fix_plan(reports.qa_checks(t.ce, "2024-01-16"))
 
 
+_RUN = """
+SELECT * REPLACE (CASE WHEN id % 37 = 0 THEN ' ' ELSE name END AS name, CASE WHEN id % 41 = 0 THEN NULL ELSE score END AS score,
+    CASE WHEN source = 'Meetup' AND id % 3 > 0 THEN 'https://www.meetup.com/group/events/' || id ELSE url END AS url,
+    CASE WHEN id % 29 = 0 THEN '{"name"' WHEN id % 2 = 0 THEN '{"name":"' || name || '"}' ELSE source_snapshot END AS source_snapshot,
+    CASE WHEN id % 43 = 0 THEN 'manual' ELSE source END AS source),
+  CASE WHEN id % 23 <> 0 THEN name END AS description, CASE WHEN id % 3 <> 0 THEN run_date END AS llm_reviewed,
+  CASE WHEN id % 31 <> 0 THEN 'said' END AS llm_reasoning, CASE WHEN id % 5 = 0 THEN 'QA: url' END AS veto_reason FROM ce"""
+_LIVE = "pipeline_state <> 'vetoed'"
+_FETCHED = "run_date = '2024-01-16' AND source <> 'manual'"
+_WRITTEN = "run_date = '2024-01-16' AND pipeline_state = 'written' AND notion_page_id IS NOT NULL"
+_ROW_CHECKS = {
+    "meetup_url": f"{_FETCHED} AND source = 'Meetup' AND NOT starts_with(url, 'https://www.meetup.com/group/events/')",
+    "tracked": f"{_FETCHED} AND source <> 'Newsletter' AND contains(url, 'click')",
+    "nameless": f"{_FETCHED} AND {_LIVE} AND trim(name) = ''",
+    "undescribed": f"{_FETCHED} AND {_LIVE} AND trim(coalesce(description, '')) = ''",
+    "snapshot": f"{_FETCHED} AND source IN ('Meetup', 'Luma') AND (NOT json_valid(source_snapshot) OR trim(CASE WHEN json_valid(source_snapshot) THEN json_extract_string(source_snapshot, '$.name') END) <> trim(name))",
+    "unscored": f"run_date = '2024-01-16' AND {_LIVE} AND score IS NULL AND trim(coalesce(description, '')) <> ''",
+    "formatless": f"run_date = '2024-01-16' AND {_LIVE} AND format_type IS NULL",
+    "vetoed_with_score": "run_date = '2024-01-16' AND pipeline_state = 'vetoed' AND score > 0 AND veto_reason IS NULL",
+    "waiting": "pipeline_state = 'pending_llm' AND llm_reviewed IS NULL AND date BETWEEN '2024-01-16' AND '2024-02-13'",
+    "half_reviewed": "run_date = '2024-01-16' AND llm_reviewed IS NOT NULL AND (llm_tier IS NULL OR llm_reasoning IS NULL)",
+    "page_missing": f"{_WRITTEN} AND page_id IS NULL",
+    "page_differs": f"{_WRITTEN} AND page_id IS NOT NULL AND (b_title <> name OR b_date <> date)",
+    "place_unknown": f"{_WRITTEN} AND venue_name IS NOT NULL AND lower(venue_name) NOT IN (SELECT venue_name FROM ve)",
+    "hidden": f"{_WRITTEN} AND archived",
+}
+_FOUND = " UNION ALL ".join(f"SELECT '{k}' AS check_name, id FROM run LEFT JOIN (SELECT page_id, title AS b_title, date AS b_date, archived FROM bd) b ON page_id = notion_page_id WHERE {v}" for k, v in _ROW_CHECKS.items())
+_WITH = f"WITH run AS ({_RUN}), found AS ({_FOUND})"
+_REPORT = f"""{_WITH}, shares AS (
+  SELECT count(*) AS n, count(*) FILTER (llm_tier = 'Borderline') AS b, count(*) FILTER (id % 6 = 0) AS c FROM run WHERE run_date = '2024-01-16' AND llm_tier <> 'Not Recommended'), report AS (
+  SELECT check_name, CASE WHEN n_bad = 0 THEN 'pass' ELSE 'fail' END AS status, n_bad, n_bad || ' rows' AS detail, fixable AND n_bad > 0 AS fixable
+  FROM (SELECT check_name, fixable, count(id) AS n_bad FROM (VALUES {", ".join(f"('{k}', {str(v).lower()})" for k, v in reports.QA_FIXABLE.items() if "share" not in k)}) c(check_name, fixable) LEFT JOIN found USING (check_name) GROUP BY ALL)
+  UNION ALL SELECT name, CASE WHEN k * 100 // n <= most THEN 'pass' ELSE 'fail' END, k, k || ' of ' || n || ', ' || (k * 100 // n) || ' %', fixable AND k * 100 // n > most
+  FROM (SELECT 'borderline_share' AS name, b AS k, n, 30 AS most, true AS fixable FROM shares UNION ALL SELECT 'corrected_share', c, n, 20, false FROM shares))"""
+
+
+def _run(t):
+    f, i = F.col, F.col("id")
+    return t.ce.withColumns({
+        "description": F.when(i % 23 != 0, f("name")),
+        "source_snapshot": F.when(i % 29 == 0, '{"name"').when(i % 2 == 0, F.to_json(F.struct("name"))).otherwise(f("source_snapshot")),
+        "url": F.when((f("source") == "Meetup") & (i % 3 > 0), F.concat(F.lit("https://www.meetup.com/group/events/"), i.cast("string"))).otherwise(f("url")),
+    }).withColumns({
+        "name": F.when(i % 37 == 0, " ").otherwise(f("name")), "score": F.when(i % 41 != 0, f("score")), "source": F.when(i % 43 == 0, "manual").otherwise(f("source")),
+        "llm_reviewed": F.when(i % 3 != 0, f("run_date")), "llm_reasoning": F.when(i % 31 != 0, "said"), "veto_reason": F.when(i % 5 == 0, "QA: url"),
+    })
+
+
+def _found(t):
+    return reports.qa_findings(_run(t), t.ve, t.bd, "2024-01-16")
+
+
+def _report(t):
+    return reports.qa_report(_found(t), reports.qa_shares(_run(t), t.ce.where("id % 6 = 0"), "2024-01-16"))
+
+
+@query("qa_findings", f"{_WITH} SELECT * FROM found")
+def _(t):
+    return _found(t)
+
+
+@query("qa_report", f"{_REPORT} SELECT * FROM report")
+def _(t):
+    return _report(t)
+
+
+@query("qa_tally", f"{_REPORT} SELECT count(*) FILTER (status = 'pass') AS passed, count(*) FILTER (status = 'fail') AS failed, 0 AS warned, count(*) FILTER (fixable) AS fixable, count(*) FILTER (status = 'fail' AND NOT fixable) AS needs_attention FROM report")
+def _(t):
+    return reports.qa_tally(_report(t))
+
+
+@query("qa_actions", f"""{_WITH}, ranked AS (
+  SELECT id, min(CASE WHEN check_name IN {reports.QA_VETOED} THEN '0' WHEN check_name = 'unscored' THEN '1' WHEN check_name = 'formatless' THEN '2' WHEN check_name IN ('page_differs', 'place_unknown', 'hidden') THEN '3' END || check_name) AS top FROM found GROUP BY id)
+SELECT id, CASE top[1] WHEN '0' THEN 'veto' WHEN '3' THEN 'remediate' ELSE 'rescore' END AS action, CASE WHEN top[1] = '0' THEN 'QA: ' || top[2:] END AS reason, top[1] = '0' AND notion_page_id IS NOT NULL AS flag_page
+FROM ranked JOIN ce USING (id) WHERE top IS NOT NULL""")
+def _(t):
+    return reports.qa_actions(_found(t), t.ce)
+
+
 @query("run_deviations", "SELECT 'publish' AS step, 'deviation' AS kind, FROM (SELECT count(*) FROM ce) UNION ALL SELECT 'notes', 'note' UNION ALL SELECT 'Luma', 'failed'")
 def _(t):
     expected = t.spark.createDataFrame([("publish", True), ("notes", False), ("Luma", True), ("Meetup", True)], "step string, required boolean")
