@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from ..functions import columns as C
 from ..settings import DEFAULT, Settings
 
 CLOSED = ("vetoed", "llm_rejected", "duplicate", "expired")
+# Tiers and states that decide whether travel is looked up.
+LOOKED_UP_TIERS = ("Top Picks", "Recommended", "Borderline", "Couldn't Process")
+NOT_LOOKED_UP = ("written", "vetoed", "llm_rejected", "duplicate")
 
 
 def latest(venues: DataFrame, key: str) -> DataFrame:
@@ -30,6 +35,62 @@ def with_cache(cand: DataFrame, venues: DataFrame, as_of: str | None, keys: list
     return out.drop(*(f"__{x}_{k}" for k in keys for x in "kv"))
 
 
+def awaiting(cand: DataFrame, as_of: str) -> DataFrame:
+    """Upcoming rows of a tier that is shown, with neither a travel time nor a failed look-up."""
+    open_ = F.col("travel_display").isNull() & ~F.coalesce("travel_lookup_failed", F.lit(False)) & ~F.col("pipeline_state").isin(*NOT_LOOKED_UP)
+    return cand.where((F.coalesce("end_date", "date") >= as_of) & F.col("llm_tier").isin(*LOOKED_UP_TIERS) & open_)
+
+
+def newest(venues: DataFrame, key: str, fields: list[str], exact: bool) -> DataFrame:
+    """(venue_key, found): the newest row of each key as a struct of ``fields``; one aggregate with map-side combining."""
+    name = F.trim(key) if exact else F.lower(F.trim(key))
+    return venues.where(~C.blank(F.col(key))).groupBy(name.alias("venue_key")).agg(F.max_by(F.struct(*fields), F.struct("lookup_date", *fields)).alias("found"))
+
+
+def in_tiers(cand: DataFrame, venues: DataFrame, keys: dict[str, bool], fields: list[str], fresh_from: str | None = None) -> DataFrame:
+    """``cand`` with ``found`` (struct of ``fields``) and ``found_by``, by the first of ``keys`` that has a row.
+
+    ``keys`` says of each whether it is exact; others ignore case. Fields of two venues are never mixed. Rows looked
+    up before ``fresh_from`` don't count.
+    """
+    out, names = cand, list(keys)
+    for i, k in enumerate(names):
+        side = newest(venues.where(F.col("lookup_date") >= fresh_from) if fresh_from else venues, k, fields, keys[k]).toDF(f"__k{i}", f"__v{i}")
+        out = out.join(side, (F.trim(k) if keys[k] else F.lower(F.trim(k))) == F.col(f"__k{i}"), "left")
+    found = [F.col(f"__v{i}") for i in range(len(names))]
+    by = F.coalesce(*(F.when(v.isNotNull(), k) for v, k in zip(found, names)))
+    return out.withColumn("found", F.coalesce(*found)).withColumn("found_by", by).drop(*(f"__{x}{i}" for x in "kv" for i in range(len(names))))
+
+
+def travel_tiers(cand: DataFrame, venues: DataFrame, as_of: dt.date, s: Settings = DEFAULT) -> DataFrame:
+    """``awaiting`` rows with a travel time not older than the cache's days: by name, postcode or place."""
+    oldest = (as_of - dt.timedelta(days=s.cache_days)).isoformat()
+    return in_tiers(awaiting(cand, as_of.isoformat()), venues, {"venue_name": False, "venue_postcode": False, "place_id": True}, ["travel_transit_min", "lookup_date"], oldest)
+
+
+def geo_tiers(cand: DataFrame, venues: DataFrame) -> DataFrame:
+    """``cand`` with the place of its venue by name, else by postcode; places don't age."""
+    return in_tiers(cand, venues.where("venue_lat is not null"), {"venue_name": False, "venue_postcode": False}, ["venue_lat", "venue_lon"])
+
+
+def cache_fill(cand: DataFrame, venues: DataFrame, as_of: dt.date, s: Settings = DEFAULT) -> DataFrame:
+    """Rows to add to the cache: the newest candidate with a travel time of each venue name that has none.
+
+    It is left out if its postcode has a fresh row, in the cache or from a newer candidate of another name. A
+    candidate without a run date gives a row that has expired.
+    """
+    oldest, aged = ((as_of - dt.timedelta(days=s.cache_days + more)).isoformat() for more in (0, 1))
+    known = venues.select(F.lower("venue_name").alias("__known")).distinct()
+    rows = cand.where(F.col("travel_display").isNotNull() & ~C.blank(F.col("venue_name")))
+    rows = rows.join(known, F.lower("venue_name") == F.col("__known"), "left_anti")
+    newest_ = F.max_by(F.struct("id", "venue_name", C.or_null(F.col("venue_postcode")).alias("venue_postcode"), "travel_transit_min", F.coalesce("run_date", F.lit(aged)).alias("lookup_date")), "id")
+    new = rows.groupBy(F.lower(F.trim("venue_name")).alias("venue_key")).agg(newest_.alias("r")).select("venue_key", "r.*").withColumn("__code", F.lower("venue_postcode"))
+    fresh = venues.where((F.col("lookup_date") >= oldest) & ~C.blank(F.col("venue_postcode"))).select(F.lower("venue_postcode").alias("__code")).distinct()
+    first = new.where((F.col("lookup_date") >= oldest) & F.col("__code").isNotNull()).groupBy("__code").agg(F.max("id").alias("__first"))
+    j = new.join(fresh, "__code", "left_anti").join(first, "__code", "left")
+    return j.where(F.col("__first").isNull() | (F.col("id") >= F.col("__first"))).drop("__code", "__first", "id")
+
+
 def eligible(cand: DataFrame, as_of: str) -> DataFrame:
     return cand.where((F.coalesce("end_date", "date") >= as_of) & ~F.col("pipeline_state").isin(*CLOSED))
 
