@@ -5,7 +5,7 @@ import pathlib
 import duckdb
 import pytest
 
-from wrenfield.llm import decontaminate, near_dedup, ogg, packing, suffix_dedup
+from wrenfield.llm import decontaminate, near_dedup, ogg, packing, runs, suffix_dedup
 from wrenfield.llm.registry import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
@@ -33,6 +33,7 @@ CONTRACT = {
     "op6_near_dedup": {"doc_id": "bigint", "class_id": "bigint"},
     "op8_ogg_media": {"doc_id": "bigint", "n_bytes": "bigint", "payload_bytes": "bigint", "payload_sha256": "string", "tail_crc32": "bigint", "media_bytes": "bigint", "media_sha256": "string", "feature": "string"},
     "op9_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
+    "op11_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
     "op10_best_fit_packing": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
 }
 
@@ -71,6 +72,30 @@ def test_repeats_query_against_a_table_of_strings(spark, texts):
     assert got == sorted(suffix_dedup.brute_force(texts)) and any(r[2] for r in got)
 
 
+def test_runs_query_against_the_definition(spark, texts):
+    import hashlib
+    import re
+    import zlib
+
+    want = []
+    for d, t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        h = zlib.crc32(str(d).encode())
+        n, g = len(w), h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+        found = runs.brute_force(w)
+        top = max(found, key=lambda r: (r[1], -r[0], -r[2])) if found else (None,) * 3
+        gone = {i for s, k, q in found for i in range(s + q, s + k)}
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        lines = "".join(f"{s},{k},{q}\n" for s, k, q in found)
+        want.append((d, len(found), *top, 1000 * top[1] // top[2] if found else None, digest(lines), digest(" ".join(x for i, x in enumerate(w) if i not in gone))))
+    got = sorted(tuple(r) for r in QUERIES["op11_periodic_runs"](spark, DATA).select(*CONTRACT["op11_periodic_runs"]).collect())
+    assert got == sorted(want) and sum(r[1] > 0 for r in got) > 10
+
+
 def test_media_query_against_the_payload(spark, texts):
     import hashlib
     import zlib

@@ -104,3 +104,26 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
         else:
             out.append((a, b))
     return out
+
+
+def cut(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start byte, end byte, text number) of the runs of bytes for which the table ``is_word`` holds; none crosses texts."""
+    n = len(data)
+    if not n:
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    w = is_word[data]
+    first, last = w.copy(), w.copy()
+    first[1:] &= ~w[:-1]
+    last[:-1] &= ~w[1:]
+    edges = off[(off > 0) & (off < n)]
+    first[edges] = w[edges]
+    last[edges - 1] = w[edges - 1]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(off, starts, "right") - 1
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes ``data[s : s + n]`` of all (s, n), one after the other."""
+    ends = np.cumsum(lengths)
+    return data[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
