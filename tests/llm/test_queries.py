@@ -34,6 +34,7 @@ CONTRACT = {
     "op8_ogg_media": {"doc_id": "bigint", "n_bytes": "bigint", "payload_bytes": "bigint", "payload_sha256": "string", "tail_crc32": "bigint", "media_bytes": "bigint", "media_sha256": "string", "feature": "string"},
     "op9_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
     "op11_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op12_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op10_best_fit_packing": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
 }
 
@@ -96,6 +97,19 @@ def test_runs_query_against_the_definition(spark, texts):
     assert got == sorted(want) and sum(r[1] > 0 for r in got) > 10
 
 
+def test_quality_of_held_out_documents(spark):
+    import zlib
+
+    data = DATA.replace("0.001", "0.01")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{data}/labels.parquet").collect()}
+    rows = QUERIES["op12_quality"](spark, data).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    seen = [(r.score, r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    good, bad = ([s for s, _, y in seen if y == k] for k in (1, 0))
+    assert len(bad) > 5 and sum(p == y for _, p, y in seen) >= 0.97 * len(seen)
+    assert sum(g > b for g in good for b in bad) > 0.95 * len(good) * len(bad)
+
+
 def test_media_query_against_the_payload(spark, texts):
     import hashlib
     import zlib
