@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not pathlib.Path(DATA).exists(), reason="needs t
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_duckdb(spark, name):
     c = duckdb.connect()
-    for t in ("pages", "labels", "conversations"):
+    for t in ("documents", "pages", "labels", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got = QUERIES[name](spark, DATA)
     cols = sorted(got.columns)

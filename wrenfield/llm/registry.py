@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, html_text, near_dedup, ogg, packing, quality, runs, suffix_dedup, toxicity, url_reputation, warc
+from . import chat_format, collocations, decontaminate, html_text, near_dedup, ogg, packing, quality, runs, suffix_dedup, toxicity, url_reputation, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": url_reputation.op1_url_reputation,
@@ -21,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op11_periodic_runs": runs.op11_periodic_runs,
     "op12_quality": quality.op12_quality,
+    "op13_collocations": collocations.op13_collocations,
 }
-SQL: dict[str, str] = {"op1_url_reputation": url_reputation.SQL, "op7_chat_format": chat_format.SQL}
+SQL: dict[str, str] = {"op1_url_reputation": url_reputation.SQL, "op7_chat_format": chat_format.SQL, "op13_collocations": collocations.SQL}
