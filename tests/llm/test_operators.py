@@ -291,6 +291,46 @@ def test_warc_against_a_loop(spark):
     assert got == want
 
 
+def test_warc_keeps_a_row_for_each_row_of_repeated_pages(spark):
+    rnd = random.Random(12)
+    ids, urls, bodies = [None, 1, 1, 2, 3, 4], [None, "", "http://a/b", "http://a/c"], [None, "", "x", "y", "long " * 900]
+    pages = [(rnd.choice(ids), rnd.choice(urls), rnd.choice(bodies)) for _ in range(300)] + [(7, "http://hot", "hot")] * 2500 + [(9, "u", "x" * 3_000_000)]
+    df = spark.createDataFrame([(*p, "z") for p in pages], "page_id long, url string, html string, n string").repartition(4)
+    from wrenfield.llm.common import shared_dir
+
+    number = lambda x: int(m) if (m := re.search(r"capture:(-?\d*):", x)[1]) else None
+    for least in (0, 2, 10**9):
+        path = f"{shared_dir(spark)}/warc-again-{least}"
+        warc.write_archives(df, path, least)
+        got = warc.assemble(warc.read_records(spark, path)).collect()
+        assert all(len(r.requests) == len(r.metadata) == 1 and not r.others for r in got)
+        assert Counter((number(r.answer.record_id), r.answer.target_uri, r.answer.payload_bytes) for r in got) == Counter((p, u or "", len((h or "").encode())) for p, u, h in pages)
+        by = defaultdict(list)
+        for r in got:
+            by[r.answer.payload_digest].append(r.answer)
+        for answers in by.values():
+            full = [a for a in answers if a.type == "response"]
+            if answers[0].payload_bytes < least:
+                assert len(full) == len(answers)
+            else:
+                top = max((number(a.record_id) for a in answers if number(a.record_id) is not None), default=None)
+                assert len(full) == 1 and number(full[0].record_id) == top and {a.refers_to for a in answers if a.type == "revisit"} <= {full[0].record_id}
+
+
+def test_warc_records_in_parts():
+    import gzip
+
+    records = [b"WARC/1.1\r\nA: %d\r\nContent-Length: %d\r\n\r\n" % (i, i * 7) + b"\r\nWARC " * i for i in range(60)]
+    whole = b"\r\n\r\n".join(records) + b"\r\n"
+    want = [(str(i), b"\r\nWARC " * i) for i in range(60)]
+    for size in (1, 7, 100, 10**6):
+        assert [(h["a"][0], b) for h, b in warc.parse(whole[k : k + size] for k in range(0, len(whole), size))] == want
+    for packed in (gzip.compress(whole), b"".join(map(gzip.compress, records)), whole):
+        assert [(h["a"][0], b) for h, b in warc.parse(warc.unpacked(packed))] == want
+    with pytest.raises(ValueError):
+        list(warc.parse(warc.unpacked(gzip.compress(whole)[:-60])))
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header><div class="cookie-notice"><p>We use cookies a lot, really</p></div>
 <nav><ul><li><a href="/">Home</a></ul></nav><div class="col1"><div class="sidebar"><p>A long side text that would score well if it counted at all</p></div>
 <div class="post{n}"><h1>A &amp; b</h1><p>One <b>bo</b>ld<p>Two&nbsp;three&#33; <a href="x">a link</a>.<div class="ad">buy now</div><form><p>mail</p></form><ul><li>i<li>j</ul><div id="comments"><p>Nice</p></div></div></div>

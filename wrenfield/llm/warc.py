@@ -6,12 +6,13 @@
 records of each capture through their concurrent-to identifiers, in whichever direction they point, into one nested row.
 
 Files are written by Spark's text writer and read by its binary reader, so that they can be in any store; a file takes about
-``ROWS_A_FILE * ROW_BYTES`` of records, however long the pages are. Equal payloads may be a third of all pages: they are only
-counted before the exchange, and dealt out by salt.
+``ROWS_A_FILE * ROW_BYTES`` of records, however long the pages are, and is read as a stream of which a record is held. Equal payloads may be a third of
+all pages, and so may be equal rows: they are counted before the exchange, of a payload one copy moves, and repetitions are dealt out.
 
-Nulls: a null html is an empty payload, a null url an empty target. Of repeated rows of a page the first is
-the response, if any, and the others revisit it. A null page_id never has the response unless all have none.
-Empty tables give empty archives. Other columns of the pages are not read, whatever their names. A file that is cut off or damaged, a
+Record ids name the page, the payload, the URL and, of equal rows, a number, so that pages whose page_id occurs again, with whatever payloads, stay apart.
+Nulls: a null html is an empty payload, a null url an empty target. Of equal payloads the row with the largest page_id (then URL) is the response, once, and all
+others, also other rows of that page, revisit it. A null page_id never has the response unless all have none.
+Empty tables give empty archives. Other columns of the pages are not read, whatever their names. A very long page is one record of its file. A file that is cut off or damaged, a
 record without an id, and a payload that does not match its digest become rows with ``error``, which ``assemble`` leaves out.
 """
 
@@ -24,17 +25,19 @@ import uuid
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import released, shared_dir, stage
+from .common import discard, released, salted_join, shared_dir, stage
 
 SALTS = 16
 ROW_BYTES, ROWS_A_FILE = 4_000_000, 16
+#: Repetitions of a row that are written out together, and bytes of an archive that are unpacked together.
+REPEATED, UNPACKED = 1_000, 1_000_000
 DATE = "2024-01-16T00:00:00Z"
-ID = "<urn:capture:{}:{}:{}>"
+ID = "<urn:capture:{}:{}:{}:{}:{}>"
 
 
 def _record(kind: str, record_id: str, block: str, *headers: tuple[str, str]) -> str:
@@ -42,19 +45,22 @@ def _record(kind: str, record_id: str, block: str, *headers: tuple[str, str]) ->
     return "WARC/1.1\r\n" + "\r\n".join(lines) + "\r\n\r\n" + block
 
 
-def _capture(page_id, nth: int, url: str, html: str, hex_digest: str, first) -> str:
-    """The three records of a page; ``first``: the page that has the response, if another copy exists."""
-    uri = re.sub(r"[\r\n]", " ", url)
-    digest = base64.b32encode(bytes.fromhex(hex_digest)).decode()
-    ids = {k: ID.format("" if page_id is None else page_id, nth, k) for k in ("request", "response", "metadata")}
+def _id(page_id, url: str | None, digest: str, nth: int, kind: str) -> str:
+    """A name of a record that no other row has: by page, payload, URL and, of equal rows, number."""
+    return ID.format("" if page_id is None else page_id, digest, "-" if url is None else hashlib.sha1(url.encode()).hexdigest(), nth, kind)
+
+
+def _capture(page_id, nth: int, url: str | None, html: str, size: int, digest: str, first) -> str:
+    """The three records of a page; ``first``: the page and URL of the response, if this row revisits it."""
+    uri = re.sub(r"[\r\n]", " ", url or "")
+    sha1 = base64.b32encode(bytes.fromhex(digest)).decode()
+    ids = {k: _id(page_id, url, digest, nth, k) for k in ("request", "response", "metadata")}
     host = re.search(r"://([^/?#]*)", uri)
-    revisit = (first is not None and first != page_id) or nth > 1
-    size = len(html.encode())
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n"
-    same = [("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    same = [("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{sha1}")]
     of = ("WARC-Concurrent-To", ids["response"])
-    if revisit:
-        to = ID.format(page_id if first is None else first, 1, "response")
+    if first is not None:
+        to = _id(first["page_id"], first["url"], digest, 0, "response")
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
         answer = _record("revisit", ids["response"], http, *same, ("WARC-Profile", profile), ("WARC-Refers-To", to), ("Content-Type", "application/http; msgtype=response"))
     else:
@@ -71,8 +77,8 @@ def _captures(batches):
     parts, held = [], 0
     for batch in batches:
         for i in range(batch.num_rows):
-            p, n, u, h, d, f = (batch.column(c)[i].as_py() for c in ("page_id", "nth", "url", "html", "digest", "first"))
-            parts.append(_capture(p, n, u or "", h or "", d, f))
+            p, n, u, h, s, d, f = (batch.column(c)[i].as_py() for c in ("page_id", "nth", "url", "html", "size", "digest", "first"))
+            parts.append(_capture(p, n, u, h or "", s, d, f))
             held += len(parts[-1])
             if held >= ROW_BYTES:
                 yield row(parts)
@@ -81,48 +87,97 @@ def _captures(batches):
         yield row(parts)
 
 
+def _repeated(rows: DataFrame, n: str, first: int) -> DataFrame:
+    """``rows`` as often as ``n`` says, numbered ``nth`` from ``first``; many repetitions of a row are dealt out."""
+    parts = rows.where(F.col(n) > 0).withColumn("__part", F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / REPEATED))))
+    parts = parts.repartition(F.hash(*[F.col(c) for c in parts.columns if c != "html"]))
+    within = F.sequence(F.col("__part") * REPEATED + first, F.least(F.col(n), (F.col("__part") + 1) * REPEATED) - 1 + first)
+    return parts.withColumn("nth", F.explode(within)).drop("__part", n)
+
+
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Archives of ``pages`` (page_id, url, html) under ``path``; payloads of fewer bytes are never revisited."""
     html = F.coalesce("html", F.lit(""))
-    named = pages.select("page_id", "url", "html", F.sha1(html.cast("binary")).alias("digest"), F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    copies = pages.select("page_id", html.alias("html")).where(F.octet_length("html") >= least_bytes)
-    copies = copies.groupBy(F.sha1(F.col("html").cast("binary")).alias("digest")).agg(F.count("*").alias("n"), F.max("page_id").alias("first")).where("n > 1")
-    copies = copies.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    nth = F.row_number().over(Window.partitionBy("digest", "salt", "page_id").orderBy("url"))
-    # rows of one page with other payloads, or too small ones, count on their own
-    rows = named.join(copies, ["digest", "salt"], "left").withColumn("nth", F.when(F.octet_length(html) >= least_bytes, nth).otherwise(F.lit(1)))
+    named = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).cast("long").alias("size"))
+    large, small = named.where(F.col("size") >= least_bytes), named.where(F.col("size") < least_bytes)
+    who = F.max(F.struct("page_id", "url")).alias("first")
+    columns = ["page_id", "nth", "url", "html", "size", "digest", "first"]
+    none = F.lit(None).cast(T.StructType([named.schema["page_id"], named.schema["url"]]))
+    answers = large.groupBy("digest").agg(who, F.first("html").alias("html"), F.first("size").alias("size"))
+    answers = answers.withColumns({"page_id": F.col("first.page_id"), "url": F.col("first.url"), "nth": F.lit(0)}).withColumn("first", none)
+    # rows are counted before they are dealt out, whatever a payload's or a page's number of copies
+    counted = stage(large.groupBy("page_id", "url", "digest", "size").agg(F.count("*").alias("n")), "payloads")
+    copied = counted.groupBy("digest").agg(who, F.sum("n").alias("all")).where("all > 1").drop("all")
+    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
+    again = salted_join(counted, copied, ["digest"], "inner", SALTS).withColumn("n", F.col("n") - is_first.cast("int"))
+    again = _repeated(again, "n", 1).withColumn("html", F.lit(None).cast("string"))
+    alone = _repeated(small.groupBy("page_id", "url", "html", "digest", "size").agg(F.count("*").alias("n")), "n", 0).withColumn("first", none)
+    rows = answers.select(columns).unionByName(again.select(columns))
+    rows = rows.unionByName(alone.select(columns)) if least_bytes > 0 else rows
     rows.mapInArrow(released(_captures), "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", ROWS_A_FILE).text(path)
-
-
-_HEADER = re.compile(rb"\s*WARC/1\.[01]\r\n(.*?)\r\n\r\n", re.S)
-
-
-def parse(data: bytes):
-    """(headers, block) of each record; names in lower case, a list of values for each."""
-    at = 0
-    while data[at:].strip() if len(data) - at < 64 else True:
-        m = _HEADER.match(data, at)
-        if not m:
-            raise ValueError(f"no record at {at}")
+    discard(counted)
+
+
+def unpacked(data):
+    """The content of a file in parts; the file is gzip-packed, whole or record by record, or not at all."""
+    data, at = memoryview(data).cast("B"), 0
+    while at < len(data):
+        if data[at : at + 2] != b"\x1f\x8b":
+            yield bytes(data[at:])
+            return
+        z, rest = zlib.decompressobj(31), b""
+        while not z.eof:
+            if not rest:
+                rest = bytes(data[at : at + UNPACKED])
+                at += len(rest)
+                if not rest:  # cut off: what there is has been given
+                    return
+            yield z.decompress(rest, UNPACKED)
+            rest = z.unconsumed_tail
+        at -= len(z.unused_data)
+
+
+def parse(parts):
+    """(headers, block) of each record of a content in bytes or in parts; names in lower case, a list of values for each. One record and one part are held."""
+    parts = iter([parts] if isinstance(parts, bytes) else parts)
+    held, at, gone = bytearray(), 0, 0
+
+    def more() -> bool:
+        nonlocal held, at, gone
+        part = next(parts, None)
+        if part is not None:
+            del held[:at]
+            gone, at = gone + at, 0
+            held += part
+        return part is not None
+
+    while True:
+        while at < len(held) and held[at] in b" \t\r\n\x0b\x0c":
+            at += 1
+        if at == len(held):
+            if not more():
+                return
+            continue
+        seen = 0
+        while (end := held.find(b"\r\n\r\n", at + max(0, seen - 3))) < 0:
+            seen = len(held) - at
+            if seen >= 7 and held[at : at + 7] != b"WARC/1." or not more():
+                raise ValueError(f"no record at {gone + at}")
+        first, *lines = bytes(held[at:end]).split(b"\r\n")
+        if first not in (b"WARC/1.0", b"WARC/1.1"):
+            raise ValueError(f"no record at {gone + at}")
         headers: dict[str, list[str]] = {}
-        for line in m[1].split(b"\r\n"):
+        for line in lines:
             name, _, value = line.partition(b":")
             headers.setdefault(name.strip().lower().decode("utf-8", "replace"), []).append(value.strip().decode("utf-8", "replace"))
         size = int(headers.get("content-length", ["-1"])[0])
-        if size < 0 or m.end() + size > len(data):
-            raise ValueError(f"the record at {at} is cut off")
-        yield headers, data[m.end() : m.end() + size]
-        at = m.end() + size
-
-
-def unpacked(data: bytes) -> bytes:
-    """The content of a file, gzip-packed whole or record by record, or not at all."""
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        z = zlib.decompressobj(31)
-        out.append(z.decompress(data) + z.flush())
-        data = z.unused_data
-    return b"".join(out) + data
+        begin = end + 4 - at
+        while size >= 0 and len(held) - at < begin + size and more():
+            pass
+        if size < 0 or len(held) - at < begin + size:
+            raise ValueError(f"the record at {gone + at} is cut off")
+        yield headers, bytes(held[at + begin : at + begin + size])
+        at += begin + size
 
 
 RECORD = T.StructType(
@@ -163,7 +218,7 @@ def _records(with_payload: bool):
                 rows = []
                 held = 0
                 try:
-                    for headers, block in parse(unpacked(content.as_buffer().to_pybytes())):
+                    for headers, block in parse(unpacked(content.as_buffer())):
                         rows.append(_row(headers, block, with_payload))
                         held += len(block) if with_payload else 0
                         if len(rows) == 2000 or held > 16_000_000:
@@ -212,7 +267,9 @@ def assemble(records: DataFrame) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    captures = assemble(read_records(spark, path, with_payload=False)).where("answer is not null")
+    # files are unpacked and parsed once
+    records = stage(read_records(spark, path, with_payload=False), "records")
+    captures = assemble(records).where("answer is not null")
     page = lambda c: F.nullif(F.regexp_extract(c, r"^<urn:capture:(-?\d*):", 1), F.lit("")).cast("long")
     return captures.select(
         page(F.col("answer.record_id")).alias("page_id"),
