@@ -4,9 +4,10 @@ Texts are lower-cased (A-Z) and cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and i
 of 2 to ``LONGEST`` words that occurs ``least`` times is a candidate, scored by its weakest cut into two parts
 (``1000 * a * n / (l * r)``, rounded down), and dropped where a longer candidate around it occurs as often.
 
-1. *Shards.* About ``SHARD_BYTES`` of texts are read at once. A shard numbers its distinct words and is staged as these
-   words with their counts, and as its texts in these numbers.
-2. *Words.* The counts are added up; words with ``least`` occurrences, of which alone a candidate can consist, get ids, and each shard is told the ids of its words by a join.
+1. *Shards.* About ``SHARD_BYTES`` of texts are read at once. A shard numbers its distinct words in the order of their hashes and is staged as a row: these
+   words with their counts, and its texts in these numbers.
+2. *Words.* Each shard's words are dealt out in buckets of hashes, a row for each, and added up by the words themselves; those with ``least`` occurrences, of which alone
+   a candidate can consist, get ids, and each shard is told the ids of its words.
 3. *Pairs.* Each shard counts its word pairs in counting quotient filters (``quotient.py``), a filter for each bucket of keys. Sorted filters of a bucket are merged
    across shards, and each shard is told which of its pairs are frequent.
 4. *Longer phrases*, of which every pair of neighbours is frequent, are counted and merged in the same way.
@@ -21,6 +22,8 @@ read. A very long text is read whole, as a shard of its own.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,14 +39,12 @@ from .common import discard, released, salted_join, stage, steps, text_bytes
 LONGEST = 5
 LEAST = 100
 MOST = 2000
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 #: Rows of a shard at most: their languages are numbered in two bytes.
 SHARD_ROWS = 60_000
-#: Words of the table for each bucket of keys, in which a merge is held in memory.
+#: Words of all shards for each bucket of words or keys, of which one is held in memory at once.
 BUCKET_WORDS = 1_000_000
 LEAST_BUCKET_BITS = 8
-#: Words that are numbered in one window.
-NUMBERED = 200_000
 SALTS = 16
 
 IS_BREAK = np.zeros(256, bool)
@@ -52,7 +53,14 @@ IS_WORD = ~IS_BREAK
 IS_WORD[[9, 32]] = False
 
 _field = T.StructField
-SHARDS = T.StructType([_field("shard", T.LongType()), _field("lang", T.StringType()), _field("word", T.StringType()), _field("code", T.IntegerType()), _field("n", T.LongType()), _field("codes", T.BinaryType())])
+_binaries = lambda *names: [_field(c, T.BinaryType()) for c in names]
+#: Words in the order of their hashes: number of their language, bytes, occurrences; and the texts in numbers of words, -1 after a piece.
+WORDS = [_field("langs", T.ArrayType(T.StringType(), False)), *_binaries("of", "sizes", "counts", "spelt")]
+SHARDS = T.StructType([_field("shard", T.LongType()), *WORDS, *_binaries("hashes", "codes"), _field("n_words", T.LongType()), _field("n_distinct", T.LongType())])
+#: A shard's words of a bucket; ``first``: the number of the first.
+DEALT = T.StructType([_field("shard", T.LongType()), _field("bucket", T.LongType()), _field("first", T.LongType()), *WORDS])
+#: A frequent word with its id, or (``id`` null) the occurrences of a bucket's words of a language, or numbers and ids of a shard's words.
+KNOWN = T.StructType([_field("lang", T.StringType()), _field("word", T.StringType()), _field("id", T.LongType()), _field("n", T.LongType()), _field("shard", T.LongType()), *_binaries("numbers", "ids")])
 #: A filter of a bucket, or (``size`` 0) a shard's texts in word ids; a piece ends with 0.
 FILTERS = T.StructType([_field("shard", T.LongType()), _field("size", T.IntegerType()), _field("bucket", T.LongType()), _field("data", T.BinaryType())])
 #: A frequent phrase, or (``ids`` null) the keys of a shard's frequent pairs.
@@ -73,32 +81,45 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, text, begins
 
 
-def _shard(number: int, data: np.ndarray, off: np.ndarray, lang: pa.Array):
-    """Rows of SHARDS for some texts: their distinct words, and the texts as numbers of words; a piece ends with -1."""
+def _shard(shard: int, data: np.ndarray, off: np.ndarray, lang: pa.Array):
+    """The row of SHARDS of some texts."""
     low = W.LOWER[data]
     starts, ends, text, begins = tokens(low, off)
     if not len(starts):
         return
     coded = lang.dictionary_encode()
     of = coded.indices.to_numpy(zero_copy_only=False)[text]
-    # words with the two bytes of their language before them
-    size = ends - starts + 2
-    at = np.cumsum(size) - size
-    named = np.empty(int(size.sum()), np.uint8)
-    inner = np.ones(len(named), bool)
-    inner[at] = inner[at + 1] = False
-    named[at], named[at + 1], named[inner] = of & 255, of >> 8, low[IS_WORD[low]]
-    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(at, len(named)).astype(np.int64)), pa.py_buffer(named)]).dictionary_encode()
-    code = words.indices.to_numpy(zero_copy_only=False)
+    words = prefixed(of, ends - starts, low[IS_WORD[low]]).dictionary_encode()
     own, place = text_bytes(words.dictionary)
     n = len(place) - 1
-    bare = place - 2 * np.arange(n + 1)
-    spelt = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(bare), pa.py_buffer(W.gathered(own, place[:-1] + 2, np.diff(place) - 2))])
-    langs = coded.dictionary.take(pa.array(own[place[:-1]].astype(np.int64) | own[place[:-1] + 1].astype(np.int64) << 8))
-    yield _rows(SHARDS, n, shard=np.full(n, number), lang=langs, word=spelt.cast(pa.string()), code=np.arange(n, dtype=np.int32), n=np.bincount(code, minlength=n))
+    sizes = np.diff(place) - 2
+    spelt = W.gathered(own, place[:-1] + 2, sizes)
+    of = own[place[:-1]].astype(np.int64) | own[place[:-1] + 1].astype(np.int64) << 8
+    names = coded.dictionary.to_pylist()
+    sums, inv = W.range_sums(W.BYTE_VALUE[spelt], W.BASE)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    seeds = np.array([int.from_bytes(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") for x in names], np.uint64)
+    hashes = W.mix((sums[at[1:]] - sums[at[:-1]]) * inv[at[:-1]] + seeds[of]) >> np.uint64(32)
+    order = np.argsort(hashes, kind="stable")
+    number = np.empty(n, np.int32)
+    number[order] = np.arange(n, dtype=np.int32)
+    code = number[words.indices.to_numpy(zero_copy_only=False)]
     out = np.full(len(code) + int(begins.sum()), -1, np.int32)
     out[np.arange(len(code)) + np.cumsum(begins) - 1] = code
-    yield _rows(SHARDS, 1, shard=[number], codes=[out.tobytes()])
+    columns = {"of": of[order].astype(np.uint16), "sizes": sizes[order].astype(np.uint32), "counts": np.bincount(code, minlength=n).astype(np.uint32), "spelt": W.gathered(spelt, at[:-1][order], sizes[order]), "hashes": hashes[order].astype(np.uint32), "codes": out}
+    yield _rows(SHARDS, 1, shard=[shard], langs=[names], n_words=[len(code)], n_distinct=[n], **{k: [v.tobytes()] for k, v in columns.items()})
+
+
+def prefixed(of: np.ndarray, sizes: np.ndarray, spelt: np.ndarray) -> pa.Array:
+    """Words with the two bytes of their language's number before them."""
+    size = sizes + 2
+    ends = np.cumsum(size)
+    at = ends - size
+    named = np.empty(int(size.sum()), np.uint8)
+    inner = np.ones(len(named), bool)
+    inner[at] = inner[at + 1] = False
+    named[at], named[at + 1], named[inner] = of & 255, of >> 8, spelt
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(np.append(at, len(named)).astype(np.int64)), pa.py_buffer(named)])
 
 
 def _shards(shard_bytes: int):
@@ -115,6 +136,77 @@ def _shards(shard_bytes: int):
     return released(run)
 
 
+def _array(cell, kind) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), kind)
+
+
+def _deal(p: int):
+    """Each shard's words by bucket."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                bucket = _array(row["hashes"], np.uint32) >> np.uint32(32 - p)
+                ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
+                first = np.concatenate(([0], ends[:-1]))
+                columns = {c: _array(row[c], k) for c, k in (("of", np.uint16), ("sizes", np.uint32), ("counts", np.uint32))}
+                at = np.concatenate(([0], np.cumsum(columns["sizes"], dtype=np.int64)))
+                spelt = row["spelt"].as_buffer()
+                cut = {c: [x[a:b].tobytes() for a, b in zip(first, ends)] for c, x in columns.items()}
+                cut["spelt"] = [spelt.slice(at[a], at[b] - at[a]).to_pybytes() for a, b in zip(first, ends)]
+                m = len(ends)
+                yield _rows(DEALT, m, shard=np.full(m, row["shard"].as_py()), bucket=bucket[first].astype(np.int64), first=first, langs=[row["langs"].as_py()] * m, **cut)
+
+    return released(run)
+
+
+def _add_words(p: int, least: int):
+    """Rows come by bucket. Out go its frequent words with ids, the occurrences by language, and each shard's numbers of frequent words."""
+
+    def done(bucket: int, rows: list[dict]):
+        langs: dict[str, int] = {}
+        of = np.concatenate([np.array([langs.setdefault(x, len(langs)) for x in r["langs"].as_py()])[_array(r["of"], np.uint16)] for r in rows])
+        sizes, counts = (np.concatenate([_array(r[c], np.uint32) for r in rows]).astype(np.int64) for c in ("sizes", "counts"))
+        words = prefixed(of, sizes, np.concatenate([_array(r["spelt"], np.uint8) for r in rows])).dictionary_encode()
+        code = words.indices.to_numpy(zero_copy_only=False)
+        total, by_lang = np.zeros(len(words.dictionary), np.int64), np.zeros(len(langs), np.int64)
+        np.add.at(total, code, counts)
+        np.add.at(by_lang, of, counts)
+        names = pa.array(list(langs), pa.string())
+        yield _rows(KNOWN, len(langs), lang=names, n=by_lang)
+        often = np.flatnonzero(total >= least)
+        ids = np.zeros(len(total), np.int64)
+        ids[often] = (np.arange(len(often)) << p) + bucket + 1
+        own, place = text_bytes(words.dictionary)
+        at, many = place[:-1][often], np.diff(place)[often] - 2
+        spelt = pa.Array.from_buffers(pa.large_string(), len(often), [None, pa.py_buffer(np.concatenate(([0], np.cumsum(many))).astype(np.int64)), pa.py_buffer(W.gathered(own, at + 2, many))])
+        yield _rows(KNOWN, len(often), lang=names.take(pa.array(own[at].astype(np.int64) | own[at + 1].astype(np.int64) << 8)), word=spelt.cast(pa.string()), id=ids[often], n=total[often])
+        begin, told = 0, []
+        for r in rows:
+            n = len(r["sizes"].as_buffer()) // 4
+            mine = ids[code[begin : begin + n]]
+            begin += n
+            at = np.flatnonzero(mine)
+            if len(at):
+                told.append((r["shard"].as_py(), (at + r["first"].as_py()).astype(np.int32).tobytes(), mine[at].tobytes()))
+        yield _rows(KNOWN, len(told), **{c: list(x) for c, x in zip(("shard", "numbers", "ids"), zip(*told))})
+
+    def run(batches):
+        bucket, held = None, []
+        for batch in batches:
+            for i, b in enumerate(batch.column("bucket").to_pylist()):
+                if b != bucket:
+                    if held:
+                        yield from done(bucket, held)
+                    bucket, held = b, []
+                held.append({c: batch.column(c)[i] for c in batch.schema.names})
+        if held:
+            yield from done(bucket, held)
+
+    return released(run)
+
+
 def filters(shard: int, ids: np.ndarray, at: np.ndarray, n: int, bits: int, wanted: int):
     """Rows of FILTERS for the phrases of n words that begin at ``at``."""
     if not len(at):
@@ -154,9 +246,8 @@ def _pairs(bits: int, wanted: int):
     def make(shard, known, codes):
         codes = np.frombuffer(codes, np.int32)
         table = np.zeros(int(codes.max()) + 2, np.int64)
-        if known:
-            table[known[0].to_numpy(zero_copy_only=False)] = known[1].to_numpy(zero_copy_only=False)
-        table[-1] = 0
+        for numbers, own in zip(*known or ((), ())):
+            table[_array(numbers, np.int32)] = _array(own, np.int64)
         ids = table[codes]
         pair = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
         used = np.zeros(len(ids), bool)
@@ -167,7 +258,7 @@ def _pairs(bits: int, wanted: int):
             yield _rows(FILTERS, 1, shard=[shard], size=np.zeros(1, np.int32), data=[ids.astype(np.int64 if bits > 31 else np.int32).tobytes()])
             yield from filters(shard, ids, np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0)), 2, bits, wanted)
 
-    return released(lambda batches: _by_shard(batches, ["code", "id"], "codes", make))
+    return released(lambda batches: _by_shard(batches, ["numbers", "ids"], "codes", make))
 
 
 def _longer(bits: int, wanted: int, longest: int):
@@ -233,33 +324,26 @@ def _merge(bits: int, wanted: int, least: int, tell: bool):
     return released(run)
 
 
-def numbered(words: DataFrame, count: int) -> DataFrame:
-    """``words`` (lang, word, n) with ids from 1, nearly without gaps, numbered in parts of about ``NUMBERED``."""
-    parts = count // NUMBERED + 1
-    part = F.pmod(F.xxhash64("lang", "word"), F.lit(parts))
-    return words.withColumn("part", part).withColumn("id", (F.row_number().over(Window.partitionBy("part").orderBy("lang", "word")) - 1) * F.lit(parts) + F.col("part") + 1).drop("part")
-
-
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_bytes: int = SHARD_BYTES, bucket_words: int = BUCKET_WORDS) -> tuple[DataFrame, DataFrame]:
     """((lang, words, phrase, n) of all phrases of 1 to ``longest`` words with ``least`` occurrences in their language, (lang, n) of all words). ``docs``: lang, text."""
     source = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     shards = stage(source.mapInArrow(_shards(shard_bytes), SHARDS), "shards")
-    local = shards.where("codes is null").select("shard", "lang", "word", "code", "n")
-    counted = stage(local.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    totals = stage(counted.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    often = counted.where(F.col("n") >= least)
-    total, count = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") >= least)).first()
-    vocabulary = stage(numbered(often, count), "vocabulary")
+    total, distinct = shards.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_distinct"), F.lit(0))).first()
+    bits_for = lambda n: max(LEAST_BUCKET_BITS, int(n // bucket_words).bit_length())
+    p = min(bits_for(distinct), 31)
+    by_bucket = shards.select("shard", "hashes", *(f.name for f in WORDS)).mapInArrow(_deal(p), DEALT).repartition("bucket").sortWithinPartitions("bucket", "shard")
+    known = stage(by_bucket.mapInArrow(_add_words(p, least), KNOWN), "words")
+    vocabulary = known.where("id is not null").select("lang", "word", "id", "n")
+    totals = stage(known.where("id is null and shard is null").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     bits = max(1, int(vocabulary.agg(F.coalesce(F.max("id"), F.lit(1))).first()[0]).bit_length())
-    wanted = max(LEAST_BUCKET_BITS, int(total // bucket_words).bit_length())
+    wanted = bits_for(total)
 
     def dealt(small: DataFrame, large: DataFrame, content: str) -> DataFrame:
         both = small.unionByName(large, allowMissingColumns=True)
         return both.repartition("shard").sortWithinPartitions("shard", F.col(content).isNotNull())
 
-    known = salted_join(local.select("lang", "word", "shard", "code"), vocabulary.select("lang", "word", "id"), ["lang", "word"], "inner", SALTS).select("shard", "code", "id")
-    codes = shards.where("codes is not null").select("shard", "codes")
-    pairs = stage(dealt(known, codes, "codes").mapInArrow(_pairs(bits, wanted), FILTERS), "pairs")
+    told = known.where("shard is not null").select("shard", "numbers", "ids")
+    pairs = stage(dealt(told, shards.select("shard", "codes"), "codes").mapInArrow(_pairs(bits, wanted), FILTERS), "pairs")
     dealt_out = lambda df: df.repartition("size", "bucket").sortWithinPartitions("size", "bucket")
     merged = stage(dealt_out(pairs.where("size > 0")).mapInArrow(_merge(bits, wanted, least, longest > 2), MERGED), "merged-pairs")
     found = merged.where("ids is not null").select("ids", "n")
@@ -271,7 +355,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     phrases = spelt.groupBy("ids", "n").agg(F.first("lang").alias("lang"), F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("words"))
     single = vocabulary.select("lang", "n", F.array("word").alias("words"))
     out = stage(phrases.select("lang", "n", "words").unionByName(single).select("lang", "words", F.array_join("words", " ").alias("phrase"), "n"), "frequent")
-    discard(shards, counted, pairs, merged)
+    discard(shards, known, pairs, merged)
     return out, totals
 
 
