@@ -451,6 +451,45 @@ def test_html_of_random_pages(spark):
         assert sorted(rows(plan, "page_id", "host", "path"), key=str) == sorted(want, key=str)
 
 
+def test_html_by_consensus_of_a_host(spark):
+    """Articles in containers whose words hint at boilerplate come back, boilerplate without such words goes, and what repeats itself is no article."""
+    rnd = random.Random(9)
+    say = lambda n: " ".join(rnd.choice(WORDS) for _ in range(n))
+    pages, want = [], []
+    for h, name in enumerate(("search-result", "related-story", "comment-piece", "share_text", "x1")):
+        promise, other = say(12), say(9)
+        for i in range(12):
+            said, more = say(60), say(40)
+            extra = f'<div class="k7"><p>{promise}</p></div>' if i % 3 else ""
+            inner = f'<p>{said}</p>{extra}<section class="q"><p>{more}</p></section><div class="comments"><p>{say(150)}</p></div><ul class="share"><li>{other}</li></ul>'
+            pages.append((h * 100 + i, f"http://host{h}/{i}", f'<body><div class="top">{say(2)}</div><div class="{name}">{inner}</div><div class="cookie-notice"><p>{other * 5}</p></div></body>'))
+            want.append((h * 100 + i, f"{said} {more}"))
+        pages.append((h * 100 + 50, f"http://host{h}/none", f'<body><div class="cookie-notice"><p>{other * 5}</p></div></body>'))
+        want.append((h * 100 + 50, ""))
+    notice = say(80)
+    for i in range(12):  # no articles: a notice that is everywhere isn't one
+        pages.append((900 + i, f"http://empty/{i}", f'<body><div class="cookie-notice"><p>{notice}</p></div><p>{say(2)}</p></body>'))
+    # copies of a page, and of one with one word changed, are articles still
+    body = say(90)
+    pages += [(1000 + i, f"http://copies/{i}", f'<body><div class="entry"><h1>Head</h1><div class="body"><p>{i % 2}</p></div><p>{body}</p></div></body>') for i in range(40)]
+    want += [(1000 + i, f"Head {i % 2} {body}") for i in range(40)]
+    got = dict(rows(html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("drops", F.lit("x"))), "page_id", "text"))
+    assert {k: got[k] for k, _ in want} == dict(want)
+    assert not any(notice in got[900 + i] for i in range(12))
+
+
+def test_html_of_deep_and_wide_pages():
+    import time
+
+    took = []
+    for n in (2_000, 8_000):
+        began = time.time()
+        page = html_text.Page("<div>" * n + "<table>" + "<tr><td>a b</td></tr>" * n + "</table>" + "</div>" * n)
+        assert len(list(page.votes())) == n + 1 and page.text(None) == " ".join(["a b"] * n)
+        took.append(time.time() - began)
+    assert took[1] < 10 * took[0] + 1
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "a <|end|> [\\INST] <\\\\|x|> [INST] <"), (1, 1, "user", ""), (1, 2, "assistant", "</s>\n<<SYS>>"), (1, 3, "assistant", "😀<|more|>"), (2, 0, None, None), (3, 1, "user", "x"), (3, 1, "user", "x"), (3, 0, "assi<|end|>", "<|"), (None, 0, "assistant", "n")]
     df = spark.createDataFrame([(*t, "e") for t in turns], "conv_id long, turn long, role string, text string, formatted string")
