@@ -451,6 +451,24 @@ def test_html_of_random_pages(spark):
         assert sorted(rows(plan, "page_id", "host", "path"), key=str) == sorted(want, key=str)
 
 
+def test_repeats_of_very_many_equal_rows(spark):
+    """The cost is in proportion to the rows, whether they have one doc_id, none, or ids of their own."""
+    import time
+
+    rnd = random.Random(4)
+    say = " ".join(rnd.choice(WORDS) for _ in range(220))
+    took = []
+    for n in (1_000, 20_000):
+        rows_ = spark.range(n).selectExpr("case id % 3 when 0 then null when 1 then 7 else id end as doc_id").withColumn("text", F.lit(say))
+        rows_ = rows_.unionByName(spark.createDataFrame([(-1, say[:100] + "#" + say[101:]), (-2, "x" + say[300:520])], "doc_id long, text string"))
+        began = time.time()
+        got = suffix_dedup.remove_repeats(rows_, keep=["doc_id"]).groupBy("n_bytes", "n_removed", "n_spans").count().collect()
+        took.append(time.time() - began)
+        whole = len(say)
+        assert {(r.n_bytes, r.n_removed): r["count"] for r in got} == {(whole, whole): n, (whole, whole - 101): 1, (221, 220): 1}
+    assert took[1] < 4 * took[0] + 5
+
+
 def test_html_by_consensus_of_a_host(spark):
     """Articles in containers whose words hint at boilerplate come back, boilerplate without such words goes, and what repeats itself is no article."""
     rnd = random.Random(9)

@@ -64,10 +64,10 @@ def released(run):
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int = 16) -> DataFrame:
     """Equi-join of a large ``left`` whose keys may be hot with a ``right`` of one narrow row per key.
 
-    Each left row is dealt to one of ``salts`` parts of its key; right rows are copied to all of them, so
-    that a hot key is spread. Null keys match nothing.
+    Each left row is dealt to one of ``salts`` parts of its key, by its other columns and its input partition; right rows are copied to all of them, so
+    that a hot key is spread, also one of equal rows. Null keys match nothing.
     """
-    spread = F.pmod(F.hash(*[F.col(c) for c in left.columns if c not in keys] or [F.rand()]), F.lit(salts))
+    spread = F.pmod(F.hash(F.spark_partition_id(), *[F.col(c) for c in left.columns if c not in keys]), F.lit(salts))
     a = left.withColumn("__salt", spread.cast("int"))
     b = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return a.join(b, [*keys, "__salt"], how).drop("__salt")

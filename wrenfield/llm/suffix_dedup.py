@@ -14,7 +14,8 @@ is repeated; strings are judged on the input and never cross texts. The work is
 4. *Crowded anchors*, with more than ``CROWD`` distinct segments, would make a shard as large as the crowd. There
    each start's own string is hashed (128 bits) and met by its hash instead, which is exact and spreads.
 
-Places are keyed by hashes of doc_id and of the text, so repeated rows (also of one doc_id) share a result.
+Places are keyed by the text itself (a hash of 128 bits), so equal texts, of whatever number and doc_id, share one list of places: it is made
+distinct where it is collected, bytes are cut from one copy, and the rows of a text are dealt out by salt when they get their list.
 Segment and anchor hashes are 64 bits each and only compared within an anchor.
 
 Nulls: a null text is empty; a null doc_id is an id like others. Texts shorter than ``size`` bytes repeat
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import words as W
-from .common import released, stage, steps, text_bytes
+from .common import released, salted_join, stage, steps, text_bytes
 from .induced import repeats, suffix_array
 
 SIZE = 200
@@ -265,14 +266,15 @@ def _strings(size: int):
     return released(run)
 
 
-def keyed(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns ``keep`` of ``docs`` with the keys of places and the text as bytes, for one exchange that all joins use."""
-    named = docs.withColumns({"__k1": F.xxhash64(F.col(doc_id)), "__k2": F.xxhash64(F.coalesce(F.col(text), F.lit(""))), "__raw": F.col(text).cast("binary")})
+def keyed(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns ``keep`` of ``docs`` with the keys of places and the text as bytes."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    named = docs.withColumns({"__k1": F.xxhash64(whole), "__k2": F.xxhash64(F.lit(1), whole), "__raw": F.col(text).cast("binary")})
     return named.select(*keep, "__k1", "__k2", "__raw")
 
 
 def repeated_places(texts: DataFrame, size: int = SIZE, crowd: int = CROWD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(__k1, __k2, start, end): byte ranges of the repeated strings of ``keyed`` texts, not yet merged."""
+    """(__k1, __k2, start, end): byte ranges of the repeated strings of ``keyed`` texts, not yet merged; some come several times."""
     if size % 8 or size <= ANCHOR:
         raise ValueError(f"size is a multiple of 8 above {ANCHOR}")
     source = texts.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("__raw").cast("string").alias("text"))
@@ -286,7 +288,8 @@ def repeated_places(texts: DataFrame, size: int = SIZE, crowd: int = CROWD, shar
     crowded = bool(crowds.limit(1).count())
     ones = ones.join(crowds, "anchor", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))) if crowded else ones.withColumn("crowded", F.lit(False))
     lists = ones.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_list(F.struct(*CUTS.fieldNames()[:-1])).alias("__list"))
-    cut = texts.join(lists, ["__k1", "__k2"]).mapInArrow(_cut(size), CUTS)
+    copies = texts.where("__raw is not null").groupBy("__k1", "__k2").agg(F.first("__raw").alias("__raw"))
+    cut = copies.join(lists, ["__k1", "__k2"]).mapInArrow(_cut(size), CUTS)
     out = out.unionByName(cut.where("not crowded").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted(size, shard_bytes), PLACES))
     if crowded:
         strings = cut.where("crowded").mapInArrow(_strings(size), SEGMENTS).repartition("anchor").sortWithinPartitions("anchor", "segment")
@@ -319,15 +322,15 @@ def _without(schema: T.StructType, kept: list[str], text: str | None):
     return released(run)
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
     """``docs`` (its columns ``keep``, default all) with n_bytes, n_removed, n_spans and kept_sha256; where ``keep``
     has the text, it is what is left of it (a character cut in two is dropped; null stays null)."""
     more = [*LONGS("n_bytes", "n_removed", "n_spans"), T.StructField("kept_sha256", T.StringType())]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in [f.name for f in more]]
-    texts = keyed(docs, [c for c in kept if c != text], doc_id, text)
-    spans = repeated_places(texts, **options).groupBy("__k1", "__k2").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
+    texts = keyed(docs, [c for c in kept if c != text], text)
+    spans = repeated_places(keyed(docs, [], text), **options).groupBy("__k1", "__k2").agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
     schema = T.StructType([docs.schema[c] for c in kept] + more)
-    return texts.join(spans, ["__k1", "__k2"], "left").mapInArrow(_without(schema, kept, text if text in kept else None), schema)
+    return salted_join(texts, spans, ["__k1", "__k2"]).mapInArrow(_without(schema, kept, text if text in kept else None), schema)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
