@@ -27,19 +27,47 @@ def not_existing(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     return new.join(urls, "url_id", "left_anti").join(names, ["name_id", "date"], "left_anti")
 
 
+def _depends(left: DataFrame) -> DataFrame:
+    """``left`` with ``root`` (the smallest id of both its groups) and ``to``: the one row whose fate decides its own, as it is
+    the second of each group of which it isn't the first; null if more rows decide."""
+
+    def firsts(of: DataFrame, columns: list[str], name: str) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy(*columns).orderBy("id"))  # Spark keeps two of a group on each side of the exchange
+        two = of.select("id", *columns).withColumn("nth", nth).where("nth <= 2")
+        return two.groupBy(*columns).agg(F.min("id").alias(f"{name}1"), F.max("id").alias(f"{name}2"))
+
+    both = left.join(firsts(left.where("url_id is not null"), ["url_id"], "u"), "url_id", "left").join(firsts(left, ["name_id", "date"], "n"), ["name_id", "date"])
+    i, u1, n1 = F.col("id"), F.coalesce("u1", "id"), F.col("n1")
+    second = ((i == u1) | (i == F.col("u2"))) & ((i == n1) | (i == F.col("n2")))
+    to = F.when(i == u1, n1).when((i == n1) | (u1 == n1), u1)
+    return both.select("id", "url_id", "name_id", "date", ((i == u1) & (i == n1)).alias("root"), F.when(second & ~((i == u1) & (i == n1)), to).alias("to"))
+
+
+def _followed(rows: DataFrame) -> DataFrame:
+    """(id, to, odd): for rows that depend on one row, where the chain of such rows ends, and whether it has an odd number of links. Pointers are
+    doubled, so a chain of n links takes log2(n) rounds."""
+    at = staged(rows.where("to is not null").select("id", "to", F.lit(True).alias("odd")))
+    while at.join(at.select(F.col("id").alias("to")), "to", "left_semi").limit(1).count():
+        on = at.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("odd").alias("more"))
+        at = staged(at.join(on, "to", "left").select("id", F.coalesce("next", "to").alias("to"), F.when(F.col("more"), ~F.col("odd")).otherwise(F.col("odd")).alias("odd")))
+    return at
+
+
 def greedy(new: DataFrame) -> DataFrame:
     """Rows (id, url_id, name_id, date) that no *kept* row of smaller id shares an identity with.
 
-    In each round a row is kept if it is the smallest undecided one of both its groups; the rest of those groups
-    is dropped. The smallest undecided id is always decided, so rounds end; each costs two aggregates.
+    In each round the smallest undecided row of both its groups is kept, and chains of rows of which each depends on one other are followed to such a
+    row: every second row of a chain is kept. The rest of the groups of kept rows is dropped. The smallest undecided id is always decided, so rounds end; a
+    chain of any length takes one round of as many joins as its length has binary digits.
     """
     left = staged(new.select("id", "url_id", "name_id", "date"))
     kept = None
     while left.limit(1).count():
-        by_url = left.where("url_id is not null").groupBy("url_id").agg(F.min("id").alias("u"))
-        by_name = left.groupBy("name_id", "date").agg(F.min("id").alias("n"))
-        both = left.join(by_url, "url_id", "left").join(by_name, ["name_id", "date"])
-        now = staged(both.where((F.col("id") == F.col("n")) & (F.col("id") == F.coalesce("u", "id"))).select("id", "url_id", "name_id", "date"))
+        rows = staged(_depends(left))
+        roots = rows.where("root").select("id")
+        ends = _followed(rows).join(roots.withColumnRenamed("id", "to"), "to", "left_semi")
+        ids = roots.unionByName(ends.where("not odd").select("id"))
+        now = staged(left.join(ids, "id"))
         kept = now if kept is None else kept.unionByName(now)
         rest = left.join(now.where("url_id is not null").select("url_id").distinct(), "url_id", "left_anti")
         left = staged(rest.join(now.select("name_id", "date").distinct(), ["name_id", "date"], "left_anti").select("id", "url_id", "name_id", "date"))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import linkage, reports, scoring
+from ..operators import gates, linkage, reports, scoring
 from ..settings import DEFAULT as S
+from ..staging import new_folder
 from ..streaming import jobs
+from ..streaming.snapshot import STORED
+from ..versions import Versions
 from .catalog import query
 from .linkage import _MATCH, _UP, AS_OF
 
@@ -258,6 +261,46 @@ def _(t):
     return jobs.ingest_once(t.ce.select("id", "name", "date", "time", "url"))
 
 
-@query("stream_upsert", "SELECT url, arg_max(date, id) AS date FROM ce GROUP BY url")
+@query("stream_upsert", """
+WITH r AS (SELECT *, CAST(floor(id * 3 / (SELECT max(id) + 1 FROM ce)) AS BIGINT) AS part FROM ce),
+first AS (SELECT url, min(id) AS id, arg_min(date, id) AS date, arg_min(end_date, id) AS end_date, arg_min(pipeline_state, id) AS state, arg_min(notion_page_id, id) AS page, min(part) AS part FROM r GROUP BY url),
+later AS (SELECT r.url, r.part, arg_max(r.date, r.id) AS date, arg_max(struct_pack(e := r.end_date), r.id).e AS end_date FROM r JOIN first AS f ON f.url = r.url AND r.part > f.part GROUP BY ALL),
+steps AS (SELECT url, part, date, end_date FROM first UNION ALL SELECT * FROM later),
+moved AS (SELECT *, date <> lag(date) OVER (PARTITION BY url ORDER BY part) AS other FROM steps),
+last AS (SELECT url, arg_max(date, part) AS date, arg_max(struct_pack(e := end_date), part) FILTER (coalesce(other, true)) AS ends, bool_or(coalesce(other, false)) AS other FROM moved GROUP BY url)
+SELECT f.id, f.url, l.date, l.ends.e AS end_date, CASE WHEN l.other AND f.state IN ('expired', 'llm_rejected', 'vetoed') AND f.page IS NULL THEN 'pending_llm' ELSE f.state END AS pipeline_state
+FROM first AS f JOIN last AS l ON l.url = f.url
+""")
 def _(t):
-    return jobs.upsert_once(t.ce.select("id", "url", "date"))
+    """By URL, in three runs of the stream."""
+    return jobs.upsert_runs(t.ce.select(STORED), 3, names=False).rows().select("id", "url", "date", "end_date", "pipeline_state")
+
+
+@query("stream_upsert_names")
+def _(t):
+    """By URL, and by name and date, in three runs of the stream."""
+    return jobs.upsert_runs(t.ce.select(STORED), 3, names=True).rows().select("id", "url", "date", "end_date", "pipeline_state")
+
+
+_N = "(SELECT count(*) FROM ce WHERE {})".format
+_BACK = "notion_page_id IS NOT NULL AND id % 4 = 0"
+
+
+@query("gated_publish", f"""
+WITH c AS (SELECT {_N("run_date = '2024-01-09'")} AS one, {_N("run_date = '2024-01-16'")} AS two, {_N("true")} AS n, {_N(_BACK)} AS back, {_N(f"pipeline_state = 'pending_llm' AND {_UP}")} AS due)
+SELECT 1 AS attempt, true AS accepted, '' AS reasons, one AS n_published FROM c UNION ALL SELECT 2, true, '', n FROM c
+UNION ALL SELECT 3, false, concat('lost_rows: ', CAST(n - two AS VARCHAR), ', lost_run_dates: 1'), n FROM c
+UNION ALL SELECT 4, back = 0, CASE WHEN back > 0 THEN concat('regressions: ', CAST(back AS VARCHAR)) ELSE '' END, n FROM c
+UNION ALL SELECT 5, due <= 600, CASE WHEN due > 600 THEN concat('crowded: ', CAST(due AS VARCHAR)) ELSE '' END, n FROM c
+""")
+def _(t):
+    """One run date, all rows, a table that lost a run date, one whose written rows went back, and one checked for volume: what was published after each."""
+    versions = Versions(t.spark, new_folder(t.spark, "published"))
+    back = t.ce.withColumn("pipeline_state", F.when(F.expr(_BACK), "pending_llm").otherwise(F.col("pipeline_state")))
+    attempts = [t.ce.where("run_date = '2024-01-09'"), t.ce, t.ce.where("run_date = '2024-01-16'"), back, t.ce]
+    rows = []
+    for k, table in enumerate(attempts, 1):
+        outcome = gates.publish(versions, table, gates.CHECKS | ({"crowded": gates.crowded(AS_OF)} if k == 5 else {}))
+        said = ", ".join(f"{c}: {n}" for c, n in sorted(outcome.reasons.items()))
+        rows.append((k, outcome.accepted, said, versions.read(t.ce.schema).count()))
+    return t.spark.createDataFrame(rows, "attempt int, accepted boolean, reasons string, n_published long")

@@ -1,4 +1,4 @@
-"""Streams over landed files: ingest with seen keys, upserts of a snapshot, and running counts.
+"""Streams over landed files: ingest with seen keys, upserts of a stored snapshot (``snapshot.py``), and running counts.
 
 The ``*_once`` forms land a table as files and run the stream over what is there (``availableNow``).
 """
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..staging import staged
+from ..staging import new_folder, staged
+from .snapshot import Snapshot
 
 
 def _land(df: DataFrame) -> tuple[DataFrame, str]:
@@ -36,12 +37,6 @@ def funnel(stream: DataFrame, every: str = "1 day", delay: str = "60 days") -> D
     return timed(stream, delay).groupBy(F.window("event_ts", every).alias("span"), "pipeline_state").agg(F.count("*").alias("n")).select("span.start", "pipeline_state", "n")
 
 
-def upsert(snapshot: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """The newest row of each URL, of the snapshot and a batch."""
-    both = batch if snapshot is None else snapshot.unionByName(batch)
-    return both.groupBy("url").agg(F.max_by(F.struct("id", "date"), "id").alias("r")).select("url", "r.*")
-
-
 def ingest_once(rows: DataFrame) -> DataFrame:
     stream, state = _land(rows)
     out = f"{state}-out"
@@ -63,12 +58,13 @@ def funnel_once(rows: DataFrame) -> DataFrame:
     return last.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "pipeline_state", "n")
 
 
-def upsert_once(rows: DataFrame) -> DataFrame:
-    stream, state = _land(rows.select("url", "id", "date"))
-    held: dict[str, DataFrame] = {}
-
-    def merge(batch: DataFrame, _: int) -> None:
-        held["now"] = staged(upsert(held.get("now"), batch))
-
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    return held["now"].select("url", "date")
+def upsert_runs(rows: DataFrame, runs: int, names: bool, buckets: int = 16) -> Snapshot:
+    """The snapshot after a stream over ``rows``, landed in ``runs`` parts of growing ids; for each the stream is started again from its checkpoint."""
+    spark = rows.sparkSession
+    path = new_folder(spark, "upserts")
+    rows = staged(rows)
+    top = rows.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] + 1
+    for k in range(runs):
+        rows.where(F.floor(F.col("id") * runs / top) == k).write.mode("append").parquet(f"{path}/landed")
+        Snapshot(spark, f"{path}/stored", buckets, names).run(spark.readStream.schema(rows.schema).parquet(f"{path}/landed"), f"{path}/checkpoint")
+    return Snapshot(spark, f"{path}/stored", buckets, names)
