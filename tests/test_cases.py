@@ -157,3 +157,16 @@ def test_calendar_match_against_a_loop(spark):
     assert {k: (got.get(k), want.get(k)) for k in {*got, *want} if got.get(k) != want.get(k)} == {}
     assert len({m[1:] for m in want.values()}) > 4
     assert linkage.calendar_match(x.limit(0), y).count() == linkage.calendar_match(x, y.limit(0)).count() == 0
+
+
+def test_jargon_goes_word_by_word(spark):
+    cases = {
+        "Fetch failed at run/step.py line 40; HTTP 503; exit code 3 ;": "Fetch failed at",
+        "MAX_RETRY_COUNT was 3, Line 7 ; see notes.md ;done": "was 3,; see; done",
+        "line up at line x, HTTP 20 and code 5": "line up at line x, HTTP 20 and code 5",
+        "Exit Code 9 LINE 4 a_b A_B": "a_b A_B",
+        "": "",
+        None: None,
+    }
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "said string, want string")
+    assert all(r.got == r.want for r in df.withColumn("got", C.strip_jargon(F.col("said"))).collect())

@@ -237,20 +237,35 @@ def date_variants(date: Column) -> Column:
     return F.array_distinct(F.array(F.date_format(d, "yyyy-MM-dd"), *texts, F.date_format(d, "dd/MM"), F.date_format(d, "d/M")))
 
 
-#: What a reader of reports cannot use: kind of mention -> how it looks.
-JARGON = {
-    "file": r"(?:\w|/)+\.(?:json|md|py|sh|yml)\b",
-    "place in a file or exit of a step": r"(?i:line|exit\s+code)\s+\d+\b",
-    "status of a request": r"HTTP\s+[0-9]{3}\b",
-    "constant": r"(?=[A-Z_]{3})[A-Z_]*_[A-Z_]+\b",
-}
+# Endings of files, and words that a number belongs to, with the form of the number.
+FILE_ENDINGS = ("py", "sh", "yml", "json", "md")
+NUMBERED = {("line",): r"\d+", ("exit", "code"): r"\d+", ("HTTP",): r"\d{3}"}
 
 
 def strip_jargon(c: Column) -> Column:
-    """``c`` without such mentions; what is left between semicolons is trimmed."""
-    said = F.regexp_replace(c, rf"\b(?:{'|'.join(JARGON.values())})", "")
-    parts = F.transform(F.split(said, ";"), lambda p: F.regexp_replace(F.regexp_replace(p, r"\s{2,}", " "), r"^\s+|\s+$", ""))
-    return F.btrim(F.array_join(parts, "; "), F.lit(" ;"))
+    """``c`` without what a reader of reports cannot use, word by word: files, constants, and places, exits and statuses with their numbers. Blanks become one, and
+    nothing is left at the ends of what semicolons part."""
+    said = F.split(F.replace(c, F.lit(";"), F.lit(" ; ")), r"\s+")
+    word = lambda i: F.coalesce(F.try_element_at(said, i + 1), F.lit(""))
+
+    def mention(i: Column, words: tuple[str, ...], number: str) -> Column:
+        """Whether these words and a number begin at word ``i``."""
+        same = [word(i + k) == w if w.isupper() else F.lower(word(i + k)) == w for k, w in enumerate(words)]
+        hit = word(i + len(words)).rlike(f"^{number}$")
+        for cond in same:
+            hit = hit & cond
+        return (i >= 0) & hit
+
+    def technical(w: Column, i: Column) -> Column:
+        out = (F.instr(w, ".") > 1) & F.substring_index(w, ".", -1).isin(*FILE_ENDINGS)
+        out = out | (w.rlike("^[A-Z_]{4,}$") & w.contains("_"))
+        for words, number in NUMBERED.items():
+            for k in range(len(words) + 1):
+                out = out | F.when(i >= k, mention(i - k, words, number)).otherwise(F.lit(False))
+        return out
+
+    left = F.array_join(F.filter(said, lambda w, i: ~technical(w, i)), " ")
+    return F.btrim(F.regexp_replace(left, " *; *", "; "), F.lit(" ;"))
 
 
 def text_blob(*columns: Column) -> Column:

@@ -156,11 +156,58 @@ def is_fresh(written: Column, run_start: str) -> Column:
     return F.coalesce(written.try_cast("timestamp_ntz") >= F.lit(run_start).cast("timestamp_ntz"), F.lit(False))
 
 
-def board_flatten(pages: DataFrame) -> DataFrame:
-    kind = "id string, archived boolean, properties struct<Name:array<struct<plain_text:string>>,Date:struct<start:string>,Verdict:struct<name:string>>"
-    p = pages.select(F.from_json("raw", kind).alias("p"))
-    title = F.array_join(F.transform("p.properties.Name", lambda x: x["plain_text"]), "")
-    return p.select(F.col("p.id").alias("page_id"), title.alias("title"), F.substring("p.properties.Date.start", 1, 10).alias("date"), F.col("p.properties.Verdict.name").alias("verdict"), F.col("p.archived").alias("archived"))
+def _listed(v: Column, path: str, field: str) -> Column:
+    """The field of each element of a list within a variant; an empty list if there is none."""
+    return F.coalesce(F.transform(F.try_variant_get(v, path, "array<variant>"), lambda x: F.coalesce(F.try_variant_get(x, field, "string"), F.lit(""))), F.array().cast("array<string>"))
+
+
+#: How a property of a kind is read from its variant.
+PROPERTY = {
+    "title": lambda v: F.array_join(_listed(v, "$.title", "$.plain_text"), ""),
+    "rich_text": lambda v: F.array_join(_listed(v, "$.rich_text", "$.plain_text"), ""),
+    "select": lambda v: F.try_variant_get(v, "$.select.name", "string"),
+    "multi_select": lambda v: _listed(v, "$.multi_select", "$.name"),
+    "checkbox": lambda v: F.coalesce(F.try_variant_get(v, "$.checkbox", "boolean"), F.lit(False)),
+    "number": lambda v: F.try_variant_get(v, "$.number", "double"),
+    "date": lambda v: F.substring(F.try_variant_get(v, "$.date.start", "string"), 1, 10),
+}
+# The properties of the three kinds of board pages, with the columns they become.
+SHAPES = {
+    "card": {
+        "title": ("Event", "title"), "date": ("Date", "date"), "verdict": ("Verdict", "select"), "tier": ("Tier", "select"),
+        "reason": ("Reason it failed", "select"), "notes": ("Notes", "rich_text"), "to_delete": ("To delete", "checkbox"),
+    },
+    "run": {
+        "batch": ("Batch", "title"), "status": ("Status", "select"), "events_added": ("Events added", "number"), "issues": ("Issues", "rich_text"),
+        "pipeline": ("Pipeline", "rich_text"), "duration": ("Duration", "rich_text"), "batch_date": ("Batch date", "date"), "trigger": ("Trigger", "select"),
+    },
+    "finding": {"finding_key": ("Finding key", "rich_text"), "types": ("Finding Type", "multi_select"), "type": ("Finding Type", "select"), "title": ("Month", "title")},
+}
+
+
+def _pages(pages: DataFrame) -> DataFrame:
+    return pages.select(F.from_json("raw", "id string, archived boolean, in_trash boolean, properties map<string, variant>").alias("p"))
+
+
+def board_flatten(pages: DataFrame, shape: str = "card") -> DataFrame:
+    """Landed board pages (``raw``, JSON) as typed rows of one of the three shapes. A property that is missing or of another kind is null, an empty text or
+    list, or false; text is joined from all its parts."""
+    columns = {c: PROPERTY[kind](F.col("p.properties")[name]) for c, (name, kind) in SHAPES[shape].items()}
+    gone = {"archived": F.coalesce("p.archived", F.lit(False)), "in_trash": F.coalesce("p.in_trash", F.lit(False))}
+    if shape == "run":
+        columns["events_added"] = F.coalesce(columns["events_added"], F.lit(0)).cast("long")
+        columns |= {c: F.coalesce(columns[c], F.lit("")) for c in ("status", "batch_date", "trigger")}
+    if shape == "finding":
+        kind = F.coalesce(F.try_element_at(columns.pop("types"), F.lit(1)), columns["type"], F.lit(""))
+        columns["type"] = F.translate(F.lower(kind), " -", "__")
+    return _pages(pages).select(F.col("p.id").alias("page_id"), *(v.alias(k) for k, v in columns.items()), *((v.alias(k) for k, v in gone.items()) if shape == "card" else ()))
+
+
+def property_kinds(pages: DataFrame) -> DataFrame:
+    """(property, kind, n): what kinds of values each property has, over all pages; more than one kind tells that a board was changed."""
+    one = _pages(pages).select(F.explode("p.properties").alias("property", "v"))
+    kind = F.regexp_extract(F.schema_of_variant("v"), r"(title|rich_text|multi_select|select|checkbox|number|date): ", 1)
+    return one.groupBy("property", kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
 def latest_steps(log: DataFrame) -> DataFrame:

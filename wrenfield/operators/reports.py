@@ -275,10 +275,3 @@ def qa_actions(found: DataFrame, cand: DataFrame) -> DataFrame:
     action = F.when(F.col("top.rank") == 0, "veto").when(F.col("top.rank") < 3, "rescore").otherwise("remediate")
     j = first.join(cand.select("id", "notion_page_id"), "id")
     return j.select("id", action.alias("action"), F.when(action == "veto", F.concat(F.lit("QA: "), "top.check_name")).alias("reason"), ((action == "veto") & F.col("notion_page_id").isNotNull()).alias("flag_page"))
-
-
-def deviations(expected: DataFrame, log: DataFrame) -> DataFrame:
-    """(step, kind): expected steps (step, required) that are missing or failed in the log (step, outcome)."""
-    j = expected.join(log.select("step", "outcome"), "step", "left")
-    kind = F.when(F.col("outcome").isNull() & F.col("required"), "deviation").when(F.col("outcome").isNull(), "note").when(F.col("outcome") == "failed", "failed")
-    return j.select("step", kind.alias("kind")).where("kind is not null")

@@ -109,10 +109,67 @@ def _(t):
     return t.ce.select("id", ingest.is_fresh(written, "2024-01-10 00:00:00").alias("fresh"))
 
 
-@query("board_flatten", "SELECT page_id, title, substr(date, 1, 10) AS date, verdict, archived FROM bd")
+def _page(**properties):
+    """A landed board page: every property is an object under its kind, as the board returns it."""
+    made = F.struct(*(v.alias(k.replace("_", " ")) for k, v in properties.items()))
+    return F.struct(F.col("page_id").alias("id"), F.col("archived"), F.lit(False).alias("in_trash"), made.alias("properties"))
+
+
+def _texts(kind, *parts):
+    return F.struct(F.array(*(F.struct(p.alias("plain_text")) for p in parts)).alias(kind))
+
+
+def _chosen(name):
+    return F.struct(F.when(name.isNotNull(), F.struct(name.alias("name"))).alias("select"))
+
+
+def _landed(rows, page):
+    return rows.select(F.to_json(page, {"ignoreNullFields": "false"}).alias("raw"))
+
+
+def _cards(t):
+    n = F.substring("page_id", 6, 20).cast("long")
+    page = _page(
+        Event=_texts("title", F.substring("title", 1, 4), F.expr("substring(title, 5)")), Date=F.struct(F.struct(F.concat("date", F.lit("T19:00:00Z")).alias("start")).alias("date")), Verdict=_chosen(F.col("verdict")),
+        Tier=_chosen(F.when(n % 3 == 0, "Top Picks").when(n % 3 == 1, "Borderline")), Reason_it_failed=_chosen(F.when(n % 4 == 0, "Too far")), Notes=_texts("rich_text", F.lit("seen "), n.cast("string")), To_delete=F.struct((n % 7 == 0).alias("checkbox")),
+    )
+    return _landed(t.bd, page)
+
+
+@query("board_flatten", """
+SELECT page_id, title, substr(date, 1, 10) AS date, verdict, CASE n % 3 WHEN 0 THEN 'Top Picks' WHEN 1 THEN 'Borderline' END AS tier, CASE WHEN n % 4 = 0 THEN 'Too far' END AS reason,
+  concat('seen ', n) AS notes, n % 7 = 0 AS to_delete, archived, false AS in_trash FROM (SELECT *, CAST(substr(page_id, 6) AS BIGINT) AS n FROM bd)""")
+def _(t):
+    return ingest.board_flatten(_cards(t))
+
+
+@query("board_runs", """
+SELECT concat('run-', run_date, '-', source) AS page_id, concat(source, ' of ', run_date) AS batch, CASE source WHEN 'Luma' THEN '' ELSE 'Done' END AS status, CASE source WHEN 'Luma' THEN 0 ELSE count(*) END AS events_added,
+  concat(count(*) FILTER (pipeline_state = 'write_failed'), ' failed; ', count(*), ' rows') AS issues, source AS pipeline, '' AS duration, run_date AS batch_date, 'schedule' AS trigger FROM ce GROUP BY source, run_date""")
+def _(t):
+    n, failed, luma = F.count("*"), F.count_if(F.col("pipeline_state") == "write_failed"), F.col("source") == "Luma"
+    runs = t.ce.groupBy("source", "run_date").agg(n.alias("n"), failed.alias("failed")).withColumns({"page_id": F.concat(F.lit("run-"), "run_date", F.lit("-"), "source"), "archived": F.lit(False)})
+    page = _page(
+        Batch=_texts("title", F.col("source"), F.concat(F.lit(" of "), "run_date")), Status=_chosen(F.when(~luma, "Done")), Events_added=F.struct(F.when(~luma, F.col("n")).alias("number")),
+        Issues=_texts("rich_text", F.col("failed").cast("string"), F.lit(" failed; "), F.concat(F.col("n").cast("string"), F.lit(" rows"))), Pipeline=_texts("rich_text", F.col("source")),
+        Batch_date=F.struct(F.struct(F.col("run_date").alias("start")).alias("date")), Trigger=_chosen(F.lit("schedule")),
+    )
+    return ingest.board_flatten(_landed(runs, page), "run")
+
+
+@query("board_findings", """
+SELECT concat('finding-', organiser) AS page_id, concat('key:', organiser) AS finding_key, CASE WHEN count(*) % 2 = 0 THEN 'source_gap' ELSE 'venue_to_add' END AS type, concat(organiser, ' in January') AS title FROM ce GROUP BY organiser""")
+def _(t):
+    rows = t.ce.groupBy("organiser").agg(F.count("*").alias("n")).withColumns({"page_id": F.concat(F.lit("finding-"), "organiser"), "archived": F.lit(False)})
+    several, even = F.array(F.struct(F.lit("Source-gap").alias("name")), F.struct(F.lit("other").alias("name"))), F.col("n") % 2 == 0
+    kind = F.struct(F.when(even, several).alias("multi_select"), F.when(~even, F.struct(F.lit("Venue to add").alias("name"))).alias("select"))
+    page = _page(Finding_key=_texts("rich_text", F.lit("key:"), F.col("organiser")), Finding_Type=kind, Month=_texts("title", F.concat("organiser", F.lit(" in January"))))
+    return ingest.board_flatten(_landed(rows, page), "finding")
+
+
+@query("board_property_kinds", "SELECT property, kind, (SELECT count(*) FROM bd) AS n FROM (VALUES ('Event', 'title'), ('Date', 'date'), ('Verdict', 'select'), ('Tier', 'select'), ('Reason it failed', 'select'), ('Notes', 'rich_text'), ('To delete', 'checkbox')) k(property, kind)")
 def _(t):
-    props = F.struct(F.array(F.struct(F.col("title").alias("plain_text"))).alias("Name"), F.struct(F.concat("date", F.lit("T19:00:00Z")).alias("start")).alias("Date"), F.struct(F.col("verdict").alias("name")).alias("Verdict"))
-    return ingest.board_flatten(t.bd.select(F.to_json(F.struct(F.col("page_id").alias("id"), F.col("archived"), props.alias("properties"))).alias("raw")))
+    return ingest.property_kinds(_cards(t))
 
 
 @query("step_log", "SELECT source AS step, max(id) AS last_id, arg_max(pipeline_state, id) AS outcome FROM ce GROUP BY ALL")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import gates, linkage, reports, scoring
+from ..operators import evidence, gates, linkage, reports, scoring
 from ..settings import DEFAULT as S
 from ..staging import new_folder
 from ..streaming import jobs
@@ -244,11 +244,54 @@ def _(t):
     return reports.qa_actions(_found(t), t.ce)
 
 
-@query("run_deviations", "SELECT 'publish' AS step, 'deviation' AS kind, FROM (SELECT count(*) FROM ce) UNION ALL SELECT 'notes', 'note' UNION ALL SELECT 'Luma', 'failed'")
+_OURS = "(SELECT *, CASE WHEN id % 3 <> 0 THEN run_date END AS llm_reviewed FROM ce WHERE run_date = '2024-01-16')"
+_SAID = "SELECT count(*) FILTER (pipeline_state = 'written') AS w, count(*) AS n, count(*) FILTER (llm_reviewed IS NOT NULL) AS r FROM " + _OURS
+_STEPS = f"""steps AS (
+  SELECT 'fetch_step' AS check_name, CASE WHEN n > 0 THEN 'pass' ELSE 'fail' END AS status, '' AS detail FROM said UNION ALL SELECT 'scored_step', 'pass', '' FROM said UNION ALL SELECT 'reviewed_step', CASE WHEN r > 0 THEN 'pass' ELSE 'fail' END, '' FROM said
+  UNION ALL SELECT 'written_step', CASE WHEN w > 0 THEN 'pass' ELSE 'fail' END, '' FROM said UNION ALL SELECT 'summary_there', 'pass', '' UNION ALL SELECT 'run_status', 'fail', concat('failed: ', CAST(n AS VARCHAR), ' rows') FROM said
+  UNION ALL SELECT 'step score-travel', 'fail', 'quota' UNION ALL SELECT 'fetchers', 'pass', concat(CAST((SELECT count(DISTINCT source) - 1 FROM ce) AS VARCHAR), ' of ', CAST((SELECT count(DISTINCT source) FROM ce) AS VARCHAR), ' sources'))"""
+#: What the log of the run has; the others of the expected steps are missing.
+_LOGGED = ("preflight", "newsletter-sweep", "fetch-action", "score-travel", "dedup", "llm-sense-check")
+
+
+def _evidence(t):
+    """Two steps are written, each counted by its own write; the counts, and what the run says of itself."""
+    run = t.ce.where("run_date = '2024-01-16'").withColumn("llm_reviewed", F.when(F.col("id") % 3 != 0, F.col("run_date")))
+    path = new_folder(t.spark, "run")
+    found = evidence.write_step(run, f"{path}/fetch", "fetch-action")
+    found += evidence.write_step(run.where("pipeline_state = 'written'"), f"{path}/written", "write-notion-action", {"pages": "notion_page_id is not null"})
+    seen = {m: v for _, m, v in found}
+    summary = t.spark.createDataFrame([("2024-01-16 09:00", "Failed", seen["written"] + 3, f"{seen['fetched']} rows")], "batch_date string, status string, events_added long, issues string")
+    log = t.spark.createDataFrame([(s, "fail" if s == "score-travel" else "ok", "quota" if s == "score-travel" else None) for s in _LOGGED], "step string, outcome string, detail string")
+    return evidence.table(t.spark, found), summary, log
+
+
+def _step_checks(t, seen, summary, log):
+    return evidence.step_checks(seen, summary, log, t.ce.select("source").distinct().withColumn("ok", F.col("source") != "Luma"), "2024-01-16")
+
+
+@query("step_evidence", f"""SELECT * FROM (SELECT 'fetch-action' AS step, unnest(['fetched', 'scored', 'reviewed', 'written', 'rejected', 'duplicates']) AS metric, unnest([count(*), count(score), count(llm_reviewed),
+  count(*) FILTER (pipeline_state = 'written'), count(*) FILTER (pipeline_state = 'llm_rejected'), count(*) FILTER (pipeline_state = 'duplicate')]) AS value FROM {_OURS})
+UNION ALL SELECT 'write-notion-action', 'pages', count(notion_page_id) FROM {_OURS} WHERE pipeline_state = 'written'""")
+def _(t):
+    return _evidence(t)[0]
+
+
+@query("step_checks", f"WITH said AS ({_SAID}), {_STEPS} SELECT * FROM steps")
+def _(t):
+    return _step_checks(t, *_evidence(t))
+
+
+@query("run_deviations", f"""{_REPORT}, said AS ({_SAID}), {_STEPS}, checks AS (SELECT check_name, status, detail FROM report UNION ALL SELECT * FROM steps)
+SELECT CASE WHEN required THEN 'deviation' ELSE 'note' END AS severity, 'missing-step-log' AS kind, step, concat('no entry for ', step) AS detail FROM (VALUES {", ".join(f"('{k}', {str(v).lower()})" for k, v in evidence.EXPECTED)}) e(step, required) WHERE step NOT IN {_LOGGED}
+UNION ALL SELECT 'deviation', 'step-failed', 'score-travel', 'quota' UNION ALL SELECT 'deviation', 'qa-check-failed', check_name, detail FROM checks WHERE status = 'fail' UNION ALL SELECT 'note', 'qa-check-warned', check_name, detail FROM checks WHERE status = 'warn'
+UNION ALL SELECT 'deviation', 'evidence-missing', 'newsletter-qa', 'no count of newsletter_findings' UNION ALL SELECT 'deviation', 'summary-table-drift', 'pipeline-summary', concat('summary: ', CAST(w + 3 AS VARCHAR), ' written, table: ', CAST(w AS VARCHAR)) FROM said""")
 def _(t):
-    expected = t.spark.createDataFrame([("publish", True), ("notes", False), ("Luma", True), ("Meetup", True)], "step string, required boolean")
-    log = t.ce.groupBy(F.col("source").alias("step")).agg(F.count("*").alias("n")).withColumn("outcome", F.when(F.col("step") == "Luma", "failed").otherwise("ok"))
-    return reports.deviations(expected, log)
+    """All of a run: its log, its checks of rows and of steps, its evidence, and a summary that claims three rows too many."""
+    seen, summary, log = _evidence(t)
+    checks = _report(t).select("check_name", "status", "detail").unionByName(_step_checks(t, seen, summary, log))
+    expected = t.spark.createDataFrame(evidence.EXPECTED, "step string, required boolean")
+    return evidence.deviations(expected, log, checks, seen, summary, "2024-01-16", {"newsletter_findings": "newsletter-qa", "pages": "write-notion-action"})
 
 
 @query("stream_funnel", "SELECT CAST(date_trunc('day', (date || ' ' || time || ':00')::TIMESTAMP) AS VARCHAR)[1:10] AS day, pipeline_state, count(*) AS n FROM ce GROUP BY ALL")
@@ -263,7 +306,7 @@ def _(t):
 
 @query("stream_upsert", """
 WITH r AS (SELECT *, CAST(floor(id * 3 / (SELECT max(id) + 1 FROM ce)) AS BIGINT) AS part FROM ce),
-first AS (SELECT url, min(id) AS id, arg_min(date, id) AS date, arg_min(end_date, id) AS end_date, arg_min(pipeline_state, id) AS state, arg_min(notion_page_id, id) AS page, min(part) AS part FROM r GROUP BY url),
+first AS (SELECT url, id, date, end_date, pipeline_state AS state, notion_page_id AS page, part FROM r QUALIFY row_number() OVER (PARTITION BY url ORDER BY id) = 1),
 later AS (SELECT r.url, r.part, arg_max(r.date, r.id) AS date, arg_max(struct_pack(e := r.end_date), r.id).e AS end_date FROM r JOIN first AS f ON f.url = r.url AND r.part > f.part GROUP BY ALL),
 steps AS (SELECT url, part, date, end_date FROM first UNION ALL SELECT * FROM later),
 moved AS (SELECT *, date <> lag(date) OVER (PARTITION BY url ORDER BY part) AS other FROM steps),
