@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import ingest, packs, rules, scoring
+from ..operators import ingest, pack_index, packs, rules, scoring
 from ..settings import DEFAULT as S
 from .catalog import query
 from .projections import _COST
@@ -236,3 +236,14 @@ def _(t):
 @query("hard_rules", f"SELECT id, {cases(packs.HARD_RULES, {'blob': 'lower(name)', 'name': 'lower(name)'}, 'WHEN organiser IN (' + ', '.join(repr(x) for x in packs.HARD_ORGANISERS) + ') THEN chr(111)')} IS NOT NULL AS violates FROM ce")
 def _(t):
     return t.ce.select("id", scoring.hard_rule(F.col("name"), F.lit(""), F.col("organiser")).isNotNull().alias("violates"))
+
+
+@query("pack_first_keys", r"""
+WITH phrases AS (SELECT DISTINCT word, length(word) AS ordinal FROM (SELECT unnest(regexp_extract_all(lower(name), '[\p{L}\p{M}\p{Nd}\p{Pc}]+')) AS word FROM cd) WHERE length(word) > 6),
+texts AS (SELECT DISTINCT id, unnest(regexp_extract_all(lower(description), '[\p{L}\p{M}\p{Nd}\p{Pc}]+')) AS word FROM cd)
+SELECT id, ordinal, word AS rule_key FROM texts JOIN phrases USING (word) QUALIFY row_number() OVER (PARTITION BY id ORDER BY ordinal, word) = 1""")
+def _(t):
+    """A pack as large as the table: each long word of the names is a rule, short ones first; the first rule of each whole text."""
+    w = t.cd.select(F.explode(pack_index.words(F.col("name"))).alias("phrase")).where("length(phrase) > 6").distinct()
+    phrases = w.select(F.length("phrase").alias("ordinal"), F.col("phrase").alias("rule_key"), F.lit("blob").alias("scope"), "phrase", F.array().cast("array<string>").alias("exempt"))
+    return pack_index.first_keys(t.cd, {"blob": C.text_blob(F.col("description"))}, pack_index.index(phrases)).withColumn("ordinal", F.col("ordinal").cast("long"))
