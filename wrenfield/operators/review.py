@@ -45,6 +45,25 @@ def card(name: Column, date: Column, venue: Column, cost: Column, travel: Column
     return F.format_string("%s | %s | %s | %s | %s", name, date, F.coalesce(venue, F.lit("unknown venue")), F.coalesce(cost, F.lit("TBC")), F.coalesce(F.concat(travel.cast("string"), F.lit(" min")), F.lit("unknown")))
 
 
+def full_card(row: dict[str, Column]) -> Column:
+    """A card of a candidate as its reviewer reads it: what it is, the assessment so far with the signals that fired (array<struct<label, weight>>), and whether it is known."""
+    known = F.when(F.coalesce(row["known_before"], F.lit(False)), "yes").otherwise("no")
+    fired = F.array_join(F.transform(row["signals"], lambda s: F.format_string("%s (%+d)", s["label"], s["weight"])), ", ")
+    said = F.when(C.blank(row["description"]), "none").otherwise(row["description"])
+    assessed = F.concat(F.coalesce(row["tier"], F.lit("untiered")), F.lit(" / "), F.coalesce(row["score"].cast("string"), F.lit("unscored")))
+    lines = [F.concat(F.lit("## "), row["id"].cast("string"), F.lit(" "), card(row["name"], row["date"], row["venue"], row["cost"], row["travel"]))]
+    lines += [F.concat(F.lit(f"{k}: "), v) for k, v in (("Assessment", assessed), ("Signals", F.when(fired == "", "none").otherwise(fired)), ("Known", known), ("Description", said))]
+    return F.concat_ws("\n", *lines)
+
+
+def batch_prompts(cards: DataFrame, asked: str, size: int, units: int = 8_000) -> DataFrame:
+    """(batch, n, prompt): cards (id, card) in order of id, ``size`` a batch, under the request; a card is cut at its share of ``units`` UTF-16 units, and
+    no character is split."""
+    j = numbered(cards, size).join(cards, "id").withColumn("card", C.truncate_utf16(F.col("card"), units // size))
+    lines = F.expr(r"listagg(card, '\n\n') within group (order by id)")
+    return j.groupBy("batch").agg(F.count("*").alias("n"), F.concat(F.lit(asked + "\n\n"), lines).alias("prompt"))
+
+
 def volume(cand: DataFrame, as_of: str, first_run: bool = False, s: Settings = DEFAULT) -> DataFrame:
     n = pending(cand, as_of).agg(F.count("*").alias("n"))
     return n.withColumn("status", F.when(F.lit(first_run), "ok").when(F.col("n") > s.abort_volume, "abort").when(F.col("n") > s.warn_volume, "warn").otherwise("ok"))

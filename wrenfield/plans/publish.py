@@ -132,6 +132,37 @@ def _(t):
     return mail.extraction_trace(rows, rows.select("message_id", body.alias("body_text"))).select("id", "name_status", "date_status", "venue_status")
 
 
+@query("extraction_fields", """
+WITH r AS (SELECT *, CASE WHEN id % 3 = 0 THEN 'NOT_FOUND' ELSE 'match' END AS n, CASE WHEN id % 4 IN (0, 1) THEN 'match' ELSE 'NOT_FOUND' END AS d,
+  CASE WHEN venue_name IS NULL THEN 'skipped' WHEN id % 5 = 0 THEN 'match' ELSE 'NOT_FOUND' END AS v, CASE id % 7 % 3 WHEN 0 THEN 'match' WHEN 1 THEN 'NOT_FOUND' ELSE 'skipped' END AS u FROM ce)
+SELECT id, CASE WHEN id % 13 = 0 THEN 'NOT_FOUND' ELSE n END AS name_status, CASE WHEN id % 13 = 0 THEN 'NOT_FOUND' ELSE d END AS date_status, CASE WHEN id % 13 = 0 AND v = 'match' THEN 'NOT_FOUND' ELSE v END AS venue_status,
+  CASE WHEN id % 13 = 0 THEN 'skipped' ELSE u END AS url_status, CASE WHEN id % 13 = 0 THEN 'skipped' WHEN 'NOT_FOUND' IN (n, d, v, u) THEN 'mismatch' ELSE 'ok' END AS row_status FROM r""")
+def _(t):
+    """Dates stand alone, within a span, beside two others, or not at all; some rows have no message."""
+    i, day = F.col("id"), F.dayofmonth(F.col("date").cast("date"))
+    month, short = F.date_format(F.col("date").cast("date"), " MMMM"), F.date_format(F.col("date").cast("date"), " MMM")
+    text = lambda *parts: F.concat(*(p.cast("string") if not isinstance(p, str) else F.lit(p) for p in parts))
+    span = F.when(i % 8 == 1, text(F.greatest(day - 1, F.lit(1)), "–", F.least(day + 2, F.lit(31)), short)).otherwise(text("from ", F.greatest(day - 2, F.lit(1)), " to ", F.least(day + 1, F.lit(31)), month))
+    when = F.when(i % 4 == 0, text(day, month, " at 8")).when(i % 4 == 1, span).when(i % 4 == 2, text(day + 1, " & ", day + 3, short)).otherwise("Friday")
+    link = F.when(i % 7 % 3 == 0, text(" see ", F.col("url"), " now")).when(i % 7 % 3 == 1, " see https://other.test/x").otherwise("")
+    body = F.concat(F.when(i % 5 == 0, F.concat(F.coalesce("venue_name", F.lit("")), F.lit(": "))).otherwise(""), F.when(i % 3 == 0, "Jazz").otherwise(F.upper("name")), F.lit(" on "), when, link)
+    rows = t.ce.select("id", "name", "date", "venue_name", "url", F.concat(F.lit("m"), "id").alias("message_id"))
+    return mail.trace_fields(rows, t.ce.where(i % 13 != 0).select(F.concat(F.lit("m"), "id").alias("message_id"), body.alias("body_text"))).drop("message_id")
+
+
+@query("newsletter_prompts", """
+WITH r AS (SELECT id, name, date, venue_name, url, concat('m', id % 60, '-', id % 2) AS message_id, CASE WHEN id % 3 = 0 THEN '(from the page: not to be compared)' ELSE left(concat(name, ' "', organiser, '" £'), 200) END AS description FROM ce),
+lines AS (SELECT message_id, count(*) AS n_rows, string_agg(CAST(json_object('id', id, 'name', name, 'date', date, 'venue', venue_name, 'url', url, 'description', description) AS VARCHAR), chr(10) ORDER BY id) AS lines FROM r GROUP BY message_id)
+SELECT message_id, n_rows, sha256(concat('Which of these rows does the message support? Answer with one JSON object per row: id, and for name, date, venue, url and description whether they match.', chr(10), chr(10), 'ROWS', chr(10), lines, chr(10), chr(10), 'MESSAGE', chr(10),
+  CASE WHEN length(body_text) > 300 THEN concat(left(body_text, 299), '…') ELSE body_text END)) AS prompt_sha256 FROM lines JOIN em USING (message_id) WHERE trim(coalesce(body_text, '')) <> ''""")
+def _(t):
+    """One prompt for each message with rows; its text is cut at 300 units."""
+    i = F.col("id")
+    rows = t.ce.select("id", "name", "date", "venue_name", "url", F.concat(F.lit("m"), i % 60, F.lit("-"), i % 2).alias("message_id"), F.concat("name", F.lit(' "'), "organiser", F.lit('" £')).alias("description"), F.when(i % 3 == 0, "page").alias("description_source"))
+    made = mail.prompts(t.em, rows, t.em, 300)
+    return made.select("message_id", "n_rows", F.sha2(F.col("prompt").cast("binary"), 256).alias("prompt_sha256"))
+
+
 _SECOND_PASS = "SELECT message_id, n, bad FROM (SELECT 'm' || (id // 5) || '-' || (id % 5 // 3) AS message_id, count(*) AS n, count(*) FILTER (id % 7 = 0 OR id % 11 = 0) AS bad FROM ce GROUP BY 1) WHERE bad > 0 OR n >= 3"
 
 

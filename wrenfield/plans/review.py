@@ -25,6 +25,21 @@ def _(t):
     return review.pending(t.ce, AS_OF).select("id", review.card(*map(F.col, ("name", "date", "venue_name", "cost", "travel_transit_min"))).alias("card"))
 
 
+@query("review_prompts", f"""
+WITH p AS (SELECT *, (row_number() OVER (ORDER BY id) - 1) // 20 + 1 AS batch, concat('## ', id, ' ', name, ' | ', date, ' | ', coalesce(venue_name, 'unknown venue'), ' | ', cost, ' | ', travel_transit_min, ' min', chr(10), 'Assessment: ', llm_tier, ' / ', score, chr(10),
+  'Signals: ', CASE id % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'vinyl (+2)' ELSE 'vinyl (+2), corporate (-3)' END, chr(10), 'Known: ', CASE WHEN id % 4 = 0 THEN 'yes' ELSE 'no' END, chr(10), 'Description: ', CASE WHEN id % 5 = 0 THEN 'none' ELSE organiser END) AS card FROM {_PENDING})
+SELECT batch, count(*) AS n, sha256(concat('Judge each event.', chr(10), chr(10), string_agg(CASE WHEN length(card) > 120 THEN concat(left(card, 119), '…') ELSE card END, chr(10) || chr(10) ORDER BY id))) AS prompt_sha256 FROM p GROUP BY batch""")
+def _(t):
+    """Prompts of 20 cards; a card is cut at 120 units."""
+    i = F.col("id")
+    one = lambda label, weight: F.struct(F.lit(label).alias("label"), F.lit(weight).alias("weight"))
+    fired = F.slice(F.array(one("vinyl", 2), one("corporate", -3)), F.lit(1), (i % 3).cast("int"))
+    of = {"id": i, "name": F.col("name"), "date": F.col("date"), "venue": F.col("venue_name"), "cost": F.col("cost"), "travel": F.col("travel_transit_min"), "tier": F.col("llm_tier"), "score": F.col("score")}
+    of |= {"signals": fired, "known_before": i % 4 == 0, "description": F.when(i % 5 != 0, F.col("organiser"))}
+    cards = review.pending(t.ce, AS_OF).select("id", review.full_card(of).alias("card"))
+    return review.batch_prompts(cards, "Judge each event.", S.review_batch, 2400).select("batch", "n", F.sha2(F.col("prompt").cast("binary"), 256).alias("prompt_sha256"))
+
+
 @query("volume_guard", f"SELECT n, CASE WHEN n > 600 THEN 'abort' WHEN n > 300 THEN 'warn' ELSE 'ok' END AS status FROM (SELECT count(*) AS n FROM {_PENDING})")
 def _(t):
     return review.volume(t.ce, AS_OF)
