@@ -278,11 +278,14 @@ def _(t):
     return t.cal.select("calendar_id", ingest.calendar_reason(title, place).alias("reason"))
 
 
-@query("orphan_recovery", """
+_ORPHANS = """
 WITH o AS (SELECT *, row_number() OVER (PARTITION BY title, date ORDER BY page_id) AS nth FROM bd WHERE page_id NOT IN (SELECT notion_page_id FROM ce WHERE notion_page_id IS NOT NULL)),
 f AS (SELECT id, name, date, row_number() OVER (PARTITION BY name, date ORDER BY CASE pipeline_state WHEN 'ready_to_write' THEN 0 WHEN 'write_failed' THEN 1 ELSE 2 END, id) AS nth FROM ce WHERE notion_page_id IS NULL),
 j AS (SELECT o.*, f.id, EXISTS (SELECT 1 FROM ce c WHERE c.notion_page_id IS NOT NULL AND c.name = o.title AND c.date = o.date) AS tracked FROM o LEFT JOIN f ON o.title = f.name AND o.date = f.date AND o.nth = f.nth)
-SELECT page_id, id, CASE WHEN id IS NOT NULL THEN 'matched' WHEN tracked OR row_number() OVER (PARTITION BY title, date, id IS NULL ORDER BY page_id) > 1 THEN 'duplicate' ELSE 'stub' END AS action FROM j""")
+SELECT page_id, id, CASE WHEN id IS NOT NULL THEN 'matched' WHEN tracked OR row_number() OVER (PARTITION BY title, date, id IS NULL ORDER BY page_id) > 1 THEN 'duplicate' ELSE 'stub' END AS action FROM j"""
+
+
+@query("orphan_recovery", _ORPHANS)
 def _(t):
     return linkage.orphan_recovery(t.bd, t.ce)
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import mail, publish
+from ..operators import board, ingest, mail, publish
 from ..settings import DEFAULT as S
 from .catalog import query
-from .linkage import _UP, AS_OF
+from .linkage import _ORPHANS, _UP, AS_OF, _cards
 
 _READY = "(SELECT * FROM ce WHERE pipeline_state = 'ready_to_write')"
 
@@ -19,6 +19,70 @@ def _(t):
     return c.select("id", *(F.get_json_object("card", p).alias(n) for n, p in (("name", "$.Name"), ("start_at", "$.Date.start"), ("venue_name", "$.Venue"))))
 
 
+_PROPERTIES = {
+    "event": "$.Event.title[0].text.content", "start_at": "$.Date.date.start", "end_at": "$.Date.date.end", "time_of_day": "$['Time of day'].rich_text[0].text.content", "month": "$.Month.select.name", "tier": "$.Tier.select.name",
+    "score": "$.Score.number", "type": "$.Type.select.name", "added": "$.Added.date.start", "batch": "$.Batch.select.name", "venue": "$.Venue.rich_text[0].text.content", "cost": "$.Cost.rich_text[0].text.content",
+    "description": "$.Description.rich_text[0].text.content", "link": "$.Link.url", "source": "$.Source.select.name", "travel": "$['Travel from home'].rich_text[0].text.content", "verdict": "$.Verdict.select.name", "place": "$.Place.place",
+}
+
+
+@query("board_properties", f"""
+WITH v AS (SELECT venue_name, max(travel_transit_min) AS m FROM ve GROUP BY venue_name)
+SELECT id, name AS event, CASE WHEN end_date IS NULL THEN date || 'T' || time || ':00+00:00' ELSE date END AS start_at, end_date AS end_at, time AS time_of_day, strftime(date::DATE, '%B') AS month, llm_tier AS tier, CAST(score AS VARCHAR) AS score,
+  coalesce(format_type, 'Other') AS type, '2024-01-16' AS added, '16 Jan' AS batch, c.venue_name AS venue, cost, CASE WHEN id % 2 = 0 THEN concat('About ', name) END AS description, url AS link, source,
+  CASE WHEN id % 3 > 0 THEN concat(travel_transit_min, ' min (transit)') WHEN c.venue_name IS NULL THEN 'Venue unknown' ELSE 'Route unavailable' END AS travel, 'Undecided' AS verdict,
+  CASE WHEN date >= '2024-01-12' AND v.m IS NOT NULL THEN concat('{{"name":"', c.venue_name, '","address":"', CASE WHEN v.m % 2 = 0 THEN 'At ' || v.venue_name ELSE 'AB1 2CD' END, '","lat":', CAST(v.m AS VARCHAR), '.5,"lon":-0.25}}') END AS place
+FROM {_READY} c LEFT JOIN v ON v.venue_name = lower(trim(c.venue_name))""")
+def _(t):
+    """Every property of every ready row."""
+    i = F.col("id")
+    rows = t.ce.withColumns({"venue_postcode": F.lit("AB1 2CD"), "description": F.when(i % 2 == 0, F.concat(F.lit("About "), "name")), "travel_display": F.when(i % 3 > 0, F.concat(F.col("travel_transit_min").cast("string"), F.lit(" min (transit) · 9 min (walk)")))})
+    m = F.col("m")
+    at = {"venue_lat": m + F.lit(0.5), "venue_lon": F.lit(-0.25), "formatted_address": F.when(m % 2 == 0, F.concat(F.lit("At "), "venue_name")), "lookup_date": F.lit("2024-01-01"), "venue_postcode": F.lit(None).cast("string")}
+    venues = t.ve.groupBy("venue_name").agg(F.max("travel_transit_min").alias("m")).withColumns(at)
+    made = board.properties(rows, venues, S.as_of, "2024-01-12")
+    return made.select("id", *(F.get_json_object("properties", p).alias(k) for k, p in _PROPERTIES.items()))
+
+
+def _pages(t):
+    n = F.substring("page_id", 6, 20).cast("long")
+    return ingest.board_flatten(_cards(t)).withColumn("in_trash", n % 11 == 0).withColumn("verdict", F.when(n % 17 == 0, "Later").otherwise(F.col("verdict")))
+
+
+_PAGES = """(SELECT page_id, title, date, archived, n % 11 = 0 AS in_trash, n % 7 = 0 AS to_delete, CASE WHEN n % 17 = 0 THEN 'Later' ELSE verdict END AS verdict, CASE WHEN n % 4 = 0 THEN 'Too far' END AS reason, concat('seen ', n) AS notes
+FROM (SELECT *, CAST(substr(page_id, 6) AS BIGINT) AS n FROM bd))"""
+
+
+@query("board_changes", f"""
+WITH c AS (SELECT *, CASE WHEN id % 2 = 0 THEN 'active' END AS old_status, CASE WHEN id % 8 = 0 THEN 'Too far' END AS old_reason, CASE WHEN id % 3 = 0 THEN concat('seen ', id) END AS old_notes FROM ce WHERE notion_page_id IS NOT NULL),
+j AS (SELECT c.id, p.page_id, CASE WHEN in_trash THEN 'deleted' WHEN p.archived THEN 'archived' WHEN to_delete THEN 'flagged_delete' ELSE 'active' END AS s, c.*, p.verdict AS nv, p.reason AS nr, p.notes AS nn FROM c FULL JOIN {_PAGES} p ON p.page_id = c.notion_page_id),
+k AS (SELECT id, page_id, CASE WHEN s IS DISTINCT FROM old_status THEN s END AS status, CASE WHEN nv IS DISTINCT FROM verdict THEN nv END AS verdict, CASE WHEN nr IS DISTINCT FROM old_reason THEN nr END AS reason, CASE WHEN nn IS DISTINCT FROM old_notes THEN nn END AS notes FROM j WHERE id IS NOT NULL AND page_id IS NOT NULL)
+SELECT id, page_id, 'update' AS kind, status, verdict, reason, notes FROM k WHERE coalesce(status, verdict, reason, notes) IS NOT NULL
+UNION ALL SELECT id, NULL, 'gone', 'gone', NULL, NULL, NULL FROM j WHERE page_id IS NULL UNION ALL SELECT NULL, page_id, 'untracked', NULL, NULL, NULL, NULL FROM j WHERE id IS NULL""")
+def _(t):
+    i = F.col("id")
+    rows = t.ce.withColumns({"notion_status": F.when(i % 2 == 0, "active"), "verdict_reason": F.when(i % 8 == 0, "Too far"), "verdict_notes": F.when(i % 3 == 0, F.concat(F.lit("seen "), i.cast("string")))})
+    return board.reconcile_changes(rows, _pages(t))
+
+
+@query("verdict_changes", f"""
+SELECT id, CASE WHEN p.page_id IS NULL THEN 'missing' WHEN p.verdict IS NULL THEN 'no_verdict' WHEN p.verdict = 'Later' THEN 'error' ELSE 'synced' END AS outcome, CASE WHEN p.verdict <> 'Later' THEN p.verdict END AS verdict, CASE WHEN p.verdict <> 'Later' THEN p.reason END AS reason,
+  CASE WHEN p.verdict <> 'Later' THEN p.notes END AS notes, CASE WHEN p.verdict <> 'Later' THEN '2024-01-16 08:00' END AS synced_at
+FROM ce c LEFT JOIN {_PAGES} p ON p.page_id = c.notion_page_id WHERE c.notion_page_id IS NOT NULL AND id % 5 > 0 AND coalesce(c.end_date, c.date) < '2024-01-15'""")
+def _(t):
+    rows = t.ce.withColumn("synced_at", F.when(F.col("id") % 5 == 0, "2024-01-01 08:00"))
+    return board.verdict_changes(rows, _pages(t), AS_OF, "2024-01-16 08:00")
+
+
+@query("orphan_changes", f"""
+WITH a AS ({_ORPHANS})
+SELECT CASE action WHEN 'matched' THEN 'update' WHEN 'stub' THEN 'insert' ELSE 'report' END AS op, id, page_id, CASE WHEN action = 'stub' THEN '2024-01-16' END AS run_date, CASE WHEN action = 'stub' THEN title END AS name, CASE WHEN action = 'stub' THEN date END AS date,
+  CASE WHEN action = 'stub' THEN 'manual' END AS source, CASE WHEN action = 'stub' THEN 0 END AS score, CASE WHEN action = 'stub' THEN 'Manual' END AS tier, CASE WHEN action <> 'duplicate' THEN 'written' END AS pipeline_state,
+  CASE WHEN action <> 'duplicate' THEN 'active' END AS notion_status, CASE WHEN action = 'stub' THEN 1 END AS travel_lookup_failed, CASE WHEN action = 'duplicate' THEN 'duplicate' END AS reason FROM a JOIN bd USING (page_id)""")
+def _(t):
+    return board.orphan_changes(t.bd, t.ce, AS_OF)
+
+
 @query("board_body", f"SELECT id, CASE WHEN venue_name IS NULL THEN 3 ELSE 4 END AS n_blocks, 'TBC' AS first_text FROM {_READY}")
 def _(t):
     return publish.body(t.ce).select("id", F.size("blocks").alias("n_blocks"), F.col("blocks")[0]["text"].alias("first_text"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evidence, gates, linkage, reports, scoring
+from ..operators import digest, evidence, gates, linkage, packs, reports, rules, scoring
 from ..settings import DEFAULT as S
-from ..staging import new_folder
+from ..staging import new_folder, staged
 from ..streaming import jobs
 from ..streaming.snapshot import STORED
 from ..versions import Versions
@@ -107,6 +107,83 @@ def _(t):
     return reports.accumulate(state, new, AS_OF).withColumn("events", F.array_join("events", ","))
 
 
+def _findings_of(t, run=None):
+    """What the findings of all rows, or of a run's, rest on."""
+    rows = t.ce if run is None else t.ce.where(F.col("run_date") == run)
+    made = rows.select("id", F.when(F.col("id") % 3 > 0, F.col("organiser")).alias("organiser"), F.when(F.col("id") % 2 == 0, F.col("venue_name")).alias("venue_name"), F.col("name").alias("event"), "date", F.when(F.col("id") % 2 == 0, "cost_over_30").alias("veto_reason"), reports.correction(F.col("pipeline_state"), F.col("verdict"), F.col("llm_tier")).alias("type"))
+    seen = rows.where("verdict = 'Going'")
+    again = lambda kind, c: seen.where(F.col(c).isNotNull()).groupBy(F.lit(kind).alias("kind"), F.col(c).alias("value")).agg(F.count("*").alias("n")).where("n >= 2")
+    interest = again("organiser", "organiser").where("value <> 'purchase'").unionByName(again("venue", "venue_name").where("value <> 'Annex'"))
+    gaps = t.cal.where("calendar_id % 26 = 0").select(F.when(F.col("calendar_id") % 4 == 0, "Online").otherwise(F.col("location")).alias("location"), F.col("title").alias("event"), "date")
+    return digest.finding_events(made.where("type is not null"), interest, gaps)
+
+
+def _finding_sql(where, n=""):
+    """The CTE ev (with the suffix n) of what the findings of some rows rest on."""
+    return f"""
+r{n} AS (SELECT * FROM ce WHERE {where}), corr{n} AS (SELECT type, event, date, CASE WHEN id % 3 > 0 THEN organiser END AS org, CASE WHEN id % 2 = 0 THEN venue_name END AS place, CASE WHEN id % 2 = 0 THEN 'cost_over_30' ELSE 'unknown' END AS veto FROM (SELECT {_CASES} AS type, name AS event, * FROM r{n}) WHERE type IS NOT NULL),
+ent{n} AS (SELECT 'organiser:' || lower(organiser) AS finding_key, 'organiser' AS finding_type, organiser AS target_name, count(*) AS n FROM r{n} WHERE verdict = 'Going' AND organiser <> 'purchase' GROUP BY organiser HAVING count(*) >= 2
+  UNION ALL SELECT 'series:' || lower(venue_name), 'series', venue_name, count(*) FROM r{n} WHERE verdict = 'Going' AND venue_name <> 'Annex' GROUP BY venue_name HAVING count(*) >= 2),
+gap{n} AS (SELECT location, title AS event, date FROM cal WHERE calendar_id % 26 = 0 AND calendar_id % 4 <> 0 QUALIFY count(*) OVER (PARTITION BY location) >= 2),
+att{n} AS (SELECT c.*, coalesce(o.finding_key, p.finding_key) AS k, coalesce(o.finding_type, p.finding_type) AS t, coalesce(o.target_name, p.target_name) AS g FROM corr{n} c LEFT JOIN ent{n} o ON o.finding_key = 'organiser:' || lower(c.org) LEFT JOIN ent{n} p ON p.finding_key = 'series:' || lower(c.place)),
+ev{n} AS (SELECT finding_key, finding_type, target_name, 'event' AS role, NULL AS type, target_name || ' x ' || n AS event, NULL AS date FROM ent{n} UNION ALL SELECT 'veto:' || veto, 'veto_exemption', veto, 'event', NULL, event, date FROM corr{n} WHERE type = 'false_veto'
+  UNION ALL SELECT 'source_gap:' || lower(location), 'source_gap', location, 'event', NULL, event, date FROM gap{n} UNION ALL SELECT k, t, g, 'correction', type, event, date FROM att{n} WHERE k IS NOT NULL
+  UNION ALL SELECT type || ':' || event || ':' || date, type, event, 'event', NULL, event, date FROM att{n} WHERE k IS NULL AND type <> 'false_veto')"""
+
+
+@query("finding_events", f"WITH {_finding_sql('true')} SELECT * FROM ev")
+def _(t):
+    return _findings_of(t)
+
+
+_WHY = """CASE finding_type WHEN 'organiser' THEN 'Events of this organiser are attended again and again' WHEN 'series' THEN 'Events at this place are attended again and again' WHEN 'veto_exemption' THEN 'This veto keeps out events that were attended'
+  WHEN 'source_gap' THEN 'Attended events at this place come from no source' ELSE 'An event was judged wrongly' END"""
+
+
+@query("finding_state", f"""
+WITH {_finding_sql("run_date = '2024-01-09'", 1)},
+{_finding_sql("run_date = '2024-01-16'", 2)},
+both_ AS (SELECT *, 1 AS round FROM ev1 UNION ALL SELECT *, 2 FROM ev2),
+f AS (SELECT finding_key, min(finding_type) AS finding_type, count(DISTINCT round) AS evidence, CASE min(round) WHEN 1 THEN '2024-01-09' ELSE '2024-01-16' END AS first_seen, CASE max(round) WHEN 1 THEN '2024-01-09' ELSE '2024-01-16' END AS last_seen, count(*) FILTER (role = 'event') AS n_events, max(round) AS last FROM both_ GROUP BY finding_key),
+c AS (SELECT finding_key, round AS last, count(*) AS n, string_agg(DISTINCT type, ', ' ORDER BY type) AS types FROM both_ WHERE role = 'correction' GROUP BY finding_key, round)
+SELECT finding_key, finding_type, evidence, first_seen, last_seen, n_events, coalesce(c.n, 0) AS n_corrections, coalesce(c.types, '') AS additional_types, concat({_WHY}, ' (', n_events, ' events, ', evidence, ' digests)', CASE WHEN c.types IS NOT NULL THEN '; corrected: ' || c.types ELSE '' END) AS rationale FROM f LEFT JOIN c USING (finding_key, last)""")
+def _(t):
+    """The state after the digests of both runs."""
+    state = digest.empty_state(t.spark)
+    for run in ("2024-01-09", "2024-01-16"):
+        state = tuple(map(staged, digest.accumulate(*state, _findings_of(t, run), run)))
+    return state[0].drop("target_name").withColumn("additional_types", F.array_join("additional_types", ", "))
+
+
+@query("digest_record", f"""
+WITH m AS (SELECT * FROM {_JOINED}), g AS (SELECT id, name, date FROM m WHERE verdict IN ('Going', 'Maybe')), k AS (SELECT id, {_CASES} AS type FROM m WHERE {_CASES} IS NOT NULL)
+SELECT (SELECT count(*) FROM g) AS n_confirmed, (SELECT count(*) FROM k) AS n_corrections, (SELECT string_agg(concat(date, '/', name, '/', id), ';' ORDER BY date, id, name) FROM (SELECT * FROM g ORDER BY date, id, name LIMIT 20)) AS confirmed,
+  (SELECT string_agg(concat(type, '/', id), ';' ORDER BY type, id) FROM (SELECT * FROM k ORDER BY type, id LIMIT 20)) AS corrections""")
+def _(t):
+    """The digest as one record, read back from its JSON: counts of all rows, and the first twenty of each section."""
+    rows = staged(_matched(t))
+    kind = reports.correction(F.col("pipeline_state"), F.col("verdict"), F.col("llm_tier"))
+    sections = {"confirmed": (rows.where(F.col("verdict").isin("Going", "Maybe")).select("id", "name", "date"), ["date", "id"]), "corrections": (rows.select("id", kind.alias("type")).where("type is not null"), ["type", "id"])}
+    made = digest.report(sections)
+    got = made.select(F.from_json("digest", "summary struct<confirmed:long, corrections:long>, confirmed array<struct<id:long, name:string, date:string>>, corrections array<struct<id:long, type:string>>").alias("d"))
+    line = lambda of, *cs: F.array_join(F.transform(F.col(f"d.{of}"), lambda x: F.concat_ws("/", *(x[c] for c in cs))), ";")
+    return got.select(F.col("d.summary.confirmed").alias("n_confirmed"), F.col("d.summary.corrections").alias("n_corrections"), F.nullif(line("confirmed", "date", "name", "id"), F.lit("")).alias("confirmed"), F.nullif(line("corrections", "type", "id"), F.lit("")).alias("corrections"))
+
+
+@query("veto_surfaces", f"""
+WITH keys(k, i) AS (VALUES {", ".join(f"('{k}', {i})" for i, k in enumerate(packs.VETO_KEYS))}), s AS (SELECT string_agg(DISTINCT organiser, ' ') AS said FROM ce),
+l AS (SELECT chr(65 + CAST(i AS INTEGER)) AS letter, CASE CAST(i AS INTEGER) % 3 WHEN 0 THEN 'Click' WHEN 1 THEN 'view' ELSE 'nowhere' END AS marker, i FROM range(22) x(i))
+SELECT 'rules' AS surface, k AS name, CASE WHEN i < 20 THEN 'ok' WHEN k = '{packs.VETO_KEYS[-1]}' THEN 'rule_only' ELSE 'unmapped' END AS status FROM keys UNION ALL SELECT 'rules', 'old_rule', 'stale'
+UNION ALL SELECT 'profile', letter, CASE WHEN i >= 20 THEN 'unclaimed' WHEN contains(said, lower(marker)) THEN 'ok' ELSE 'missing' END FROM l, s""")
+def _(t):
+    """The packs' veto keys, a checklist of their first twenty, and a profile of the organisers' names."""
+    letter = lambda i: chr(65 + i)
+    checklist = t.spark.createDataFrame([(k, letter(i)) for i, k in enumerate(packs.VETO_KEYS[:20])] + [("old_rule", "A")], "rule_key string, letter string")
+    markers = t.spark.createDataFrame([(letter(i), ("Click", "view", "nowhere")[i % 3]) for i in range(22)], "letter string, marker string")
+    rules_ = rules.rule_table(t.spark, packs.VETOES)
+    return digest.surface_drift(rules_, [packs.VETO_KEYS[-1]], checklist, markers, t.ce.select(F.col("organiser").alias("text")).distinct())
+
+
 @query("apply_findings", "SELECT DISTINCT 'organiser:' || organiser AS finding_key, CASE organiser WHEN 'click' THEN 'present' WHEN 'view' THEN 'missing' ELSE 'added' END AS action FROM ce UNION ALL SELECT DISTINCT 'veto:' || source, 'manual' FROM ce")
 def _(t):
     keys = t.ce.select(F.concat(F.lit("organiser:"), "organiser").alias("finding_key")).distinct()
