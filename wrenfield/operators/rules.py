@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +34,29 @@ def load(text: str) -> list[Rule]:
     return [Rule(**{k: tuple(v) if isinstance(v, list) else v for k, v in r.items()}) for r in json.loads(text)]
 
 
+def once(values: dict[str, Column], use) -> Column:
+    """``use`` of the values, each computed once for a row however often it is used."""
+    return F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), lambda x: use({k: x[k] for k in values}))[0]
+
+
+def folded(scopes: dict[str, Column]) -> dict[str, Column]:
+    """Lower-case scopes, and each again with the two other letters that patterns take for plain ones, for ``says``."""
+    return scopes | {f"{k}_plain": F.translate(c, "ſı", "si") for k, c in scopes.items()}
+
+
+def says(scopes: dict[str, Column], scope: str, words: Iterable[str]) -> Column:
+    """Whether a scope has one of the words. A pattern is only tried where the letters of a word occur at all, which is much quicker to see."""
+    words = [w.strip().lower() for w in words]
+    hit = scopes[scope].rlike(any_of(words))
+    if f"{scope}_plain" not in scopes or not all(w.isascii() for w in words):
+        return hit
+    there = [F.contains(scopes[f"{scope}_plain"], F.lit(w)) for w in words]
+    return reduce(lambda a, b: a | b, there) & hit
+
+
 def fires(rule: Rule, scopes: dict[str, Column]) -> Column:
-    hit = scopes[rule.scope].rlike(rule.regex())
-    return hit & ~scopes["blob"].rlike(any_of(list(rule.exempt))) if rule.exempt else hit
+    hit = scopes[rule.scope].rlike(rule.pattern) if rule.pattern else says(scopes, rule.scope, rule.words)
+    return hit & ~says(scopes, "blob", rule.exempt) if rule.exempt else hit
 
 
 def first_key(rules: Iterable[Rule], scopes: dict[str, Column], more: Iterable[tuple[str, Column]] = (), otherwise: str | None = None) -> Column:

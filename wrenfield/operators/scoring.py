@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..settings import DEFAULT, Settings
 from . import packs
-from .rules import Rule, first_key
+from .rules import Rule, first_key, folded, once, says as has
 
 
 def scopes(name: Column, description: Column, organiser: Column) -> dict[str, Column]:
@@ -19,7 +19,7 @@ def scopes(name: Column, description: Column, organiser: Column) -> dict[str, Co
 
 def classify_format(name: Column, description: Column, rules: list[Rule] = packs.FORMATS) -> Column:
     text = {"blob": C.text_blob(name, description), "name": F.lower(F.coalesce(name, F.lit("")))}
-    return first_key(rules, text, otherwise=packs.DEFAULT_FORMAT)
+    return once(folded(text), lambda t: first_key(rules, t, otherwise=packs.DEFAULT_FORMAT))
 
 
 def verify_format(format_type: Column, name: Column) -> Column:
@@ -53,11 +53,14 @@ def veto_reason(cand: DataFrame, rules: list[Rule] = packs.VETOES, s: Settings =
     """The first veto of a row, or null. Exempting words suppress only their own rule."""
     have = lambda c: F.col(c) if c in cand.columns else F.lit(None).cast("string")
     text = scopes(F.col("name"), have("description"), have("organiser"))
-    more = [("classical_concert", text["title"].rlike(r"\b(?:op|bwv)\.?\s*\d+")), ("singles_in_title_or_group", text["title"].rlike(r"\bsingles\b"))]
-    more.append(("cost_over_30", F.coalesce(cost_veto(have("cost"), s), F.lit(False))))
-    transit = F.col("travel_transit_min") if "travel_transit_min" in cand.columns else F.lit(None).cast("int")
-    more.append(("park_hangout_far", F.coalesce(far_park_veto(F.col("name"), transit, s), F.lit(False))))
-    return first_key(rules, text, more)
+    dear, transit = F.coalesce(cost_veto(have("cost"), s), F.lit(False)), F.col("travel_transit_min") if "travel_transit_min" in cand.columns else F.lit(None).cast("int")
+    far = F.coalesce(far_park_veto(F.col("name"), transit, s), F.lit(False))
+
+    def reason(t: dict[str, Column]) -> Column:
+        more = [("classical_concert", t["title"].rlike(r"\b(?:op|bwv)\.?\s*\d+")), ("singles_in_title_or_group", t["title"].rlike(r"\bsingles\b"))]
+        return first_key(rules, t, [*more, ("cost_over_30", dear), ("park_hangout_far", far)])
+
+    return once(folded(text), reason)
 
 
 def load_overrides(text: str | None) -> dict[str, list[str]]:
@@ -71,11 +74,15 @@ def load_overrides(text: str | None) -> dict[str, list[str]]:
 
 def signals(cand: DataFrame, words: dict[str, tuple[str, ...]] = packs.SIGNALS, overrides: dict | None = None, s: Settings = DEFAULT) -> Column:
     """array<struct<label, weight>> of what fires, in order of evaluation."""
+    text = scopes(F.coalesce(F.col("name"), F.lit("")), F.col("description") if "description" in cand.columns else F.lit(None).cast("string"), F.col("organiser") if "organiser" in cand.columns else F.lit(None).cast("string"))
+    return once(folded(text), lambda t: _signals(cand, t, words, overrides, s))
+
+
+def _signals(cand: DataFrame, text: dict[str, Column], words: dict[str, tuple[str, ...]], overrides: dict | None, s: Settings) -> Column:
     have = lambda c: F.col(c) if c in cand.columns else F.lit(None).cast("string")
     extra = overrides or {"organisers": [], "series": []}
-    name, organiser, form = F.coalesce(F.col("name"), F.lit("")), F.lower(F.trim(F.coalesce(have("organiser"), F.lit("")))), F.coalesce(have("format_type"), F.lit(""))
-    text = scopes(name, have("description"), have("organiser"))
-    says = lambda key, scope="blob": text[scope].rlike(C.any_of(list(words[key])))
+    organiser, form = F.lower(F.trim(F.coalesce(have("organiser"), F.lit("")))), F.coalesce(have("format_type"), F.lit(""))
+    says = lambda key, scope="blob": has(text, scope, words[key])
     cost, hour, norm = C.parse_cost(have("cost")), C.parse_hour(have("time")), normalise_format(form)
     hands_on = says("hands_on_title", "name") | says("hands_on")
     social = form.isin(*packs.SOCIAL_THROUGH) | says("social")
@@ -98,7 +105,7 @@ def signals(cand: DataFrame, words: dict[str, tuple[str, ...]] = packs.SIGNALS,
         ("Signal #17: Before 10am", -2, hour < 10),
         ("Signal #21: Breathwork/sound healing", 1, says("breathwork")),
         ("Signal #30: Repeat format", 1, norm.isin(*packs.REPEATED)),
-        ("Signal #31: Known series", 2, text["name"].rlike(C.any_of(series))),
+        ("Signal #31: Known series", 2, has(text, "name", series)),
         ("Signal #32: Known organiser", 2, known),
         ("Signal #32: Known venue-as-organiser", 2, ~known & F.lower(F.coalesce(have("venue_name"), F.lit(""))).isin(*words["venues"])),
         ("Signal #33: Passive format", -1, norm.isin(*packs.PASSIVE) & ~hands_on),
