@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wrenfield.llm import decontaminate, near_dedup, packing, suffix_dedup, toxicity
-from wrenfield.llm.common import shielded, stage
+from wrenfield.llm.common import modest_batches, shielded, stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold; the model learns from all labelled ones (a bounded sample)."""
+    modest_batches(spark)
     weights = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     safe, named = shielded(docs, "text")
     return named(toxicity.score(safe, weights).where(F.col("score") < toxicity.THRESHOLD))
@@ -25,11 +26,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the smallest id."""
+    modest_batches(spark)
     return near_dedup.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 200-byte strings that occur elsewhere; documents of which nothing is left go."""
+    modest_batches(spark)
     safe, named = shielded(docs, "doc_id", "text", "n_chars")
     cut = suffix_dedup.remove_repeats(safe)
     left = cut.where((F.col("n_removed") == 0) | (F.trim(F.col("text")) != ""))
@@ -39,11 +42,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
+    modest_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces in sequences of 2048."""
+    modest_batches(spark)
     return packing.pack(docs, with_ids=False)
 
 

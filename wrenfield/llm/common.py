@@ -27,6 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Bytes of rows that go to a Python worker at once in a pipeline of several operators, whose executors hold what all of them have left.
+BATCH_BYTES = 12_000_000
+
+
+def modest_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """From now on Spark sends rows to Python workers in batches of at most ``most`` bytes, unless its batches are smaller already."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = spark.conf.get(name, "-1").rstrip("bB")
+    if not have.lstrip("-").isdigit() or not 0 < int(have) <= most:
+        spark.conf.set(name, str(most))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: computed once, and no lineage before it."""
     spark = df.sparkSession
