@@ -34,8 +34,8 @@ BATCH_BYTES = 12_000_000
 def modest_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """From now on Spark sends rows to Python workers in batches of at most ``most`` bytes, unless its batches are smaller already."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    have = spark.conf.get(name, "-1").rstrip("bB")
-    if not have.lstrip("-").isdigit() or not 0 < int(have) <= most:
+    have = spark.conf.get(name).rstrip("bB")
+    if not have.isdigit() or int(have) > most:
         spark.conf.set(name, str(most))
 
 
