@@ -7,11 +7,14 @@ level, kept within ``PRECISION``. A host is blocked if the lower posterior bound
 ``Z`` standard deviations of the beta posterior, is above ``LIMIT``; hosts without outcomes go by their domain.
 
 Rules ``(verdict, "host/path")`` fit a host and its subdomains whose path starts with the rule's; the longest
-fitting rule wins. They are compiled into one expression, so they are bounded by ``RULES_AT_MOST``.
+fitting rule wins. Up to ``RULES_AT_MOST`` are compiled into one expression; longer lists are joined to the hosts by each of their domains, so that a page meets the rules of
+its host only. Both give the same. A registered domain is the last label before a suffix and the suffix, which is the last label or one of ``SUFFIXES``; ports don't
+count, and an address of numbers is its own domain and suffix.
 
 A host may have a third of all pages: counts combine before the exchange and are joined back by salt. Nulls: a
 url that is null or has no ``://`` has an empty host and path, fits no rule and goes by the overall rate; a null
-label or id counts nowhere. Repeated rows each get a verdict. Empty tables give empty results or the prior.
+label or id counts nowhere. Repeated rows each get a verdict. Empty tables give empty results or the prior. Very long urls are read whole. Other columns pass unchanged; input columns
+``host``, ``path``, ``rule``, ``verdict`` and ``bad_bound`` are replaced.
 """
 
 from __future__ import annotations
@@ -19,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import salted_join
+from .common import salted_join, stage
 
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 RULES_AT_MOST = 500
+#: Suffixes of two labels; a parameter of the functions below.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "co.nz", "co.za", "com.br", "com.mx", "co.in", "com.tr")
 PRECISION = (2.0, 200.0)
 Z = 1.645
 LIMIT = 0.2
@@ -39,8 +44,6 @@ def path_of(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits, or nulls."""
-    if len(rules) > RULES_AT_MOST:
-        raise ValueError(f"more than {RULES_AT_MOST} rules")
     named, said = [], []
     for verdict, rule in sorted(rules, key=lambda r: (-len(r[1]), r[1])):
         domain, _, rest = rule.partition("/")
@@ -50,6 +53,15 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return F.coalesce(*named, F.lit(None).cast("string")), F.coalesce(*said, F.lit(None).cast("string"))
 
 
+def rules_of_hosts(hosts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """(host, __rules): of each host that has some, the rules of it and its domains, longest first, as array<struct<order, rule, rest, verdict>>."""
+    rows = [(d, r, "/" + rest, v, -len(r)) for v, r in rules for d, _, rest in [r.partition("/")]]
+    table = hosts.sparkSession.createDataFrame(rows, "domain string, rule string, rest string, verdict string, order int")
+    labels = F.expr("transform(sequence(1, size(split(host, '[.]'))), k -> substring_index(host, '.', -k))")
+    met = hosts.select("host", F.explode(labels).alias("domain")).join(table, "domain")
+    return met.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("order", "rule", "rest", "verdict"))).alias("__rules"))
+
+
 def _precision(rows: DataFrame, name: str) -> DataFrame:
     """Moment estimate of the beta-binomial precision over the groups ``rows`` (n, bad)."""
     sums = rows.agg(F.count("*").alias("k"), F.sum("n").alias("sn"), F.sum("bad").alias("sb"), F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("q"))
@@ -66,7 +78,8 @@ def _precision(rows: DataFrame, name: str) -> DataFrame:
 def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """From (host, bad 0/1): posterior tables of hosts, domains, suffixes and overall (one row), each with a, b."""
     hosts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    # counted once, a row for each host; what follows reads them several times
+    hosts = stage(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     overall = _precision(suffixes, "s").select("s", F.col("s_rate").alias("rate"))
@@ -82,13 +95,20 @@ def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     return hosts, domains, suffixes, overall.select((F.col("rate") * F.col("s")).alias("a0"), ((1 - F.col("rate")) * F.col("s")).alias("b0"))
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+def _labels(host: Column, suffixes: tuple[str, ...], more: int) -> Column:
+    bare = F.regexp_replace(host, r":\d*$", "")
+    numbers = bare.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
+    long = F.substring_index(bare, ".", -2).isin(*suffixes)
+    return F.when(numbers, bare).when(long, F.substring_index(bare, ".", -2 - more)).otherwise(F.substring_index(bare, ".", -1 - more))
+
+
+def domain_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    """The registered domain: a label and the suffix."""
+    return _labels(host, suffixes, 1)
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    return _labels(host, suffixes, 0)
 
 
 def bound(a: Column, b: Column, z: float = Z) -> Column:
@@ -107,6 +127,14 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]] =
     met = met.join(suffixes.select("suffix", F.col("a").alias("a1"), F.col("b").alias("b1")), "suffix", "left").join(F.broadcast(overall))
     a, b = (F.coalesce(*(F.col(f"{x}{i}") for i in (3, 2, 1, 0))) for x in "ab")
     met = met.select("host", F.coalesce(bound(a, b), F.lit(0.0)).alias("bad_bound"))
+    if len(rules) > RULES_AT_MOST:
+        met = stage(met, "met")
+        joined = salted_join(named, met.join(rules_of_hosts(met.select("host"), rules), "host", "left"), ["host"])
+        first = F.filter("__rules", lambda r: F.startswith(F.col("path"), r["rest"]))
+        top = F.try_element_at(first, F.lit(1))
+        joined, rule, said = joined.withColumn("__top", top).drop("__rules"), F.col("__top.rule"), F.col("__top.verdict")
+        own = F.when(F.col("bad_bound") > limit, F.lit("block")).otherwise(F.lit("allow"))
+        return joined.withColumn("rule", rule).withColumn("verdict", F.coalesce(said, own)).drop("__top")
     joined = salted_join(named, met, ["host"])
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad_bound") > limit, F.lit("block")).otherwise(F.lit("allow"))
@@ -126,12 +154,21 @@ _PRECISION_SQL = """
   FROM (SELECT k, p, (q - sb * p) / sn AS v, p * (1 - p) * k / sn AS c
         FROM (SELECT *, sb / sn AS p FROM (SELECT count(*) AS k, sum(n)::DOUBLE AS sn, sum(bad)::DOUBLE AS sb, sum(bad * bad / n) AS q FROM {table})))
 """
+
+
+def _sql_labels(more: int) -> str:
+    bare = "string_split(regexp_replace(host, ':[0-9]*$', ''), '.')"
+    long = ", ".join(f"'{x}'" for x in SUFFIXES)
+    return f"""CASE WHEN regexp_matches(host, '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}(:[0-9]*)?$') THEN regexp_replace(host, ':[0-9]*$', '')
+      WHEN array_to_string({bare}[-2:], '.') IN ({long}) THEN array_to_string({bare}[-{2 + more}:], '.') ELSE array_to_string({bare}[-{1 + more}:], '.') END"""
+
+
 SQL = f"""
 WITH named AS (
   SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 outcomes AS (SELECT host, 1 - quality AS bad FROM named JOIN labels ON doc_id = page_id WHERE quality IS NOT NULL AND host <> ''),
-hosts AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
+hosts AS (SELECT host, {_sql_labels(1)} AS domain, {_sql_labels(0)} AS suffix,
                  count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM outcomes GROUP BY host),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
@@ -143,8 +180,8 @@ pd AS (SELECT domain, d.bad + w * (a / (a + b)) AS a, d.n - d.bad + w * (1 - a /
 ph AS (SELECT host, h.bad + w * (a / (a + b)) AS a, h.n - h.bad + w * (1 - a / (a + b)) AS b FROM hosts h JOIN pd USING (domain), wh),
 met AS (SELECT host, coalesce(ph.a, pd.a, ps.a, ws.w * ws.rate) AS a, coalesce(ph.b, pd.b, ps.b, ws.w * (1 - ws.rate)) AS b
         FROM (SELECT DISTINCT host FROM named) m LEFT JOIN ph USING (host)
-        LEFT JOIN pd ON pd.domain = array_to_string(string_split(m.host, '.')[-2:], '.')
-        LEFT JOIN ps ON ps.suffix = string_split(m.host, '.')[-1], ws),
+        LEFT JOIN pd ON pd.domain = {_sql_labels(1)}
+        LEFT JOIN ps ON ps.suffix = {_sql_labels(0)}, ws),
 bounds AS (SELECT host, coalesce(a / (a + b) - {Z} * sqrt((a / (a + b)) * (1 - a / (a + b)) / (a + b + 1)), 0.0) AS bad_bound FROM met),
 ruled AS (SELECT *, CASE {" ".join(f"WHEN (host = '{d}' OR ends_with(host, '.{d}')) AND starts_with(path, '/{r}') THEN '{v}|{d}/{r}'" for v, d, r in ((v, *x.split("/", 1)) for v, x in sorted(RULES, key=lambda r: (-len(r[1]), r[1]))))} END AS hit
           FROM named JOIN bounds USING (host))
