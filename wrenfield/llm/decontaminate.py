@@ -163,7 +163,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[s
     spark = docs.sparkSession
     kept = [c for c in (docs.columns if keep is None else keep) if c not in [f.name for f in RESULT]]
     items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("t is not null")
-    items = stage(items.mapInArrow(_parts(n, part_words), "i string, t string"), "benchmark")
+    # equal parts count once, so that blocks stay within their bytes whatever the benchmark repeats
+    items = stage(items.distinct().mapInArrow(_parts(n, part_words), "i string, t string").distinct(), "benchmark")
     total = items.agg(F.coalesce(F.sum(F.octet_length("t") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("i", "t"), F.lit(blocks))
