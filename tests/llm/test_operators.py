@@ -469,6 +469,42 @@ def test_repeats_of_very_many_equal_rows(spark):
     assert took[1] < 4 * took[0] + 5
 
 
+def test_registered_domains(spark):
+    cases = {"shop.a.co.uk": ("a.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "example.com:8080": ("example.com", "com"), "a.b.example.org": ("example.org", "org"), "10.1.2.3": ("10.1.2.3", "10.1.2.3"), "10.1.2.3:80": ("10.1.2.3", "10.1.2.3"), "localhost": ("localhost", "localhost"), "": ("", "")}
+    df = spark.createDataFrame([(k,) for k in cases], "host string")
+    got = {r.host: (r.d, r.s) for r in df.select("host", url_reputation.domain_of(F.col("host")).alias("d"), url_reputation.suffix_of(F.col("host")).alias("s")).collect()}
+    assert got == cases
+
+
+def test_long_lists_of_rules(spark, monkeypatch):
+    """Joined rules say what compiled ones say, over repeated rows, long urls and columns of the added names."""
+    rnd = random.Random(6)
+    hosts = ["a.com", "x.a.com", "y.x.a.com", "b.org", "ab.org", "com", "", "c.net:80"]
+    pages = [(i, rnd.choice([None, "no url", *(f"https://{rnd.choice(hosts)}/{rnd.choice('abc')}/{rnd.choice('de')}{'z' * rnd.choice((0, 3, 50_000))}?q" for _ in range(9))])) for i in range(150)]
+    df = spark.createDataFrame([(*p, "x") for p in pages + pages[:5]], "page_id long, url string, rules string")
+    seen = spark.createDataFrame([(rnd.choice(hosts), rnd.randrange(2)) for _ in range(60)], "host string, bad long").where("host <> ''")
+    rules = list(dict.fromkeys((rnd.choice(("block", "allow")), f"{d}/{p}") for d in ("a.com", "x.a.com", "com", "org", "b.org", "c.net:80") for p in ("", "a", "a/", "a/d", "b/ez", "c")))
+    rules = list({r: (v, r) for v, r in rules}.values())
+    columns = ["page_id", "host", "path", "rule", "verdict", "bad_bound"]
+    want = rows(url_reputation.judge(df, seen, rules), *columns)
+    monkeypatch.setattr(url_reputation, "RULES_AT_MOST", 3)
+    assert rows(url_reputation.judge(df, seen, rules), *columns) == want and len({w[3] for w in want}) > 8
+
+
+def test_benchmark_of_repeated_rows(spark, docs, texts):
+    items = [(1, " ".join(texts[31][1].split(" ")[20:45]))] * 400 + [(2, " ".join(texts[33][1].split(" ")[5:30]))]
+    got = decontaminate.scan(docs, spark.createDataFrame(items, "item_id long, text string"), keep=["doc_id"], block_bytes=400).select("doc_id", F.size("hit_words").alias("n"), "item_ids").collect()
+    want = {w[0]: w for w in decontaminate.brute_force(texts, items)}
+    assert {r.doc_id for r in got if r.n} == {d for d, w in want.items() if w[5]} and {x for r in got for x in r.item_ids} == {"1", "2"}
+
+
+def test_media_columns_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "text one", 5, "f"), (2, None, 6, "g"), (3, "long " * 1_000_000, 7, "h")], "doc_id long, text string, n_bytes long, feature string")
+    got = ogg.from_ogg(ogg.to_ogg(df, keep=["doc_id", "n_bytes", "feature"]), keep=["doc_id", "n_bytes", "feature"])
+    assert got.columns.count("n_bytes") == got.columns.count("feature") == 1
+    assert {r.doc_id: r.n_bytes for r in got.collect()} == {1: 8, 2: 0, 3: 5_000_000}
+
+
 def test_html_by_consensus_of_a_host(spark):
     """Articles in containers whose words hint at boilerplate come back, boilerplate without such words goes, and what repeats itself is no article."""
     rnd = random.Random(9)

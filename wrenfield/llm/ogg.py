@@ -5,8 +5,8 @@ holds the payload's unpadded length. ``from_ogg`` reads any such file back: it v
 sorts pages by stream, joins lacing values to packets across pages, and takes times from granule positions.
 
 Nulls: a null text is empty. The payload is padded with zero bytes to a positive multiple of 64. Repeated rows
-give equal rows; empty tables give empty results; other columns can be kept with ``keep``. A file that breaks
-a rule raises ``ValueError``.
+give equal rows; empty tables give empty results; other columns can be kept with ``keep``, but those with the names of added ones are replaced. A very long
+text is one file, written and read as a step of its own. A file that breaks a rule raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -17,15 +17,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import released
+from .common import released, steps
 
 RATE = 8000
 PACKET = 4096
 BLOCK = 64
+#: Bytes of texts or files that are worked on at once; a longer one is a step of its own.
+SLICE = 4_000_000
 CONTINUED, FIRST, LAST = 1, 2, 4
 #: A page header without its lacing values: version, flags, granule, serial, sequence, checksum, segments.
 HEAD = struct.Struct("<4sBBqIIIB")
@@ -146,8 +149,9 @@ def _map(schema: T.StructType, keep: list[str], source: str, row):
         arrow = to_arrow_schema(schema)
         new = list(arrow)[len(keep) :]
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+            sizes = pc.fill_null(pc.binary_length(batch.column(source)), 0).to_numpy(zero_copy_only=False)
+            for i, j in steps(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), SLICE):
+                part = batch.slice(i, j - i)
                 rows = [row(x) for x in part.column(source).to_pylist()]
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), new)] if rows else [pa.array([], f.type) for f in new]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *columns], schema=arrow)
@@ -178,6 +182,7 @@ def to_ogg(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
 def from_ogg(files: DataFrame, keep: list[str]) -> DataFrame:
     """Lengths, digests and features of what is stored in column ``media``."""
     kinds = (("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType()))
+    keep = [c for c in keep if c not in dict(kinds)]
     schema = T.StructType([files.schema[c] for c in keep] + [T.StructField(c, t) for c, t in kinds])
     return files.mapInArrow(_map(schema, keep, "media", _read), schema)
 
