@@ -83,45 +83,74 @@ def reschedule(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     return found.select(F.col("old.id").alias("id"), F.col("new.date").alias("date"), F.col("new.end_date").alias("end_date"), F.when(back, "pending_llm").otherwise(F.col("old.pipeline_state")).alias("pipeline_state"))
 
 
-def _named(rows: DataFrame) -> DataFrame:
-    named = rows.where("name is not null and name <> ''").select("id", "date", C.normalise_name(F.col("name")).alias("norm"))
-    return named.withColumn("words", C.words(F.col("norm")))
-
-
-def _meeting(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pairs (a, b) that may be similar: they share one of the rarest words of the smaller set, or a beginning."""
-    share = 0.7
-    word = lambda t: t.select("id", "date", F.size("words").alias("n"), F.explode("words").alias("word"))
-    counts = word(b).groupBy("date", "word").agg(F.count("*").alias("df"))
-    ranked = Window.partitionBy("id").orderBy("df", "word")
-
-    def rare(t: DataFrame) -> DataFrame:
-        r = word(t).join(counts, ["date", "word"], "left").withColumn("df", F.coalesce("df", F.lit(0))).withColumn("nth", F.row_number().over(ranked))
-        return r.where(F.col("nth") <= F.col("n") - F.ceil(share * F.col("n") - 1e-9) + 1)
-
-    pair = lambda x, y, cond: x.select("date", "word", F.col("id").alias("a"), F.col("n").alias("na")).join(y.select("date", "word", F.col("id").alias("b"), F.col("n").alias("nb")), ["date", "word"]).where(cond).select("a", "b")
-    by_word = pair(rare(a), word(b), "na <= nb and b < a").unionByName(pair(word(a), rare(b), "nb <= na and b < a"))
-    begun = _begun(a, b).select(F.col("long").alias("a"), F.col("short").alias("b")).unionByName(_begun(b, a).select(F.col("short").alias("a"), F.col("long").alias("b")))
-    return by_word.unionByName(begun.where("b < a")).distinct()
-
-
-def _begun(longer: DataFrame, shorter: DataFrame) -> DataFrame:
-    """(long, short): ids of a date where the short one's name begins the long one's, which meets it by its beginnings."""
-    heads = F.transform(F.sequence(F.lit(0), F.length("norm")), lambda k: F.substring(F.col("norm"), F.lit(1), k))
-    cut = longer.select("date", "norm").distinct().select("date", "norm", F.explode(heads).alias("head"))
-    met = cut.join(shorter.select("date", F.col("norm").alias("head")).distinct(), ["date", "head"])
-    return met.join(longer.select("date", "norm", F.col("id").alias("long")), ["date", "norm"]).join(shorter.select("date", F.col("norm").alias("head"), F.col("id").alias("short")), ["date", "head"]).select("long", "short")
+#: Words of a name up to which names meet on pairs of words.
+PAIRED = 16
+_SHARE = 0.7
+
+
+def _normalised(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, date, name, x, y) with normalised names; each distinct name is normalised once."""
+    names = staged(rows.select("name").distinct().withColumn("norm", C.normalise_name(F.col("name"))))
+    return staged(rows.join(names, "name").select("id", "date", "norm", "x", "y"))
+
+
+def _ranked(looks: DataFrame) -> DataFrame:
+    """``looks`` (look, date, norm, ...) with ``words``, the rarest of the date first."""
+    word = looks.select("look", "date", F.explode(C.words(F.col("norm"))).alias("word"))
+    counts = word.groupBy("date", "word").agg(F.count("*").alias("df"))
+    ranked = word.join(counts, ["date", "word"]).groupBy("look").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "word"))), lambda w: w["word"]).alias("words"))
+    return staged(looks.join(ranked, "look", "left"))
+
+
+def _keys_of(words: Column, smaller: bool) -> Column:
+    """Keys on which a name meets others: of the smaller of two sets that share enough, its rarest words have one of the larger one's words, and a few more have two of them."""
+    n = F.size(words)
+    least = F.ceil(_SHARE * n - 1e-9).cast("int")
+    first = (lambda more: F.slice(words, F.lit(1), F.least(n, n - least + more))) if smaller else (lambda more: words)
+    one = lambda kind: F.transform(first(1), lambda w: F.concat(F.lit(f"{kind} "), w))
+    two = F.flatten(F.transform(first(2), lambda w, i: F.transform(F.slice(first(2), i + 2, n), lambda v: F.concat(F.lit("two "), F.least(w, v), F.lit(" "), F.greatest(w, v)))))
+    none = F.array().cast("array<string>")
+    if smaller:  # those of one word have no two, long ones would have too many
+        return F.when(n == 1, F.concat(one("one"), one("long"))).when(n <= PAIRED, F.concat(two, one("long"))).when(n > PAIRED, one("long")).otherwise(none)
+    return F.when((n > 0) & (n <= PAIRED), F.concat(two, one("one"))).when(n > PAIRED, one("long")).otherwise(none)
+
+
+def _similar(looks: DataFrame) -> DataFrame:
+    """(x, y, kind): looks of which one begins the other, or whose words are mostly the same."""
+    size = F.size("words")
+
+    def side(of: str, smaller: bool) -> DataFrame:
+        return looks.where(of).select("date", F.col("look").alias(of), size.alias(f"n_{of}"), F.col("words").alias(f"words_{of}"), F.explode(_keys_of(F.col("words"), smaller)).alias("key"))
+
+    met = None
+    for small, large, fits in (("x", "y", "n_x <= n_y"), ("y", "x", "n_y < n_x")):
+        pairs = side(small, True).join(side(large, False), ["date", "key"]).where(fits).where(C.overlap(F.col("words_x"), F.col("words_y")) >= _SHARE).select("x", "y")
+        met = pairs if met is None else met.unionByName(pairs)
+    met = met.withColumn("kind", F.lit("word_overlap"))
+    length = F.length("norm")
+    for short, long, fits in (("y", "x", "at <= length(norm)"), ("x", "y", "at < length(norm)")):
+        # a name is cut at the lengths only that shorter names of its date have
+        lengths = looks.where(short).groupBy("date").agg(F.collect_set(length).alias("lengths"))
+        cut = looks.where(long).join(lengths, "date").select("date", "norm", F.col("look").alias(long), F.explode("lengths").alias("at")).where(fits)
+        heads = cut.select("date", long, F.substring(F.col("norm"), F.lit(1), F.col("at")).alias("head"))
+        begun = heads.join(looks.where(short).select("date", F.col("norm").alias("head"), F.col("look").alias(short)), ["date", "head"])
+        met = met.unionByName(begun.select("x", "y", F.lit("prefix").alias("kind")))
+    return met.groupBy("x", "y").agg(F.min("kind").alias("kind"))
 
 
 def fuzzy_pairs(cand: DataFrame, as_of: str) -> DataFrame:
-    """(id, other_id, kind): pending upcoming rows and earlier rows of the same date with a similar name."""
-    pending = cand.where((F.col("pipeline_state") == "pending_llm") & (F.coalesce("end_date", "date") >= as_of))
-    others = cand.where(~F.col("pipeline_state").isin("vetoed", "expired", "duplicate"))
-    x, y = _named(pending), _named(others)
-    met = _meeting(x, y).join(x.select(F.col("id").alias("a"), F.col("norm").alias("xn"), F.col("words").alias("xw")), "a")
-    met = met.join(y.select(F.col("id").alias("b"), F.col("norm").alias("yn"), F.col("words").alias("yw")), "b")
-    kind = F.when(F.col("xn").startswith(F.col("yn")) | F.col("yn").startswith(F.col("xn")), "prefix").when(C.overlap(F.col("xw"), F.col("yw")) >= 0.7, "word_overlap")
-    return met.select(F.col("a").alias("id"), F.col("b").alias("other_id"), kind.alias("kind")).where("kind is not null")
+    """(id, other_id, kind): pending upcoming rows and earlier rows of the same date with a similar name.
+
+    Distinct names of a date meet once, whatever their rows; ids are joined last.
+    """
+    pending = (F.col("pipeline_state") == "pending_llm") & (F.coalesce("end_date", "date") >= as_of)
+    rows = cand.where("name is not null and name <> ''").select("id", "date", "name", F.coalesce(pending, F.lit(False)).alias("x"), (~F.coalesce(F.col("pipeline_state"), F.lit("vetoed")).isin("vetoed", "expired", "duplicate")).alias("y"))
+    keyed = _normalised(rows.where("date is not null and (x or y)"))
+    looks = staged(keyed.groupBy("date", "norm").agg(F.max("x").alias("x"), F.max("y").alias("y")).withColumn("look", F.monotonically_increasing_id()))
+    ids = keyed.join(looks.select("date", "norm", "look"), ["date", "norm"])
+    pairs = _similar(_ranked(looks))
+    mine, theirs = ids.where("x").select(F.col("look").alias("x"), "id"), ids.where("y").select(F.col("look").alias("y"), F.col("id").alias("other_id"))
+    return pairs.join(mine, "x").join(theirs, "y").where("other_id < id").select("id", "other_id", "kind")
 
 
 def apply_duplicates(cand: DataFrame, verdicts: DataFrame, s: Settings = DEFAULT) -> DataFrame:
