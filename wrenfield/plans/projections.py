@@ -178,10 +178,9 @@ def _(t):
 _HASHED = ["name", "date", "end_date", "time", "venue_name", "cost", "format_type", "llm_tier", "score", "url", "verdict", "organiser"]
 
 
-@query("content_hash", "SELECT count(DISTINCT (" + ", ".join(_HASHED) + ")) AS kinds, count(*) AS n FROM ce")
+@query("content_hash", "SELECT id, substr(sha256(CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in sorted(_HASHED)) + ") AS VARCHAR)), 1, 16) AS h FROM ce")
 def _(t):
-    h = C.content_hash({c: F.col(c) for c in _HASHED})
-    return t.ce.select(h.alias("h")).agg(F.count_distinct("h").alias("kinds"), F.count("*").alias("n"))
+    return t.ce.select("id", C.content_hash({c: F.col(c) for c in _HASHED}).alias("h"))
 
 
 @query("description_or_tbc", "SELECT id, CASE WHEN id % 3 = 0 THEN 'TBC' ELSE name END AS description, CASE WHEN id % 5 = 0 THEN 'Newsletter' ELSE source END AS source FROM ce")

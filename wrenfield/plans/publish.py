@@ -83,9 +83,10 @@ def _(t):
     return board.orphan_changes(t.bd, t.ce, AS_OF)
 
 
-@query("board_body", f"SELECT id, CASE WHEN venue_name IS NULL THEN 3 ELSE 4 END AS n_blocks, 'TBC' AS first_text FROM {_READY}")
+@query("board_body", f"SELECT id, concat('paragraph: ', CASE WHEN id % 4 = 0 THEN 'TBC' ELSE concat('About ', name) END, CASE WHEN venue_name IS NOT NULL THEN concat(' | venue: ', venue_name) ELSE '' END, ' | cost: ', cost, ' | link: ', url) AS blocks FROM {_READY}")
 def _(t):
-    return publish.body(t.ce).select("id", F.size("blocks").alias("n_blocks"), F.col("blocks")[0]["text"].alias("first_text"))
+    rows = t.ce.withColumn("description", F.when(F.col("id") % 4 > 0, F.concat(F.lit("About "), "name")))
+    return publish.body(rows).select("id", F.array_join(F.transform("blocks", lambda b: F.concat_ws(": ", b["kind"], b["text"])), " | ").alias("blocks"))
 
 
 @query("publish_plan", f"SELECT id, CASE WHEN p.page_id IS NULL THEN 'create' ELSE 'adopt' END AS action, p.page_id FROM {_READY} r LEFT JOIN (SELECT title, date, min(page_id) AS page_id FROM bd GROUP BY ALL) p ON p.title = r.name AND p.date = r.date")

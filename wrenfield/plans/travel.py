@@ -144,10 +144,10 @@ _NEW = f"""SELECT *, lower(venue_postcode) AS code FROM (
 
 
 @query("cache_fill", f"""
-WITH tc AS ({_TC}), tv AS (SELECT * FROM ({_TV}) WHERE venue_lat % 20 = 0), new AS ({_NEW})
+WITH tc AS ({_TC}), tv AS ({_TV}), new AS ({_NEW})
 SELECT venue_key, venue_name, venue_postcode, travel_transit_min, CASE lookup_date WHEN '2023-10-17' THEN '2023-10-17' ELSE lookup_date END AS lookup_date FROM new
 WHERE NOT EXISTS (SELECT 1 FROM tv WHERE lower(tv.venue_postcode) = new.code AND {_AGE.replace("lookup_date", "tv.lookup_date")})
   AND NOT EXISTS (SELECT 1 FROM new n WHERE n.code = new.code AND n.id > new.id AND n.lookup_date >= '2023-10-18')""")
 def _(t):
     named = _candidates(t).withColumn("venue_name", F.when(F.col("id") % 2 == 0, F.col("name")).otherwise(F.col("venue_name"))).withColumn("run_date", F.when(F.col("id") % 4 > 0, F.col("run_date")))
-    return travel.cache_fill(named, _venues(t).where("venue_lat % 20 = 0"), S.as_of)
+    return travel.cache_fill(named, _venues(t), S.as_of)
