@@ -39,10 +39,10 @@ END = 0
 OPEN = 2048
 PIECES_A_PACKER = 40_000
 ROUNDS = 5
-#: Words of a generation, of which a Python worker keeps two (about 40 MB) across its tasks.
-KNOWN_WORDS = 100_000
+#: Words of a generation, of which a Python worker keeps two (about 25 MB) across its tasks.
+KNOWN_WORDS = 60_000
 #: Bytes of text whose words are numbered at once.
-WORDS_STEP = 4_000_000
+WORDS_STEP = 1_500_000
 #: Marks that end a word in a token of their own.
 TAIL = ".,;:!?#%*$&"
 
