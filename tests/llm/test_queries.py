@@ -68,6 +68,27 @@ def test_near_dedup_query_against_all_pairs(spark, texts):
     assert got == near_dedup.brute_force(texts) and any(d != c for d, c in got)
 
 
+def test_near_dedup_recall_against_all_rows(spark):
+    """Links of every row whose id is divisible by 20 with all rows have both ends in one class."""
+    import re
+    from collections import Counter
+
+    data = DATA.replace("0.001", "0.01")
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
+    group = {r.doc_id: r.class_id for r in QUERIES["op6_near_dedup"](spark, data).collect()}
+    bags = {}
+    for d, t in docs:
+        w = tuple(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")))
+        bags[d] = Counter(w[i : i + 5] for i in range(max(1, len(w) - 4))) if w else Counter()
+    links = []
+    for q in (d for d, _ in docs if d % 20 == 0 and bags[d]):
+        for d, bag in bags.items():
+            shared = sum((bags[q] & bag).values()) if d != q and not bags[q].keys().isdisjoint(bag) else 0
+            if shared and shared >= 0.8 * (bags[q].total() + bag.total() - shared):
+                links.append((q, d))
+    assert len(links) > 10 and sum(group[q] == group[d] for q, d in links) >= 0.95 * len(links)
+
+
 def test_repeats_query_against_a_table_of_strings(spark, texts):
     got = sorted(tuple(r) for r in QUERIES["op9_suffix_dedup"](spark, DATA).select(*CONTRACT["op9_suffix_dedup"]).collect())
     assert got == sorted(suffix_dedup.brute_force(texts)) and any(r[2] for r in got)
