@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Bytes of rows that go to a Python worker at once in a pipeline of several operators, whose executors hold what all of them have left.
-BATCH_BYTES = 12_000_000
+BATCH_BYTES = 6_000_000
 
 
 def modest_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
