@@ -103,6 +103,52 @@ def test_near_copies_of_versions(spark):
     assert rows(near_dedup.keep_one(docs), "doc_id") == [(2,), (30,), (40,), (41,), (5,)]
 
 
+def test_texts_just_below_the_threshold_make_few_pairs(spark, monkeypatch):
+    """Near copies of one text, texts a little too far from all of these, and texts linked with one near copy only."""
+    rnd = random.Random(11)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+
+    def changed(w, times, lo=5, hi=195):
+        w = list(w)
+        for i in rnd.sample(range(lo, hi, 6), times):
+            w[i] = f"x{rnd.randrange(10**9)}"
+        return w
+
+    copies = [changed(base, 1) for _ in range(150)]
+    far = [changed(base, 5) for _ in range(40)]
+    halves = [changed(base, 2, 5, 60) for _ in range(10)]
+    children = [changed(w, 4, 65) for w in halves]
+    repeats = [[*w[:100], *["again"] * 40, *w[100:]] for w in (*copies[:5], *far[:5])]
+    texts = list(enumerate(" ".join(w) for w in (base, *copies, *far, *halves, *children, *repeats)))
+    rnd.shuffle(texts)
+    rows_of = {}
+
+    def watched(df, name, real=near_dedup.stage):
+        out = real(df, name)
+        rows_of[name] = max(out.count(), rows_of.get(name, 0))
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", watched)
+    want = near_dedup.brute_force(texts)
+    top = dict(want)
+    assert all(top[201 + i] == 0 for i in range(10)) and sum(top[151 + i] == 151 + i for i in range(40)) > 30
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert rows(near_dedup.near_duplicates(docs), "doc_id", "class_id") == sorted(want, key=str)
+    assert rows_of["more"] <= 2 * len(texts)  # all pairs of the near copies and the others: 6,000
+
+
+def test_differences_give_the_similarity():
+    rnd = random.Random(12)
+    a, b = ([" ".join(rnd.choices("abc", [8, 1, 1], k=rnd.randrange(60))) for _ in range(200)] for _ in "ab")
+    a, b = pa.array([*a, "", None, "a a a a a a a b"]), pa.array([*b, "x", None, "a a a a a a a a a a c"])
+    got = np.zeros(len(a))
+    for i, j, n, m, unit, of in near_dedup.differences(a, b):
+        d = np.bincount(of, minlength=j - i)
+        assert all(len(set(unit[of == k])) == d[k] for k in range(j - i))
+        got[i:j] = (n + m - d) / np.maximum(n + m + d, 1)
+    assert np.allclose(got, near_dedup.similarity(a, b)) and got[-1] == 3 / 8
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rnd = np.random.default_rng(3)
     shared, own = rnd.integers(1, 2**63, 300, dtype=np.uint64), [rnd.integers(1, 2**63, 100, dtype=np.uint64) for _ in range(2)]

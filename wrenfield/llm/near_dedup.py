@@ -17,12 +17,18 @@ of maxima, is at least ``threshold``; classes are the connected components of th
 4. *Centres.* The centre of a bucket is its most popular node, the one whose buckets hold most nodes altogether:
    of a text and its altered copies, that is the text. Every node of a bucket is compared with the centre, so
    a group of copies costs one comparison a node and bucket, not all pairs; components of these links are found.
-5. *The rest.* In buckets that still hold several components, pairs across components are made, each in the first
-   band that it shares, if the signatures agree as much as those of linked texts do (``SLACK`` standard deviations
-   below the threshold: six in 1,000 pairs at 0.8 are missed, none above 0.87). No number of partners is capped. Texts that are
-   all a little below the threshold from each other make pairs by the square of their number, of which most go here.
+5. *The rest.* In buckets that still hold several components, every node is written as its differences from the centre:
+   the shingles it has more or less often than the centre, once for each time. Two texts differ by the sizes of both
+   differences less twice what these share. So a pair that is linked, though not both are linked with the centre, shares a known
+   number of differences, at least half of the smaller side, and meets in one of those that come before, in an order
+   by rarity, the last so many (a prefix filter). Texts that are all a little below the threshold from each other differ from
+   the centre each in its own way and do not meet. Nothing is estimated here and no number of partners is capped; a
+   difference in the texts of one component only makes no pairs.
 6. *Links.* Comparison is exact, on whole texts (64-bit hashes of the shingles).
 
+Before a text is compared with a centre, their signatures must agree as much as those of linked texts do (``SLACK`` standard
+deviations below the threshold: six in 1,000 pairs at 0.8 are missed, none above 0.87); in buckets that step 5 sees, it is compared in any case.
+
 Rows of one doc_id are versions of one document: each is compared as a node, then they share a class. The class id is the smallest doc_id of the
 class. Texts without words have no shingles: equal non-empty ones are copies, null and empty ones stay alone.
 A null doc_id has a null class and stays alone. Empty tables give empty results. Very long texts are read whole, in steps
@@ -202,6 +208,39 @@ def _keyed(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(q[:, 0].copy()), pa.array(q[:, 1].copy()), batch.column("text").cast(schema.field("text").type)], schema=schema)
 
 
+DIFFERENT = T.StructType([T.StructField(c, T.LongType(), False) for c in ("id", "centre", "class", "n", "m", "d")] + [T.StructField("units", T.ArrayType(T.LongType(), False), False)])
+
+
+def differences(a: pa.Array, b: pa.Array):
+    """By steps of rows: (first, last, weight of each a, weight of each b, hashed differences, row of each).
+
+    A shingle that a has w times more often than b gives w differences, one that it has less often as many of another kind.
+    """
+    (da, oa), (db, ob) = text_bytes(a), text_bytes(b)
+    for i, j in steps(oa + ob):
+        ua, fa, wa = shingles(da[oa[i] : oa[j]], oa[i : j + 1] - oa[i])
+        ub, fb, wb = shingles(db[ob[i] : ob[j]], ob[i : j + 1] - ob[i])
+        n, m = (np.bincount(f, weights=w, minlength=j - i).astype(np.int64) for f, w in ((fa, wa), (fb, wb)))
+        u, of, w = np.concatenate((ua, ub)), np.concatenate((fa, fb)), np.concatenate((wa, -wb)).astype(np.int64)
+        order = np.lexsort((u, of))
+        u, of, w = u[order], of[order], w[order]
+        first = np.flatnonzero(np.concatenate(([True], (u[1:] != u[:-1]) | (of[1:] != of[:-1])))[: len(u)])
+        u, of, w = u[first], of[first], np.add.reduceat(w, first) if len(first) else w
+        row, nth = _numbered(np.abs(w))
+        unit = W.mix(W.mix(u[row] + (w[row] > 0).astype(np.uint64) * _LEVEL) + (nth.astype(np.uint64) + np.uint64(1)) * _SLAB)
+        yield i, j, n, m, unit, of[row]
+
+
+def _different(batches):
+    schema = to_arrow_schema(DIFFERENT)
+    for batch in batches:
+        for i, j, n, m, unit, of in differences(batch.column("text"), batch.column("other")):
+            d = np.bincount(of, minlength=j - i)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(d))).astype(np.int32)), pa.array(unit.view(np.int64)))
+            columns = [batch.column(c).slice(i, j - i) for c in ("id", "centre", "class")] + [pa.array(x.astype(np.int64)) for x in (n, m, d)]
+            yield pa.RecordBatch.from_arrays([*columns, lists.cast(schema.field("units").type)], schema=schema)
+
+
 def similarity(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Weighted Jaccard similarity of the shingles of a[i] and b[i]."""
     out = np.zeros(len(a))
@@ -263,12 +302,39 @@ def likely(pairs: DataFrame, nodes: DataFrame, threshold: float, bands: int, row
     return both.where((F.least("na", "nb") >= threshold * F.greatest("na", "nb")) & alike("ba", "bb", threshold, bands, rows)).select("a", "b")
 
 
-def across(met: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
-    """(a, b): pairs of different classes that share a bucket of ``met`` and may be linked, once each."""
-    x, y = (met.select("bucket", F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("bands").alias(f"b{s}"), F.col("class").alias(f"c{s}")) for s in ("a", "b"))
-    sizes = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
-    first = F.expr(f"array_position(zip_with(ba, bb, (x, y) -> x = y), true) = shiftright(bucket, {BAND_BITS}) + 1")
-    return x.join(y, "bucket").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & sizes & first & alike("ba", "bb", threshold, bands, rows)).select("a", "b")
+def different(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``members`` (id, centre, class) with the weights n and m of both ``texts`` (id, text) and their d differences, hashed."""
+    both = members.join(texts, "id").join(texts.toDF("centre", "other"), "centre")
+    return both.select("id", "centre", "class", "text", "other").mapInArrow(released(_different), DIFFERENT)
+
+
+def near_centre(apart: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): those of ``apart``, as ``different`` gives it, that are linked with their centre."""
+    return apart.where(F.expr(f"n + m - d >= {threshold}D * (n + m + d)")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+
+
+def across(apart: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of different classes with one centre in ``apart`` that share enough differences to be linked, once each.
+
+    Texts of weights n and n' are linked if they differ by at most ``r (n + n')``. With d and d' differences from the centre, of which k are shared,
+    they differ by d + d' - 2k. ``left`` counts a text's differences from one on; of k shared ones the first has k left on both sides.
+    """
+    r, within = (1 - threshold) / (1 + threshold), 1e-6
+    units = apart.select("id", "centre", "class", "n", "m", "d", F.explode("units").alias("unit"))
+    spread = lambda df: df.groupBy("centre", "unit").agg(F.count("*").alias("texts"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+    known = units.join(spread(units).where("texts > 1").select("centre", "unit", "texts"), ["centre", "unit"])
+    # those of one text come first in the order and need no number
+    left = F.row_number().over(Window.partitionBy("centre", "id").orderBy(F.desc("texts"), F.desc("unit")))
+    # the fewest shared with any partner: one that is linked with the centre has partners that are not; others differ by at most r (n + n / threshold) from theirs
+    fewest = F.when(F.col("d") <= r * (F.col("n") + F.col("m")), (F.col("d") + r * (F.col("m") - F.col("n"))) / 2).otherwise(F.col("d") - r * (1 + 1 / threshold) * F.col("n"))
+    early = known.withColumn("left", left).where(F.col("left") >= F.greatest(F.lit(1.0), fewest) - within)
+    early = stage(early.select("centre", "unit", "id", "class", "n", "d", "left"), "early")
+    early = early.join(spread(early).where("lo <> hi").select("centre", "unit"), ["centre", "unit"], "left_semi")
+    x, y = (early.select("centre", "unit", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "class", "n", "d", "left")]) for s in "ab")
+    shared = (F.col("d_a") + F.col("d_b") - r * (F.col("n_a") + F.col("n_b"))) / 2
+    sizes = F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
+    met = x.join(y, ["centre", "unit"]).where((F.col("class_a") != F.col("class_b")) & (F.col("id_a") < F.col("id_b")) & sizes & (F.least("left_a", "left_b") >= shared - within))
+    return met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def node_texts(named: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -298,7 +364,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = stage(placed.join(stage(crowds, "crowds"), "bucket"), "shared")
     popular = shared.groupBy("id").agg(F.sum("crowd").alias("popularity"))
     centres = shared.join(popular, "id").groupBy("bucket").agg(F.max(F.struct("popularity", "id"))["id"].alias("centre"))
-    drawn = shared.join(stage(centres, "centres"), "bucket").where("id <> centre")
+    centres = stage(centres, "centres")
+    drawn = shared.join(centres, "bucket").where("id <> centre")
     drawn = drawn.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     met = stage(shared.select("id").distinct(), "met")
     own = stage(nodes.join(met, "id", "left_semi"), "own")
@@ -312,10 +379,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = stage(links(tested, texts, threshold), "links")
     label = components(found)
     known = shared.join(label, "id", "left").select("bucket", "id", F.coalesce("class", "id").alias("class"))
-    apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    known = known.join(stage(apart, "apart"), "bucket", "left_semi").join(own.select("id", "n", "bands"), "id")
-    more = across(known, threshold, bands, rows).join(tested, ["a", "b"], "left_anti")
-    more = stage(links(stage(more, "more"), texts, threshold), "links")
+    several = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
+    members = known.join(stage(several, "several"), "bucket", "left_semi").join(centres, "bucket").where("id <> centre").select("id", "centre", "class").distinct()
+    apart = stage(different(stage(members, "members"), texts), "apart")
+    more = links(stage(across(apart, threshold), "more"), texts, threshold)
+    more = stage(more.unionByName(near_centre(apart, threshold)), "links")
     # a doc_id with several texts ties their nodes together
     versions = said.join(repeated.where("differ").select(F.col("doc").alias("id")), "id", "left_semi").select(F.col("id").alias("doc"), "q1", "q2")
     versions = stage(versions.join(nodes.select("q1", "q2", F.col("id").alias("a")), ["q1", "q2"]).select("doc", "a").distinct(), "versions")
@@ -324,7 +392,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label = components(edges).join(nodes.select("id", "doc"), "id")
     lowest = label.groupBy("class").agg(F.min("doc").alias("class_id"))
     label = stage(label.join(lowest, "class").select("id", "class_id"), "labels")
-    discard(texts, own, shared, tested)
+    discard(texts, own, shared, tested, apart)
     classes = nodes.select("id", "q1", "q2", "doc").join(label, "id", "left").select("q1", "q2", F.coalesce("class_id", "doc").alias("class_id"))
     alone = (F.col("n") < 0) | F.col("id").isNull()
     return salted_join(signed.select("id", "q1", "q2", "n"), classes, ["q1", "q2"]).select(F.col("id").alias(doc_id), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"))
