@@ -74,3 +74,33 @@ def test_demonstration_packs(spark):
     plain = [r for r in packs.FORMATS if not r.pattern]
     want = {r.id: r.k for r in rows.select("id", first_key(plain, text).alias("k")).collect() if r.k}
     assert {r.id: r.rule_key for r in pack_index.first_keys(rows, text, pack_index.index(pack_index.from_rules(spark, plain))).collect()} == want and want
+
+
+def test_words_are_moved_without_their_text(spark):
+    """A text of many words: what is shuffled follows its length, not the product of its words and its length."""
+    said = " ".join(f"word{i}" for i in range(3000))
+    rows = spark.createDataFrame([(i, said) for i in range(20)], "id long, description string")
+    phrases = spark.createDataFrame([(i, f"k{i}", "blob", f"word{i}", []) for i in range(2999, 0, -1)], pack_index.PHRASES)
+    path = new_folder(spark, "keys")
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+    before = written()
+    pack_index.first_keys(rows, {"blob": F.lower("description")}, pack_index.index(phrases)).write.parquet(path)
+    assert {(r.id, r.rule_key) for r in spark.read.parquet(path).collect()} == {(i, "k1") for i in range(20)}
+    assert written() - before < 5e6
+
+
+def test_spellings_of_one_word(spark):
+    """Words as the phrase has them, in other case, and in letters that only some rules of case make equal."""
+    said = ["straße", "STRASSE", "strasse", "Straße", "ÉTÉ", "été", "éte", "Kelvin", "see", "ﬁt", "FIT", "x-fit", "fits", "Ix", "ix", "ΟΔΟΣ", "οδος", "e\u0301te\u0301", None, "straße strasse"]
+    rules = [Rule("a", ("straße",)), Rule("b", ("strasse",)), Rule("c", ("Été",)), Rule("d", ("kelvin", "see")), Rule("e", ("fit",), "blob", ("x",)), Rule("f", ("fits", "ﬁt")), Rule("g", ("οδος",)), Rule("h", ("ix",))]
+    rows = spark.createDataFrame(list(enumerate(said)), "id long, t string")
+    scopes = {"blob": F.lower(F.coalesce("t", F.lit("")))}
+    want = {r.id: r.k for r in rows.select("id", first_key(rules, scopes).alias("k")).collect() if r.k}
+    got = {r.id: r.rule_key for r in pack_index.first_keys(rows, scopes, pack_index.index(pack_index.from_rules(spark, rules))).collect()}
+    raw = {r.id: r.rule_key for r in pack_index.first_keys(rows, {"blob": F.coalesce("t", F.lit(""))}, pack_index.index(pack_index.from_rules(spark, rules))).collect()}
+    assert got == want and {want[i] for i in (0, 2, 5, 7, 10)} == set("abcde")
+    assert raw == {r.id: r.k for r in rows.select("id", first_key(rules, {"blob": F.coalesce("t", F.lit(""))}).alias("k")).collect() if r.k}

@@ -7,9 +7,12 @@ rules, and the plan is the same for a pack of any size. A pack is configuration,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..staging import staged
 from .rules import Rule
 
 PHRASES = "ordinal int, rule_key string, scope string, phrase string, exempt array<string>"
@@ -64,16 +67,33 @@ def word_counts(rows: DataFrame, scopes: dict[str, Column], phrases: DataFrame)
     return said.join(used, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
 
 
+def _met(texts: DataFrame, scope: str, indexed: DataFrame, row_id: str) -> DataFrame:
+    """(row_id, ordinal, rule_key, scope, pattern, but) of the rules of a scope whose words a row has; without a pattern where it fires for sure.
+
+    Words meet phrases with the row's id alone. A phrase of one word can only match a whole word of the text, so it is decided here unless it has exemptions: it fires
+    where the word stands as the phrase has it, but for the case of ASCII letters; any other spelling is matched by itself.
+    """
+    spelt = F.array_distinct(F.regexp_extract_all(F.coalesce(f"text_{scope}", F.lit("")), F.lit(_WORD), F.lit(0)))
+    w = F.col("spelt")
+    plain = (F.octet_length(w) == F.length(w)) | (w == _folded(w))
+    said = texts.select(row_id, F.explode(F.array_append(spelt, F.lit(""))).alias("spelt")).select(row_id, _folded(w).alias("word"), F.when(~plain, w).alias("other"))
+    one = (F.size(words(F.col("phrase"))) == 1) & F.col("phrase").rlike(r"(?U)^\w+$") & F.col("but").isNull()
+    found = said.join(indexed.where(F.col("scope") == scope).withColumn("one", one).select("word", "ordinal", "rule_key", "phrase", "pattern", "but", "one"), "word")
+    sure = F.col("one") & F.when(F.col("other").isNull() & (F.col("phrase") == F.col("word")), True).otherwise(F.rlike(F.coalesce("other", "word"), F.col("pattern")))
+    return found.where(sure | ~F.col("one")).select(row_id, "ordinal", "rule_key", F.lit(scope).alias("scope"), F.when(~F.col("one"), F.col("pattern")).alias("pattern"), "but")
+
+
 def first_keys(rows: DataFrame, scopes: dict[str, Column], indexed: DataFrame, row_id: str = "id") -> DataFrame:
     """(row_id, ordinal, rule_key) of the first rule that fires in each row; rows without one are left out. ``scopes``: texts by name, with ``blob`` for exemptions;
-    rows of one id count as one."""
+    rows of one id count as one. Texts are moved only to rules that come before the first sure one of their row."""
     texts = rows.select(row_id, *(c.alias(f"text_{k}") for k, c in scopes.items()))
-    met = None
-    for scope in scopes:
-        said = texts.select(row_id, F.col(f"text_{scope}").alias("text"), F.col("text_blob"), F.explode(F.array_append(words(F.col(f"text_{scope}")), F.lit(""))).alias("word"))
-        found = said.join(indexed.where(F.col("scope") == scope), "word")
-        fires = F.expr("text rlike pattern and not coalesce(text_blob rlike but, false)")
-        found = found.where(fires).select(row_id, "ordinal", "rule_key")
-        met = found if met is None else met.unionByName(found)
-    first = met.groupBy(row_id).agg(F.min(F.struct("ordinal", "rule_key")).alias("r"))
+    met = reduce(DataFrame.unionByName, (_met(texts, scope, indexed, row_id) for scope in scopes))
+    rule, sure = F.struct("ordinal", "rule_key"), F.col("pattern").isNull()
+    best = F.min(F.when(sure, rule)).over(Window.partitionBy(row_id))
+    left = staged(met.withColumn("best", best).where(F.when(sure, rule == F.col("best")).otherwise(F.col("best").isNull() | (rule < F.col("best")))).drop("best"))
+    first, doubt = left.where(sure).select(row_id, "ordinal", "rule_key"), staged(left.where(~sure))
+    for scope in scopes:  # few doubts are sent to the texts instead
+        judged = doubt.where(F.col("scope") == scope).join(texts.select(F.col(row_id).alias("of"), F.col(f"text_{scope}").alias("text"), "text_blob"), F.col(row_id).eqNullSafe(F.col("of")))
+        first = first.unionByName(judged.where("text rlike pattern and not coalesce(text_blob rlike but, false)").select(row_id, "ordinal", "rule_key"))
+    first = first.groupBy(row_id).agg(F.min(F.struct("ordinal", "rule_key")).alias("r"))
     return first.select(row_id, "r.ordinal", "r.rule_key")
