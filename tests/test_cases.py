@@ -170,3 +170,53 @@ def test_jargon_goes_word_by_word(spark):
     }
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "said string, want string")
     assert all(r.got == r.want for r in df.withColumn("got", C.strip_jargon(F.col("said"))).collect())
+
+
+def _calendar_loop(cal, cand):
+    """The best candidates by all pairs: {calendar_id: (id, confidence, overlap)}."""
+    want = {}
+    for c, title, place, date in cal:
+        found = []
+        for i, name, venue, day in cand:
+            if day is None or day != date:
+                continue
+            a, b = ({w for w in s.split() if len(w) > 1} for s in (title, name))
+            share = len(a & b) / min(len(a), len(b)) if a and b else 0.0
+            v, w = ((s or "").lower() for s in (place, venue))
+            met = bool(v and w and (v in w or w in v))
+            rank = 2 if title == name or met and share >= 0.6 else 1 if met or share >= 0.6 else 0
+            if rank:
+                found.append((-rank, -(1.0 if title == name else share if met or share >= 0.4 else 0.0), i))
+        if found:
+            rank, share, i = min(found)
+            want[c] = (i, "high" if rank == -2 else "medium", -share)
+    return want
+
+
+@pytest.mark.parametrize("longest", [(4, 9), (9, 4), (9, 9), (7, 7), (6, 6), (2, 1)])
+def test_calendar_match_of_long_and_short_titles(spark, longest):
+    rng = random.Random(sum(longest))
+    words, venues = "jazz rust ai x night lab y choir quiz salsa poetry chess live open mic".split(), [None, "", "Annex", "Hall A", "Hall A Back", "Loft"]
+    pick = lambda n: " ".join(rng.choice(words) for _ in range(rng.randint(0, n)))
+    days = [None, *(f"2024-01-{d:02}" for d in range(1, 13))]
+    cal = [(i, pick(longest[0]), rng.choice(venues), rng.choice(days)) for i in range(150)]
+    cand = [(i, pick(longest[1]), rng.choice(venues), rng.choice(days)) for i in range(150)]
+    x = spark.createDataFrame(cal, "calendar_id long, title string, location string, date string")
+    y = spark.createDataFrame(cand, "id long, name string, venue_name string, date string")
+    got = {r.calendar_id: (r.id, r.confidence, r.overlap) for r in linkage.calendar_match(x, y).collect()}
+    want = _calendar_loop(cal, cand)
+    assert {k: (got.get(k), want.get(k)) for k in {*got, *want} if got.get(k) != want.get(k)} == {}
+
+
+def test_calendar_match_shuffles_little(spark):
+    """One date: names of which each shares two of three words with each title."""
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+    cal = spark.range(1000).select(F.col("id").alias("calendar_id"), F.format_string("Night click u%d", "id").alias("title"), F.lit("Hall").alias("location"), F.lit("2024-01-16").alias("date"))
+    cand = spark.range(20000).select("id", F.format_string("click night u%d part", F.col("id") + 900).alias("name"), F.lit("Annex").alias("venue_name"), F.lit("2024-01-16").alias("date"))
+    before = written()
+    got = {r.calendar_id: (r.id, r.confidence, round(r.overlap, 6)) for r in linkage.calendar_match(cal, cand).collect()}
+    assert got == {i: (i - 900, "medium", 1.0) if i >= 900 else (0, "medium", 0.666667) for i in range(1000)}
+    assert written() - before < 2e6
