@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import staged
+from .linkage import told
+
 OPEN = ("pending_llm", "pending_travel", "ready_to_write", "write_failed", "incomplete")
 
 
@@ -25,8 +28,12 @@ def retry_failed(cand: DataFrame) -> DataFrame:
 
 
 def mark_attended(cand: DataFrame, matched: DataFrame) -> DataFrame:
-    hit = matched.select("id").distinct().withColumn("__hit", F.lit(True))
-    return cand.join(hit, "id", "left").withColumn("user_attended", F.col("__hit").isNotNull() & (F.coalesce("verdict", F.lit("")) != "Not Going")).drop("__hit")
+    """``cand`` with ``user_attended``; rows that no match can be of stay where they are."""
+    hit = staged(matched.select("id").distinct())
+    rows = told(cand, hit, hit.count(), "id")
+    found = rows.where("told").join(hit.withColumn("__hit", F.lit(True)), "id", "left")
+    rows = found.unionByName(rows.where("not told").withColumn("__hit", F.lit(None).cast("boolean")))
+    return rows.withColumn("user_attended", F.col("__hit").isNotNull() & (F.coalesce("verdict", F.lit("")) != "Not Going")).drop("__hit", "told")
 
 
 def record_calendar(have: DataFrame, new: DataFrame) -> DataFrame:
