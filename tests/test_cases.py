@@ -220,3 +220,45 @@ def test_calendar_match_shuffles_little(spark):
     got = {r.calendar_id: (r.id, r.confidence, round(r.overlap, 6)) for r in linkage.calendar_match(cal, cand).collect()}
     assert got == {i: (i - 900, "medium", 1.0) if i >= 900 else (0, "medium", 0.666667) for i in range(1000)}
     assert written() - before < 2e6
+
+
+def test_fuzzy_pairs_move_names_not_pairs(spark):
+    """Names that are all alike, one of them so often that its ids are in several blocks: pairs leave without a shuffle of their own."""
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+    name = F.when(F.col("id") % 3 == 0, "click night 0 part 2").otherwise(F.format_string("click night %d part 2", "id"))
+    state = F.when(F.col("id") % 5 == 0, "pending_llm").otherwise("written")
+    rows = spark.range(3000).select("id", name.alias("name"), F.lit("2024-02-01").alias("date"), F.lit(None).cast("string").alias("end_date"), state.alias("pipeline_state"))
+    before = written()
+    got = linkage.fuzzy_pairs(rows, "2024-01-16")
+    count = got.groupBy().agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "prefix").alias("p"), F.sum("other_id").alias("s")).first()
+    moved = written() - before
+    pairs = [(i, j) for i in range(0, 3000, 5) for j in range(i)]
+    same = lambda i, j: i % 3 == 0 and j % 3 == 0
+    assert (count.n, count.p, count.s) == (len(pairs), sum(same(i, j) for i, j in pairs), sum(j for _, j in pairs))
+    assert got.distinct().count() == count.n
+    assert moved < 1.5e6
+
+
+@pytest.mark.parametrize("longest,vocabulary", [(4, 6), (8, 10), (22, 24)])
+def test_fuzzy_pairs_of_random_names(spark, longest, vocabulary, monkeypatch):
+    import re
+
+    monkeypatch.setattr(linkage, "BLOCK", 2)
+    rng = random.Random(longest)
+    words = [f"w{i}" for i in range(vocabulary)] + ["-", "w1-w2"]
+    base = [" ".join(rng.choice(words) for _ in range(rng.randint(0, longest))) for _ in range(12)]
+    names = [" ".join(w for w in rng.choice(base).split() if rng.random() < 0.9)[: rng.choice((99, 99, 99, 7))].strip() for _ in range(160)]
+    rows = [(i, n, f"2024-02-0{rng.randint(1, 2)}", None, rng.choice(("pending_llm", "written", "vetoed"))) for i, n in enumerate(names)]
+    want = {}
+    for (i, a, d, _, s), (j, b, e, _, o) in itertools.product(rows, repeat=2):
+        if j < i and a and b and d == e and s == "pending_llm" and o != "vetoed":
+            w, v = set(re.findall(r"\w+", a)), set(re.findall(r"\w+", b))
+            if a.startswith(b) or b.startswith(a):
+                want[i, j] = "prefix"
+            elif w and v and len(w & v) / min(len(w), len(v)) >= 0.7:
+                want[i, j] = "word_overlap"
+    got = linkage.fuzzy_pairs(spark.createDataFrame(rows, "id long, name string, date string, end_date string, pipeline_state string"), "2024-01-16").collect()
+    assert len(got) == len(want) and {(r.id, r.other_id): r.kind for r in got} == want and set(want.values()) == {"prefix", "word_overlap"}
